@@ -1,0 +1,144 @@
+"""Evolving headers: every column is matched by name."""
+
+import gzip
+import os
+
+import pytest
+
+from tierline import DatasetSpec, Field, evolve, schema, sources
+
+from .conftest import rows
+
+FIELDS = (Field("order_id"), Field("qty", "integer"), Field("day", "timestamp", "yyyy-MM-dd"))
+
+
+def spec(place, **changes):
+    return DatasetSpec(name="s", landing=place("landing"), raw=place("raw"), fields=FIELDS, evolution="add_new_columns").with_(**changes)
+
+
+def test_header_matrix(spark, place, put):
+    put("landing/same.csv", "order_id,qty,day\n007,1,2024-01-01\n")
+    put("landing/trailing.csv", "order_id,qty,day,promo\nb,2,2024-01-02,X\n")
+    put("landing/middle.csv", "order_id,promo,qty,day\nc,Y,3,2024-01-03\n")
+    put("landing/reordered.csv", "qty,day,order_id\n4,2024-01-04,d\n")
+    put("landing/dropped.csv", "order_id,day\ne,2024-01-05\n")
+    put("landing/quoted.csv", '"order_id","a,b","qty"\nf,z,6\n')
+    put("landing/header_only.csv", "order_id,qty,day\n")
+    put("landing/zero.csv", "")
+    put("landing/blank_first.csv", "\n\nORDER_ID,QTY\ng,7\n")
+    put("landing/bom.csv", "﻿order_id,qty\nh,8\n")
+    df = sources.read_files(spark, spec(place))
+    assert [c for c in df.columns if c != "source_filename"][:3] == ["order_id", "qty", "day"]
+    got = rows(df.selectExpr("order_id", "qty", "cast(day as date) is null as no_day", "promo", "`a,b`"))
+    assert got == [
+        ("007", 1, False, None, None),
+        ("b", 2, False, "X", None),
+        ("c", 3, False, "Y", None),
+        ("d", 4, False, None, None),
+        ("e", None, False, None, None),
+        ("f", 6, True, None, "z"),
+        ("g", 7, True, None, None),
+        ("h", 8, True, None, None),
+    ]
+
+
+def test_fixed_schema_still_matches_by_name(spark, place, put):
+    put("landing/a.csv", "qty,extra,order_id\n9,x,a\n")
+    df = sources.read_files(spark, spec(place, evolution="none"))
+    assert df.columns == ["order_id", "qty", "day", "source_filename"]
+    assert rows(df, "order_id", "qty", "day") == [("a", 9, None)]
+
+
+def test_inference_types_new_columns_only(spark, place, put):
+    put("landing/a.csv", "order_id,qty,score\n007,1,2.5\n")
+    df = sources.read_files(spark, spec(place, infer_types=True))
+    assert dict(df.dtypes)["score"] == "double" and dict(df.dtypes)["order_id"] == "string"
+    undeclared = sources.read_files(spark, spec(place, fields=(), infer_types=True))
+    assert dict(undeclared.dtypes)["order_id"] == "int"
+
+
+def test_one_type_per_column_across_headers(spark, place, put):
+    put("landing/a.csv", "order_id,score\na,1\n")
+    put("landing/b.csv", "score,order_id\n2.5,b\n")
+    df = sources.read_files(spark, spec(place, infer_types=True))
+    assert dict(df.dtypes)["score"] == "double"
+    assert rows(df, "order_id", "score") == [("a", 1.0), ("b", 2.5)]
+
+
+def test_other_delimiters_encodings_and_compression(spark, place, put):
+    put("landing/a.csv", "order_id;año\na;ñ\n", encoding="latin-1")
+    options = {"delimiter": ";", "encoding": "ISO-8859-1"}
+    assert rows(sources.read_files(spark, spec(place, reader_options=options)), "order_id", "año") == [("a", "ñ")]
+    os.makedirs(place("zipped"))
+    with gzip.open(place("zipped/a.csv.gz"), "wt") as handle:
+        handle.write("qty,order_id\n5,z\n")
+    assert rows(sources.read_files(spark, spec(place, landing=place("zipped"))), "order_id", "qty") == [("z", 5)]
+
+
+def test_probe_reads_one_line_per_file(spark, place, put):
+    text = "a,b\n" + "x,y\n" * 200_000
+    paths = [put(f"landing/{i}.csv", text) for i in range(3)]
+    found = evolve.header_signatures(spark, paths, {})
+    assert rows(found, "header") == [("a,b",)] * 3
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1 << 40)
+
+
+def test_repeated_header_names_are_refused(spark, place, put):
+    put("landing/a.csv", "a,A\n1,2\n")
+    with pytest.raises(ValueError, match="repeats"):
+        sources.read_files(spark, spec(place))
+
+
+def test_no_header(spark, place, put):
+    put("landing/a.csv", "a,1,2024-01-01\n")
+    df = sources.read_files(spark, spec(place, reader_options={"header": "false"}))
+    assert rows(df, "order_id", "qty") == [("a", 1)]
+
+
+def test_timestamp_patterns(spark, place, put):
+    fields = (Field("a", "timestamp", "dd/MM/yyyy HH:mm"), Field("b", "timestamp", "yyyyMMdd"), Field("c", "timestamp"))
+    put("landing/a.csv", "a,b,c\n31/01/2024 10:30,20240201,2024-03-01 00:00:00\nbad,bad,bad\n")
+    df = sources.read_files(spark, spec(place, fields=fields))
+    assert rows(df.selectExpr("cast(a as string)", "cast(b as string)", "cast(c as string)")) == [
+        ("2024-01-31 10:30:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"),
+        (None, None, None),
+    ]
+    plan = schema.timestamp_formats(fields, {"timestampFormat": "yyyy"})
+    assert plan.reader_format == "yyyy" and not plan.parse_after
+
+
+def test_json_evolves_and_keeps_nesting(spark, place, put):
+    put("landing/a.json", '{"order_id":"a","qty":1,"d":{"x":{"y":1}}}\n{"order_id":"b","new":"n"}\n')
+    df = sources.read_files(spark, spec(place, format="json"))
+    assert rows(df.selectExpr("order_id", "qty", "d.x.y", "new")) == [("a", 1, "1", None), ("b", None, None, "n")]
+    fixed = sources.read_files(spark, spec(place, format="json", evolution="none"))
+    assert fixed.columns == ["order_id", "qty", "day", "source_filename"]
+
+
+def test_parquet_text_binary_image(spark, place, put):
+    spark.range(3).withColumnRenamed("id", "qty").write.parquet(place("pq"))
+    df = sources.read_files(spark, spec(place, format="parquet", landing=place("pq")))
+    assert dict(df.dtypes)["qty"] == "int" and rows(df, "qty", "order_id") == [(0, None), (1, None), (2, None)]
+    put("txt/a.txt", "one\ntwo\n")
+    assert rows(sources.read_files(spark, spec(place, format="text", landing=place("txt"))), "value") == [("one",), ("two",)]
+    binary = sources.read_files(spark, spec(place, format="binaryFile", landing=place("txt")))
+    assert rows(binary, "length", "content") == [(8, b"one\ntwo\n")]
+    png = bytes.fromhex(
+        "89504e470d0a1a0a0000000d49484452000000010000000108020000009077"
+        "53de0000000c4944415408d763f8cfc000000301010018dd8db00000000049454e44ae426082"
+    )
+    os.makedirs(place("img"))
+    with open(place("img/a.png"), "wb") as handle:
+        handle.write(png)
+    image = sources.read_files(spark, spec(place, format="image", landing=place("img")))
+    assert rows(image.selectExpr("image.width", "image.height")) == [(1, 1)]
+
+
+def test_avro_needs_its_package(spark, place, put):
+    from tierline import storage
+
+    if storage.has_source(spark, "avro"):
+        pytest.skip("avro is on the classpath")
+    put("landing/a.avro", "x")
+    with pytest.raises(storage.MissingPackage, match="avro"):
+        sources.read_files(spark, spec(place, format="avro"))

@@ -9,6 +9,14 @@ from tierline import DatasetSpec, Field, evolve, schema, sources
 
 from .conftest import rows
 
+
+@pytest.fixture(autouse=True, params=["driver", "job"])
+def probe(request, monkeypatch):
+    """Headers read by driver threads, as for few files, and by a Spark job, as for many."""
+    if request.param == "job":
+        monkeypatch.setattr(evolve, "_DRIVER_FILES", 0)
+
+
 FIELDS = (Field("order_id"), Field("qty", "integer"), Field("day", "timestamp", "yyyy-MM-dd"))
 
 

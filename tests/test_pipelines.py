@@ -58,7 +58,7 @@ def test_several_pending_batches_go_in_one_job(spark, place, put):
         put(f"landing/{i}.csv", HEAD + f"{i},1,2024-01-05 00:00:00\n")
     raw, bronze = both(spark, spec)
     assert (raw.rows, bronze.rows) == (3, 3)
-    assert len(ledger.live(spark, spec.bronze.path).batch_ids) == 3
+    assert len(ledger.state(spark, spec.bronze.path).batch_ids) == 3
 
 
 def test_registered_table_grows_and_can_be_rebuilt(spark, place, put):
@@ -95,6 +95,19 @@ def test_reserved_column_is_refused(spark, place):
         sinks.append_batch(spark.sql("select 'x' as ingest_batch"), place("layer"), "one")
 
 
+def test_commit_rows_are_compacted(spark, place, monkeypatch):
+    monkeypatch.setattr(ledger, "COMPACT_AFTER", 3)
+    target = place("layer")
+    for i in range(8):
+        sinks.append_batch(spark.sql(f"select {i} as a" + (", 'x' as b" if i >= 5 else "")), target, f"batch{i}")
+    known = ledger.state(spark, target)
+    assert known.generation == 2 and [e.version for e in known.entries] == list(range(8))
+    assert sorted(d for d in os.listdir(ledger.commit_path(target)) if d.startswith("gen=")) == ["gen=1", "gen=2"]
+    assert rows(sources.layers.read_layer(spark, target), "a", "b") == [(i, "x" if i >= 5 else None) for i in range(8)]
+    os.remove(f"{ledger.commit_path(target)}/gen=2/_SUCCESS")
+    assert [e.version for e in ledger.state(spark, target).entries] == list(range(5))
+
+
 class Crash(RuntimeError):
     pass
 
@@ -120,7 +133,7 @@ def test_crash_and_rerun_leave_one_copy(spark, place, put, monkeypatch, point):
     expected_files = 2 if point != "after_archive" else 0
     assert len(os.listdir(place("landing"))) == expected_files
     if point == "before_commit":
-        assert ledger.live(spark, spec.raw).batch_ids == ()
+        assert ledger.state(spark, spec.raw).batch_ids == ()
     jobs.landing_to_raw(spark, spec)
     assert rows(sources.read_raw(spark, spec), "order_id") == [("a",), ("b",)]
     assert os.listdir(place("landing")) == [] and len(os.listdir(place("archive"))) == 2

@@ -12,9 +12,10 @@ import json
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import islice
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +34,11 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("operationMetrics", T.MapType(T.StringType(), T.StringType())),
 ])
 
+# Commit rows are appended as small files; past this many they are rewritten as one.
+COMPACT_AFTER = 64
+
+_GENERATION = "gen="
+
 
 def commit_path(target: str) -> str:
     return f"{target.rstrip('/')}/_commits"
@@ -42,93 +48,116 @@ def batch_path(target: str, batch_id: str) -> str:
     return f"{target.rstrip('/')}/{BATCH}={batch_id}"
 
 
-def commits(spark: SparkSession, target: str) -> DataFrame:
-    """The commit rows of a layer directory; empty if nothing was committed there."""
-    if not storage.exists(spark, commit_path(target)):
-        return spark.createDataFrame([], COMMIT_SCHEMA)
-    return spark.read.schema(COMMIT_SCHEMA).parquet(commit_path(target))
+def _generation(spark: SparkSession, target: str) -> int | None:
+    """The newest complete copy of the commit rows; an unfinished rewrite is not it."""
+    base = commit_path(target)
+    numbers = [int(d.removeprefix(_GENERATION)) for d in storage.child_dirs(spark, base) if d.startswith(_GENERATION)]
+    for number in sorted(numbers, reverse=True):
+        if storage.exists(spark, f"{base}/{_GENERATION}{number}/_SUCCESS"):
+            return number
+    return None
 
 
-def is_committed(spark: SparkSession, target: str, batch_id: str) -> bool:
-    return not commits(spark, target).where(F.col("batch_id") == batch_id).isEmpty()
+def _read(spark: SparkSession, target: str, generation: int) -> DataFrame:
+    return spark.read.schema(COMMIT_SCHEMA).parquet(f"{commit_path(target)}/{_GENERATION}{generation}")
 
 
-@dataclass(frozen=True)
-class Commit:
-    """One finished batch, ready to be recorded."""
+def commits(spark: SparkSession, target: str) -> DataFrame:
+    """The commit rows of a layer directory; empty if nothing was committed there.
 
-    batch_id: str
-    operation: str
-    schema: T.StructType
-    parameters: Mapping[str, str]
-    metrics: Mapping[str, int]
+    ``table_schema`` is present where it differs from that of the rows before.
+    """
+    generation = _generation(spark, target)
+    return spark.createDataFrame([], COMMIT_SCHEMA) if generation is None else _read(spark, target, generation)
 
 
-def record(spark: SparkSession, target: str, entries: Iterable[Commit]) -> None:
-    """Append commit rows; versions continue from the highest one present."""
-    last = commits(spark, target).agg(F.max("version")).first()[0]
-    first = 0 if last is None else last + 1
-    rows = [
-        (
-            first + i,
-            e.batch_id,
-            e.operation,
-            e.schema.json(),
-            {k: str(v) for k, v in e.parameters.items()},
-            {k: str(v) for k, v in e.metrics.items()},
-        )
-        for i, e in enumerate(entries)
-    ]
-    if not rows:
-        return
-    columns = T.StructType([c for c in COMMIT_SCHEMA if c.name != "timestamp"])
-    (
-        spark.createDataFrame(rows, columns)
-        .withColumn("timestamp", F.current_timestamp())
-        .select(COMMIT_SCHEMA.names)
-        .coalesce(1)
-        .write.mode("append")
-        .parquet(commit_path(target))
-    )
+@dataclass(frozen=True)
+class State:
+    """A layer as its commit rows tell it: one small entry per batch, read in one job."""
 
+    generation: int | None
+    entries: tuple[Row, ...]
 
-@dataclass(frozen=True)
-class Live:
-    """The batches that make up a layer now, oldest first, and their merged schema."""
+    @cached_property
+    def live(self) -> tuple[Row, ...]:
+        """Batches since the last overwrite, oldest first."""
+        newest = max((e.version for e in self.entries if e.operation == "overwrite"), default=0)
+        return tuple(e for e in self.entries if e.version >= newest)
 
-    batch_ids: tuple[str, ...]
-    schema: T.StructType | None
+    @property
+    def batch_ids(self) -> tuple[str, ...]:
+        return tuple(e.batch_id for e in self.live)
 
+    @property
+    def next_version(self) -> int:
+        return self.entries[-1].version + 1 if self.entries else 0
 
-def live(spark: SparkSession, target: str, partition_by: Iterable[str] = ()) -> Live:
-    """Batches committed since the last overwrite.
+    def has(self, batch_id: str) -> bool:
+        return any(e.batch_id == batch_id for e in self.entries)
 
-    Brings to the driver one id per batch and one schema per distinct schema. File lists stay
-    with Spark.
-    """
-    log = commits(spark, target)
-    current = log.where(F.col("version") >= _first_live(log))
-    ids = [r.batch_id for r in current.orderBy("version").select("batch_id").toLocalIterator()]
-    found = current.groupBy("table_schema").agg(F.min("version").alias("since")).orderBy("since").collect()
-    stored = [_schema_from_json(r.table_schema) for r in found]
-    return Live(tuple(ids), schemas.merge(stored, partition_by) if stored else None)
+    def schema(self, partition_by: Iterable[str] = ()) -> T.StructType | None:
+        """The merged schema of the live batches; ``None`` if there are none."""
+        found = [T.StructType.fromJson(json.loads(e.table_schema)) for e in self.live if e.table_schema]
+        return schemas.merge(found, partition_by) if found else None
 
 
-def _first_live(log: DataFrame) -> int:
-    newest = log.where(F.col("operation") == "overwrite").agg(F.max("version")).first()[0]
-    return newest or 0
+def state(spark: SparkSession, target: str) -> State:
+    generation = _generation(spark, target)
+    if generation is None:
+        return State(None, ())
+    rows = F.col("operationMetrics")["rows"].cast("long").alias("rows")
+    entries = _read(spark, target, generation).select("version", "batch_id", "operation", "table_schema", rows).collect()
+    return State(generation, tuple(sorted(entries, key=lambda e: e.version)))
 
 
-def _schema_from_json(text: str) -> T.StructType:
-    return T.StructType.fromJson(json.loads(text))
+@dataclass(frozen=True)
+class Commit:
+    """One finished batch, ready to be recorded."""
+
+    batch_id: str
+    operation: str
+    schema: T.StructType
+    parameters: Mapping[str, str]
+    metrics: Mapping[str, int]
 
 
-def pending(spark: SparkSession, source: str, target: str) -> dict[str, int]:
+def record(spark: SparkSession, target: str, known: State, finished: Iterable[Commit]) -> None:
+    """Add commit rows after those in ``known``."""
+    rows, stored = [], known.schema()
+    for version, commit in enumerate(finished, known.next_version):
+        if commit.operation == "overwrite":
+            stored = None
+        merged = schemas.merge([commit.schema] if stored is None else [stored, commit.schema])
+        rows.append((
+            version,
+            commit.batch_id,
+            commit.operation,
+            None if merged == stored else commit.schema.json(),
+            {k: str(v) for k, v in commit.parameters.items()},
+            {k: str(v) for k, v in commit.metrics.items()},
+        ))
+        stored = merged
+    if rows:
+        columns = T.StructType([c for c in COMMIT_SCHEMA if c.name != "timestamp"])
+        new = spark.createDataFrame(rows, columns).withColumn("timestamp", F.current_timestamp()).select(COMMIT_SCHEMA.names)
+        _store(spark, target, known, new)
+
+
+def _store(spark: SparkSession, target: str, known: State, new: DataFrame) -> None:
+    base, number, mode = commit_path(target), known.generation or 0, "append"
+    if known.generation is not None and len(known.entries) % COMPACT_AFTER == COMPACT_AFTER - 1:
+        new = _read(spark, target, number).unionByName(new)
+        number, mode = number + 1, "overwrite"
+    writer = new.coalesce(1).write.mode(mode).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    writer.parquet(f"{base}/{_GENERATION}{number}")
+    if mode == "overwrite" and number >= 2:
+        storage.remove(spark, f"{base}/{_GENERATION}{number - 2}")
+
+
+def pending(source: State, target: State) -> dict[str, int]:
     """Live batches of ``source`` that ``target`` has no commit row for, oldest first, with their rows."""
-    log = commits(spark, source)
-    waiting = log.where(F.col("version") >= _first_live(log)).join(commits(spark, target).select("batch_id"), "batch_id", "left_anti")
-    rows = F.col("operationMetrics")["rows"].cast("long").alias("rows")
-    return {r.batch_id: r.rows for r in waiting.orderBy("version").select("batch_id", rows).toLocalIterator()}
+    done = {e.batch_id for e in target.entries}
+    return {e.batch_id: e.rows for e in source.live if e.batch_id not in done}
 
 
 def processed_files(df: DataFrame) -> DataFrame:

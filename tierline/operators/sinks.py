@@ -46,8 +46,9 @@ def write_snapshot(
     """
     spark = df.sparkSession
     batch_id = uuid.uuid4().hex
+    known = ledger.state(spark, target)
     rows = _write(df, target, batch_id, partition_by, optimize)
-    _record(df, target, batch_id, "overwrite", rows, partition_by, parameters)
+    _record(df, target, known, batch_id, "overwrite", rows, partition_by, parameters)
     for child in storage.child_dirs(spark, target):
         if child.startswith(f"{ledger.BATCH}=") and child != f"{ledger.BATCH}={batch_id}":
             storage.remove(spark, f"{target.rstrip('/')}/{child}")
@@ -62,14 +63,15 @@ def append_batch(
     optimize: bool = True,
     merge_schema: bool = True,
     parameters: Mapping[str, str] | None = None,
+    known: ledger.State | None = None,
 ) -> Written:
     """K2: add ``df`` as one batch; a repeated ``batch_id`` is not added again."""
-    spark = df.sparkSession
-    if ledger.is_committed(spark, target, batch_id):
+    known = known or ledger.state(df.sparkSession, target)
+    if known.has(batch_id):
         return Written((), 0)
-    _check_growth(spark, target, df.schema, merge_schema)
+    _check_growth(known, df.schema, merge_schema)
     rows = _write(df, target, batch_id, partition_by, optimize)
-    _record(df, target, batch_id, "append", rows, partition_by, parameters)
+    _record(df, target, known, batch_id, "append", rows, partition_by, parameters)
     return Written((batch_id,), rows)
 
 
@@ -101,15 +103,15 @@ def _parquet(df: DataFrame, mode: str, partition_by: Sequence[str]):
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def _record(df, target, batch_id, operation, rows, partition_by, parameters) -> None:
+def _record(df, target, known, batch_id, operation, rows, partition_by, parameters) -> None:
     details = {"partition_by": ",".join(partition_by), **(parameters or {})}
     entry = ledger.Commit(batch_id, operation, df.schema, details, {"rows": rows})
-    ledger.record(df.sparkSession, target, [entry])
+    ledger.record(df.sparkSession, target, known, [entry])
 
 
-def _check_growth(spark: SparkSession, target: str, schema: T.StructType, merge_schema: bool) -> None:
+def _check_growth(known: ledger.State, schema: T.StructType, merge_schema: bool) -> None:
     """H5: new columns may join what is stored, unless merging is off; types may not change."""
-    stored = ledger.live(spark, target).schema
+    stored = known.schema()
     if stored is None:
         return
     merged = schemas.merge([stored, schema])
@@ -146,7 +148,13 @@ def append_stream(
     return writer.start(target)
 
 
-def write_bronze(df: DataFrame, bronze: BronzeSpec, batch_ids: Sequence[str], rows_by_batch: Mapping[str, int] | None = None) -> Written:
+def write_bronze(
+    df: DataFrame,
+    bronze: BronzeSpec,
+    batch_ids: Sequence[str],
+    rows_by_batch: Mapping[str, int] | None = None,
+    known: ledger.State | None = None,
+) -> Written:
     """K4-K8: append promoted batches in one job, and keep the table in step.
 
     ``df`` carries ``ingest_batch``, the raw batch of each row. Batches that already have a
@@ -156,7 +164,8 @@ def write_bronze(df: DataFrame, bronze: BronzeSpec, batch_ids: Sequence[str], ro
     spark = df.sparkSession
     derive.require_columns(df, [ledger.BATCH, *bronze.partition_by])
     data_schema = T.StructType([c for c in df.schema if c.name != ledger.BATCH])
-    _check_growth(spark, bronze.path, data_schema, bronze.merge_schema)
+    known = known or ledger.state(spark, bronze.path)
+    _check_growth(known, data_schema, bronze.merge_schema)
     layout = [ledger.BATCH, *bronze.partition_by]
     df, rows = _laid_out(df, layout, bronze.optimize_write)
     if bronze.format == "delta":
@@ -171,7 +180,7 @@ def write_bronze(df: DataFrame, bronze: BronzeSpec, batch_ids: Sequence[str], ro
         raise RuntimeError(f"{bronze.path}: wrote {written} rows of {expected}; the batches stay uncommitted")
     details = {"partition_by": ",".join(bronze.partition_by), "table": bronze.full_table or ""}
     counts = rows_by_batch or dict.fromkeys(batch_ids[:1], written)
-    ledger.record(spark, bronze.path, [
+    ledger.record(spark, bronze.path, known, [
         ledger.Commit(b, "append", data_schema, details, {"rows": counts[b]} if b in counts else {}) for b in batch_ids
     ])
     if bronze.full_table and bronze.format == "parquet":
@@ -207,8 +216,8 @@ def register(spark: SparkSession, bronze: BronzeSpec, batch_ids: Iterable[str])
     A new table gets those of every live batch. Partitions are added one batch at a time rather
     than by scanning the whole directory, so the cost follows what was written.
     """
-    current = ledger.live(spark, bronze.path, bronze.partition_by)
-    columns = T.StructType([T.StructField(ledger.BATCH, T.StringType()), *current.schema.fields])
+    current = ledger.state(spark, bronze.path)
+    columns = T.StructType([T.StructField(ledger.BATCH, T.StringType()), *current.schema(bronze.partition_by).fields])
     layout = [ledger.BATCH, *bronze.partition_by]
     table = _quoted(bronze.full_table)
     if not spark.catalog.tableExists(bronze.full_table):

@@ -65,7 +65,7 @@ def landing_to_raw(spark: SparkSession, spec: DatasetSpec) -> Outcome:
         status = "partial" if done.skipped else "ok" if done.files else "empty"
         return Outcome(spec.name, "landing_to_raw", status, done.rows, done.files, done.skipped)
     manifest = files.landing_files(spark, spec)
-    members = list(manifest.toLocalIterator())
+    members = manifest.collect()
     df = files.read_files(spark, spec, [m.path for m in members]) if members else None
     if df is None:
         return Outcome(spec.name, "landing_to_raw", "empty", files=len(members))
@@ -100,11 +100,12 @@ def raw_to_bronze(spark: SparkSession, spec: DatasetSpec) -> Outcome:
 
 
 def _promote_pending(spark: SparkSession, spec: DatasetSpec, bronze: BronzeSpec) -> Outcome:
-    waiting = ledger.pending(spark, spec.raw, bronze.path)
+    raw, known = ledger.state(spark, spec.raw), ledger.state(spark, bronze.path)
+    waiting = ledger.pending(raw, known)
     if not waiting:
         return Outcome(spec.name, "raw_to_bronze", "empty")
-    df = prepare_bronze(layers.read_raw(spark, spec, waiting), bronze)
-    written = sinks.write_bronze(df, bronze, list(waiting), waiting)
+    df = prepare_bronze(layers.read_raw(spark, spec, waiting, raw), bronze)
+    written = sinks.write_bronze(df, bronze, list(waiting), waiting, known)
     return Outcome(spec.name, "raw_to_bronze", "ok", written.rows)
 
 

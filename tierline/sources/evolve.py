@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import pyarrow as pa
@@ -20,6 +21,11 @@ from tierline.functions.schema import TimestampPlan
 _WHOLE_FILE = 1 << 40
 
 
+# Up to this many files their first lines are read by driver threads, beyond it by a Spark job:
+# the rule and the number by which Spark itself lists paths.
+_DRIVER_FILES = 32
+
+
 def header_signatures(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> DataFrame:
     """The header line of each file, as (path, header), reading only the start of the file.
 
@@ -31,26 +37,50 @@ def header_signatures(spark: SparkSession, paths: list[str], options: Mapping[st
     probe.conf.set("spark.sql.files.openCostInBytes", str(_WHOLE_FILE))
     probe.conf.unset("spark.sql.files.maxPartitionNum")
     probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    charset = options.get("encoding", options.get("charset", "UTF-8"))
     comment = options.get("comment")
     reader = probe.read
     if "lineSep" in options:
         reader = reader.option("lineSep", options["lineSep"])
     lines = reader.text([storage.literal(p) for p in paths]).select(
         F.col("_metadata.file_path").alias("path"),
-        F.decode(F.col("value").cast("binary"), charset).alias("header"),
+        F.decode(F.col("value").cast("binary"), _charset(options)).alias("header"),
     )
 
     def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, line in enumerate(batch.column("header").to_pylist()):
-                if line and line.strip() and not (comment and line.startswith(comment)):
+                if _is_header(line, comment):
                     yield batch.slice(i, 1)
                     return
 
     return lines.mapInArrow(first_line, "path string, header string")
 
 
+def _charset(options: Mapping[str, str]) -> str:
+    return options.get("encoding", options.get("charset", "UTF-8"))
+
+
+def _is_header(line: str | None, comment: str | None) -> bool:
+    return bool(line and line.strip()) and not (comment and line.startswith(comment))
+
+
+def _first_line(spark: SparkSession, path: str, options: Mapping[str, str]) -> str | None:
+    with storage.text_lines(spark, path, _charset(options)) as lines:
+        return next((line for line in lines if _is_header(line, options.get("comment"))), None)
+
+
+def _headers(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> Iterator[tuple[str, str]]:
+    """(path, header) of every file that has one."""
+    if len(paths) <= _DRIVER_FILES and "lineSep" not in options:
+        with ThreadPoolExecutor(_DRIVER_FILES) as pool:
+            found = pool.map(lambda p: _first_line(spark, p, options), paths)
+            yield from ((p, header) for p, header in zip(paths, found) if header is not None)
+        return
+    by_uri = {_uri(spark, p): p for p in paths}
+    for row in header_signatures(spark, paths, options).collect():
+        yield by_uri[row.path], row.header
+
+
 def split_header(header: str, options: Mapping[str, str]) -> list[str]:
     """Column names of a CSV header line, with quotes and the delimiter honoured."""
     row = next(csv.reader(
@@ -77,14 +107,13 @@ def hinted_schema(names: Iterable[str], declared: T.StructType | None, inferred:
 
 
 def group_by_header(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> dict[tuple[str, ...], list[str]]:
-    """Paths per distinct header; the driver holds no more than the list of paths it was given."""
+    """Paths per distinct header; the driver holds one line per path it was given."""
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    by_uri = {_uri(spark, p): p for p in paths}
     names: dict[str, tuple[str, ...]] = {}
-    for row in header_signatures(spark, paths, options).toLocalIterator(prefetchPartitions=True):
-        if row.header not in names:
-            names[row.header] = tuple(split_header(row.header, options))
-        groups[names[row.header]].append(by_uri[row.path])
+    for path, header in _headers(spark, paths, options):
+        if header not in names:
+            names[header] = tuple(split_header(header, options))
+        groups[names[header]].append(path)
     return groups
 
 

@@ -68,7 +68,7 @@ def read_files(spark: SparkSession, spec: DatasetSpec, paths: list[str] | None =
     Returns ``None`` when there is nothing to read and no declared schema to describe it.
     """
     if paths is None:
-        paths = [r.path for r in landing_files(spark, spec).select("path").toLocalIterator()]
+        paths = [r.path for r in landing_files(spark, spec).select("path").collect()]
     options = {k: v for k, v in spec.reader_options.items() if k not in _LISTING_OPTIONS}
     if spec.format == "avro":
         storage.require_source(spark, "avro")

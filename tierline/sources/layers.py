@@ -14,7 +14,9 @@ from tierline.operators import ledger
 from tierline.spec import DatasetSpec
 
 
-def read_raw(spark: SparkSession, spec: DatasetSpec, batch_ids: Iterable[str] | None = None) -> DataFrame:
+def read_raw(
+    spark: SparkSession, spec: DatasetSpec, batch_ids: Iterable[str] | None = None, known: ledger.State | None = None
+) -> DataFrame:
     """The raw layer, or some of its batches, in its declared or recorded schema.
 
     The commit rows say which batches exist and what columns they have, so neither a partial
@@ -28,7 +30,7 @@ def read_raw(spark: SparkSession, spec: DatasetSpec, batch_ids: Iterable[str] |
     if spec.kind == "messages":
         schema = payload.raw_schema(spec.avro_schema, spec.partition_by)
         return spark.read.schema(schema).options(**options).parquet(spec.raw)
-    return read_layer(spark, spec.raw, spec.partition_by, options, batch_ids)
+    return read_layer(spark, spec.raw, spec.partition_by, options, batch_ids, known)
 
 
 def read_layer(
@@ -37,17 +39,19 @@ def read_layer(
     partition_by: Iterable[str] = (),
     options: Mapping[str, str] | None = None,
     batch_ids: Iterable[str] | None = None,
+    known: ledger.State | None = None,
 ) -> DataFrame:
     """A layer directory through its commit rows, or as plain Parquet if it has none."""
     options = options or {}
-    current = ledger.live(spark, path, partition_by)
-    if current.schema is None:
+    known = known or ledger.state(spark, path)
+    stored = known.schema(partition_by)
+    if stored is None:
         return spark.read.options(**{"mergeSchema": "true", **options}).parquet(path)
-    chosen = current.batch_ids if batch_ids is None else tuple(batch_ids)
-    columns = current.schema.names
+    chosen = known.batch_ids if batch_ids is None else tuple(batch_ids)
+    columns = stored.names
+    schema = T.StructType([*stored.fields, T.StructField(ledger.BATCH, T.StringType())])
     if not chosen:
-        return spark.createDataFrame([], current.schema)
-    schema = T.StructType([*current.schema.fields, T.StructField(ledger.BATCH, T.StringType())])
+        return spark.createDataFrame([], schema).select(ledger.BATCH, *columns)
     dirs = [ledger.batch_path(path, b) for b in chosen]
     reader = spark.read.schema(schema).options(**{**options, "basePath": path})
     return reader.parquet(*dirs).select(ledger.BATCH, *[F.col(f"`{c}`") for c in columns])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -76,6 +78,21 @@ def move(spark: SparkSession, source: str, destination: str) -> bool:
     return True
 
 
+@contextmanager
+def text_lines(spark: SparkSession, path: str, charset: str) -> Iterator[Iterator[str]]:
+    """The lines of one file, decompressed by its extension, fetched as they are asked for."""
+    jvm = spark._jvm
+    fs, target = handle(spark, path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(target)
+    opened = fs.open(target)
+    try:
+        stream = codec.createInputStream(opened) if codec else opened
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, charset))
+        yield iter(reader.readLine, None)
+    finally:
+        opened.close()
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new directory in the folder the session names in ``spark.checkpoint.dir``.
 

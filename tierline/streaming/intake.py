@@ -41,12 +41,13 @@ def ingest_new_files(spark: SparkSession, spec: DatasetSpec, prepare: Callable[[
         if not members:
             return
         batch_id = control.batch_identity(manifest, epoch)
-        if not ledger.is_committed(session, spec.raw, batch_id):
+        known = ledger.state(session, spec.raw)
+        if not known.has(batch_id):
             rows = files.read_files(session, spec, [m.path for m in members])
             if rows is not None:
                 details = {"files": str(len(members))}
                 written = sinks.append_batch(
-                    prepare(rows), spec.raw, batch_id, spec.partition_by, spec.optimize_write, parameters=details
+                    prepare(rows), spec.raw, batch_id, spec.partition_by, spec.optimize_write, parameters=details, known=known
                 )
                 total.rows += written.rows
         total.batches += 1

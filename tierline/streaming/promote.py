@@ -31,10 +31,11 @@ def stream_bronze(raw: DataFrame, bronze: BronzeSpec, derive: Callable[[DataFram
 
     def one_batch(df: DataFrame, epoch: int) -> None:
         batch_id = control.batch_identity(df, epoch)
-        if ledger.is_committed(df.sparkSession, bronze.path, batch_id):
+        known = ledger.state(df.sparkSession, bronze.path)
+        if known.has(batch_id):
             return
         promoted = derive(df).withColumn(ledger.BATCH, F.lit(batch_id))
-        total.rows += sinks.write_bronze(promoted, bronze, [batch_id]).rows
+        total.rows += sinks.write_bronze(promoted, bronze, [batch_id], known=known).rows
         total.batches += 1
 
     control.run_available(raw, one_batch, bronze.checkpoint, control.query_name("raw_to_bronze", name))

@@ -58,7 +58,35 @@ def test_several_pending_batches_go_in_one_job(spark, place, put):
         put(f"landing/{i}.csv", HEAD + f"{i},1,2024-01-05 00:00:00\n")
     raw, bronze = both(spark, spec)
     assert (raw.rows, bronze.rows) == (3, 3)
-    assert len(ledger.state(spark, spec.bronze.path).batch_ids) == 3
+    first = ledger.state(spark, spec.raw).batch_ids[0]
+    assert ledger.state(spark, spec.bronze.path).batch_ids == (first,)
+
+
+def test_promotion_starts_over_when_raw_was_made_anew(spark, place, put):
+    spec = make(place)
+    put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\n")
+    both(spark, spec)
+    put("landing2/b.csv", HEAD + "b,1,2024-01-05 00:00:00\n")
+    other = spec.with_(landing=place("landing2"), raw=place("raw2"), checkpoint=place("checkpoint2"))
+    assert both(spark, other)[1].rows == 1
+    assert rows(sources.read_bronze(spark, spec), "order_id") == [("a",), ("b",)]
+
+
+def test_a_hot_directory_is_written_by_several_tasks(spark, place):
+    """A month with most of the rows is split; cold months stay one file each."""
+    df = spark.range(400_000).selectExpr("id", "uuid() as text", "case when id % 100 < 90 then 1 else 2 + id % 7 end as month")
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(advisory)
+    spark.conf.set(advisory, "2m")
+    try:
+        sinks.append_batch(df, place("layer"), "one", ["month"])
+    finally:
+        spark.conf.set(advisory, before)
+    base = ledger.batch_path(place("layer"), "one")
+    files = {d: len([f for f in os.listdir(f"{base}/{d}") if f.endswith(".parquet")]) for d in os.listdir(base) if d.startswith("month=")}
+    assert files["month=1"] >= 4
+    assert max(n for d, n in files.items() if d != "month=1") <= files["month=1"]
+    assert sources.layers.read_layer(spark, place("layer"), ["month"]).count() == 400_000
 
 
 def test_registered_table_grows_and_can_be_rebuilt(spark, place, put):
@@ -154,6 +182,22 @@ def test_unfinished_promotion_is_invisible_and_replaced(spark, place, put, monke
     assert rows(sources.read_bronze(spark, spec), "order_id") == [("a",), ("b",)]
 
 
+def test_a_crash_before_the_commit_row_leaves_the_table_whole(spark, place, put, monkeypatch):
+    spec = make(place, table="orders_crash")
+    name = spec.bronze.full_table
+    sinks.drop_table(spark, name)
+    put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\n")
+    jobs.landing_to_raw(spark, spec)
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "record", lambda *a, **k: (_ for _ in ()).throw(Crash("now")))
+        with pytest.raises(Crash):
+            jobs.raw_to_bronze(spark, spec)
+    put("landing/b.csv", HEAD + "b,1,2024-02-05 00:00:00\n")
+    assert both(spark, spec)[1].rows == 2
+    assert rows(spark.table(name), "order_id", "event_month") == [("a", 1), ("b", 2)]
+    sinks.drop_table(spark, name)
+
+
 def test_snapshots_are_promoted_one_by_one(spark, place, put):
     spec = make(place, mode="snapshot")
     put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\n")
@@ -250,7 +294,7 @@ def test_run_isolates_failures_and_raises(spark, place, put):
     with pytest.raises(RunFailed, match="bad") as failure:
         jobs.run(spark, specs, "landing_to_raw", ["bad", "sales", "unknown", "telemetry"])
     assert [o.status for o in failure.value.outcomes] == ["failed", "ok", "skipped", "skipped"]
-    report = jobs.run(spark, {"sales": good.with_(bronze=None)}, "raw_to_bronze")
+    report = jobs.run(spark, {"sales": good.with_(bronze=None)}, "raw_to_bronze", at_once=2)
     assert rows(report, "dataset", "job", "status") == [("sales", "raw_to_bronze", "skipped")]
     assert jobs.run(spark, specs, "raw_to_bronze", []).isEmpty()
 

@@ -105,8 +105,14 @@ def state(spark: SparkSession, target: str) -> State:
     generation = _generation(spark, target)
     if generation is None:
         return State(None, ())
-    rows = F.col("operationMetrics")["rows"].cast("long").alias("rows")
-    entries = _read(spark, target, generation).select("version", "batch_id", "operation", "table_schema", rows).collect()
+    entries = _read(spark, target, generation).select(
+        "version",
+        "batch_id",
+        "operation",
+        "table_schema",
+        F.col("operationMetrics")["rows"].cast("long").alias("rows"),
+        F.col("operationParameters")["raw_through"].alias("raw_through"),
+    ).collect()
     return State(generation, tuple(sorted(entries, key=lambda e: e.version)))
 
 
@@ -154,10 +160,15 @@ def _store(spark: SparkSession, target: str, known: State, new: DataFrame) -> No
         storage.remove(spark, f"{base}/{_GENERATION}{number - 2}")
 
 
-def pending(source: State, target: State) -> dict[str, int]:
-    """Live batches of ``source`` that ``target`` has no commit row for, oldest first, with their rows."""
-    done = {e.batch_id for e in target.entries}
-    return {e.batch_id: e.rows for e in source.live if e.batch_id not in done}
+def pending(source: State, target: State) -> list[Row]:
+    """Live batches of ``source`` that came after the last one promoted to ``target``, oldest first.
+
+    Each promotion records the source batch it went up to. If that batch is unknown, the source
+    was made anew, and all of it is pending.
+    """
+    through = next((e.raw_through for e in reversed(target.entries) if e.raw_through), None)
+    done = next((e.version for e in source.entries if e.batch_id == through), -1)
+    return [e for e in source.live if e.version > done]
 
 
 def processed_files(df: DataFrame) -> DataFrame:

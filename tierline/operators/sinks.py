@@ -7,7 +7,7 @@ once its data is complete, so an attempt that is repeated leaves one copy of its
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -151,50 +151,44 @@ def append_stream(
 def write_bronze(
     df: DataFrame,
     bronze: BronzeSpec,
-    batch_ids: Sequence[str],
-    rows_by_batch: Mapping[str, int] | None = None,
+    batch_id: str,
+    parameters: Mapping[str, str] | None = None,
+    expected_rows: int | None = None,
     known: ledger.State | None = None,
 ) -> Written:
-    """K4-K8: append promoted batches in one job, and keep the table in step.
+    """K4-K8: append promoted rows as one batch, and keep the table in step.
 
-    ``df`` carries ``ingest_batch``, the raw batch of each row. Batches that already have a
-    commit row must have been left out (``ledger.pending``); what an unfinished attempt wrote
-    for the others is replaced.
+    A batch that was committed before is not added again; what an unfinished attempt left under
+    the same id is replaced. With ``expected_rows`` a different count leaves the batch
+    uncommitted and raises.
     """
     spark = df.sparkSession
-    derive.require_columns(df, [ledger.BATCH, *bronze.partition_by])
-    data_schema = T.StructType([c for c in df.schema if c.name != ledger.BATCH])
     known = known or ledger.state(spark, bronze.path)
-    _check_growth(known, data_schema, bronze.merge_schema)
-    layout = [ledger.BATCH, *bronze.partition_by]
-    df, rows = _laid_out(df, layout, bronze.optimize_write)
+    if known.has(batch_id):
+        return Written((), 0)
+    _check_growth(known, df.schema, bronze.merge_schema)
     if bronze.format == "delta":
-        _write_delta(df, bronze, batch_ids, layout)
+        rows = _write_delta(df, bronze, batch_id)
     else:
-        for batch_id in batch_ids:
-            storage.remove(spark, ledger.batch_path(bronze.path, batch_id))
-        _parquet(df, "append", layout).save(bronze.path)
-    written = rows.get["rows"]
-    expected = sum((rows_by_batch or {}).values())
-    if rows_by_batch and written != expected:
-        raise RuntimeError(f"{bronze.path}: wrote {written} rows of {expected}; the batches stay uncommitted")
-    details = {"partition_by": ",".join(bronze.partition_by), "table": bronze.full_table or ""}
-    counts = rows_by_batch or dict.fromkeys(batch_ids[:1], written)
-    ledger.record(spark, bronze.path, known, [
-        ledger.Commit(b, "append", data_schema, details, {"rows": counts[b]} if b in counts else {}) for b in batch_ids
-    ])
+        rows = _write(df, bronze.path, batch_id, bronze.partition_by, bronze.optimize_write)
+    if expected_rows is not None and rows != expected_rows:
+        raise RuntimeError(f"{bronze.path}: wrote {rows} rows of {expected_rows}; the batch stays uncommitted")
     if bronze.full_table and bronze.format == "parquet":
-        register(spark, bronze, batch_ids)
-    return Written(tuple(batch_ids), written)
+        register(spark, bronze, known, df.schema, batch_id)
+    _record(df, bronze.path, known, batch_id, "append", rows, bronze.partition_by, parameters)
+    return Written((batch_id,), rows)
 
 
-def _write_delta(df: DataFrame, bronze: BronzeSpec, batch_ids: Sequence[str], layout: Sequence[str]) -> None:
+def _write_delta(df: DataFrame, bronze: BronzeSpec, batch_id: str) -> int:
+    """Replacing exactly this batch's rows makes a repeated attempt leave one copy."""
     storage.require_source(df.sparkSession, "delta")
-    quoted = ", ".join(f"'{b}'" for b in batch_ids)
+    derive.require_columns(df, bronze.partition_by)
+    layout = [ledger.BATCH, *bronze.partition_by]
+    df, rows = _laid_out(df.withColumn(ledger.BATCH, F.lit(batch_id)), layout, bronze.optimize_write)
     writer = (
         df.write.format("delta")
         .mode("overwrite")
-        .option("replaceWhere", f"{ledger.BATCH} IN ({quoted})")
+        .option("replaceWhere", f"{ledger.BATCH} = '{batch_id}'")
         .option("mergeSchema", str(bronze.merge_schema).lower())
         .partitionBy(*layout)
     )
@@ -203,6 +197,7 @@ def _write_delta(df: DataFrame, bronze: BronzeSpec, batch_ids: Sequence[str], la
         writer.option("path", bronze.path).saveAsTable(bronze.full_table)
     else:
         writer.save(bronze.path)
+    return rows.get["rows"]
 
 
 def create_database(spark: SparkSession, name: str) -> None:
@@ -210,32 +205,35 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}")
 
 
-def register(spark: SparkSession, bronze: BronzeSpec, batch_ids: Iterable[str]) -> None:
-    """K6: an external table over the bronze directory, with the partitions of the given batches.
+def register(spark: SparkSession, bronze: BronzeSpec, known: ledger.State, schema: T.StructType, batch_id: str) -> None:
+    """K6: an external table over the bronze directory, with the partitions of a complete batch.
 
-    A new table gets those of every live batch. Partitions are added one batch at a time rather
-    than by scanning the whole directory, so the cost follows what was written.
+    This comes before the commit row, so that a crash in between is made good by the attempt
+    that follows. A new table also gets the partitions of every batch in ``known``. They are
+    added batch by batch rather than by scanning the whole directory, so the cost follows what
+    was written.
     """
-    current = ledger.state(spark, bronze.path)
-    columns = T.StructType([T.StructField(ledger.BATCH, T.StringType()), *current.schema(bronze.partition_by).fields])
+    stored = known.schema()
+    merged = schemas.merge([schema] if stored is None else [stored, schema], bronze.partition_by)
+    columns = T.StructType([T.StructField(ledger.BATCH, T.StringType()), *merged.fields])
     layout = [ledger.BATCH, *bronze.partition_by]
-    table = _quoted(bronze.full_table)
+    table, batch_ids = _quoted(bronze.full_table), [batch_id]
     if not spark.catalog.tableExists(bronze.full_table):
         create_database(spark, bronze.database)
         location = bronze.path.replace("\\", "\\\\").replace("'", "\\'")
         spark.sql(
-            f"CREATE TABLE {table} ({_ddl(columns)}) USING parquet "
+            f"CREATE TABLE {table} ({columns.toDDL()}) USING parquet "
             f"PARTITIONED BY ({', '.join(map(_quoted_name, layout))}) LOCATION '{location}'"
         )
-        batch_ids = current.batch_ids
+        batch_ids = [*known.batch_ids, batch_id]
     else:
-        known = {c.lower() for c in spark.table(bronze.full_table).columns}
-        added = T.StructType([c for c in columns if c.name.lower() not in known])
+        present = {c.lower() for c in spark.table(bronze.full_table).columns}
+        added = T.StructType([c for c in columns if c.name.lower() not in present])
         if added:
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_ddl(added)})")
-    for batch_id in batch_ids:
-        values = storage.partition_values(spark, ledger.batch_path(bronze.path, batch_id), len(bronze.partition_by))
-        _add_partitions(spark, table, layout, [{ledger.BATCH: batch_id, **v} for v in values])
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added.toDDL()})")
+    for each in batch_ids:
+        values = storage.partition_values(spark, ledger.batch_path(bronze.path, each), len(bronze.partition_by))
+        _add_partitions(spark, table, layout, [{ledger.BATCH: each, **v} for v in values])
     spark.catalog.refreshTable(bronze.full_table)
 
 
@@ -252,10 +250,6 @@ def _value(text: str | None) -> str:
     return "null" if text is None else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _ddl(schema: T.StructType) -> str:
-    return schema.toDDL()
-
-
 def _quoted_name(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,7 +81,8 @@ def landing_to_raw(spark: SparkSession, spec: DatasetSpec) -> Outcome:
 def raw_to_bronze(spark: SparkSession, spec: DatasetSpec) -> Outcome:
     """Raw into bronze, each raw batch once.
 
-    A raw layer with commit rows is promoted by its pending batches, all in one job. One that a
+    A raw layer with commit rows is promoted by its pending batches, all in one job and into one
+    bronze batch, however many small arrivals they came from. One that a
     message stream or another writer fills is followed as a stream with its own checkpoint.
     """
     bronze = spec.bronze
@@ -104,8 +106,11 @@ def _promote_pending(spark: SparkSession, spec: DatasetSpec, bronze: BronzeSpec)
     waiting = ledger.pending(raw, known)
     if not waiting:
         return Outcome(spec.name, "raw_to_bronze", "empty")
-    df = prepare_bronze(layers.read_raw(spark, spec, waiting, raw), bronze)
-    written = sinks.write_bronze(df, bronze, list(waiting), waiting, known)
+    df = layers.read_raw(spark, spec, [w.batch_id for w in waiting], raw).drop(ledger.BATCH)
+    # Named after the first batch it covers: a repeated attempt starts there again.
+    written = sinks.write_bronze(
+        prepare_bronze(df, bronze), bronze, waiting[0].batch_id, {"raw_through": waiting[-1].batch_id}, sum(w.rows for w in waiting), known
+    )
     return Outcome(spec.name, "raw_to_bronze", "ok", written.rows)
 
 
@@ -159,13 +164,17 @@ def names_from_config(config: Mapping, job: str) -> list[str] | None:
     return None if job == "landing_to_raw" and not listed else listed
 
 
-def run(spark: SparkSession, specs: Mapping[str, DatasetSpec], job: str, names: Iterable[str] | None = None) -> DataFrame:
+def run(
+    spark: SparkSession, specs: Mapping[str, DatasetSpec], job: str, names: Iterable[str] | None = None, at_once: int = 1
+) -> DataFrame:
     """One job over several datasets, each on its own; returns the run report.
 
     A dataset that fails does not stop the others. If any failed, :class:`RunFailed` is raised
-    at the end. ``names=None`` means every dataset of the kind the job is for.
+    at the end. ``names=None`` means every dataset of the kind the job is for. ``at_once``
+    datasets are worked on side by side, so that small ones do not queue behind a large one.
     """
-    outcomes = [_run_one(spark, specs, job, name) for name in (specs if names is None else names)]
+    with ThreadPoolExecutor(at_once) as pool:
+        outcomes = list(pool.map(lambda name: _run_one(spark, specs, job, name), specs if names is None else names))
     if any(o.status == "failed" for o in outcomes):
         raise RunFailed(outcomes)
     return report_df(spark, outcomes)

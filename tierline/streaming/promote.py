@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tierline.operators import ledger, sinks
 from tierline.spec import BronzeSpec
@@ -34,8 +33,7 @@ def stream_bronze(raw: DataFrame, bronze: BronzeSpec, derive: Callable[[DataFram
         known = ledger.state(df.sparkSession, bronze.path)
         if known.has(batch_id):
             return
-        promoted = derive(df).withColumn(ledger.BATCH, F.lit(batch_id))
-        total.rows += sinks.write_bronze(promoted, bronze, [batch_id], known=known).rows
+        total.rows += sinks.write_bronze(derive(df), bronze, batch_id, known=known).rows
         total.batches += 1
 
     control.run_available(raw, one_batch, bronze.checkpoint, control.query_name("raw_to_bronze", name))

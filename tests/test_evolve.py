@@ -73,6 +73,26 @@ def test_one_type_per_column_across_headers(spark, place, put):
     assert rows(df, "order_id", "score") == [("a", 1.0), ("b", 2.5)]
 
 
+def test_inferred_types_that_disagree_keep_the_text(spark, place, put):
+    put("landing/a.csv", "order_id,code\na,007\n")
+    put("landing/b.csv", "code,order_id\nx,b\n")
+    df = sources.read_files(spark, spec(place, infer_types=True))
+    assert rows(df, "order_id", "code") == [("a", "007"), ("b", "x")]
+
+
+def test_malformed_rows_can_be_kept(spark, place, put):
+    put("landing/a.csv", "order_id,qty\na,1\nb,bad\n")
+    fields = (*FIELDS, Field("_corrupt_record"))
+    df = sources.read_files(spark, spec(place, fields=fields))
+    assert rows(df, "order_id", "qty", "_corrupt_record") == [("a", 1, None), ("b", None, "b,bad")]
+
+
+def test_header_over_several_lines_is_refused(spark, place, put):
+    put("landing/a.csv", 'order_id,"two\nlines"\na,1\n')
+    with pytest.raises(ValueError, match="spans lines"):
+        sources.read_files(spark, spec(place))
+
+
 def test_other_delimiters_encodings_and_compression(spark, place, put):
     put("landing/a.csv", "order_id;año\na;ñ\n", encoding="latin-1")
     options = {"delimiter": ";", "encoding": "ISO-8859-1"}

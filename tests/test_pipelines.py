@@ -299,6 +299,36 @@ def test_run_isolates_failures_and_raises(spark, place, put):
     assert jobs.run(spark, specs, "raw_to_bronze", []).isEmpty()
 
 
+def test_run_from_a_configuration(spark, place):
+    from tierline import Layers
+
+    config = {
+        "datasets_to_ingest_to_raw": ["sales"],
+        "datasets_to_promote_to_bronze": ["sales"],
+        "dataset_configs": {"sales": {
+            "type": "csv", "source_subpath": "sales/", "raw_target_subpath": "sales/", "archive_subpath": "sales/",
+            "schema_config": {"fields": [
+                {"name": "order_id", "type": "string"}, {"name": "price", "type": "double"},
+                {"name": "order_date", "type": "timestamp", "format": "yyyy-MM-dd HH:mm:ss"},
+            ]},
+            "partition_config": {"columns_to_partition_by": ["year", "month", "day"], "derive_date_parts_from_column": "order_date"},
+            "bronze_config": {
+                "enabled": True, "bronze_target_subpath_delta": "sales/", "bronze_table_name": "configured", "bronze_database_name": "tier_db",
+                "bronze_partition_columns_derivation": {"source_column": "order_date", "year_col_name": "event_year", "month_col_name": "event_month"},
+                "partition_by_bronze": ["event_year", "event_month"],
+            },
+        }},
+    }
+    at = Layers(place("landing"), place("raw"), place("bronze"), place("archive"), place("checkpoints"))
+    sinks.drop_table(spark, "tier_db.configured")
+    fixtures.land(fixtures.sales(fixtures.numbered(spark, 30), "key"), f"{at.landing}/sales", "csv")
+    assert rows(jobs.run_config(spark, config, at, "landing_to_raw"), "status", "rows") == [("ok", 30)]
+    assert rows(jobs.run_config(spark, config, at, "raw_to_bronze"), "status", "rows") == [("ok", 30)]
+    assert jobs.run_config(spark, config, at, "messages_to_raw").isEmpty()
+    assert spark.table("tier_db.configured").count() == 30
+    sinks.drop_table(spark, "tier_db.configured")
+
+
 def test_reports(spark, place, put):
     spec = make(place)
     put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\nb,,2024-01-06 00:00:00\n")

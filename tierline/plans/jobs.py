@@ -14,7 +14,7 @@ from tierline import storage
 from tierline.functions import derive, payload
 from tierline.operators import ledger, sinks
 from tierline.sources import files, layers, messages
-from tierline.spec import BronzeSpec, DatasetSpec
+from tierline.spec import BronzeSpec, DatasetSpec, Layers, specs_from_config
 from tierline.streaming import control, intake, promote
 
 log = logging.getLogger(__name__)
@@ -180,6 +180,11 @@ def run(
     return report_df(spark, outcomes)
 
 
+def run_config(spark: SparkSession, config: Mapping, layers_at: Layers, job: str, mode: str = "snapshot", bronze_format: str = "parquet") -> DataFrame:
+    """J4 from a JSON configuration: the datasets it lists for ``job``, under the given base paths."""
+    return run(spark, specs_from_config(config, layers_at, mode, bronze_format), job, names_from_config(config, job))
+
+
 def report_df(spark: SparkSession, outcomes: Sequence[Outcome]) -> DataFrame:
     return spark.createDataFrame([astuple(o) for o in outcomes], REPORT_SCHEMA)
 

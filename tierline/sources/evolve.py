@@ -83,6 +83,8 @@ def _headers(spark: SparkSession, paths: list[str], options: Mapping[str, str])
 
 def split_header(header: str, options: Mapping[str, str]) -> list[str]:
     """Column names of a CSV header line, with quotes and the delimiter honoured."""
+    if header.count(options.get("quote") or '"') % 2:
+        raise ValueError(f"a quoted name in the header spans lines, which is not supported: {header!r}")
     row = next(csv.reader(
         [header.lstrip("﻿")],
         delimiter=options.get("sep", options.get("delimiter", ",")),
@@ -137,14 +139,18 @@ def read_evolving(
     options = dict(options)
     if plan and plan.reader_format:
         options["timestampFormat"] = plan.reader_format
-    parts = []
-    for names, members in sorted(group_by_header(spark, paths, options).items()):
-        files = [storage.literal(p) for p in members]
-        inferred = None
-        if infer_types and (declared is None or set(map(str.lower, names)) - set(map(str.lower, declared.names))):
-            inferred = spark.read.options(**options, inferSchema="true").csv(files).schema
-        part = derive.with_source(spark.read.schema(hinted_schema(names, declared, inferred)).options(**options).csv(files))
-        parts.append(part)
+    groups = {
+        names: [storage.literal(p) for p in members] for names, members in sorted(group_by_header(spark, paths, options).items())
+    }
+    inferred = _inferred(spark, groups, options, declared) if infer_types else None
+    corrupt = options.get("columnNameOfCorruptRecord", "_corrupt_record")
+    kept = [corrupt] if declared is not None and corrupt in declared.names else []
+    parts = [
+        derive.with_source(
+            spark.read.schema(hinted_schema([*names, *(c for c in kept if c not in names)], declared, inferred)).options(**options).csv(files)
+        )
+        for names, files in groups.items()
+    ]
     if not parts:
         return None
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -154,6 +160,30 @@ def read_evolving(
     return df.select(*declared.names, "source_filename") if evolution == "none" else df
 
 
+def _inferred(spark: SparkSession, groups, options: Mapping[str, str], declared: T.StructType | None) -> T.StructType:
+    """Types of the undeclared columns, one per column whatever the number of headers it is in."""
+    hinted = {n.lower() for n in declared.names} if declared else set()
+    seen: dict[str, list[T.StructField]] = defaultdict(list)
+    for names, files in groups.items():
+        if {n.lower() for n in names} <= hinted:
+            continue
+        found = spark.read.options(**options, inferSchema="true").csv(files).schema
+        for name, column in zip(names, found):
+            seen[name.lower()].append(T.StructField(name, column.dataType))
+    return T.StructType([T.StructField(fields[0].name, _common_type([f.dataType for f in fields])) for fields in seen.values()])
+
+
+def _common_type(kinds: list[T.DataType]) -> T.DataType:
+    """A type that holds every value as it was written."""
+    if all(k == kinds[0] for k in kinds):
+        return kinds[0]
+    if all(isinstance(k, (T.IntegerType, T.LongType)) for k in kinds):
+        return T.LongType()
+    if all(isinstance(k, (T.IntegerType, T.DoubleType)) for k in kinds):
+        return T.DoubleType()
+    return T.StringType()
+
+
 def with_declared(df: DataFrame, declared: T.StructType) -> DataFrame:
     """Declared columns first and in declared order, null where no file has them."""
     present = {c.lower(): c for c in df.columns}

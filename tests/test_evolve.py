@@ -15,6 +15,7 @@ def probe(request, monkeypatch):
     """Headers read by driver threads, as for few files, and by a Spark job, as for many."""
     if request.param == "job":
         monkeypatch.setattr(evolve, "_DRIVER_FILES", 0)
+        monkeypatch.setattr(evolve, "_DRIVER_CORES", 0)
 
 
 FIELDS = (Field("order_id"), Field("qty", "integer"), Field("day", "timestamp", "yyyy-MM-dd"))

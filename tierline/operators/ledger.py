@@ -228,15 +228,16 @@ def archive(spark: SparkSession, files: DataFrame, target: str, uri: str = "path
     """
     storage.make_dirs(spark, target)
     plan = archive_plan(files, target, uri, encoded).select(uri, "archived_as", "fallback")
-    moved = 0
+    store, moved = storage.Store(spark), 0
     with ThreadPoolExecutor(threads) as pool:
         rows = plan.toLocalIterator(prefetchPartitions=True)
         while chunk := list(islice(rows, 1000)):
-            moved += sum(pool.map(lambda r: _archive_one(spark, r[0], r[1], r[2]), chunk))
+            moved += sum(pool.map(lambda r: _archive_one(store, r[0], r[1], r[2]), chunk))
     return moved
 
 
-def _archive_one(spark: SparkSession, source: str, destination: str, fallback: str) -> bool:
-    if destination != fallback and storage.exists(spark, destination):
-        destination = fallback
-    return storage.move(spark, source, destination)
+def _archive_one(store: storage.Store, source: str, destination: str, fallback: str) -> bool:
+    try:
+        return store.move(source, destination)
+    except FileExistsError:
+        return store.move(source, fallback)

@@ -280,7 +280,7 @@ def export_single_file(df: DataFrame, directory: str, file_name: str, fmt: str =
         if len(parts) != 1:
             raise RuntimeError(f"expected one part file in {temporary}, found {parts}")
         destination = f"{base}/{file_name}"
-        storage.move(spark, parts[0], destination)
+        storage.Store(spark).move(parts[0], destination)
     finally:
         storage.remove(spark, temporary)
     return destination

@@ -21,9 +21,11 @@ from tierline.functions.schema import TimestampPlan
 _WHOLE_FILE = 1 << 40
 
 
-# Up to this many files their first lines are read by driver threads, beyond it by a Spark job:
-# the rule and the number by which Spark itself lists paths.
-_DRIVER_FILES = 32
+# Driver threads read a first line in a millisecond or two; a Spark job spends a Python worker, about
+# a third of a core-second, on each file. The job pays off for many files on many cores.
+_DRIVER_FILES = 1000
+_DRIVER_CORES = 128
+_DRIVER_THREADS = 32
 
 
 def header_signatures(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> DataFrame:
@@ -64,21 +66,22 @@ def _is_header(line: str | None, comment: str | None) -> bool:
     return bool(line and line.strip()) and not (comment and line.startswith(comment))
 
 
-def _first_line(spark: SparkSession, path: str, options: Mapping[str, str]) -> str | None:
-    with storage.text_lines(spark, path, _charset(options)) as lines:
-        return next((line for line in lines if _is_header(line, options.get("comment"))), None)
-
-
 def _headers(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> Iterator[tuple[str, str]]:
     """(path, header) of every file that has one."""
-    if len(paths) <= _DRIVER_FILES and "lineSep" not in options:
-        with ThreadPoolExecutor(_DRIVER_FILES) as pool:
-            found = pool.map(lambda p: _first_line(spark, p, options), paths)
-            yield from ((p, header) for p, header in zip(paths, found) if header is not None)
+    store = storage.Store(spark)
+    many = len(paths) > _DRIVER_FILES and spark.sparkContext.defaultParallelism > _DRIVER_CORES
+    if many or "lineSep" in options:
+        by_uri = {store.uri(p): p for p in paths}
+        for row in header_signatures(spark, paths, options).collect():
+            yield by_uri[row.path], row.header
         return
-    by_uri = {_uri(spark, p): p for p in paths}
-    for row in header_signatures(spark, paths, options).collect():
-        yield by_uri[row.path], row.header
+
+    def first_line(path: str) -> str | None:
+        with store.text_lines(path, _charset(options)) as lines:
+            return next((line for line in lines if _is_header(line, options.get("comment"))), None)
+
+    with ThreadPoolExecutor(_DRIVER_THREADS) as pool:
+        yield from ((p, header) for p, header in zip(paths, pool.map(first_line, paths)) if header is not None)
 
 
 def split_header(header: str, options: Mapping[str, str]) -> list[str]:
@@ -119,10 +122,6 @@ def group_by_header(spark: SparkSession, paths: list[str], options: Mapping[str,
     return groups
 
 
-def _uri(spark: SparkSession, path: str) -> str:
-    return spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
-
-
 def read_evolving(
     spark: SparkSession,
     paths: list[str],

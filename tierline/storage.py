@@ -5,16 +5,97 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import cached_property
 
+from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _GLOB_CHARACTERS = set("{}[]*?\\")
 
 
-def handle(spark: SparkSession, path: str):
+class Store:
+    """Hadoop file systems as one session sees them; keep one for work on many files."""
+
+    def __init__(self, spark: SparkSession):
+        self._jvm = spark._jvm
+        self._conf = spark._jsc.hadoopConfiguration()
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._systems: dict[str, tuple[JavaObject, str]] = {}
+
+    def locate(self, path: str) -> tuple[JavaObject, JavaObject]:
+        """The file system of ``path`` and the path itself, as Hadoop objects."""
+        target, root = self._path(path), _root(path)
+        if root not in self._systems:  # set in one step: threads share the store
+            fs = target.getFileSystem(self._conf)
+            self._systems[root] = (fs, fs.getUri().toString())
+        return self._systems[root][0], target
+
+    def uri(self, path: str) -> str:
+        """``path`` as Spark's file metadata spells it."""
+        return self._path(path).toUri().toString()
+
+    def exists(self, path: str) -> bool:
+        fs, target = self.locate(path)
+        return fs.exists(target)
+
+    def move(self, source: str, destination: str) -> bool:
+        """Rename a file; ``False`` if the source is gone, which a repeated run will find.
+
+        An existing destination is never replaced.
+        """
+        fs, origin = self.locate(source)
+        target_fs, target = self.locate(destination)
+        if target_fs.exists(target):
+            if not fs.exists(origin):
+                return False
+            raise FileExistsError(f"{destination} is already there; {source} stays")
+        try:
+            near = self._systems[_root(source)][1] == self._systems[_root(destination)][1]
+            moved = fs.rename(origin, target) if near else self._copy(fs, origin, target_fs, target)
+        except Py4JJavaError:
+            if not fs.exists(origin):
+                return False
+            raise
+        if not moved and fs.exists(origin):
+            raise OSError(f"could not move {source} to {destination}")
+        return moved
+
+    def _copy(self, fs, origin, target_fs, target) -> bool:
+        return self._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, origin, target_fs, target, True, False, self._conf)
+
+    @cached_property
+    def _codecs(self) -> JavaObject:
+        return self._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self._conf)
+
+    @cached_property
+    def _readers(self) -> tuple:
+        return self._jvm.java.io.BufferedReader, self._jvm.java.io.InputStreamReader
+
+    @contextmanager
+    def text_lines(self, path: str, charset: str) -> Iterator[Iterator[str]]:
+        """The lines of one file, decompressed by its extension, fetched as they are asked for."""
+        fs, target = self.locate(path)
+        codec = self._codecs.getCodec(target)
+        buffered, decoding = self._readers
+        opened = fs.open(target)
+        try:
+            yield iter(buffered(decoding(codec.createInputStream(opened) if codec else opened, charset)).readLine, None)
+        finally:
+            opened.close()
+
+
+def _root(path: str) -> str:
+    """Scheme and authority; empty for a path on the default file system."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return ""
+    return f"{scheme}:{rest[2:].split('/', 1)[0] if rest.startswith('//') else ''}"
+
+
+def handle(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     """The file system of ``path`` and the path itself, as Hadoop objects."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+    return Store(spark).locate(path)
 
 
 def literal(path: str) -> str:
@@ -23,8 +104,7 @@ def literal(path: str) -> str:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, target = handle(spark, path)
-    return fs.exists(target)
+    return Store(spark).exists(path)
 
 
 def remove(spark: SparkSession, path: str) -> bool:
@@ -62,37 +142,6 @@ def partition_values(spark: SparkSession, path: str, depth: int) -> list[dict[st
     return found
 
 
-def move(spark: SparkSession, source: str, destination: str) -> bool:
-    """Rename a file; ``False`` if the source is gone, which a repeated run will find."""
-    fs, origin = handle(spark, source)
-    if not fs.exists(origin):
-        return False
-    target_fs, target = handle(spark, destination)
-    if fs.getUri() == target_fs.getUri():
-        if target_fs.exists(target) or not fs.rename(origin, target):
-            raise OSError(f"could not move {source} to {destination}")
-        return True
-    util = spark._jvm.org.apache.hadoop.fs.FileUtil
-    if not util.copy(fs, origin, target_fs, target, True, False, spark._jsc.hadoopConfiguration()):
-        raise OSError(f"could not copy {source} to {destination}")
-    return True
-
-
-@contextmanager
-def text_lines(spark: SparkSession, path: str, charset: str) -> Iterator[Iterator[str]]:
-    """The lines of one file, decompressed by its extension, fetched as they are asked for."""
-    jvm = spark._jvm
-    fs, target = handle(spark, path)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration()).getCodec(target)
-    opened = fs.open(target)
-    try:
-        stream = codec.createInputStream(opened) if codec else opened
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, charset))
-        yield iter(reader.readLine, None)
-    finally:
-        opened.close()
-
-
 def scratch(spark: SparkSession, label: str) -> str:
     """A new directory in the folder the session names in ``spark.checkpoint.dir``.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tierline import BronzeSpec, DatasetSpec, Field, fixtures, inspect, jobs, sources  # noqa: E402
+from tierline import BronzeSpec, DatasetSpec, Field, fixtures, inspect, jobs, sources, storage  # noqa: E402
 from tierline.plans.checks import EVENT_MESSAGE  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -55,7 +55,7 @@ def timed(run) -> dict:
 class Bench:
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = tempfile.mkdtemp(prefix="tierline-bench-")
+        self.root = storage.scratch(spark, "bench")
         self.lineitem = self.table("lineitem")
         columns = [Field(f.name, "timestamp" if f.name == "l_shipdate" else f.dataType.simpleString()) for f in self.lineitem.schema]
         self.fields = tuple(columns)

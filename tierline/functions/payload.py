@@ -132,8 +132,11 @@ def _from_wire(value: Column, node) -> Column:
     if not _converts(node):
         return value
     if node["type"] == "record":
-        fields = [_from_wire(value.getField(f["name"]), f["type"]).alias(f["name"]) for f in node["fields"]]
-        return F.when(value.isNotNull(), F.struct(*fields))
+        converted = value
+        for f in node["fields"]:
+            if _converts(f["type"]):
+                converted = converted.withField(f"`{f['name']}`", _from_wire(value.getField(f["name"]), f["type"]))
+        return converted
     if node["type"] == "array":
         return F.transform(value, lambda item: _from_wire(item, node["items"]))
     if node["type"] == "map":

@@ -127,26 +127,24 @@ class Commit:
     metrics: Mapping[str, int]
 
 
-def record(spark: SparkSession, target: str, known: State, finished: Iterable[Commit]) -> None:
-    """Add commit rows after those in ``known``."""
-    rows, stored = [], known.schema()
-    for version, commit in enumerate(finished, known.next_version):
-        if commit.operation == "overwrite":
-            stored = None
-        merged = schemas.merge([commit.schema] if stored is None else [stored, commit.schema])
-        rows.append((
-            version,
-            commit.batch_id,
-            commit.operation,
-            None if merged == stored else commit.schema.json(),
-            {k: str(v) for k, v in commit.parameters.items()},
-            {k: str(v) for k, v in commit.metrics.items()},
-        ))
-        stored = merged
-    if rows:
-        columns = T.StructType([c for c in COMMIT_SCHEMA if c.name != "timestamp"])
-        new = spark.createDataFrame(rows, columns).withColumn("timestamp", F.current_timestamp()).select(COMMIT_SCHEMA.names)
-        _store(spark, target, known, new)
+def record(spark: SparkSession, target: str, known: State, commit: Commit) -> None:
+    """Add a commit row after those in ``known``."""
+    stored = None if commit.operation == "overwrite" else known.schema()
+    merged = schemas.merge([commit.schema] if stored is None else [stored, commit.schema])
+    values = {
+        "version": F.lit(known.next_version).cast("long"),
+        "batch_id": F.lit(commit.batch_id),
+        "timestamp": F.current_timestamp(),
+        "operation": F.lit(commit.operation),
+        "table_schema": F.lit(None if merged == stored else commit.schema.json()).cast("string"),
+        "operationParameters": _string_map(commit.parameters),
+        "operationMetrics": _string_map(commit.metrics),
+    }
+    _store(spark, target, known, spark.range(0, 1, 1, 1).select(*[values[c].alias(c) for c in COMMIT_SCHEMA.names]))
+
+
+def _string_map(values: Mapping) -> Column:
+    return F.create_map(*[F.lit(str(part)) for pair in values.items() for part in pair]).cast("map<string,string>")
 
 
 def _store(spark: SparkSession, target: str, known: State, new: DataFrame) -> None:

@@ -106,7 +106,7 @@ def _parquet(df: DataFrame, mode: str, partition_by: Sequence[str]):
 def _record(df, target, known, batch_id, operation, rows, partition_by, parameters) -> None:
     details = {"partition_by": ",".join(partition_by), **(parameters or {})}
     entry = ledger.Commit(batch_id, operation, df.schema, details, {"rows": rows})
-    ledger.record(df.sparkSession, target, known, [entry])
+    ledger.record(df.sparkSession, target, known, entry)
 
 
 def _check_growth(known: ledger.State, schema: T.StructType, merge_schema: bool) -> None:

@@ -45,12 +45,14 @@ def test_avro_schema():
             schema.from_avro_json(bad)
 
 
-def test_merge_orders_and_refuses_conflicts():
+def test_merge_orders_and_refuses_conflicts(spark):
     from pyspark.sql import types as T
 
     a = T.StructType().add("x", "integer").add("p", "integer")
     b = T.StructType().add("x", "integer").add("y", "string").add("p", "integer")
     assert schema.merge([a, b], ["p"]).names == ["x", "y", "p"]
+    nested = [T.StructType.fromDDL(d) for d in ("s struct<a:int,l:array<struct<b:int>>>", "s struct<c:string,l:array<struct<d:int>>>")]
+    assert schema.merge(nested).simpleString() == "struct<s:struct<a:int,l:array<struct<b:int,d:int>>,c:string>>"
     with pytest.raises(schema.SchemaConflict, match="X"):
         schema.merge([a, T.StructType().add("X", "string")])
 

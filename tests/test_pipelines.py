@@ -108,6 +108,22 @@ def test_registered_table_grows_and_can_be_rebuilt(spark, place, put):
     sinks.drop_table(spark, name)
 
 
+def test_nested_fields_may_join(spark, place, put):
+    bronze = BronzeSpec(path=place("bronze"), database="tier_db", table="nested_growing")
+    spec = DatasetSpec(
+        name="items", format="json", landing=place("landing"), raw=place("raw"), archive=place("archive"), checkpoint=place("checkpoint"),
+        mode="append", evolution="add_new_columns", bronze=bronze,
+    )
+    sinks.drop_table(spark, bronze.full_table)
+    put("landing/a.json", '{"id":"a","s":{"x":1}}\n')
+    both(spark, spec)
+    put("landing/b.json", '{"id":"b","s":{"y":{"z":"deep"}},"extra":true}\n')
+    both(spark, spec)
+    for df in (sources.read_raw(spark, spec), spark.table(bronze.full_table)):
+        assert rows(df.selectExpr("id", "s.x", "s.y.z", "extra")) == [("a", 1, None, None), ("b", None, "deep", True)]
+    sinks.drop_table(spark, bronze.full_table)
+
+
 def test_types_may_not_change_and_growth_can_be_off(spark, place):
     target = place("layer")
     sinks.append_batch(spark.sql("select 1 as a"), target, "one")
@@ -118,6 +134,27 @@ def test_types_may_not_change_and_growth_can_be_off(spark, place):
     assert sources.layers.read_layer(spark, target).count() == 1
 
 
+def test_replays_leave_nothing_stale_and_odd_names_work(spark, place, monkeypatch):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(key, "dynamic")
+    try:
+        first = spark.sql("select explode(array(1, 2)) as `order date`, 'x' as `a.b`")
+        with monkeypatch.context() as patch:
+            patch.setattr(ledger, "record", lambda *a, **k: (_ for _ in ()).throw(Crash("now")))
+            with pytest.raises(Crash):
+                sinks.append_batch(first, place("layer"), "one", ["order date"])
+        sinks.append_batch(first.where("`order date` = 2"), place("layer"), "one", ["order date"])
+    finally:
+        spark.conf.unset(key)
+    assert rows(sources.layers.read_layer(spark, place("layer"), ["order date"]), "`order date`", "`a.b`") == [(2, "x")]
+
+
+def test_streams_need_a_checkpoint(spark, place, put):
+    put("landing/a.csv", HEAD)
+    with pytest.raises(ValueError, match="checkpoint"):
+        jobs.landing_to_raw(spark, make(place, checkpoint=None))
+
+
 def test_reserved_column_is_refused(spark, place):
     with pytest.raises(ValueError, match="reserved"):
         sinks.append_batch(spark.sql("select 'x' as ingest_batch"), place("layer"), "one")

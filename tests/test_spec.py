@@ -65,6 +65,12 @@ def test_bad_configuration_is_refused(change):
         from_json("sales", {**CONFIG["dataset_configs"]["sales"], **change}, LAYERS)
 
 
+def test_archive_inside_a_recursive_landing_is_refused():
+    spec = from_json("sales", CONFIG["dataset_configs"]["sales"], LAYERS).with_(archive="/l/sales/done")
+    with pytest.raises(SpecError, match="recursively"):
+        spec.with_(reader_options={"recursiveFileLookup": "true"})
+
+
 def test_binary_file_type_is_reachable():
     assert from_json("b", {"type": "binaryFile", "source_subpath": "x"}, LAYERS).format == "binaryFile"
     with pytest.raises(SpecError):

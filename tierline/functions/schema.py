@@ -155,18 +155,29 @@ class SchemaConflict(ValueError):
 
 
 def merge(schemas: Iterable[T.StructType], partition_by: Iterable[str] = ()) -> T.StructType:
-    """Columns of all schemas in order of first appearance, partition columns last."""
+    """Columns of all schemas in order of first appearance, partition columns last.
+
+    Structs are merged field by field, at any depth. Everything becomes nullable, as what one
+    schema has may be missing under another.
+    """
     merged: dict[str, T.StructField] = {}
     for schema in schemas:
         for column in schema.fields:
             seen = merged.get(column.name.lower())
-            if seen is None:
-                merged[column.name.lower()] = T.StructField(column.name, column.dataType, True)
-            elif seen.dataType != column.dataType:
-                raise SchemaConflict(
-                    f"column {column.name!r} is {column.dataType.simpleString()} here "
-                    f"but {seen.dataType.simpleString()} in what is already stored"
-                )
+            name, kind = (seen.name, seen.dataType) if seen else (column.name, column.dataType)
+            merged[column.name.lower()] = T.StructField(name, _unite(kind, column.dataType, column.name), True)
     last = {name.lower() for name in partition_by}
     columns = list(merged.items())
     return T.StructType([c for n, c in columns if n not in last] + [merged[n] for n in map(str.lower, partition_by) if n in merged])
+
+
+def _unite(stored: T.DataType, new: T.DataType, name: str) -> T.DataType:
+    if isinstance(stored, T.StructType) and isinstance(new, T.StructType):
+        return merge([stored, new])
+    if isinstance(stored, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_unite(stored.elementType, new.elementType, name), True)
+    if isinstance(stored, T.MapType) and isinstance(new, T.MapType) and stored.keyType == new.keyType:
+        return T.MapType(stored.keyType, _unite(stored.valueType, new.valueType, name), True)
+    if stored != new:
+        raise SchemaConflict(f"column {name!r} is {new.simpleString()} here but {stored.simpleString()} in what is already stored")
+    return stored

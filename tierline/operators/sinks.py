@@ -92,14 +92,14 @@ def _laid_out(df: DataFrame, partition_by: Sequence[str], optimize: bool) -> tup
     counts once however often it is retried.
     """
     if optimize and partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", *[F.col(_quoted_name(c)) for c in partition_by])
     rows = Observation()
     return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
 
 
 def _parquet(df: DataFrame, mode: str, partition_by: Sequence[str]):
-    """Snappy Parquet, partitioned if asked."""
-    writer = df.write.format("parquet").mode(mode).option("compression", COMPRESSION)
+    """Snappy Parquet, partitioned if asked; an overwrite replaces the whole directory."""
+    writer = df.write.format("parquet").mode(mode).option("compression", COMPRESSION).option("partitionOverwriteMode", "static")
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
@@ -115,9 +115,9 @@ def _check_growth(known: ledger.State, schema: T.StructType, merge_schema: bool)
     if stored is None:
         return
     merged = schemas.merge([stored, schema])
-    if not merge_schema and len(merged) > len(stored):
-        added = [n for n in merged.names if n not in stored.names]
-        raise schemas.SchemaConflict(f"columns {added} are new and merging schemas is off")
+    if not merge_schema and merged != stored:
+        changed = [c.name for c in merged if c not in stored.fields]
+        raise schemas.SchemaConflict(f"columns {changed} are new or have new fields, and merging schemas is off")
 
 
 def append_stream(
@@ -133,6 +133,8 @@ def append_stream(
     The directory belongs to this query: files that other jobs add to it are not seen.
     """
     derive.require_columns(df, partition_by)
+    if not checkpoint:
+        raise ValueError(f"a stream into {target} needs a checkpoint path")
     writer = (
         df.writeStream.format("parquet")
         .outputMode("append")
@@ -218,6 +220,8 @@ def register(spark: SparkSession, bronze: BronzeSpec, known: ledger.State, schem
     columns = T.StructType([T.StructField(ledger.BATCH, T.StringType()), *merged.fields])
     layout = [ledger.BATCH, *bronze.partition_by]
     table, batch_ids = _quoted(bronze.full_table), [batch_id]
+    if spark.catalog.tableExists(bronze.full_table) and _nested_growth(spark.table(bronze.full_table).schema, columns):
+        drop_table(spark, bronze.full_table)  # a struct cannot gain fields in place; the files stay
     if not spark.catalog.tableExists(bronze.full_table):
         create_database(spark, bronze.database)
         location = bronze.path.replace("\\", "\\\\").replace("'", "\\'")
@@ -237,6 +241,11 @@ def register(spark: SparkSession, bronze: BronzeSpec, known: ledger.State, schem
     spark.catalog.refreshTable(bronze.full_table)
 
 
+def _nested_growth(present: T.StructType, wanted: T.StructType) -> bool:
+    kinds = {c.name.lower(): c.dataType.simpleString() for c in present}
+    return any(kinds.get(c.name.lower(), c.dataType.simpleString()) != c.dataType.simpleString() for c in wanted)
+
+
 def _add_partitions(spark: SparkSession, table: str, layout: Sequence[str], found: Sequence[Mapping[str, str | None]], size: int = 200) -> None:
     for start in range(0, len(found), size):
         specs = [

@@ -117,6 +117,9 @@ class DatasetSpec:
             if self.format.lower() not in FORMATS:
                 raise SpecError(f"{self.name}: unknown format {self.format!r}; known: {sorted(FORMATS.values())}")
             object.__setattr__(self, "format", FORMATS[self.format.lower()])
+            nested = self.archive and f"{self.archive.rstrip('/')}/".startswith(f"{self.landing.rstrip('/')}/")
+            if nested and str(self.reader_options.get("recursiveFileLookup", "false")).lower() == "true":
+                raise SpecError(f"{self.name}: the archive lies inside a landing that is read recursively")
         elif not self.avro_schema:
             raise SpecError(f"{self.name}: value_avro_schema_string is required to decode messages")
         if self.codec not in ("avro", "json"):

@@ -21,8 +21,10 @@ def batch_identity(df: DataFrame, epoch: int) -> str:
     return f"{query}-{epoch}"
 
 
-def run_available(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, name: str) -> StreamingQuery:
+def run_available(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str | None, name: str) -> StreamingQuery:
     """Process everything that is there in micro-batches, then stop."""
+    if not checkpoint:
+        raise ValueError(f"{name} needs a checkpoint path")
     query = (
         df.writeStream.foreachBatch(each)
         .outputMode("append")

@@ -124,6 +124,20 @@ def test_nested_fields_may_join(spark, place, put):
     sinks.drop_table(spark, bronze.full_table)
 
 
+def test_many_batches_are_read_through_a_join(spark, place, monkeypatch):
+    target = place("layer")
+    for i in range(4):
+        sinks.append_batch(spark.sql(f"select {i} as a, {i % 2} as p"), target, f"batch{i}", ["p"])
+    spark.sql("select 9 as a").write.parquet(ledger.batch_path(target, "unfinished") + "/p=0")
+    monkeypatch.setattr(sources.layers, "_PATHS_AT_ONCE", 1)
+    assert rows(sources.layers.read_layer(spark, target, ["p"]), "a", "p") == [(0, 0), (1, 1), (2, 0), (3, 1)]
+    some = sources.layers.read_layer(spark, target, ["p"], batch_ids=["batch1", "batch2"])
+    assert rows(some, "ingest_batch", "a") == [("batch1", 1), ("batch2", 2)]
+    pruned = sources.layers.read_layer(spark, target, ["p"]).where("p = 1")
+    assert "(p" in pruned._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: ")[1]
+    assert rows(pruned, "a") == [(1,), (3,)]
+
+
 def test_types_may_not_change_and_growth_can_be_off(spark, place):
     target = place("layer")
     sinks.append_batch(spark.sql("select 1 as a"), target, "one")

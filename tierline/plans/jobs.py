@@ -139,8 +139,7 @@ def messages_to_raw(spark: SparkSession, spec: DatasetSpec, trigger: Mapping | N
 
 def _catch_up(spark: SparkSession, spec: DatasetSpec) -> Outcome:
     query = messages_to_raw(spark, spec, control.AVAILABLE_NOW)
-    query.awaitTermination()
-    rows = sum(p["numInputRows"] for p in query.recentProgress)
+    rows = control.rows_until_done(query)
     return Outcome(spec.name, "messages_to_raw", "ok" if rows else "empty", rows)
 
 

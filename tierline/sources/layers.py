@@ -52,9 +52,24 @@ def read_layer(
     schema = T.StructType([*stored.fields, T.StructField(ledger.BATCH, T.StringType())])
     if not chosen:
         return spark.createDataFrame([], schema).select(ledger.BATCH, *columns)
-    dirs = [ledger.batch_path(path, b) for b in chosen]
     reader = spark.read.schema(schema).options(**{**options, "basePath": path})
-    return reader.parquet(*dirs).select(ledger.BATCH, *[F.col(f"`{c}`") for c in columns])
+    if len(chosen) <= _PATHS_AT_ONCE:
+        df = reader.parquet(*[ledger.batch_path(path, b) for b in chosen])
+    else:
+        df = reader.parquet(path).join(_ids(spark, path, known, chosen, batch_ids is None), ledger.BATCH, "left_semi")
+    return df.select(ledger.BATCH, *[F.col(f"`{c}`") for c in columns])
+
+
+# More batches than this are not named one by one: the directory is listed by Spark and joined
+# with the ids on its partition column, so that other batches are pruned or dropped.
+_PATHS_AT_ONCE = 1000
+
+
+def _ids(spark: SparkSession, path: str, known: ledger.State, chosen: tuple[str, ...], all_live: bool) -> DataFrame:
+    if not all_live:
+        return spark.createDataFrame([(b,) for b in chosen], f"{ledger.BATCH} string")
+    live = ledger.commits(spark, path).where(F.col("version") >= known.live[0].version)
+    return live.select(F.col("batch_id").alias(ledger.BATCH))
 
 
 def stream_raw(spark: SparkSession, spec: DatasetSpec, max_files_per_trigger: int | None = None) -> DataFrame:

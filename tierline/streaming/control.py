@@ -37,6 +37,21 @@ def run_available(df: DataFrame, each: Callable[[DataFrame, int], None], checkpo
     return query
 
 
+def rows_until_done(query: StreamingQuery) -> int:
+    """Wait for a query to end and count its input rows.
+
+    Progress is picked up along the way, as Spark keeps only that of the latest batches.
+    """
+    rows: dict[int, int] = {}
+    done = False
+    while not done:
+        done = query.awaitTermination(1)
+        for progress in query.recentProgress:
+            batch = progress["batchId"]
+            rows[batch] = max(rows.get(batch, 0), progress["numInputRows"])
+    return sum(rows.values())
+
+
 def run_streams(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> list[str]:
     """Wait until all queries have ended, or until the first one fails; stop the rest.
 

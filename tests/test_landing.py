@@ -120,6 +120,18 @@ def test_incremental_runs_take_each_file_once(spark, place, put):
     assert [r.operation for r in inspect.history(spark, spec.raw).collect()] == ["append"] * 3
 
 
+@pytest.mark.parametrize("mode", ["snapshot", "append"])
+def test_directories_in_landing_are_columns(spark, place, put, mode):
+    put("landing/shop=007/dt=2024-01-01/a.csv", "order_id,quantity,price,order_date\na,1,1,2024-01-01 00:00:00\n")
+    put("landing/shop=2/dt=2024-01-02/a.csv", "quantity,order_id\n2,b\n")
+    spec = sales_spec(place, mode=mode, evolution="add_new_columns", fields=(*FIELDS, Field("shop")), date_source=None, partition_by=("dt",))
+    done = jobs.landing_to_raw(spark, spec)
+    assert (done.rows, done.files) == (2, 2)
+    raw = sources.read_raw(spark, spec)
+    assert rows(raw.selectExpr("order_id", "quantity", "shop", "cast(dt as string)")) == [("a", 1, "007", "2024-01-01"), ("b", 2, "2", "2024-01-02")]
+    assert len(os.listdir(place("archive"))) == 2
+
+
 def test_relanded_name_is_reported_and_kept(spark, place, put):
     spec = sales_spec(place, mode="append")
     text = "order_id,quantity,price,order_date\n{0},1,1,2024-01-01 00:00:00\n"

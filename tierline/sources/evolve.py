@@ -142,14 +142,10 @@ def read_evolving(
         names: [storage.literal(p) for p in members] for names, members in sorted(group_by_header(spark, paths, options).items())
     }
     inferred = _inferred(spark, groups, options, declared) if infer_types else None
-    corrupt = options.get("columnNameOfCorruptRecord", "_corrupt_record")
-    kept = [corrupt] if declared is not None and corrupt in declared.names else []
-    parts = [
-        derive.with_source(
-            spark.read.schema(hinted_schema([*names, *(c for c in kept if c not in names)], declared, inferred)).options(**options).csv(files)
-        )
-        for names, files in groups.items()
-    ]
+    parts = []
+    for names, files in groups.items():
+        schema = hinted_schema([*names, *_not_in_header(names, files[0], declared, options)], declared, inferred)
+        parts.append(derive.with_source(spark.read.schema(schema).options(**options).csv(files)))
     if not parts:
         return None
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -159,6 +155,14 @@ def read_evolving(
     return df.select(*declared.names, "source_filename") if evolution == "none" else df
 
 
+def _not_in_header(names: Iterable[str], path: str, declared: T.StructType | None, options: Mapping[str, str]) -> list[str]:
+    """Declared columns that the reader itself fills: the malformed row, and ``name=value`` directories."""
+    present = {n.lower() for n in names}
+    corrupt = options.get("columnNameOfCorruptRecord", "_corrupt_record")
+    filled = [n for n in (declared.names if declared else ()) if n == corrupt or ("basePath" in options and f"/{n}=" in path)]
+    return [n for n in filled if n.lower() not in present]
+
+
 def _inferred(spark: SparkSession, groups, options: Mapping[str, str], declared: T.StructType | None) -> T.StructType:
     """Types of the undeclared columns, one per column whatever the number of headers it is in."""
     hinted = {n.lower() for n in declared.names} if declared else set()

@@ -70,6 +70,8 @@ def read_files(spark: SparkSession, spec: DatasetSpec, paths: list[str] | None =
     if paths is None:
         paths = [r.path for r in landing_files(spark, spec).select("path").collect()]
     options = {k: v for k, v in spec.reader_options.items() if k not in _LISTING_OPTIONS}
+    if spec.reader_options.get("recursiveFileLookup", "false").lower() != "true":
+        options.setdefault("basePath", spec.landing)  # name=value directories in landing are columns
     if spec.format == "avro":
         storage.require_source(spark, "avro")
     if spec.format == "csv":

@@ -2,6 +2,7 @@
 
 import json
 import os
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -52,6 +53,18 @@ def test_promotion_adds_each_raw_batch_once(spark, place, put):
     assert [(h.version, h.operation, h.operationMetrics["rows"]) for h in history] == [(1, "append", "1"), (0, "append", "2")]
 
 
+def test_bronze_with_a_fixed_schema_leaves_new_columns_behind(spark, place, put):
+    spec = make(place)
+    spec = spec.with_(bronze=replace(spec.bronze, evolution="none"))
+    put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\n")
+    both(spark, spec)
+    put("landing/b.csv", "order_id,order_date,promo_code\nb,2024-02-05 00:00:00,P\n")
+    both(spark, spec)
+    assert "promo_code" in sources.read_raw(spark, spec).columns
+    bronze = sources.read_bronze(spark, spec)
+    assert "promo_code" not in bronze.columns and bronze.count() == 2
+
+
 def test_several_pending_batches_go_in_one_job(spark, place, put):
     spec = make(place, max_files_per_trigger=1)
     for i in range(3):

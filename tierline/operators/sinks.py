@@ -168,6 +168,10 @@ def write_bronze(
     known = known or ledger.state(spark, bronze.path)
     if known.has(batch_id):
         return Written((), 0)
+    stored = known.schema()
+    if bronze.evolution == "none" and stored is not None:
+        present = {n.lower() for n in stored.names}
+        df = df.select(*[F.col(_quoted_name(c)) for c in df.columns if c.lower() in present])
     _check_growth(known, df.schema, bronze.merge_schema)
     if bronze.format == "delta":
         rows = _write_delta(df, bronze, batch_id)

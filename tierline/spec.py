@@ -44,7 +44,12 @@ class Field:
 
 @dataclass(frozen=True)
 class BronzeSpec:
-    """How a raw dataset is promoted: derivation, layout, registration."""
+    """How a raw dataset is promoted: derivation, layout, registration.
+
+    Promotion always takes what is new in raw. With ``evolution="none"`` columns that bronze does
+    not have yet are left behind; otherwise they join, unless ``merge_schema`` is off, which
+    makes them an error.
+    """
 
     path: str
     table: str | None = None
@@ -58,11 +63,14 @@ class BronzeSpec:
     month_column: str | None = None
     partition_by: tuple[str, ...] = ()
     merge_schema: bool = True
+    evolution: str = "add_new_columns"
     optimize_write: bool = False
-    incremental: bool = False
     checkpoint: str | None = None
 
     def __post_init__(self):
+        if self.evolution not in EVOLUTION_MODES:
+            raise SpecError(f"unknown bronze evolution mode {self.evolution!r}")
+        object.__setattr__(self, "evolution", EVOLUTION_MODES[self.evolution])
         if self.format not in ("parquet", "delta"):
             raise SpecError(f"bronze format must be parquet or delta, not {self.format!r}")
         if self.raw_format not in ("parquet", "delta"):
@@ -235,8 +243,9 @@ def _bronze_from_json(name, flat, cfg, layers, bronze_format) -> BronzeSpec | No
     _known(f"{name}.bronze_config", cfg, _BRONZE_KEYS)
     if not _flag(cfg.get("enabled", False)):
         return None
-    if "overwrite_schema_on_write" in cfg:
-        log.info("%s: overwrite_schema_on_write has no effect", name)
+    for key in ("overwrite_schema_on_write", "autoloader_for_raw_source"):
+        if key in cfg:
+            log.info("%s: %s has no effect; promotion always appends what is new", name, key)
     derivation = cfg.get("bronze_partition_columns_derivation") or {}
     _known(f"{name}.bronze_partition_columns_derivation", derivation, {"source_column", "year_col_name", "month_col_name"})
     return BronzeSpec(
@@ -253,7 +262,7 @@ def _bronze_from_json(name, flat, cfg, layers, bronze_format) -> BronzeSpec | No
         partition_by=tuple(cfg.get("partition_by_bronze") or ()),
         merge_schema=_flag(cfg.get("merge_schema_on_write", True)),
         optimize_write=_flag(cfg.get("optimize_write", False)),
-        incremental=_flag(cfg.get("autoloader_for_raw_source", False)),
+        evolution=cfg.get("autoloader_raw_schema_evolution_mode", "addNewColumns"),
         checkpoint=_under(layers.checkpoints, cfg.get("bronze_stream_checkpoint_subpath", f"{flat}/raw_to_bronze")),
     )
 

@@ -143,11 +143,11 @@ def partition_values(spark: SparkSession, path: str, depth: int) -> list[dict[st
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new directory in the folder the session names in ``spark.checkpoint.dir``.
+    """A new directory in the folder the session names in ``spark.checkpoint.dir``, or has set.
 
     Only where that is unset, as in tests on one machine, a local temporary folder is used.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         import tempfile
 

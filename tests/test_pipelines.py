@@ -231,6 +231,32 @@ def test_crash_and_rerun_leave_one_copy(spark, place, put, monkeypatch, point):
     assert os.listdir(place("landing")) == [] and len(os.listdir(place("archive"))) == 2
 
 
+def test_snapshot_that_was_not_archived_is_not_taken_in_twice(spark, place, put, monkeypatch):
+    spec = make(place, mode="snapshot")
+    put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\n")
+    with monkeypatch.context() as patch:
+        patch.setattr(ledger, "archive", lambda *a, **k: (_ for _ in ()).throw(Crash("now")))
+        with pytest.raises(Crash):
+            jobs.landing_to_raw(spark, spec)
+    assert jobs.raw_to_bronze(spark, spec).rows == 1
+    assert jobs.landing_to_raw(spark, spec).status == "empty"
+    assert rows(sources.read_raw(spark, spec), "order_id") == [("a",)]
+    put("landing/b.csv", HEAD + "b,1,2024-02-05 00:00:00\n")
+    both(spark, spec)
+    assert rows(sources.read_raw(spark, spec), "order_id") == [("b",)]
+    assert rows(sources.read_bronze(spark, spec), "order_id") == [("a",), ("b",)]
+    assert len(os.listdir(place("archive"))) == 2 and os.listdir(place("landing")) == []
+    assert len(os.listdir(f"{spec.raw}/_files")) == 1
+
+
+def test_one_scan_per_report(spark, place, put):
+    spec = make(place)
+    put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\n")
+    jobs.landing_to_raw(spark, spec)
+    plan = inspect.report(spark, spec).profile._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
 def test_unfinished_promotion_is_invisible_and_replaced(spark, place, put, monkeypatch):
     spec = make(place)
     put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\n")

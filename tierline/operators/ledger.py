@@ -169,6 +169,34 @@ def pending(source: State, target: State) -> list[Row]:
     return [e for e in source.live if e.version > done]
 
 
+FILE_COLUMNS = "path string, length bigint, modificationTime timestamp"
+
+
+def _files_path(target: str, batch_id: str) -> str:
+    return f"{target.rstrip('/')}/_files/{batch_id}"
+
+
+def remember_files(target: str, batch_id: str, files: DataFrame) -> None:
+    """Keep the list of files a snapshot is made of, before the snapshot is committed."""
+    files.write.mode("overwrite").parquet(_files_path(target, batch_id))
+
+
+def forget_files(spark: SparkSession, target: str, batch_id: str) -> None:
+    storage.remove(spark, _files_path(target, batch_id))
+
+
+def left_over(target: str, known: State, files: DataFrame) -> DataFrame | None:
+    """Those of ``files`` that the latest committed snapshot has taken in already.
+
+    They are in landing still if an earlier run ended between commit and archive.
+    """
+    spark = files.sparkSession
+    if not known.live or not storage.exists(spark, _files_path(target, known.live[-1].batch_id)):
+        return None
+    taken = spark.read.schema(FILE_COLUMNS).parquet(_files_path(target, known.live[-1].batch_id))
+    return files.join(taken, ["path", "length", "modificationTime"], "left_semi")
+
+
 def processed_files(df: DataFrame) -> DataFrame:
     """A2 and F2: rows per source file, nameless sources left out."""
     return (

@@ -38,20 +38,25 @@ def write_snapshot(
     partition_by: Sequence[str] = (),
     optimize: bool = True,
     parameters: Mapping[str, str] | None = None,
+    known: ledger.State | None = None,
+    files: DataFrame | None = None,
 ) -> Written:
     """K1: replace what ``target`` holds with ``df``.
 
     The new batch is written beside the old ones, and its commit row is what makes it the
-    layer's content; the replaced batches are deleted last.
+    layer's content; the replaced batches are deleted last. ``files`` are those it was read from.
     """
     spark = df.sparkSession
     batch_id = uuid.uuid4().hex
-    known = ledger.state(spark, target)
+    known = known or ledger.state(spark, target)
+    if files is not None:
+        ledger.remember_files(target, batch_id, files)
     rows = _write(df, target, batch_id, partition_by, optimize)
     _record(df, target, known, batch_id, "overwrite", rows, partition_by, parameters)
     for child in storage.child_dirs(spark, target):
         if child.startswith(f"{ledger.BATCH}=") and child != f"{ledger.BATCH}={batch_id}":
             storage.remove(spark, f"{target.rstrip('/')}/{child}")
+            ledger.forget_files(spark, target, child.removeprefix(f"{ledger.BATCH}="))
     return Written((batch_id,), rows)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tierline import storage
@@ -65,19 +65,38 @@ def landing_to_raw(spark: SparkSession, spec: DatasetSpec) -> Outcome:
         done = intake.ingest_new_files(spark, spec, lambda df: prepare_raw(df, spec))
         status = "partial" if done.skipped else "ok" if done.files else "empty"
         return Outcome(spec.name, "landing_to_raw", status, done.rows, done.files, done.skipped)
-    manifest = files.landing_files(spark, spec)
-    members = manifest.collect()
+    return _snapshot(spark, spec)
+
+
+def _snapshot(spark: SparkSession, spec: DatasetSpec) -> Outcome:
+    members = files.landing_files(spark, spec).collect()
+    known = ledger.state(spark, spec.raw)
+    if members and spec.archive:
+        members = _finish_archiving(spark, spec, known, members)
     df = files.read_files(spark, spec, [m.path for m in members]) if members else None
     if df is None:
         return Outcome(spec.name, "landing_to_raw", "empty", files=len(members))
+    listed = spark.createDataFrame(members, ledger.FILE_COLUMNS)
     written = sinks.write_snapshot(
-        prepare_raw(df, spec), spec.raw, spec.partition_by, spec.optimize_write, {"files": str(len(members))}
+        prepare_raw(df, spec), spec.raw, spec.partition_by, spec.optimize_write, {"files": str(len(members))}, known,
+        listed if spec.archive else None,
     )
     if spec.archive:
-        ledger.archive(spark, spark.createDataFrame(members, manifest.schema), spec.archive)
+        ledger.archive(spark, listed, spec.archive)
     return Outcome(spec.name, "landing_to_raw", "ok", written.rows, len(members))
 
 
+def _finish_archiving(spark: SparkSession, spec: DatasetSpec, known: ledger.State, members: list[Row]) -> list[Row]:
+    """Archive what the last snapshot took in but did not get to archive; the rest is new."""
+    taken = ledger.left_over(spec.raw, known, spark.createDataFrame(members, ledger.FILE_COLUMNS))
+    done = taken.collect() if taken is not None else []
+    if not done:
+        return members
+    ledger.archive(spark, spark.createDataFrame(done, ledger.FILE_COLUMNS), spec.archive)
+    gone = {d.path for d in done}
+    return [m for m in members if m.path not in gone]
+
+
 def raw_to_bronze(spark: SparkSession, spec: DatasetSpec) -> Outcome:
     """Raw into bronze, each raw batch once.
 

@@ -74,7 +74,8 @@ def run_streams(spark: SparkSession, queries: Sequence[StreamingQuery], timeout:
             left = None if deadline is None else deadline - time.monotonic()
             if left is not None and left <= 0:
                 break
-            waiting[0].awaitTermination(min(1.0, left) if left is not None else 1.0)
+            # Spark counts in whole milliseconds and refuses zero.
+            waiting[0].awaitTermination(1.0 if left is None else min(1.0, max(left, 0.01)))
     finally:
         for query in waiting:
             query.stop()

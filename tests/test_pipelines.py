@@ -449,6 +449,20 @@ def test_listing_leaves_hidden_directories_out(spark, place, put):
     assert inspect.table_kind(spark, place("nowhere")) == "missing"
 
 
+def test_listing_tasks_do_not_grow_with_file_sizes(spark, place, put):
+    for i in range(40):
+        put(f"dir/{i}.txt", "x" * 5000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        assert spark.read.text(place("dir")).rdd.getNumPartitions() >= 40
+        listed = inspect.list_files(spark, place("dir"))
+        assert listed.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism + 1
+        assert listed.count() == 40
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_single_file_export(spark, place):
     df = spark.range(5).selectExpr("id", "timestamp'2024-01-01 00:00:00' as t")
     path = sinks.export_single_file(df, place("out"), "all.csv")

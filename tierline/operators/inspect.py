@@ -85,13 +85,8 @@ def table_kind(spark: SparkSession, path: str) -> str:
 
 
 def list_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """M5: files under ``path`` with size and time, hidden directories left out, contents unread.
-
-    The set of files is fixed by this call; those that go away before it is evaluated are passed
-    over.
-    """
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    return listing.option("ignoreMissingFiles", "true").load(path).select("path", "length", "modificationTime")
+    """M5: files under ``path`` with size and time, hidden directories left out, contents unread."""
+    return storage.listing(spark, path, {"recursiveFileLookup": str(recursive).lower()})
 
 
 @dataclass(frozen=True)

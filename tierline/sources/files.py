@@ -38,9 +38,7 @@ def landing_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     The set of files is fixed by this call. Files that leave landing before the result is
     evaluated are passed over. Files of zero bytes hold no rows and are not listed.
     """
-    options = {k: spec.reader_options[k] for k in _LISTING_OPTIONS if k in spec.reader_options}
-    listing = spark.read.format("binaryFile").options(**options).option("ignoreMissingFiles", "true")
-    return listing.load(spec.landing).select(*MANIFEST_COLUMNS)
+    return storage.listing(spark, spec.landing, {k: spec.reader_options[k] for k in _LISTING_OPTIONS if k in spec.reader_options})
 
 
 def stream_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:

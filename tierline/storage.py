@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 from functools import cached_property
 
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _GLOB_CHARACTERS = set("{}[]*?\\")
 
@@ -142,6 +142,19 @@ def partition_values(spark: SparkSession, path: str, depth: int) -> list[dict[st
     return found
 
 
+def listing(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
+    """Files under ``path`` as path, length and modificationTime; contents are not read.
+
+    The set of files is fixed by this call; those that go away before the result is evaluated
+    are passed over. Spark sizes scan tasks by file length, which is beside the point here: in a
+    session of its own the listing gets about one task per core, however large the files are.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
+    reader = session.read.format("binaryFile").options(**options).option("ignoreMissingFiles", "true")
+    return reader.load(path).select("path", "length", "modificationTime")
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new directory in the folder the session names in ``spark.checkpoint.dir``, or has set.
 

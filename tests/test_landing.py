@@ -1,6 +1,7 @@
 """Landing -> raw: the whole first slice, by explicit rows."""
 
 import os
+import re
 from datetime import datetime
 
 import pytest
@@ -87,6 +88,7 @@ def test_awkward_names_and_collisions_in_the_archive(spark, place, put):
     assert {"a b+c.csv", "x[1].csv", "z%20q.csv"} <= set(archived)
     same = [n for n in archived if n.startswith("same-")]
     assert len(same) == 2 and len(archived) == 5
+    assert all(re.fullmatch(r"same-[0-9a-f]{12}\.csv", n) for n in same)
     put("landing/a b+c.csv", text)
     jobs.landing_to_raw(spark, spec)
     assert len(os.listdir(place("archive"))) == 6

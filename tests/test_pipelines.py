@@ -3,12 +3,11 @@
 import json
 import os
 from dataclasses import replace
-from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from tierline import BronzeSpec, DatasetSpec, Field, fixtures, inspect, jobs, ledger, sinks, sources, storage, streaming
+from tierline import BronzeSpec, DatasetSpec, Field, fixtures, inspect, jobs, ledger, sinks, sources, storage
 from tierline.functions import schema as schemas
 from tierline.plans.jobs import RunFailed
 from tierline.streaming import control
@@ -200,6 +199,16 @@ def test_commit_rows_are_compacted(spark, place, monkeypatch):
     assert [e.version for e in ledger.state(spark, target).entries] == list(range(5))
 
 
+def test_an_unfinished_first_commit_is_replaced(spark, place):
+    target = place("layer")
+    sinks.append_batch(spark.sql("select 1 as a"), target, "one")
+    os.remove(f"{ledger.commit_path(target)}/gen=0/_SUCCESS")
+    assert ledger.state(spark, target).entries == ()
+    sinks.append_batch(spark.sql("select 1 as a"), target, "one")
+    assert [e.batch_id for e in ledger.state(spark, target).entries] == ["one"]
+    assert sources.layers.read_layer(spark, target).count() == 1
+
+
 class Crash(RuntimeError):
     pass
 

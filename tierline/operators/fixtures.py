@@ -112,13 +112,17 @@ def inventory(keys: DataFrame, key: str, seed: int = 0, base: str = BASE_MOMENT)
         F.struct(
             name.alias("name"),
             category.alias("category"),
-            F.concat(d.pick("description", ITEM_DESCRIPTIONS), F.lit(" "), F.lower(name), F.lit(" from "), F.lower(category), F.lit(".")).alias("description"),
+            F.concat(
+                d.pick("description", ITEM_DESCRIPTIONS), F.lit(" "), F.lower(name), F.lit(" from "), F.lower(category), F.lit(".")
+            ).alias("description"),
         ).alias("product_details"),
         F.struct(
             d.between("stock", 0, 300).alias("current_quantity"),
             d.pick("unit", UNITS_OF_MEASURE).alias("unit_of_measure"),
             d.pick("warehouse", WAREHOUSES).alias("warehouse_id"),
-            F.struct(d.pick("aisle", AISLES).alias("aisle"), d.pick("shelf", SHELVES).alias("shelf"), d.pick("bin", BINS).alias("bin_number")).alias("location_in_warehouse"),
+            F.struct(
+                d.pick("aisle", AISLES).alias("aisle"), d.pick("shelf", SHELVES).alias("shelf"), d.pick("bin", BINS).alias("bin_number")
+            ).alias("location_in_warehouse"),
             d.between("threshold", 10, 50).alias("low_stock_threshold"),
         ).alias("stock_management"),
         F.struct(

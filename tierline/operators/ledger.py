@@ -148,7 +148,8 @@ def _string_map(values: Mapping) -> Column:
 
 
 def _store(spark: SparkSession, target: str, known: State, new: DataFrame) -> None:
-    base, number, mode = commit_path(target), known.generation or 0, "append"
+    # Without a complete copy, what an unfinished first commit may have left is replaced.
+    base, number, mode = commit_path(target), known.generation or 0, "overwrite" if known.generation is None else "append"
     if known.generation is not None and len(known.entries) % COMPACT_AFTER == COMPACT_AFTER - 1:
         new = _read(spark, target, number).unionByName(new)
         number, mode = number + 1, "overwrite"
@@ -229,7 +230,8 @@ def archive_plan(files: DataFrame, archive: str, uri: str = "source_filename", e
     an earlier run has taken.
     """
     base = archive.rstrip("/") + "/"
-    hashed = F.regexp_replace(F.col("file_name"), r"(\.[^.]*)?$", F.concat(F.lit("-"), _tag(uri, files), F.lit("$1")))
+    stem, extension = F.regexp_replace("file_name", r"\.[^.]*$", ""), F.regexp_extract("file_name", r"(\.[^.]*)$", 1)
+    hashed = F.concat(stem, F.lit("-"), _tag(uri, files), extension)
     named = files.withColumn("file_name", basename(F.col(uri), encoded))
     shared = named.groupBy("file_name").agg(F.count(F.lit(1)).alias("same_name"))
     return (

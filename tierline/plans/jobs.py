@@ -198,7 +198,9 @@ def run(
     return report_df(spark, outcomes)
 
 
-def run_config(spark: SparkSession, config: Mapping, layers_at: Layers, job: str, mode: str = "snapshot", bronze_format: str = "parquet") -> DataFrame:
+def run_config(
+    spark: SparkSession, config: Mapping, layers_at: Layers, job: str, mode: str = "snapshot", bronze_format: str = "parquet"
+) -> DataFrame:
     """J4 from a JSON configuration: the datasets it lists for ``job``, under the given base paths."""
     return run(spark, specs_from_config(config, layers_at, mode, bronze_format), job, names_from_config(config, job))
 
@@ -220,7 +222,9 @@ def _run_one(spark: SparkSession, specs: Mapping[str, DatasetSpec], job: str, na
         return Outcome(name, job, "failed", error=f"{type(error).__name__}: {error}")
 
 
-def run_message_pipelines(spark: SparkSession, specs: Sequence[DatasetSpec], trigger: Mapping | None = None, timeout: float | None = None) -> list[str]:
+def run_message_pipelines(
+    spark: SparkSession, specs: Sequence[DatasetSpec], trigger: Mapping | None = None, timeout: float | None = None
+) -> list[str]:
     """T6 and J4 for messages: start every pipeline, wait for them, stop all when one fails."""
     started: list[StreamingQuery] = []
     try:

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import mixing, packing, token_counts, warc
+from tierline.llm import language, mixing, packing, spotsigs, token_counts, topk, warc
 from tierline.llm.common import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,18 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predictions(_table(spark, sf_dir, "documents"))
+
+
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return pieces.drop("ids")
@@ -52,6 +64,9 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_topk": op1_topk,
+    "op2_language": op2_language,
+    "op3_spotsigs": op3_spotsigs,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
@@ -59,6 +74,15 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_topk": """
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as double)) as e from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+s as (select q.vec_id as query_id, c.vec_id as vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id % 100 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
+r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s)
+select * from r where rank <= 10
+""",
     "op7_mixing": mixing.ORACLE,
     "op8_warc": """
 with p as (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha256(coalesce(html, '')) as d from pages),

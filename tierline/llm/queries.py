@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import language, mixing, packing, spotsigs, token_counts, topk, warc
+from tierline.llm import jaccard, language, mixing, packing, spotsigs, token_counts, topk, warc
 from tierline.llm.common import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_language": op2_language,
@@ -71,9 +75,22 @@ QUERIES: dict[str, Query] = {
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
     "op8_warc": op8_warc,
+    "op9_jaccard": op9_jaccard,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_jaccard": r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as ws from documents),
+s as (select doc_id, case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) end as set from w),
+x as (select doc_id, len(set) as n, unnest(set) as g from s),
+l as (select a.doc_id as a, b.doc_id as b from x a join x b on a.g = b.g and a.doc_id <> b.doc_id and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r as (select a as root, a as node from l union select r.root, l.b from r join l on r.node = l.a)
+select s.doc_id, cast(len(set) as bigint) as n_shingles, least(s.doc_id, coalesce(m.low, s.doc_id)) as component_id
+from s left join (select root, min(node) as low from r group by root) m on m.root = s.doc_id
+""",
     "op1_topk": """
 with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as double)) as e from embeddings
   where embedding is not null and len(embedding) > 0

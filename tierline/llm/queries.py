@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import jaccard, language, mixing, packing, spotsigs, token_counts, topk, warc
+from tierline.llm import jaccard, kneser_ney, language, mixing, packing, spotsigs, token_counts, topk, warc
 from tierline.llm.common import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(_table(spark, sf_dir, "documents"))
 
 
+def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.perplexity(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_language": op2_language,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op7_mixing": op7_mixing,
     "op8_warc": op8_warc,
     "op9_jaccard": op9_jaccard,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 
 ORACLES: dict[str, str] = {

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import jaccard, kneser_ney, language, mixing, packing, spotsigs, token_counts, topk, warc
+from tierline.llm import jaccard, kneser_ney, language, mixing, packing, pagetext, spotsigs, token_counts, topk, warc
 from tierline.llm.common import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op4_pagetext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagetext.extract(_table(spark, sf_dir, "pages"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return pieces.drop("ids")
@@ -75,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op1_topk": op1_topk,
     "op2_language": op2_language,
     "op3_spotsigs": op3_spotsigs,
+    "op4_pagetext": op4_pagetext,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,

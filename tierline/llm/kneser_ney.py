@@ -161,6 +161,7 @@ class Model:
     folder: str
     shards: int
     spread: np.ndarray
+    names: frozenset[str]
     tokens: int
     words: int
     texts: int
@@ -185,10 +186,11 @@ class Model:
         """A row of the file's columns for each key, zero for those it does not have. Keys are sorted within a shard."""
         found = np.zeros((columns, len(keys)), np.int64)
         for number, start, end in _runs(shard):
-            arrays = self._file(f"{kind}-{number}", kinds)
-            known, own = arrays[0], keys[start:end]
-            if not len(known):
+            name = f"{kind}-{number}"
+            if name not in self.names:
                 continue
+            arrays = self._file(name, kinds)
+            known, own = arrays[0], keys[start:end]
             place = np.minimum(np.searchsorted(known, own), len(known) - 1)
             hit = known[place] == own
             if kind == "words":
@@ -338,12 +340,15 @@ def train(texts: DataFrame, folder: str, shard_bytes: int = 1 << 23, buffer: int
         words, facts, shard = words[order], [f[order] for f in facts], shard[order]
         rows = [(s, _narrow(words[a:b]), _squeezed(np.concatenate([f[a:b] for f in facts]))) for s, a, b in _runs(shard)]
         rows.append((-1, b"", _squeezed(np.array([np.sum(counts == i) for i in (1, 2, 3, 4)] + [len(counts)]))))
+        rows.append((-2 - number, b"", _squeezed(np.zeros(0))))  # that there is a file
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["shard", "words", "facts"])
 
     def add_words(key, group):
         number = key[0].as_py()
         facts = [_loose(f) for f in group.column("facts").to_pylist()]
-        if number < 0:
+        if number < -1:
+            totals = np.zeros(0, np.int64)
+        elif number < 0:
             totals = np.sum(facts, axis=0)
         else:
             words = [_wide(w) for w in group.column("words").to_pylist()]
@@ -357,13 +362,16 @@ def train(texts: DataFrame, folder: str, shard_bytes: int = 1 << 23, buffer: int
 
     pairs = texts.mapInArrow(count, _PAIR_ROWS).groupBy("shard").applyInArrow(add_pairs, _WORD_ROWS)
     summed = pairs.groupBy("shard").applyInArrow(add_words, "shard int, totals array<long>")
-    # one short row for each shard, added up before it is collected
-    rows = summed.groupBy((F.col("shard") < 0).alias("of_pairs")).agg(*[F.sum(F.get("totals", F.lit(i))).alias(f"t{i}") for i in range(8)]).collect()
-    of = {r.of_pairs: [x or 0 for x in r[1:]] for r in rows}
+    # one short row for each shard, added up before it is collected, and the numbers of those that have files
+    sums = [F.sum(F.get("totals", F.lit(i))).alias(f"t{i}") for i in range(8)]
+    rows = summed.groupBy((F.col("shard") < 0).alias("of_pairs")).agg(F.collect_list("shard").alias("shards"), *sums).collect()
+    of = {r.of_pairs: [x or 0 for x in r[2:]] for r in rows}
     of_pairs, of_words = of.get(True, [0] * 8), of.get(False, [0] * 8)
+    numbers = [n for r in rows for n in r.shards]
+    files = {f"words-{n}" for n in numbers if n >= 0} | {f"pairs-{-2 - n}" for n in numbers if n < -1}
     taken = discounts(of_words[3:7])
     kept = float(taken[1] * of_words[3] + taken[2] * of_words[4] + taken[3] * of_words[7]) / max(1, of_pairs[4])
-    return Model(folder, shards, spread, of_words[0], of_words[1], of_words[2], of_pairs[4], discounts(of_pairs[:4]), taken, kept)
+    return Model(folder, shards, spread, frozenset(files), of_words[0], of_words[1], of_words[2], of_pairs[4], discounts(of_pairs[:4]), taken, kept)
 
 
 def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,8 +2,8 @@
 
 Every letter has a random vector of +1 and -1 that depends on its code point alone. An n-gram's vector is
 the product of its letters' vectors, each rolled by its distance from the n-gram's end; a text's vector is
-the sum over its n-grams. A language's prototype is the sum over its labelled texts, and a text belongs to
-the prototype with the largest cosine.
+the sum over its n-grams. A language's prototype is the sum over its labelled texts, each divided by its
+number of n-grams, and a text belongs to the prototype with the largest cosine.
 """
 
 from __future__ import annotations
@@ -105,9 +105,11 @@ def learn(docs: DataFrame, trains: Column, text_col: str, lang_col: str, dimensi
             known, place = np.unique(number, return_inverse=True)
             vectors = gram_vectors(known, alphabet, dimensions)
             spoken = languages[owner]
+            # texts weigh the same however long they are
+            weights = counts / np.bincount(owner, counts, len(texts))[owner]
             for language in set(languages.tolist()):
                 own = spoken == language
-                total = np.bincount(place[own], counts[own], len(known)) @ vectors
+                total = np.bincount(place[own], weights[own], len(known)) @ vectors
                 sums[language] = sums.get(language, 0) + total.astype(np.float64)
         salt = TaskContext.get().partitionId() % 64
         rows = list(sums.items())

@@ -129,7 +129,8 @@ def repeated_tokens(streams: list[list[str]], least: int, pages: int) -> list[np
     covered = np.zeros(len(ids), bool)
     while span < least and len(ids):
         step = min(span, least - span)
-        after = np.concatenate([rank[step:], np.full(step, -1)])
+        after = np.full(len(rank), -1)
+        after[: max(0, len(rank) - step)] = rank[step:]
         order = np.lexsort((after, rank))
         new = np.concatenate([[0], np.cumsum((rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1]))])
         rank = np.empty_like(new)
@@ -137,7 +138,8 @@ def repeated_tokens(streams: list[list[str]], least: int, pages: int) -> list[np
         span += step
     if len(ids):
         pairs = np.unique(np.stack([rank, owner], axis=1), axis=0)[:, 0]
-        often = np.flatnonzero(np.bincount(pairs, minlength=int(rank.max()) + 1)[rank] >= pages)
+        room = np.repeat(ends, [n + 1 for n in sizes]) - 1 - np.arange(len(ids))
+        often = np.flatnonzero((np.bincount(pairs, minlength=int(rank.max()) + 1)[rank] >= pages) & (room >= least))
         marks = np.zeros(len(ids) + 1, np.int64)
         np.add.at(marks, often, 1)
         np.add.at(marks, np.minimum(often + least, len(ids)), -1)

@@ -1 +1 @@
-"""Writes, ledgers, inspection and generated data."""
+"""Writes, ledgers, inspection, and landing data made from tables."""

@@ -48,6 +48,11 @@ def batch_path(target: str, batch_id: str) -> str:
     return f"{target.rstrip('/')}/{BATCH}={batch_id}"
 
 
+def batch_dirs(spark: SparkSession, target: str) -> list[str]:
+    """Ids of the batches that have a directory, finished or not."""
+    return [d.removeprefix(f"{BATCH}=") for d in storage.child_dirs(spark, target) if d.startswith(f"{BATCH}=")]
+
+
 def _generation(spark: SparkSession, target: str) -> int | None:
     """The newest complete copy of the commit rows; an unfinished rewrite is not it."""
     base = commit_path(target)
@@ -92,12 +97,25 @@ class State:
     def next_version(self) -> int:
         return self.entries[-1].version + 1 if self.entries else 0
 
-    def has(self, batch_id: str) -> bool:
-        return any(e.batch_id == batch_id for e in self.entries)
+    @cached_property
+    def _ids(self) -> frozenset[str]:
+        return frozenset(e.batch_id for e in self.entries)
 
-    def schema(self, partition_by: Iterable[str] = ()) -> T.StructType | None:
-        """The merged schema of the live batches; ``None`` if there are none."""
-        found = [T.StructType.fromJson(json.loads(e.table_schema)) for e in self.live if e.table_schema]
+    def has(self, batch_id: str) -> bool:
+        return batch_id in self._ids
+
+    def schema(self, partition_by: Iterable[str] = (), batch_ids: Iterable[str] | None = None) -> T.StructType | None:
+        """The merged schema of the live batches, or of those given; ``None`` if there are none.
+
+        A row has a schema where it differs from the rows before, back to the last overwrite; so
+        those from there on belong to a batch.
+        """
+        entries = self.live
+        if batch_ids is not None and not set(batch_ids) <= {e.batch_id for e in entries}:
+            chosen = [e.version for e in self.entries if e.batch_id in set(batch_ids)]
+            first = max((e.version for e in self.entries if e.operation == "overwrite" and e.version <= min(chosen, default=0)), default=0)
+            entries = [e for e in self.entries if first <= e.version <= max(chosen, default=-1)]
+        found = [T.StructType.fromJson(json.loads(e.table_schema)) for e in entries if e.table_schema]
         return schemas.merge(found, partition_by) if found else None
 
 
@@ -159,15 +177,24 @@ def _store(spark: SparkSession, target: str, known: State, new: DataFrame) -> No
         storage.remove(spark, f"{base}/{_GENERATION}{number - 2}")
 
 
-def pending(source: State, target: State) -> list[Row]:
-    """Live batches of ``source`` that came after the last one promoted to ``target``, oldest first.
+def pending(source: State, target: State, there: Iterable[str]) -> list[list[Row]]:
+    """Batches of ``source`` that came after the last one promoted to ``target``, oldest first.
 
     Each promotion records the source batch it went up to. If that batch is unknown, the source
-    was made anew, and all of it is pending.
+    was made anew, and all of it is pending. Replaced snapshots are pending as long as they are
+    kept (``there``); each starts a group of its own, as its columns may differ.
     """
     through = next((e.raw_through for e in reversed(target.entries) if e.raw_through), None)
     done = next((e.version for e in source.entries if e.batch_id == through), -1)
-    return [e for e in source.live if e.version > done]
+    kept, live = set(there), {e.batch_id for e in source.live}
+    groups: list[list[Row]] = []
+    for entry in source.entries:
+        if entry.version <= done or entry.batch_id not in kept | live:
+            continue
+        if not groups or entry.operation == "overwrite":
+            groups.append([])
+        groups[-1].append(entry)
+    return groups
 
 
 FILE_COLUMNS = "path string, length bigint, modificationTime timestamp"
@@ -244,7 +271,7 @@ def archive_plan(files: DataFrame, archive: str, uri: str = "source_filename", e
 
 def _tag(uri: str, files: DataFrame) -> Column:
     identity = [c for c in (uri, "length", "modificationTime") if c in files.columns]
-    return F.substring(F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in identity])), 1, 12)
+    return F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in identity]))
 
 
 def archive(spark: SparkSession, files: DataFrame, target: str, uri: str = "path", encoded: bool = False, threads: int = 16) -> int:

@@ -7,7 +7,7 @@ once its data is complete, so an attempt that is repeated leaves one copy of its
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -40,11 +40,13 @@ def write_snapshot(
     parameters: Mapping[str, str] | None = None,
     known: ledger.State | None = None,
     files: DataFrame | None = None,
+    keep: Callable[[ledger.State], Iterable[str]] = lambda known: (),
 ) -> Written:
     """K1: replace what ``target`` holds with ``df``.
 
     The new batch is written beside the old ones, and its commit row is what makes it the
-    layer's content; the replaced batches are deleted last. ``files`` are those it was read from.
+    layer's content; the replaced batches are deleted last, but for those that ``keep`` names
+    because someone has yet to read them. ``files`` are those it was read from.
     """
     spark = df.sparkSession
     batch_id = uuid.uuid4().hex
@@ -53,13 +55,19 @@ def write_snapshot(
         ledger.remember_files(target, batch_id, files)
     rows = _write(df, target, batch_id, partition_by, optimize)
     _record(df, target, known, batch_id, "overwrite", rows, partition_by, parameters)
-    for child in storage.child_dirs(spark, target):
-        if child.startswith(f"{ledger.BATCH}=") and child != f"{ledger.BATCH}={batch_id}":
-            storage.remove(spark, f"{target.rstrip('/')}/{child}")
-            ledger.forget_files(spark, target, child.removeprefix(f"{ledger.BATCH}="))
+    clear_replaced(spark, target, batch_id, keep(known))
     return Written((batch_id,), rows)
 
 
+def clear_replaced(spark: SparkSession, target: str, current: str, keep: Iterable[str] = ()) -> None:
+    """Delete the batches that the snapshot ``current`` replaced, but for those to keep."""
+    kept = {current, *keep}
+    for batch_id in ledger.batch_dirs(spark, target):
+        if batch_id not in kept:
+            storage.remove(spark, ledger.batch_path(target, batch_id))
+            ledger.forget_files(spark, target, batch_id)
+
+
 def append_batch(
     df: DataFrame,
     target: str,
@@ -184,9 +192,8 @@ def write_bronze(
         rows = _write(df, bronze.path, batch_id, bronze.partition_by, bronze.optimize_write)
     if expected_rows is not None and rows != expected_rows:
         raise RuntimeError(f"{bronze.path}: wrote {rows} rows of {expected_rows}; the batch stays uncommitted")
-    if bronze.full_table and bronze.format == "parquet":
-        register(spark, bronze, known, df.schema, batch_id)
     _record(df, bronze.path, known, batch_id, "append", rows, bronze.partition_by, parameters)
+    align_table(spark, bronze)
     return Written((batch_id,), rows)
 
 
@@ -216,19 +223,22 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(name)}")
 
 
-def register(spark: SparkSession, bronze: BronzeSpec, known: ledger.State, schema: T.StructType, batch_id: str) -> None:
-    """K6: an external table over the bronze directory, with the partitions of a complete batch.
+def align_table(spark: SparkSession, bronze: BronzeSpec, known: ledger.State | None = None) -> None:
+    """K6: an external table over the bronze directory that shows the committed batches and no others.
 
-    This comes before the commit row, so that a crash in between is made good by the attempt
-    that follows. A new table also gets the partitions of every batch in ``known``. They are
-    added batch by batch rather than by scanning the whole directory, so the cost follows what
-    was written.
+    This comes after the commit row and again at the start of each promotion, so what a crash in
+    between left out is made good, and partitions of batches that are not committed, or have been
+    replaced, go. Only batches whose partitions are missing are looked at.
     """
-    stored = known.schema()
-    merged = schemas.merge([schema] if stored is None else [stored, schema], bronze.partition_by)
+    if not bronze.full_table or bronze.format != "parquet":
+        return
+    known = known or ledger.state(spark, bronze.path)
+    merged = known.schema(bronze.partition_by)
+    if merged is None:
+        return
     columns = T.StructType([T.StructField(ledger.BATCH, T.StringType()), *merged.fields])
     layout = [ledger.BATCH, *bronze.partition_by]
-    table, batch_ids = _quoted(bronze.full_table), [batch_id]
+    table = _quoted(bronze.full_table)
     if spark.catalog.tableExists(bronze.full_table) and _nested_growth(spark.table(bronze.full_table).schema, columns):
         drop_table(spark, bronze.full_table)  # a struct cannot gain fields in place; the files stay
     if not spark.catalog.tableExists(bronze.full_table):
@@ -238,18 +248,30 @@ def register(spark: SparkSession, bronze: BronzeSpec, known: ledger.State, schem
             f"CREATE TABLE {table} ({columns.toDDL()}) USING parquet "
             f"PARTITIONED BY ({', '.join(map(_quoted_name, layout))}) LOCATION '{location}'"
         )
-        batch_ids = [*known.batch_ids, batch_id]
     else:
         present = {c.lower() for c in spark.table(bronze.full_table).columns}
         added = T.StructType([c for c in columns if c.name.lower() not in present])
         if added:
             spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added.toDDL()})")
-    for each in batch_ids:
-        values = storage.partition_values(spark, ledger.batch_path(bronze.path, each), len(bronze.partition_by))
-        _add_partitions(spark, table, layout, [{ledger.BATCH: each, **v} for v in values])
+    shown = _shown_batches(spark, table)
+    for batch_id in sorted(shown - set(known.batch_ids)):
+        listed = spark.sql(f"SHOW PARTITIONS {table} PARTITION ({_quoted_name(ledger.BATCH)}={_value(batch_id)})")
+        for row in listed.collect():
+            values = storage.partition_spec(spark, row.partition)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({', '.join(f'{_quoted_name(c)}={_value(v)}' for c, v in values.items())})")
+    for batch_id in [b for b in known.batch_ids if b not in shown]:
+        values = storage.partition_values(spark, ledger.batch_path(bronze.path, batch_id), len(bronze.partition_by))
+        _add_partitions(spark, table, layout, [{ledger.BATCH: batch_id, **v} for v in values])
     spark.catalog.refreshTable(bronze.full_table)
 
 
+def _shown_batches(spark: SparkSession, table: str) -> set[str]:
+    """The batches that a table has partitions of."""
+    first = F.substring_index(F.col("partition"), "/", 1)
+    found = spark.sql(f"SHOW PARTITIONS {table}").select(F.substring_index(first, "=", -1).alias("b")).distinct()
+    return {r.b for r in found.collect()}
+
+
 def _nested_growth(present: T.StructType, wanted: T.StructType) -> bool:
     kinds = {c.name.lower(): c.dataType.simpleString() for c in present}
     return any(kinds.get(c.name.lower(), c.dataType.simpleString()) != c.dataType.simpleString() for c in wanted)

@@ -346,15 +346,6 @@ def relanded_names_are_skipped(spark, sf_dir):
     return layers.read_raw(spark, spec).select(*customer.columns)
 
 
-@query("select s_suppkey, s_name, s_nationkey, s_acctbal from supplier")
-def single_file_export(spark, sf_dir):
-    """K9."""
-    site = Site(spark, sf_dir, "export")
-    supplier = site.table("supplier")
-    path = sinks.export_single_file(supplier, site.at("out"), "suppliers.csv")
-    return spark.read.schema(supplier.schema).csv(path, header=True)
-
-
 @query("select 'file:///landing/part%20' || event_id || '+x.csv' as source_filename, 'arch/part ' || event_id || '+x.csv' as archived_as from events")
 def archive_plan(spark, sf_dir):
     """Where each processed file goes; names decoded, a plus sign kept."""
@@ -637,133 +628,6 @@ def epoch_repair(spark, sf_dir):
     return df.select("event_id", *[F.col(f"from_{u}").cast("timestamp_ntz").alias(f"from_{u}") for u in ("seconds", "millis", "micros")])
 
 
-# --- generated landing data ----------------------------------------------------------------
-
-
-class _DrawSql:
-    """The draws of ``fixtures`` as SQL over one key column."""
-
-    def __init__(self, key: str, seed: int = 0):
-        self.key, self.seed = key, seed
-
-    def digest(self, label):
-        return f"md5('{self.seed}|{label}|' || cast({self.key} as varchar))"
-
-    def below(self, label, n):
-        return f"cast(cast('0x' || substr({self.digest(label)}, 1, 8) as bigint) % {n} as integer)"
-
-    def between(self, label, low, high):
-        return f"({self.below(label, high - low + 1)} + {low})"
-
-    def pick(self, label, values):
-        listed = ", ".join("null" if v is None else f"'{v}'" for v in values)
-        return f"([{listed}])[{self.below(label, len(values))} + 1]"
-
-    def hundredths(self, label, low, high):
-        return f"round(cast({self.between(label, low * 100, high * 100)} as double) / 100, 2)"
-
-    def uuid(self, label):
-        d = self.digest(label)
-        return " || '-' || ".join(f"substr({d}, {start}, {size})" for start, size in [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)])
-
-
-def _sales_sql(promo: bool) -> str:
-    d = _DrawSql("o_orderkey")
-    low, high, most = (10, 200, 5) if promo else (5, 200, 10)
-    extra = f", {d.pick('promo', fixtures.PROMO_CODES)} as promo_code" if promo else ""
-    return (
-        f"select {d.uuid('order')} as order_id, {d.pick('product', fixtures.SALES_PRODUCTS)} as product_id, "
-        f"{d.between('quantity', 1, most)} as quantity, {d.hundredths('price', low, high)} as price, "
-        f"{d.pick('customer', fixtures.SALES_CUSTOMERS)} as customer_id, "
-        f"timestamp '{fixtures.BASE_MOMENT}' + to_minutes({d.below('minute', 6 * 24 * 60)}) as order_date{extra} from orders"
-    )
-
-
-@query(_sales_sql(False))
-def synthetic_sales(spark, sf_dir):
-    """G1: a sale per order key."""
-    return fixtures.sales(Site(spark, sf_dir, "sales").table("orders"), "o_orderkey")
-
-
-@query(_sales_sql(True))
-def synthetic_sales_promo(spark, sf_dir):
-    """G2."""
-    return fixtures.sales(Site(spark, sf_dir, "promo").table("orders"), "o_orderkey", promo=True)
-
-
-def _inventory_sql() -> str:
-    d = _DrawSql("p_partkey")
-    name, category = d.pick("name", fixtures.ITEM_NAMES), d.pick("category", fixtures.ITEM_CATEGORIES)
-    supplier = d.pick("supplier", fixtures.INVENTORY_SUPPLIERS)
-    day = f"cast(timestamp '{fixtures.BASE_MOMENT}' as date)"
-    return (
-        f"select 'INV' || {d.between('item', 1000, 9999)} || '_' || p_partkey as item_id, "
-        f"{d.pick('description', fixtures.ITEM_DESCRIPTIONS)} || ' ' || lower({name}) || ' from ' || lower({category}) || '.' as description, "
-        f"{d.between('stock', 0, 300)} as current_quantity, {d.pick('bin', fixtures.BINS)} as bin_number, "
-        f"'SUPP_' || substr(upper(replace({supplier}, ' ', '_')), 1, 15) || {d.between('supplier_no', 1, 99)} as supplier_id, "
-        f"cast({day} - {d.between('received', 1, 30)} as varchar) as received_date, "
-        f"strftime(timestamp '{fixtures.BASE_MOMENT}' - to_minutes({d.below('updated', 120 * 24 + 1)}), '%Y-%m-%dT%H:%M:%S') || 'Z' as last_updated_timestamp "
-        "from part"
-    )
-
-
-@query(_inventory_sql())
-def synthetic_inventory(spark, sf_dir):
-    """Nested items, landed as JSON and read back."""
-    site = Site(spark, sf_dir, "inventory")
-    items = fixtures.inventory(site.table("part"), "p_partkey")
-    fixtures.land(items, site.at("landing"), "json")
-    spec = DatasetSpec(
-        name="inventory", format="json", landing=site.at("landing"), raw=site.at("raw"),
-        fields=tuple(Field(f.name, f.dataType.simpleString()) for f in items.schema),
-    )
-    return files.read_files(spark, spec).select(
-        "item_id", "product_details.description", "stock_management.current_quantity",
-        "stock_management.location_in_warehouse.bin_number", "supplier_information.supplier_id",
-        "quality_metrics.received_date", "last_updated_timestamp",
-    )
-
-
-def _sensors_sql() -> str:
-    d = _DrawSql("event_id")
-    plot = f"'PLOT_' || {d.pick('plot_row', fixtures.PLOT_ROWS)} || {d.between('plot_no', 1, 5)}"
-    return (
-        f"select {d.pick('sensor', fixtures.SENSORS)} as sensor_id, 1735689600000 + cast({d.between('offset', 0, 86_399)} as bigint) * 1000 as timestamp, "
-        f"cast({d.hundredths('temperature', 10, 35)} as float) as temperature_celsius, "
-        f"cast({d.hundredths('humidity', 30, 90)} as float) as humidity_percent, "
-        f"case when {d.below('has_ph', 10)} >= 2 then cast(cast({d.between('ph', 50, 80)} as double) / 10 as float) end as soil_quality_ph, "
-        f"case when {d.below('has_plot', 10)} >= 3 then {plot} end as location_plot_id from events"
-    )
-
-
-@query(_sensors_sql())
-def synthetic_sensors(spark, sf_dir):
-    """A reading per event."""
-    return fixtures.sensors(Site(spark, sf_dir, "sensors").table("events"), "event_id")
-
-
-def _logistics_sql() -> str:
-    d = _DrawSql("p_partkey")
-    dispatched = f"(cast(timestamp '{fixtures.BASE_MOMENT}' as date) - {d.between('dispatch', 1, 10)})"
-    status = d.pick("status", fixtures.SHIPMENT_STATUSES)
-    return (
-        f"select {d.uuid('shipment')} as shipment_id, {d.pick('supplier', fixtures.LOGISTICS_SUPPLIERS)} as supplier_id, "
-        f"{d.pick('product', fixtures.LOGISTICS_PRODUCTS)} as product_id, cast({d.between('quantity', 10, 1000)} as bigint) as quantity, "
-        f"cast({dispatched} as varchar) as dispatch_date, cast({dispatched} + {d.between('expected', 2, 10)} as varchar) as expected_delivery_date, "
-        f"case when {status} = 'Delivered' then cast({dispatched} + {d.between('actual', 1, 12)} as varchar) end as actual_delivery_date, "
-        f"{status} as status from part"
-    )
-
-
-@query(_logistics_sql())
-def synthetic_logistics(spark, sf_dir):
-    """A shipment per part, landed as Parquet and read back."""
-    site = Site(spark, sf_dir, "logistics")
-    fixtures.land(fixtures.logistics(site.table("part"), "p_partkey"), site.at("landing"), "parquet")
-    spec = DatasetSpec(name="logistics", format="parquet", landing=site.at("landing"), raw=site.at("raw"), evolution="add_new_columns")
-    return files.read_files(spark, spec).drop("source_filename")
-
-
 # --- flagship ------------------------------------------------------------------------------
 
 

@@ -79,7 +79,7 @@ def _snapshot(spark: SparkSession, spec: DatasetSpec) -> Outcome:
     listed = spark.createDataFrame(members, ledger.FILE_COLUMNS)
     written = sinks.write_snapshot(
         prepare_raw(df, spec), spec.raw, spec.partition_by, spec.optimize_write, {"files": str(len(members))}, known,
-        listed if spec.archive else None,
+        listed if spec.archive else None, lambda raw: _unpromoted(spark, spec, raw),
     )
     if spec.archive:
         ledger.archive(spark, listed, spec.archive)
@@ -122,15 +122,30 @@ def raw_to_bronze(spark: SparkSession, spec: DatasetSpec) -> Outcome:
 
 def _promote_pending(spark: SparkSession, spec: DatasetSpec, bronze: BronzeSpec) -> Outcome:
     raw, known = ledger.state(spark, spec.raw), ledger.state(spark, bronze.path)
-    waiting = ledger.pending(raw, known)
-    if not waiting:
+    sinks.align_table(spark, bronze, known)
+    groups = ledger.pending(raw, known, ledger.batch_dirs(spark, spec.raw))
+    if not groups:
         return Outcome(spec.name, "raw_to_bronze", "empty")
-    df = layers.read_raw(spark, spec, [w.batch_id for w in waiting], raw).drop(ledger.BATCH)
-    # Named after the first batch it covers: a repeated attempt starts there again.
-    written = sinks.write_bronze(
-        prepare_bronze(df, bronze), bronze, waiting[0].batch_id, {"raw_through": waiting[-1].batch_id}, sum(w.rows for w in waiting), known
-    )
-    return Outcome(spec.name, "raw_to_bronze", "ok", written.rows)
+    rows = 0
+    for waiting in groups:
+        df = layers.read_raw(spark, spec, [w.batch_id for w in waiting], raw).drop(ledger.BATCH)
+        # Named after the first batch it covers: a repeated attempt starts there again.
+        written = sinks.write_bronze(
+            prepare_bronze(df, bronze), bronze, waiting[0].batch_id, {"raw_through": waiting[-1].batch_id}, sum(w.rows for w in waiting)
+        )
+        rows += written.rows
+    if raw.live and raw.live[0].operation == "overwrite":
+        sinks.clear_replaced(spark, spec.raw, raw.live[0].batch_id, raw.batch_ids)
+    return Outcome(spec.name, "raw_to_bronze", "ok", rows)
+
+
+def _unpromoted(spark: SparkSession, spec: DatasetSpec, raw: ledger.State) -> list[str]:
+    """Raw batches that bronze has yet to take, and that a new snapshot must leave in place."""
+    bronze = spec.bronze
+    if bronze is None or bronze.raw_format != "parquet":
+        return []
+    groups = ledger.pending(raw, ledger.state(spark, bronze.path), ledger.batch_dirs(spark, spec.raw))
+    return [entry.batch_id for group in groups for entry in group]
 
 
 def decoded_messages(spark: SparkSession, spec: DatasetSpec) -> DataFrame:

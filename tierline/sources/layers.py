@@ -41,37 +41,29 @@ def read_layer(
     batch_ids: Iterable[str] | None = None,
     known: ledger.State | None = None,
 ) -> DataFrame:
-    """A layer directory through its commit rows, or as plain Parquet if it has none."""
+    """A layer directory through its commit rows, or as plain Parquet if it has none.
+
+    ``batch_ids`` may name batches that a later snapshot has replaced, as long as they are kept.
+    A committed batch that is not there any more fails the read, however many there are.
+    """
     options = options or {}
     known = known or ledger.state(spark, path)
-    stored = known.schema(partition_by)
+    chosen = known.batch_ids if batch_ids is None else tuple(batch_ids)
+    stored = known.schema(partition_by, chosen)
     if stored is None:
         return spark.read.options(**{"mergeSchema": "true", **options}).parquet(path)
-    chosen = known.batch_ids if batch_ids is None else tuple(batch_ids)
     columns = stored.names
     schema = T.StructType([*stored.fields, T.StructField(ledger.BATCH, T.StringType())])
     if not chosen:
         return spark.createDataFrame([], schema).select(ledger.BATCH, *columns)
-    reader = spark.read.schema(schema).options(**{**options, "basePath": path})
-    if len(chosen) <= _PATHS_AT_ONCE:
-        df = reader.parquet(*[ledger.batch_path(path, b) for b in chosen])
-    else:
-        df = reader.parquet(path).join(_ids(spark, path, known, chosen, batch_ids is None), ledger.BATCH, "left_semi")
+    missing = sorted(set(chosen) - set(ledger.batch_dirs(spark, path)))
+    if missing:
+        raise FileNotFoundError(f"{path}: {len(missing)} of {len(chosen)} committed batches are gone, the first is {missing[0]!r}")
+    # a literal filter on the partition column prunes other batches when the query is planned
+    df = spark.read.schema(schema).options(**{**options, "basePath": path}).parquet(path).where(F.col(ledger.BATCH).isin(*chosen))
     return df.select(ledger.BATCH, *[F.col(f"`{c}`") for c in columns])
 
 
-# More batches than this are not named one by one: the directory is listed by Spark and joined
-# with the ids on its partition column, so that other batches are pruned or dropped.
-_PATHS_AT_ONCE = 1000
-
-
-def _ids(spark: SparkSession, path: str, known: ledger.State, chosen: tuple[str, ...], all_live: bool) -> DataFrame:
-    if not all_live:
-        return spark.createDataFrame([(b,) for b in chosen], f"{ledger.BATCH} string")
-    live = ledger.commits(spark, path).where(F.col("version") >= known.live[0].version)
-    return live.select(F.col("batch_id").alias(ledger.BATCH))
-
-
 def stream_raw(spark: SparkSession, spec: DatasetSpec, max_files_per_trigger: int | None = None) -> DataFrame:
     """New files of a raw directory that a message stream fills, as a stream."""
     schema = (

@@ -142,6 +142,13 @@ def partition_values(spark: SparkSession, path: str, depth: int) -> list[dict[st
     return found
 
 
+def partition_spec(spark: SparkSession, path: str) -> dict[str, str | None]:
+    """Partition column values in a relative path such as ``a=1/b=x``."""
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    pairs = (part.split("=", 1) for part in path.split("/"))
+    return {unescape(k): None if v in ("__HIVE_DEFAULT_PARTITION__", "null") else unescape(v) for k, v in pairs}
+
+
 def listing(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
     """Files under ``path`` as path, length and modificationTime; contents are not read.
 

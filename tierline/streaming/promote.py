@@ -36,5 +36,6 @@ def stream_bronze(raw: DataFrame, bronze: BronzeSpec, derive: Callable[[DataFram
         total.rows += sinks.write_bronze(derive(df), bronze, batch_id, known=known).rows
         total.batches += 1
 
+    sinks.align_table(raw.sparkSession, bronze)
     control.run_available(raw, one_batch, bronze.checkpoint, control.query_name("raw_to_bronze", name))
     return total

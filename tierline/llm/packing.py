@@ -9,9 +9,11 @@ what is in windows that would be padded is cut anew into full ones.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,50 +23,77 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import by_size, text_of
 
-#: Runs that a byte-level tokenizer never joins with what stands beside them: white space and letters or
-#: digits, white space and signs (with the letters after an apostrophe), or white space alone.
-_RUNS = re.compile(r"\s*[^\W_]+|\s*(?:[^\w\s]|_)+(?:(?<=')[^\W_]+)?|\s+")
-#: Characters whose class might differ between Python and the tokenizer; texts with one are encoded whole.
-_UNSURE = re.compile("[\x1c-\x1f̀-\U0010ffff]")
+#: The split that the byte-level pre-tokenizer makes before merging; a fixed value of that format.
+_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Characters whose class might differ between two libraries' Unicode tables.
+_UNSURE = re.compile("[\x1c-\x1f\u0300-\U0010ffff]")
 #: A place where any text can be cut: one space between characters that are not white space.
 _SPACE = re.compile(r"(?<=[^\s\x1c-\x1f]) (?=[^\s\x1c-\x1f])")
 
 
+def byte_symbols() -> dict[str, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable Latin-1 for itself, the others from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def ranked(path: str):
+    """The tokenizer file's merges as an encoder by rank, which gives the same ids at a fraction of the time.
+
+    ``None`` unless the file is byte-level BPE without a normalizer whose merges, in order, make the ids
+    after the 256 bytes: only then is merging the pair with the smallest id the same as the pair with
+    the first merge.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        parts = json.load(file)
+    model, splitter = parts["model"], parts["pre_tokenizer"] or {}
+    plain = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    if not plain or parts["normalizer"] or (splitter.get("type"), splitter.get("use_regex"), splitter.get("add_prefix_space")) != ("ByteLevel", True, False):
+        return None
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    if len(model["vocab"]) != 256 + len(merged) or any(model["vocab"].get(m) != 256 + i for i, m in enumerate(merged)):
+        return None
+    symbols = byte_symbols()
+    ranks = {bytes(symbols[c] for c in token): number for token, number in model["vocab"].items()}
+    return tiktoken.Encoding(path, pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
-    """Token ids of texts as little-endian 32-bit numbers, by the tokenizer, with a bounded cache of runs."""
+    """Token ids of texts as little-endian 32-bit numbers, those that the tokenizer file's library gives."""
 
-    def __init__(self, path: str, most: int = 1 << 19):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.runs: dict[str, bytes] = {}
+        self.fast = ranked(path)
         probe = "It's a  b\n\n c_d'll x2 -- é!'s\t"
-        self.by_run = b"".join(map(self.whole, _RUNS.findall(probe))) == self.whole(probe)
+        if self.fast and self.fast.encode_to_numpy(probe, disallowed_special=()).astype("<u4").tobytes() != self.whole(probe):
+            self.fast = None
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not self.by_run or any(s in text for s in self.special):
+        if not self.fast or any(s in text for s in self.special):
             return self.whole(text)
         return b"".join(map(self._stretch, stretches(text, 1 << 20)))
 
     def _stretch(self, text: str) -> bytes:
-        if _UNSURE.search(text):
+        if not text.isascii() and _UNSURE.search(text):
             return self.whole(text)
-        found, known = _RUNS.findall(text), self.runs
-        try:
-            return b"".join([known[r] for r in found])
-        except KeyError:
-            if len(known) > self.most:
-                known.clear()
-            new = [r for r in set(found) if r not in known]
-            for run, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[run] = np.array(encoded.ids, "<u4").tobytes()
-            return b"".join([known[r] for r in found])
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+
+
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(path)
 
 
 def stretches(text: str, most: int) -> Iterator[str]:
@@ -150,7 +179,7 @@ def pack(
     """
 
     def run(batches):
-        encoder, packer, last = Encoder(tokenizer_path), Packer(window, most_open), np.array([end_id], "<u4").tobytes()
+        ids_of, packer, last = encoder(tokenizer_path), Packer(window, most_open), np.array([end_id], "<u4").tobytes()
         number = TaskContext.get().partitionId() << 33
         rows: list[tuple] = []
         kind = None
@@ -171,7 +200,7 @@ def pack(
         for block in by_size(batches, "text", 1 << 22):
             kind = block.column("id").type
             for doc_id, text in zip(block.column("id").to_pylist(), block.column("text").to_pylist()):
-                ids = memoryview(encoder.encode(text) + last)
+                ids = memoryview(ids_of.encode(text) + last)
                 document = (doc_id, len(ids) // 4)
                 whole = len(ids) // (4 * window) * window
                 for start in range(0, whole, window):

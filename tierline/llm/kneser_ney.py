@@ -254,7 +254,7 @@ def words_to_spread(rows: DataFrame, sample_rows: int, share: float) -> np.ndarr
     part = min(1.0, sample_rows / max(1, rows.count()))
 
     def run(batches):
-        for block in by_size(batches, "text", 1 << 21):
+        for block in by_size(batches, "text", 1 << 20):
             values, counts = np.unique(tokens(_texts(block))[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts, pa.int64())], ["word", "n"])
 
@@ -269,7 +269,7 @@ _PAIR_ROWS = "shard int, first binary, sizes binary, second binary, counts binar
 _WORD_ROWS = "shard int, words binary, facts binary"
 
 
-def train(texts: DataFrame, folder: str, shard_bytes: int = 1 << 23, buffer: int = 1 << 22, sample_rows: int = 4096) -> Model:
+def train(texts: DataFrame, folder: str, shard_bytes: int = 1 << 23, buffer: int = 1 << 20, sample_rows: int = 4096) -> Model:
     """Count the rows of ``texts`` (text) and write the model's files to ``folder``, shared with all workers.
 
     Shards are as many as there are ``shard_bytes`` of text, so their size does not depend on the input's;
@@ -307,7 +307,7 @@ def train(texts: DataFrame, folder: str, shard_bytes: int = 1 << 23, buffer: int
                 [pa.array(c, t) for c, t in zip(columns, (pa.int32(), *[pa.binary()] * 4))], ["shard", "first", "sizes", "second", "counts"]
             )
 
-        for block in by_size(batches, "text", 1 << 21):
+        for block in by_size(batches, "text", 1 << 20):
             out, edges = tokens(_texts(block))
             firsts.append(contexts(out, edges))
             seconds.append(out)
@@ -380,7 +380,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     def run(batches):
         model = held.value
-        for block in by_size(batches, "text", 1 << 21):
+        for block in by_size(batches, "text", 1 << 20):
             out, edges = tokens(_texts(block))
             count, logs = model.score(out, contexts(out, edges))
             base = np.log10((count + 1) / (model.tokens + model.words + 1))

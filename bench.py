@@ -78,18 +78,28 @@ class Bench:
         self.table("orders").write.options(**options).csv(self.at("orders_csv"))
         events = self.table("events").select(
             F.col("event_id").alias("message_no"), "event_id", "event_type",
-            F.unix_millis(F.col("ts").cast("timestamp")).alias("at"), "value", F.lit("t").alias("kafka_topic"),
+            F.unix_millis(F.col("ts").cast("timestamp")).alias("at"), "value", "user_id", "props", F.lit("t").alias("kafka_topic"),
         )
-        fixtures.as_messages(events, "events", "event_type", "message_no").write.parquet(self.at("topic"))
+        # a topic of many files, as a broker's partitions would be, so that all cores have work
+        fixtures.as_messages(events, "events", "event_type", "message_no").repartition(2 * int(CPUS)).write.parquet(self.at("topic"))
+        self.table("part").repartition(20).write.json(self.at("part_json"))
+        for number in range(40):
+            self.table("supplier").where(F.col("s_suppkey") % 40 == number).withColumn(f"extra_{number}", F.lit(number)).coalesce(1).write.mode(
+                "append").options(**options).csv(self.at("many_headers"))
+        self.pending = self.orders_spec("pending_csv", "pending_raw")
+        for number in range(12):
+            self.table("orders").where(F.col("o_orderkey") % 12 == number).coalesce(2).write.mode("append").options(**options).csv(self.at("pending_csv"))
+            jobs.landing_to_raw(self.spark, self.pending.with_(mode="append"))
         jobs.landing_to_raw(self.spark, self.lineitem_spec("lineitem_csv", "raw_for_reads"))
-        order_fields = tuple(
-            Field(f.name, "timestamp" if f.name == "o_orderdate" else f.dataType.simpleString()) for f in self.table("orders").schema
-        )
-        self.orders = DatasetSpec(
-            name="orders", landing=self.at("orders_csv"), raw=self.at("orders_raw"), fields=order_fields,
+        self.orders = self.orders_spec("orders_csv", "orders_raw")
+        jobs.landing_to_raw(self.spark, self.orders)
+
+    def orders_spec(self, landing: str, raw: str) -> DatasetSpec:
+        fields = tuple(Field(f.name, "timestamp" if f.name == "o_orderdate" else f.dataType.simpleString()) for f in self.table("orders").schema)
+        return DatasetSpec(
+            name="orders", landing=self.at(landing), raw=self.at(raw), checkpoint=self.at(f"{raw}_checkpoint"), fields=fields,
             partition_by=("year", "month"), date_source="o_orderdate",
         )
-        jobs.landing_to_raw(self.spark, self.orders)
 
     def lineitem_spec(self, landing: str, raw: str, **changes) -> DatasetSpec:
         return DatasetSpec(
@@ -110,6 +120,21 @@ class Bench:
         )
         return jobs.raw_to_bronze(self.spark, self.lineitem_spec("lineitem_csv", "raw_for_reads", bronze=bronze)).rows
 
+    def json_landing(self, attempt: int) -> int:
+        spec = DatasetSpec(name="part", format="json", landing=self.at("part_json"), raw=self.at(f"part_{attempt}"), evolution="add_new_columns")
+        return jobs.landing_to_raw(self.spark, spec).rows
+
+    def many_headers(self, attempt: int) -> int:
+        spec = DatasetSpec(name="supplier", landing=self.at("many_headers"), raw=self.at(f"supplier_{attempt}"), evolution="add_new_columns")
+        return jobs.landing_to_raw(self.spark, spec).rows
+
+    def many_pending_batches(self, attempt: int) -> int:
+        bronze = BronzeSpec(
+            path=self.at(f"pending_bronze_{attempt}"), source_column="o_orderdate", year_column="event_year", month_column="event_month",
+            partition_by=("event_year", "event_month"),
+        )
+        return jobs.raw_to_bronze(self.spark, self.pending.with_(bronze=bronze)).rows
+
     def message_decode(self, attempt: int) -> int:
         spec = DatasetSpec(name="events", kind="messages", raw=self.at("unused"), avro_schema=EVENT_MESSAGE, codec="json")
         messages = self.spark.read.parquet(self.at("topic"))
@@ -137,6 +162,7 @@ class Bench:
 
 JOBS = (
     "csv_snapshot", "csv_incremental_two_headers", "raw_to_bronze", "message_decode", "messages_to_raw", "layer_profile", "pruned_read",
+    "json_landing", "many_headers", "many_pending_batches",
 )
 
 

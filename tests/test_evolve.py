@@ -5,19 +5,11 @@ import os
 
 import pytest
 
-from tierline import DatasetSpec, Field, evolve, schema, sources
+from tierline import DatasetSpec, Field, evolve, schema, sources, storage
 
 from .conftest import rows
 
 
-@pytest.fixture(autouse=True, params=["driver", "job"])
-def probe(request, monkeypatch):
-    """Headers read by driver threads, as for few files, and by a Spark job, as for many."""
-    if request.param == "job":
-        monkeypatch.setattr(evolve, "_DRIVER_FILES", 0)
-        monkeypatch.setattr(evolve, "_DRIVER_CORES", 0)
-
-
 FIELDS = (Field("order_id"), Field("qty", "integer"), Field("day", "timestamp", "yyyy-MM-dd"))
 
 
@@ -104,12 +96,27 @@ def test_other_delimiters_encodings_and_compression(spark, place, put):
     assert rows(sources.read_files(spark, spec(place, landing=place("zipped"))), "order_id", "qty") == [("z", 5)]
 
 
-def test_probe_reads_one_line_per_file(spark, place, put):
+def test_probe_reads_the_start_of_a_file(spark, place, put, monkeypatch):
     text = "a,b\n" + "x,y\n" * 200_000
     paths = [put(f"landing/{i}.csv", text) for i in range(3)]
-    found = evolve.header_signatures(spark, paths, {})
-    assert rows(found, "header") == [("a,b",)] * 3
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1 << 40)
+    assert list(evolve.header_lines(spark, paths, {})) == [(p, "a,b") for p in paths]
+    lines = storage.Store(spark).text_lines(paths[0], "UTF-8", chunk=64)
+    assert [next(lines) for _ in range(40)] == ["a,b", *["x,y"] * 39]
+
+
+@pytest.mark.parametrize("encoding, separator", [("utf-8", None), ("utf-16-le", "\n"), ("utf-8", "|"), ("latin-1", "\r\n")])
+def test_headers_in_any_encoding(spark, place, put, encoding, separator):
+    end = separator or "\r"
+    path = put("landing/a.csv", f"año,b{end}1,2{end}", encoding=encoding)
+    options = {"encoding": encoding} | ({"lineSep": separator} if separator else {})
+    assert [h for _, h in evolve.header_lines(spark, [path], options)] == ["año,b"]
+
+
+def test_bytes_that_are_not_text_do_not_fail_the_probe(spark, place):
+    os.makedirs(place("landing"))
+    with open(place("landing/a.csv"), "wb") as file:
+        file.write(b"order_id,x\xff\na,1\n")
+    assert rows(sources.read_files(spark, spec(place)), "order_id") == [("a",)]
 
 
 def test_repeated_header_names_are_refused(spark, place, put):

@@ -527,6 +527,25 @@ def test_single_file_export(spark, place):
         sinks.export_single_file(df, place("out"), "all.csv")
 
 
+def test_bronze_is_rewritten_into_one_batch(spark, place, put):
+    spec = make(place, table="orders_rewritten")
+    name = spec.bronze.full_table
+    sinks.drop_table(spark, name)
+    for i in range(3):
+        put(f"landing/{i}.csv", HEAD + f"a{i},1,2024-01-05 00:00:00\nb{i},1,2024-02-05 00:00:00\n")
+        both(spark, spec)
+    assert spark.sql(f"show partitions {name}").count() == 6
+    before = rows(spark.table(name).drop("ingest_batch"), "order_id", "event_month")
+    assert jobs.rewrite_bronze(spark, spec).rows == 6
+    assert spark.sql(f"show partitions {name}").count() == 2 and len(ledger.batch_dirs(spark, spec.bronze.path)) == 1
+    assert rows(spark.table(name), "order_id", "event_month") == before
+    assert jobs.rewrite_bronze(spark, spec).status == "empty" and jobs.raw_to_bronze(spark, spec).status == "empty"
+    put("landing/9.csv", HEAD + "z,1,2024-01-05 00:00:00\n")
+    assert both(spark, spec)[1].rows == 1
+    assert spark.table(name).count() == 7
+    sinks.drop_table(spark, name)
+
+
 def priced_orders(spark):
     """Rows of the given orders under the names that the specs here declare."""
     orders = spark.read.parquet(f"{DATA}/orders.parquet")

@@ -86,7 +86,8 @@ def table_kind(spark: SparkSession, path: str) -> str:
 
 def list_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """M5: files under ``path`` with size and time, hidden directories left out, contents unread."""
-    return storage.listing(spark, path, {"recursiveFileLookup": str(recursive).lower()})
+    options = {"recursiveFileLookup": str(recursive).lower()}
+    return storage.listing(spark, path, options).unionByName(storage.empty_files(spark, path, options))
 
 
 @dataclass(frozen=True)
@@ -103,11 +104,9 @@ class LayerReport:
 
     def show(self) -> None:
         print(f"{self.dataset} / {self.layer} ({self.kind})")
-        self.schema.show(1000, truncate=False)
-        self.profile.show(1000, truncate=False)
-        self.sample.show(truncate=False)
-        if self.history is not None:
-            self.history.show(truncate=False)
+        for part in (self.schema, self.profile, self.sample, self.history):
+            if part is not None:
+                part.show(max(1, part.count()), truncate=False)
 
 
 def report(

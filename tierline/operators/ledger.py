@@ -145,27 +145,33 @@ class Commit:
     metrics: Mapping[str, int]
 
 
-def record(spark: SparkSession, target: str, known: State, commit: Commit) -> None:
-    """Add a commit row after those in ``known``."""
+def record(spark: SparkSession, target: str, known: State, commit: Commit) -> State:
+    """Add a commit row after those in ``known``; the state with it."""
     stored = None if commit.operation == "overwrite" else known.schema()
     merged = schemas.merge([commit.schema] if stored is None else [stored, commit.schema])
+    table_schema = None if merged == stored else commit.schema.json()
     values = {
         "version": F.lit(known.next_version).cast("long"),
         "batch_id": F.lit(commit.batch_id),
         "timestamp": F.current_timestamp(),
         "operation": F.lit(commit.operation),
-        "table_schema": F.lit(None if merged == stored else commit.schema.json()).cast("string"),
+        "table_schema": F.lit(table_schema).cast("string"),
         "operationParameters": _string_map(commit.parameters),
         "operationMetrics": _string_map(commit.metrics),
     }
-    _store(spark, target, known, spark.range(0, 1, 1, 1).select(*[values[c].alias(c) for c in COMMIT_SCHEMA.names]))
+    generation = _store(spark, target, known, spark.range(0, 1, 1, 1).select(*[values[c].alias(c) for c in COMMIT_SCHEMA.names]))
+    entry = Row(
+        version=known.next_version, batch_id=commit.batch_id, operation=commit.operation, table_schema=table_schema,
+        rows=commit.metrics.get("rows"), raw_through=commit.parameters.get("raw_through"),
+    )
+    return State(generation, (*known.entries, entry))
 
 
 def _string_map(values: Mapping) -> Column:
     return F.create_map(*[F.lit(str(part)) for pair in values.items() for part in pair]).cast("map<string,string>")
 
 
-def _store(spark: SparkSession, target: str, known: State, new: DataFrame) -> None:
+def _store(spark: SparkSession, target: str, known: State, new: DataFrame) -> int:
     # Without a complete copy, what an unfinished first commit may have left is replaced.
     base, number, mode = commit_path(target), known.generation or 0, "overwrite" if known.generation is None else "append"
     if known.generation is not None and len(known.entries) % COMPACT_AFTER == COMPACT_AFTER - 1:
@@ -175,6 +181,7 @@ def _store(spark: SparkSession, target: str, known: State, new: DataFrame) -> No
     writer.parquet(f"{base}/{_GENERATION}{number}")
     if mode == "overwrite" and number >= 2:
         storage.remove(spark, f"{base}/{_GENERATION}{number - 2}")
+    return number
 
 
 def pending(source: State, target: State, there: Iterable[str]) -> list[list[Row]]:
@@ -209,6 +216,10 @@ def remember_files(target: str, batch_id: str, files: DataFrame) -> None:
     files.write.mode("overwrite").parquet(_files_path(target, batch_id))
 
 
+def remembered_files(spark: SparkSession, target: str, batch_id: str) -> DataFrame:
+    return spark.read.schema(FILE_COLUMNS).parquet(_files_path(target, batch_id))
+
+
 def forget_files(spark: SparkSession, target: str, batch_id: str) -> None:
     storage.remove(spark, _files_path(target, batch_id))
 
@@ -221,7 +232,7 @@ def left_over(target: str, known: State, files: DataFrame) -> DataFrame | None:
     spark = files.sparkSession
     if not known.live or not storage.exists(spark, _files_path(target, known.live[-1].batch_id)):
         return None
-    taken = spark.read.schema(FILE_COLUMNS).parquet(_files_path(target, known.live[-1].batch_id))
+    taken = remembered_files(spark, target, known.live[-1].batch_id)
     return files.join(taken, ["path", "length", "modificationTime"], "left_semi")
 
 

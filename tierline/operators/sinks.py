@@ -30,6 +30,7 @@ class Written:
 
     batch_ids: tuple[str, ...]
     rows: int
+    known: ledger.State | None = None
 
 
 def write_snapshot(
@@ -48,15 +49,32 @@ def write_snapshot(
     layer's content; the replaced batches are deleted last, but for those that ``keep`` names
     because someone has yet to read them. ``files`` are those it was read from.
     """
-    spark = df.sparkSession
     batch_id = uuid.uuid4().hex
-    known = known or ledger.state(spark, target)
     if files is not None:
         ledger.remember_files(target, batch_id, files)
-    rows = _write(df, target, batch_id, partition_by, optimize)
-    _record(df, target, known, batch_id, "overwrite", rows, partition_by, parameters)
-    clear_replaced(spark, target, batch_id, keep(known))
-    return Written((batch_id,), rows)
+    return write_parts([df], target, batch_id, partition_by, optimize, parameters, known or ledger.state(df.sparkSession, target), keep)
+
+
+def write_parts(
+    parts: Iterable[DataFrame],
+    target: str,
+    batch_id: str,
+    partition_by: Sequence[str],
+    optimize: bool,
+    parameters: Mapping[str, str] | None,
+    known: ledger.State,
+    keep: Callable[[ledger.State], Iterable[str]] = lambda known: (),
+) -> Written:
+    """K1 for content that comes in parts, each written before the next is asked for; one commit at the end."""
+    rows, schema, df = 0, None, None
+    for df in parts:
+        rows += _write(df, target, batch_id, partition_by, optimize, "overwrite" if schema is None else "append")
+        schema = schemas.merge([df.schema] if schema is None else [schema, df.schema])
+    if df is None:
+        return Written((), 0, known)
+    known = _record(df.sparkSession, schema, target, known, batch_id, "overwrite", rows, partition_by, parameters)
+    clear_replaced(df.sparkSession, target, batch_id, keep(known))
+    return Written((batch_id,), rows, known)
 
 
 def clear_replaced(spark: SparkSession, target: str, current: str, keep: Iterable[str] = ()) -> None:
@@ -81,19 +99,19 @@ def append_batch(
     """K2: add ``df`` as one batch; a repeated ``batch_id`` is not added again."""
     known = known or ledger.state(df.sparkSession, target)
     if known.has(batch_id):
-        return Written((), 0)
+        return Written((), 0, known)
     _check_growth(known, df.schema, merge_schema)
     rows = _write(df, target, batch_id, partition_by, optimize)
-    _record(df, target, known, batch_id, "append", rows, partition_by, parameters)
-    return Written((batch_id,), rows)
+    known = _record(df.sparkSession, df.schema, target, known, batch_id, "append", rows, partition_by, parameters)
+    return Written((batch_id,), rows, known)
 
 
-def _write(df: DataFrame, target: str, batch_id: str, partition_by: Sequence[str], optimize: bool) -> int:
+def _write(df: DataFrame, target: str, batch_id: str, partition_by: Sequence[str], optimize: bool, mode: str = "overwrite") -> int:
     derive.require_columns(df, partition_by)
     if ledger.BATCH in df.columns:
         raise ValueError(f"{ledger.BATCH!r} is a reserved column")
     df, rows = _laid_out(df, partition_by, optimize)
-    _parquet(df, "overwrite", partition_by).save(ledger.batch_path(target, batch_id))
+    _parquet(df, mode, partition_by).save(ledger.batch_path(target, batch_id))
     return rows.get["rows"]
 
 
@@ -116,10 +134,9 @@ def _parquet(df: DataFrame, mode: str, partition_by: Sequence[str]):
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def _record(df, target, known, batch_id, operation, rows, partition_by, parameters) -> None:
+def _record(spark, schema, target, known, batch_id, operation, rows, partition_by, parameters) -> ledger.State:
     details = {"partition_by": ",".join(partition_by), **(parameters or {})}
-    entry = ledger.Commit(batch_id, operation, df.schema, details, {"rows": rows})
-    ledger.record(df.sparkSession, target, known, entry)
+    return ledger.record(spark, target, known, ledger.Commit(batch_id, operation, schema, details, {"rows": rows}))
 
 
 def _check_growth(known: ledger.State, schema: T.StructType, merge_schema: bool) -> None:
@@ -180,7 +197,7 @@ def write_bronze(
     spark = df.sparkSession
     known = known or ledger.state(spark, bronze.path)
     if known.has(batch_id):
-        return Written((), 0)
+        return Written((), 0, known)
     stored = known.schema()
     if bronze.evolution == "none" and stored is not None:
         present = {n.lower() for n in stored.names}
@@ -192,9 +209,9 @@ def write_bronze(
         rows = _write(df, bronze.path, batch_id, bronze.partition_by, bronze.optimize_write)
     if expected_rows is not None and rows != expected_rows:
         raise RuntimeError(f"{bronze.path}: wrote {rows} rows of {expected_rows}; the batch stays uncommitted")
-    _record(df, bronze.path, known, batch_id, "append", rows, bronze.partition_by, parameters)
-    align_table(spark, bronze)
-    return Written((batch_id,), rows)
+    known = _record(spark, df.schema, bronze.path, known, batch_id, "append", rows, bronze.partition_by, parameters)
+    align_table(spark, bronze, known)
+    return Written((batch_id,), rows, known)
 
 
 def _write_delta(df: DataFrame, bronze: BronzeSpec, batch_id: str) -> int:

@@ -218,19 +218,22 @@ def parquet_landing(spark, sf_dir):
     return layers.read_raw(spark, spec).select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
 
 
-@query("select url as value from pages")
+_PAGE_LINE = "url || chr(9) || html"
+
+
+@query(f"select unnest(regexp_split_to_array({_PAGE_LINE}, '\\r\\n|\\n|\\r')) as value from pages")
 def text_landing(spark, sf_dir):
-    """S7."""
+    """Addresses and whole pages, line by line."""
     site = Site(spark, sf_dir, "text")
-    site.land(site.table("pages").select("url"), "text")
+    site.land(site.table("pages").select(F.concat_ws("\t", "url", "html")), "text")
     return files.read_files(spark, DatasetSpec(name="urls", landing=site.at("landing"), raw=site.at("raw"), format="text")).select("value")
 
 
-@query("select cast(sum(octet_length(encode(url)) + 1) as bigint) as total_bytes, true as lengths_agree from pages")
+@query(f"select cast(sum(octet_length(encode({_PAGE_LINE})) + 1) as bigint) as total_bytes, true as lengths_agree from pages")
 def binary_landing(spark, sf_dir):
     """File contents as bytes."""
     site = Site(spark, sf_dir, "binary")
-    site.land(site.table("pages").select("url"), "text")
+    site.land(site.table("pages").select(F.concat_ws("\t", "url", "html")), "text")
     spec = DatasetSpec(name="blobs", landing=site.at("landing"), raw=site.at("raw"), format="binaryFile")
     blobs = files.read_files(spark, spec)
     return blobs.agg(
@@ -355,6 +358,174 @@ def archive_plan(spark, sf_dir):
     return ledger.archive_plan(uris, "arch").select("source_filename", "archived_as")
 
 
+# --- what arrives over time ----------------------------------------------------------------
+
+
+_PART_SQL = (
+    "select p_partkey, case when p_partkey % 3 = 0 then p_size end as size, case when p_partkey % 3 = 2 then cast(p_size + 0.5 as varchar) end as size_text "
+    "from part"
+)
+
+
+def _inferred_arrivals(site: Site, fmt: str) -> DataFrame:
+    """Parts in three arrivals where a column is whole, missing, then fractional; types are inferred."""
+    part = site.table("part")
+    spec = DatasetSpec(
+        name="part", format=fmt, landing=site.at("landing"), raw=site.at("raw"), archive=site.at("archive"), checkpoint=site.at("checkpoint"),
+        mode="append", evolution="add_new_columns", infer_types=True,
+    )
+    shapes = (F.col("p_size"), F.lit(None).cast("int"), F.col("p_size") + 0.5)
+    for turn, size in enumerate(shapes):
+        rows = part.where(F.col("p_partkey") % 3 == turn).select("p_partkey", size.alias("size"))
+        rows.write.mode("append").format(fmt).options(header="true", ignoreNullFields="false").save(site.at("landing"))
+        jobs.landing_to_raw(site.spark, spec)
+    if jobs.landing_to_raw(site.spark, spec).status != "empty":
+        raise RuntimeError("a run without new files found some")
+    return layers.read_raw(site.spark, spec).select(F.col("p_partkey").cast("long").alias("p_partkey"), "size", "size_text")
+
+
+@query(_PART_SQL)
+def inferred_two_arrivals(spark, sf_dir):
+    """H4: CSV; a column keeps its first type, and the text of what does not fit."""
+    return _inferred_arrivals(Site(spark, sf_dir, "inferred"), "csv").withColumn("size", F.col("size").cast("int"))
+
+
+@query(_PART_SQL)
+def inferred_two_arrivals_json(spark, sf_dir):
+    """H4, S2."""
+    return _inferred_arrivals(Site(spark, sf_dir, "inferred_json"), "json").withColumn("size", F.col("size").cast("int"))
+
+
+@query("select o_orderkey, 1 as times from orders")
+def two_snapshots_one_promotion(spark, sf_dir):
+    """A snapshot that another replaces is kept until bronze has it."""
+    site = Site(spark, sf_dir, "two_snapshots")
+    spec = site.orders()
+    orders = site.table("orders")
+    early = _before("o_orderdate", MIDDLE_OF_ORDERS)
+    for part in (orders.where(early), orders.where(~early)):
+        site.land(part)
+        jobs.landing_to_raw(spark, spec)
+    jobs.raw_to_bronze(spark, spec)
+    return layers.read_bronze(spark, spec).groupBy("o_orderkey").agg(F.count(F.lit(1)).cast("int").alias("times"))
+
+
+@query(f"select o_orderkey, o_totalprice from orders where o_orderdate >= timestamp '{MIDDLE_OF_ORDERS}'")
+def snapshot_replaces(spark, sf_dir):
+    """The second snapshot is what raw holds, read a few files at a time."""
+    site = Site(spark, sf_dir, "replaces")
+    spec = site.orders(max_files_per_trigger=3, bronze=None)
+    orders = site.table("orders").repartition(8)
+    early = _before("o_orderdate", MIDDLE_OF_ORDERS)
+    for part in (orders.where(early), orders.where(~early)):
+        site.land(part)
+        jobs.landing_to_raw(spark, spec)
+    return layers.read_raw(spark, spec).select("o_orderkey", "o_totalprice")
+
+
+@query(
+    "select cast(year(l_shipdate) as integer) as event_year, cast(month(l_shipdate) as integer) as event_month, count(*) as n, "
+    "1 as directories from lineitem group by 1, 2"
+)
+def bronze_rewritten(spark, sf_dir):
+    """K4: several arrivals folded into one directory per month."""
+    site = Site(spark, sf_dir, "rewritten")
+    lineitem = site.table("lineitem")
+    fields = tuple(Field(f.name, "timestamp" if f.name == "l_shipdate" else f.dataType.simpleString()) for f in lineitem.schema)
+    spec = DatasetSpec(
+        name="lineitem", landing=site.at("landing"), raw=site.at("raw"), archive=site.at("archive"), checkpoint=site.at("checkpoint"), fields=fields,
+        mode="append", evolution="add_new_columns", bronze=site.bronze("l_shipdate"),
+    )
+    for turn in range(3):
+        site.land(lineitem.where(F.col("l_orderkey") % 3 == turn))
+        jobs.landing_to_raw(spark, spec)
+        jobs.raw_to_bronze(spark, spec)
+    jobs.rewrite_bronze(spark, spec)
+    found = layers.read_bronze(spark, spec).withColumn("batch", F.col(ledger.BATCH))
+    return found.groupBy("event_year", "event_month").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("batch").cast("int").alias("directories")
+    )
+
+
+@query("select o_orderstatus, count(*) as n from orders where o_orderkey % 1500 < 1200 group by 1")
+def many_batches_chosen(spark, sf_dir):
+    """1,200 of 1,500 committed batches, by a literal filter on the batch column."""
+    site = Site(spark, sf_dir, "many")
+    orders = site.table("orders").withColumn(ledger.BATCH, F.format_string("b%04d", F.col("o_orderkey") % 1500))
+    # the batches as one partitioned write, and a commit row for each
+    orders.repartition(8, ledger.BATCH).write.partitionBy(ledger.BATCH).parquet(site.at("raw"))
+    schema = site.table("orders").schema.json()
+    commits = orders.select(ledger.BATCH).distinct().select(
+        F.substring(ledger.BATCH, 2, 4).cast("long").alias("version"), F.col(ledger.BATCH).alias("batch_id"), F.current_timestamp().alias("timestamp"),
+        F.lit("append").alias("operation"), F.lit(schema).alias("table_schema"), *[
+            F.create_map(F.lit("rows"), F.lit("0")).alias(c) for c in ("operationParameters", "operationMetrics")
+        ],
+    )
+    commits.coalesce(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{ledger.commit_path(site.at('raw'))}/gen=0")
+    chosen = [f"b{i:04d}" for i in range(1200)]
+    there = set(ledger.batch_dirs(spark, site.at("raw")))
+    df = layers.read_layer(spark, site.at("raw"), batch_ids=[b for b in chosen if b in there])
+    return df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("select 0 as length, 1 as files union all select 1, 1 where (select count(*) from region) > 0")
+def file_listing_with_empty(spark, sf_dir):
+    """M5: files with and without content, by whether they have any."""
+    site = Site(spark, sf_dir, "listing")
+    site.table("region").coalesce(1).write.csv(site.at("dir/full"))
+    fs, _ = storage.handle(spark, site.at("dir"))
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(site.at("dir/full/nothing+ here.csv"))).close()
+    found = inspect.list_files(spark, site.at("dir")).where(F.col("path").endswith(".csv"))
+    return found.select(F.when(F.col("length") > 0, 1).otherwise(0).alias("length")).groupBy("length").agg(F.count(F.lit(1)).cast("int").alias("files"))
+
+
+@query("select o_orderkey, o_orderdate as placed, cast(o_orderdate as date) as day from orders")
+def two_timestamp_patterns(spark, sf_dir):
+    """H7, H8: columns with patterns of their own, in files with another delimiter."""
+    site = Site(spark, sf_dir, "patterns")
+    orders = site.table("orders").select(
+        "o_orderkey", F.date_format("o_orderdate", "dd/MM/yyyy HH:mm").alias("placed"), F.date_format("o_orderdate", "yyyyMMdd").alias("day")
+    )
+    orders.write.options(header="true", sep=";").csv(site.at("landing"))
+    spec = DatasetSpec(
+        name="orders", landing=site.at("landing"), raw=site.at("raw"), reader_options={"delimiter": ";"},
+        fields=(Field("o_orderkey", "bigint"), Field("placed", "timestamp", "dd/MM/yyyy HH:mm"), Field("day", "timestamp", "yyyyMMdd")),
+    )
+    found = files.read_files(spark, spec)
+    return found.select("o_orderkey", F.col("placed").cast("timestamp_ntz").alias("placed"), F.col("day").cast("date").alias("day"))
+
+
+@query("select column_name, present from (values ('o_orderkey', true), ('coupon', false)) t(column_name, present) where (select count(*) from orders) > 0")
+def column_check(spark, sf_dir):
+    """P5: what is asked for and not there fails before anything is written."""
+    orders = Site(spark, sf_dir, "columns").table("orders")
+
+    def present(name: str) -> bool:
+        try:
+            derive.require_columns(orders, [name])
+            return True
+        except derive.MissingColumns:
+            return False
+
+    found = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(present(c)).alias("present")) for c in ("o_orderkey", "coupon")])
+    return orders.agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(F.inline(found))
+
+
+@query("select event_id, user_id, props, event_type from events")
+def continuous_messages(spark, sf_dir):
+    """A stream without a trigger keeps running until it is stopped."""
+    site = Site(spark, sf_dir, "continuous")
+    spec = _event_messages(site)
+    wanted = site.table("events").count()
+    running = jobs.messages_to_raw(spark, spec)
+    try:
+        while running.isActive and not (storage.exists(spark, f"{spec.raw}/_spark_metadata") and layers.read_raw(spark, spec).count() >= wanted):
+            running.processAllAvailable()
+    finally:
+        running.stop()
+    return layers.read_raw(spark, spec).select("event_id", "user_id", "props", F.col("kafka_key").alias("event_type"))
+
+
 # --- raw -> bronze -------------------------------------------------------------------------
 
 
@@ -470,6 +641,8 @@ EVENT_MESSAGE = json.dumps({
         {"name": "event_type", "type": "string"},
         {"name": "at", "type": {"type": "long", "logicalType": "timestamp-millis"}},
         {"name": "value", "type": ["null", "double"]},
+        {"name": "user_id", "type": "long"},
+        {"name": "props", "type": ["null", "string"]},
         {"name": "kafka_topic", "type": "string"},
     ],
 })
@@ -483,9 +656,11 @@ def _event_messages(site: Site) -> DatasetSpec:
         "event_type",
         F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"),
         "value",
+        "user_id",
+        "props",
     )
     payload_rows = events.select(
-        "message_no", "event_id", "event_type", F.floor(F.col("micros") / 1000).alias("at"), "value",
+        "message_no", "event_id", "event_type", F.floor(F.col("micros") / 1000).alias("at"), "value", "user_id", "props",
         F.concat(F.lit("said-"), "event_type").alias("kafka_topic"),
     )
     topic = F.concat(F.lit("events-"), F.col("event_type"))

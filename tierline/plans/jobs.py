@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
+from itertools import islice
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tierline import storage
 from tierline.functions import derive, payload
+from tierline.functions import schema as schemas
 from tierline.operators import ledger, sinks
 from tierline.sources import files, layers, messages
 from tierline.spec import BronzeSpec, DatasetSpec, Layers, specs_from_config
@@ -69,32 +72,48 @@ def landing_to_raw(spark: SparkSession, spec: DatasetSpec) -> Outcome:
 
 
 def _snapshot(spark: SparkSession, spec: DatasetSpec) -> Outcome:
-    members = files.landing_files(spark, spec).collect()
+    """All of landing as one new batch, read and written ``max_files_per_trigger`` files at a time.
+
+    The list of files is kept beside the layer, not in the driver; it also tells a later run what
+    is still to be archived.
+    """
     known = ledger.state(spark, spec.raw)
-    if members and spec.archive:
-        members = _finish_archiving(spark, spec, known, members)
-    df = files.read_files(spark, spec, [m.path for m in members]) if members else None
-    if df is None:
-        return Outcome(spec.name, "landing_to_raw", "empty", files=len(members))
-    listed = spark.createDataFrame(members, ledger.FILE_COLUMNS)
-    written = sinks.write_snapshot(
-        prepare_raw(df, spec), spec.raw, spec.partition_by, spec.optimize_write, {"files": str(len(members))}, known,
-        listed if spec.archive else None, lambda raw: _unpromoted(spark, spec, raw),
-    )
+    if spec.archive:  # what the last snapshot took in but did not get to archive
+        taken = ledger.left_over(spec.raw, known, files.landing_files(spark, spec))
+        if taken is not None:
+            ledger.archive(spark, taken, spec.archive)
+    empty = files.empty_files(spark, spec)
+    batch_id = uuid.uuid4().hex
+    ledger.remember_files(spec.raw, batch_id, files.landing_files(spark, spec))
+    listed = ledger.remembered_files(spark, spec.raw, batch_id)
+    count = listed.count()
+    try:
+        written = sinks.write_parts(
+            _parts(spark, spec, listed), spec.raw, batch_id, spec.partition_by, spec.optimize_write, {"files": str(count)}, known,
+            lambda raw: _unpromoted(spark, spec, raw),
+        )
+    except Exception:
+        if not ledger.state(spark, spec.raw).has(batch_id):
+            ledger.forget_files(spark, spec.raw, batch_id)
+        raise
     if spec.archive:
-        ledger.archive(spark, listed, spec.archive)
-    return Outcome(spec.name, "landing_to_raw", "ok", written.rows, len(members))
+        if written.batch_ids:
+            ledger.archive(spark, listed, spec.archive)
+        count += ledger.archive(spark, empty, spec.archive)
+    if not (written.batch_ids and spec.archive):
+        ledger.forget_files(spark, spec.raw, batch_id)
+    return Outcome(spec.name, "landing_to_raw", "ok" if written.batch_ids else "empty", written.rows, count)
 
 
-def _finish_archiving(spark: SparkSession, spec: DatasetSpec, known: ledger.State, members: list[Row]) -> list[Row]:
-    """Archive what the last snapshot took in but did not get to archive; the rest is new."""
-    taken = ledger.left_over(spec.raw, known, spark.createDataFrame(members, ledger.FILE_COLUMNS))
-    done = taken.collect() if taken is not None else []
-    if not done:
-        return members
-    ledger.archive(spark, spark.createDataFrame(done, ledger.FILE_COLUMNS), spec.archive)
-    gone = {d.path for d in done}
-    return [m for m in members if m.path not in gone]
+def _parts(spark: SparkSession, spec: DatasetSpec, listed: DataFrame) -> Iterator[DataFrame]:
+    """The rows of the listed files in parts; undeclared columns keep the type of the parts before."""
+    rows, stored = listed.select("path").orderBy("path").toLocalIterator(), None
+    while chunk := [r.path for r in islice(rows, spec.max_files_per_trigger)]:
+        df = files.read_files(spark, spec, chunk, stored)
+        if df is not None:
+            df = prepare_raw(df, spec)
+            stored = schemas.merge([df.schema] if stored is None else [stored, df.schema])
+            yield df
 
 
 def raw_to_bronze(spark: SparkSession, spec: DatasetSpec) -> Outcome:
@@ -115,7 +134,7 @@ def raw_to_bronze(spark: SparkSession, spec: DatasetSpec) -> Outcome:
         storage.require_source(spark, "delta")
         raw = spark.readStream.format("delta").options(**bronze.raw_options).load(spec.raw)
     else:
-        raw = layers.stream_raw(spark, spec)
+        raw = layers.stream_raw(spark, spec, spec.max_files_per_trigger)
     done = promote.stream_bronze(raw, bronze, lambda df: prepare_bronze(df, bronze), spec.name)
     return Outcome(spec.name, "raw_to_bronze", "ok" if done.rows else "empty", done.rows)
 
@@ -139,6 +158,30 @@ def _promote_pending(spark: SparkSession, spec: DatasetSpec, bronze: BronzeSpec)
     return Outcome(spec.name, "raw_to_bronze", "ok", rows)
 
 
+def rewrite_bronze(spark: SparkSession, spec: DatasetSpec) -> Outcome:
+    """Fold bronze's batches into one, so that it has one directory per partition however often it was added to.
+
+    The rewritten batch replaces the others by one commit, after which the table shows it alone; a crash
+    before that leaves the old batches. What the next promotion starts from is kept.
+    """
+    bronze = spec.bronze
+    if bronze is None or bronze.format != "parquet":
+        return Outcome(spec.name, "rewrite_bronze", "skipped", error="only Parquet bronze is rewritten")
+    known = ledger.state(spark, bronze.path)
+    if len(known.live) < 2:
+        return Outcome(spec.name, "rewrite_bronze", "empty")
+    through = next((e.raw_through for e in reversed(known.entries) if e.raw_through), None)
+    df = layers.read_layer(spark, bronze.path, bronze.partition_by, known=known).drop(ledger.BATCH)
+    # replaced batches stay until the table no longer shows them
+    written = sinks.write_parts(
+        [df], bronze.path, uuid.uuid4().hex, bronze.partition_by, True, {"raw_through": through} if through else None, known,
+        lambda known: [e.batch_id for e in known.entries],
+    )
+    sinks.align_table(spark, bronze, written.known)
+    sinks.clear_replaced(spark, bronze.path, written.batch_ids[0])
+    return Outcome(spec.name, "rewrite_bronze", "ok", written.rows)
+
+
 def _unpromoted(spark: SparkSession, spec: DatasetSpec, raw: ledger.State) -> list[str]:
     """Raw batches that bronze has yet to take, and that a new snapshot must leave in place."""
     bronze = spec.bronze
@@ -180,6 +223,7 @@ def _catch_up(spark: SparkSession, spec: DatasetSpec) -> Outcome:
 JOBS: Mapping[str, Callable[[SparkSession, DatasetSpec], Outcome]] = {
     "landing_to_raw": landing_to_raw,
     "raw_to_bronze": raw_to_bronze,
+    "rewrite_bronze": rewrite_bronze,
     "messages_to_raw": _catch_up,
 }
 
@@ -187,6 +231,7 @@ JOBS: Mapping[str, Callable[[SparkSession, DatasetSpec], Outcome]] = {
 _CONFIG_LISTS = {
     "landing_to_raw": "datasets_to_ingest_to_raw",
     "raw_to_bronze": "datasets_to_promote_to_bronze",
+    "rewrite_bronze": "datasets_to_promote_to_bronze",
     "messages_to_raw": "active_streaming_pipelines",
 }
 
@@ -228,7 +273,7 @@ def _run_one(spark: SparkSession, specs: Mapping[str, DatasetSpec], job: str, na
     spec = specs.get(name)
     if spec is None:
         return Outcome(name, job, "skipped", error="no configuration for this dataset")
-    if job != "raw_to_bronze" and (spec.kind == "messages") != (job == "messages_to_raw"):
+    if job not in ("raw_to_bronze", "rewrite_bronze") and (spec.kind == "messages") != (job == "messages_to_raw"):
         return Outcome(name, job, "skipped", error=f"{spec.kind} datasets are not for this job")
     try:
         return JOBS[job](spark, spec)

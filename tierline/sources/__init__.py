@@ -1,12 +1,12 @@
 """Bounded and streaming scans of landing, raw, bronze and message topics."""
 
-from tierline.sources.evolve import header_signatures, hinted_schema, read_evolving
+from tierline.sources.evolve import header_lines, hinted_schema, read_evolving
 from tierline.sources.files import landing_files, read_files, stream_files
 from tierline.sources.layers import read_bronze, read_raw, stream_raw
 from tierline.sources.messages import message_stream
 
 __all__ = [
-    "header_signatures",
+    "header_lines",
     "hinted_schema",
     "landing_files",
     "message_stream",

@@ -8,54 +8,17 @@ from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline import storage
 from tierline.functions import derive
+from tierline.functions import schema as schemas
 from tierline.functions.schema import TimestampPlan
 
-# Larger than any file, so that a probe partition is one whole file.
-_WHOLE_FILE = 1 << 40
-
-
-# Driver threads read a first line in a millisecond or two; a Spark job spends a Python worker, about
-# a third of a core-second, on each file. The job pays off for many files on many cores.
-_DRIVER_FILES = 1000
-_DRIVER_CORES = 128
-_DRIVER_THREADS = 32
-
-
-def header_signatures(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> DataFrame:
-    """The header line of each file, as (path, header), reading only the start of the file.
-
-    The probe session gives every file a partition of its own, and each task stops at the first
-    line that is neither blank nor a comment, so the cost per file does not grow with its size.
-    """
-    probe = spark.newSession()
-    probe.conf.set("spark.sql.files.maxPartitionBytes", str(_WHOLE_FILE))
-    probe.conf.set("spark.sql.files.openCostInBytes", str(_WHOLE_FILE))
-    probe.conf.unset("spark.sql.files.maxPartitionNum")
-    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
-    comment = options.get("comment")
-    reader = probe.read
-    if "lineSep" in options:
-        reader = reader.option("lineSep", options["lineSep"])
-    lines = reader.text([storage.literal(p) for p in paths]).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.decode(F.col("value").cast("binary"), _charset(options)).alias("header"),
-    )
-
-    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, line in enumerate(batch.column("header").to_pylist()):
-                if _is_header(line, comment):
-                    yield batch.slice(i, 1)
-                    return
-
-    return lines.mapInArrow(first_line, "path string, header string")
+# Looking at a first line is a round trip to the store; a few threads hide its latency.
+_THREADS = 32
 
 
 def _charset(options: Mapping[str, str]) -> str:
@@ -66,21 +29,22 @@ def _is_header(line: str | None, comment: str | None) -> bool:
     return bool(line and line.strip()) and not (comment and line.startswith(comment))
 
 
-def _headers(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> Iterator[tuple[str, str]]:
-    """(path, header) of every file that has one."""
+def header_lines(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> Iterator[tuple[str, str]]:
+    """(path, header) of every file that has one, reading only the start of each.
+
+    The files are those of one intake batch, so their number is bounded by ``max_files_per_trigger``;
+    they are looked at in one way, whatever their number and the cluster's size.
+    """
     store = storage.Store(spark)
-    many = len(paths) > _DRIVER_FILES and spark.sparkContext.defaultParallelism > _DRIVER_CORES
-    if many or "lineSep" in options:
-        by_uri = {store.uri(p): p for p in paths}
-        for row in header_signatures(spark, paths, options).collect():
-            yield by_uri[row.path], row.header
-        return
 
     def first_line(path: str) -> str | None:
-        with store.text_lines(path, _charset(options)) as lines:
+        lines = store.text_lines(path, _charset(options), options.get("lineSep"))
+        try:
             return next((line for line in lines if _is_header(line, options.get("comment"))), None)
+        finally:
+            lines.close()
 
-    with ThreadPoolExecutor(_DRIVER_THREADS) as pool:
+    with ThreadPoolExecutor(_THREADS) as pool:
         yield from ((p, header) for p, header in zip(paths, pool.map(first_line, paths)) if header is not None)
 
 
@@ -111,11 +75,78 @@ def hinted_schema(names: Iterable[str], declared: T.StructType | None, inferred:
     ])
 
 
+def remembered(schema: T.StructType, declared: T.StructType | None, stored: T.StructType | None) -> tuple[T.StructType, dict[str, T.DataType]]:
+    """H4: undeclared columns as they were first stored, and those whose new values may not fit that type.
+
+    A column keeps its first type. What cannot be read as that type without loss is read as text, for
+    ``keep_types`` to sort out. A struct may gain fields.
+    """
+    fixed = {n.lower() for n in declared.names} if declared else set()
+    first = {f.name.lower(): f for f in stored or () if f.name.lower() not in fixed}
+    fields, unsure = [], {}
+    for column in schema:
+        known = first.get(column.name.lower())
+        if known is None:
+            fields.append(column)
+        elif _fits(column.dataType, known.dataType):
+            fields.append(T.StructField(known.name, known.dataType))
+        elif (grown := _grown(known.dataType, column.dataType)) is not None:
+            fields.append(T.StructField(known.name, grown))
+        else:
+            fields.append(T.StructField(known.name, T.StringType()))
+            unsure[known.name] = known.dataType
+    return T.StructType(fields), unsure
+
+
+def _fits(found: T.DataType, stored: T.DataType) -> bool:
+    """Whether every value of type ``found`` is read as ``stored`` without loss."""
+    wider = {"int": {"bigint", "double"}, "tinyint": {"int", "bigint", "double"}, "smallint": {"int", "bigint", "double"}}
+    return isinstance(stored, T.StringType) or found == stored or stored.simpleString() in wider.get(found.simpleString(), ())
+
+
+def _grown(stored: T.DataType, found: T.DataType) -> T.DataType | None:
+    """``stored`` with the new fields of ``found``, if both are structs and nothing else differs."""
+    if not (isinstance(stored, T.StructType) and isinstance(found, T.StructType)):
+        return None
+    try:
+        return schemas.merge([stored, found])
+    except schemas.SchemaConflict:
+        return None
+
+
+def keep_types(df: DataFrame, unsure: Mapping[str, T.DataType]) -> DataFrame:
+    """Text columns as their stored types; where a value does not fit, its text goes to ``<name>_text``.
+
+    The extra column is there only if some value needs it, which takes a scan of the columns in doubt.
+    """
+    if not unsure:
+        return df
+    values, lost = {}, {}
+    for name, kind in unsure.items():
+        text = F.col(f"`{name}`")
+        if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+            values[name], lost[name] = F.from_json(text, kind), text.isNotNull()
+        else:
+            values[name] = text.try_cast(kind)
+            longer = F.length(F.trim(text)) > 10 if isinstance(kind, T.DateType) else F.lit(False)
+            lost[name] = text.isNotNull() & (values[name].isNull() | longer)
+    counts = df.agg(*[F.count_if(c).alias(f"n{i}") for i, c in enumerate(lost.values())]).first()
+    texts = {_text_name(df, name): F.when(c, F.col(f"`{name}`")) for (name, c), n in zip(lost.items(), counts) if n}
+    return df.withColumns(texts).withColumns(values)
+
+
+def _text_name(df: DataFrame, name: str) -> str:
+    taken, found = {c.lower() for c in df.columns}, f"{name}_text"
+    while found.lower() in taken:
+        found += "_"
+    return found
+
+
 def group_by_header(spark: SparkSession, paths: list[str], options: Mapping[str, str]) -> dict[tuple[str, ...], list[str]]:
     """Paths per distinct header; the driver holds one line per path it was given."""
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     names: dict[str, tuple[str, ...]] = {}
-    for path, header in _headers(spark, paths, options):
+    for path, header in header_lines(spark, paths, options):
         if header not in names:
             names[header] = tuple(split_header(header, options))
         groups[names[header]].append(path)
@@ -129,10 +160,12 @@ def read_evolving(
     plan: TimestampPlan | None,
     evolution: str = "add_new_columns",
     infer_types: bool = False,
+    stored: T.StructType | None = None,
 ) -> DataFrame | None:
     """H3: CSV files read per header and united by column name; ``None`` if no file has a header.
 
-    ``add_new_columns`` keeps every column found. ``none`` keeps the declared ones.
+    ``add_new_columns`` keeps every column found. ``none`` keeps the declared ones. Columns that
+    are in ``stored`` keep the type they have there.
     """
     declared = plan.schema if plan else None
     options = dict(options)
@@ -142,13 +175,15 @@ def read_evolving(
         names: [storage.literal(p) for p in members] for names, members in sorted(group_by_header(spark, paths, options).items())
     }
     inferred = _inferred(spark, groups, options, declared) if infer_types else None
-    parts = []
+    parts, unsure = [], {}
     for names, files in groups.items():
         schema = hinted_schema([*names, *_not_in_header(names, files[0], declared, options)], declared, inferred)
+        schema, doubtful = remembered(schema, declared, stored)
+        unsure |= doubtful
         parts.append(derive.with_source(spark.read.schema(schema).options(**options).csv(files)))
     if not parts:
         return None
-    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    df = keep_types(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), unsure)
     if declared is None:
         return df
     df = with_declared(df, declared)

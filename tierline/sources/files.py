@@ -36,9 +36,18 @@ def landing_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     """What lies in landing now: path, length, modificationTime; file contents are not read.
 
     The set of files is fixed by this call. Files that leave landing before the result is
-    evaluated are passed over. Files of zero bytes hold no rows and are not listed.
+    evaluated are passed over. Files of zero bytes hold no rows and are listed by ``empty_files``.
     """
-    return storage.listing(spark, spec.landing, {k: spec.reader_options[k] for k in _LISTING_OPTIONS if k in spec.reader_options})
+    return storage.listing(spark, spec.landing, _listing_options(spec))
+
+
+def empty_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
+    """Files of zero bytes in landing, which scans and streams pass over."""
+    return storage.empty_files(spark, spec.landing, _listing_options(spec))
+
+
+def _listing_options(spec: DatasetSpec) -> dict[str, str]:
+    return {k: spec.reader_options[k] for k in _LISTING_OPTIONS if k in spec.reader_options}
 
 
 def stream_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
@@ -48,7 +57,7 @@ def stream_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     their headers. ``max_file_age`` keeps files with an old modification time from being
     ignored; lowering it bounds how many names the checkpoint has to remember.
     """
-    options = {k: spec.reader_options[k] for k in _LISTING_OPTIONS if k in spec.reader_options}
+    options = _listing_options(spec)
     stream = (
         spark.readStream.format("binaryFile")
         .schema(_BINARY_FILE_SCHEMA)
@@ -60,13 +69,18 @@ def stream_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
     return stream.load(spec.landing).select(*MANIFEST_COLUMNS)
 
 
-def read_files(spark: SparkSession, spec: DatasetSpec, paths: list[str] | None = None) -> DataFrame | None:
+def read_files(
+    spark: SparkSession, spec: DatasetSpec, paths: list[str] | None = None, stored: T.StructType | None = None
+) -> DataFrame | None:
     """Rows of the given landing files, or of all that lie there now, with their source.
 
+    Undeclared columns of CSV and JSON files that are in ``stored`` keep the type they have there.
+
     Returns ``None`` when there is nothing to read and no declared schema to describe it.
     """
     if paths is None:
         paths = [r.path for r in landing_files(spark, spec).select("path").collect()]
+    stored = T.StructType([f for f in stored if f.name not in spec.partition_by]) if stored is not None else None
     options = {k: v for k, v in spec.reader_options.items() if k not in _LISTING_OPTIONS}
     if spec.reader_options.get("recursiveFileLookup", "false").lower() != "true":
         options.setdefault("basePath", spec.landing)  # name=value directories in landing are columns
@@ -74,10 +88,10 @@ def read_files(spark: SparkSession, spec: DatasetSpec, paths: list[str] | None =
         storage.require_source(spark, "avro")
     if spec.format == "csv":
         plan = schemas.timestamp_formats(spec.fields, options)
-        df = _read_csv(spark, spec, paths, csv_options(options), plan) if paths else None
+        df = _read_csv(spark, spec, paths, csv_options(options), plan, stored) if paths else None
     elif spec.format == "json":
         plan = _json_plan(spec, options)
-        df = _read_json(spark, spec, paths, options, plan) if paths else None
+        df = _read_json(spark, spec, paths, options, plan, stored) if paths else None
     else:
         plan = _plain_plan(spec)
         df = _read_format(spark, spec, paths, options) if paths else None
@@ -90,9 +104,9 @@ def read_files(spark: SparkSession, spec: DatasetSpec, paths: list[str] | None =
     return df
 
 
-def _read_csv(spark, spec, paths, options, plan: TimestampPlan | None) -> DataFrame | None:
+def _read_csv(spark, spec, paths, options, plan: TimestampPlan | None, stored) -> DataFrame | None:
     if options["header"].lower() == "true":
-        return evolve.read_evolving(spark, paths, options, plan, spec.evolution, spec.infer_types)
+        return evolve.read_evolving(spark, paths, options, plan, spec.evolution, spec.infer_types, stored)
     if plan and plan.reader_format:
         options["timestampFormat"] = plan.reader_format
     reader = spark.read.options(**options)
@@ -110,7 +124,7 @@ def _json_plan(spec: DatasetSpec, options) -> TimestampPlan | None:
     return TimestampPlan(T.StructType(as_text), None, given)
 
 
-def _read_json(spark, spec, paths, options, plan: TimestampPlan | None) -> DataFrame:
+def _read_json(spark, spec, paths, options, plan: TimestampPlan | None, stored) -> DataFrame:
     files = [storage.literal(p) for p in paths]
     declared = plan.schema if plan else None
     if declared is not None and spec.evolution == "none":
@@ -118,8 +132,8 @@ def _read_json(spark, spec, paths, options, plan: TimestampPlan | None) -> DataF
     # New fields can only be found by looking at every record, as Spark's own inference does.
     as_text = "false" if spec.infer_types or declared is None else "true"
     inferred = spark.read.options(**{"primitivesAsString": as_text, **options}).json(files).schema
-    schema = evolve.hinted_schema(inferred.names, declared, inferred)
-    df = derive.with_source(spark.read.schema(schema).options(**options).json(files))
+    schema, unsure = evolve.remembered(evolve.hinted_schema(inferred.names, declared, inferred), declared, stored)
+    df = evolve.keep_types(derive.with_source(spark.read.schema(schema).options(**options).json(files)), unsure)
     return evolve.with_declared(df, declared) if declared is not None else df
 
 

@@ -107,7 +107,7 @@ class DatasetSpec:
     infer_types: bool = False
     optimize_write: bool = True
     max_files_per_trigger: int = 1000
-    max_file_age: str = "36500d"
+    max_file_age: str = "365d"
     message_format: str = "kafka"
     message_options: Mapping[str, str] = field(default_factory=dict)
     avro_schema: str | None = None
@@ -224,7 +224,7 @@ def from_json(name: str, cfg: Mapping, layers: Layers, mode: str = "snapshot", b
         infer_types=_flag(cfg.get("autoloader_infer_column_types", False)),
         optimize_write=_flag(cfg.get("optimize_write", True)),
         max_files_per_trigger=int(cfg.get("max_files_per_trigger", 1000)),
-        max_file_age=cfg.get("max_file_age", "36500d"),
+        max_file_age=cfg.get("max_file_age", "365d"),
         bronze=bronze,
     )
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import codecs
+import re
 import uuid
 from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
 from functools import cached_property
 
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _GLOB_CHARACTERS = set("{}[]*?\\")
 
@@ -68,19 +70,23 @@ class Store:
     def _codecs(self) -> JavaObject:
         return self._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self._conf)
 
-    @cached_property
-    def _readers(self) -> tuple:
-        return self._jvm.java.io.BufferedReader, self._jvm.java.io.InputStreamReader
+    def text_lines(self, path: str, charset: str, line_sep: str | None = None, chunk: int = 1 << 14) -> Iterator[str]:
+        """The lines of one file, decompressed by its extension, fetched as they are asked for.
 
-    @contextmanager
-    def text_lines(self, path: str, charset: str) -> Iterator[Iterator[str]]:
-        """The lines of one file, decompressed by its extension, fetched as they are asked for."""
+        Bytes that the charset does not know become replacement characters, as in Spark's readers.
+        """
         fs, target = self.locate(path)
         codec = self._codecs.getCodec(target)
-        buffered, decoding = self._readers
+        ends = re.compile(re.escape(line_sep)) if line_sep else re.compile(r"\r\n|\n|\r(?!\n|\Z)")
+        decoder, text = codecs.getincrementaldecoder(charset)("replace"), ""
         opened = fs.open(target)
         try:
-            yield iter(buffered(decoding(codec.createInputStream(opened) if codec else opened, charset)).readLine, None)
+            stream = codec.createInputStream(opened) if codec else opened
+            while data := bytes(stream.readNBytes(chunk)):
+                text += decoder.decode(data)
+                *lines, text = ends.split(text)
+                yield from lines
+            yield from ends.split((text + decoder.decode(b"", True)).removesuffix("\r"))
         finally:
             opened.close()
 
@@ -162,13 +168,44 @@ def listing(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataF
     return reader.load(path).select("path", "length", "modificationTime")
 
 
+def empty_files(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
+    """Files of zero bytes under ``path`` as path, length and modificationTime.
+
+    Spark's scans pass such files over, though its file index lists them. Names are fetched only if
+    the index has more of them than the scan, and only names that the scan has not are looked up.
+    """
+    indexed = spark.read.format("binaryFile").options(**options).load(path)._jdf.inputFiles()
+    schema = "path string, length bigint, millis bigint"
+    if len(indexed) == listing(spark, path, options).count():
+        return spark.createDataFrame([], schema).coalesce(1).select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
+    names = spark.createDataFrame([(p,) for p in indexed], "path string")
+    store = Store(spark)
+
+    def entry(name: str):
+        fs, target = store.locate(_decoded(spark, name))
+        status = fs.getFileStatus(target) if fs.exists(target) else None
+        return status and status.getLen() == 0 and (status.getPath().toString(), 0, status.getModificationTime())
+
+    seen = listing(spark, path, options).select(F.col("path").alias("seen"))
+    rest = names.join(seen, F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "^file:/+", "/") == F.regexp_replace("seen", "^file:/+", "/"), "left_anti")
+    found = [e for r in rest.toLocalIterator() if (e := entry(r.path))]
+    return spark.createDataFrame(found, schema).coalesce(1).select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
+
+
+def _decoded(spark: SparkSession, uri: str) -> str:
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new directory in the folder the session names in ``spark.checkpoint.dir``, or has set.
 
-    Only where that is unset, as in tests on one machine, a local temporary folder is used.
+    Where that is unset a local temporary folder is used if driver and executors are one process,
+    as in tests; anywhere else executors would each write to their own disk, so it is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         return tempfile.mkdtemp(prefix=f"tierline-{label}-")

@@ -30,10 +30,14 @@ def ingest_new_files(spark: SparkSession, spec: DatasetSpec, prepare: Callable[[
     Per micro-batch: write its rows, record the commit, archive its files, in this order. A
     replay finds either no commit row, and then all files are still there to be read again, or
     the row, and then only the archiving is finished. Files the stream has passed over, such as
-    a new file under a name seen before, stay in landing and are counted as skipped.
+    a new file under a name seen before, stay in landing and are counted as skipped. Files of zero
+    bytes have no rows; they are counted and archived. The commit rows are read once, as the layer
+    has one writer.
     """
     total = Intake()
     before = files.landing_files(spark, spec)
+    empty = files.empty_files(spark, spec)
+    seen = {"known": ledger.state(spark, spec.raw)}
 
     def one_batch(manifest: DataFrame, epoch: int) -> None:
         session = manifest.sparkSession
@@ -41,15 +45,16 @@ def ingest_new_files(spark: SparkSession, spec: DatasetSpec, prepare: Callable[[
         if not members:
             return
         batch_id = control.batch_identity(manifest, epoch)
-        known = ledger.state(session, spec.raw)
+        known = seen["known"]
         if not known.has(batch_id):
-            rows = files.read_files(session, spec, [m.path for m in members])
+            rows = files.read_files(session, spec, [m.path for m in members], known.schema())
             if rows is not None:
                 details = {"files": str(len(members))}
                 written = sinks.append_batch(
                     prepare(rows), spec.raw, batch_id, spec.partition_by, spec.optimize_write, parameters=details, known=known
                 )
                 total.rows += written.rows
+                seen["known"] = written.known
         total.batches += 1
         total.files += len(members)
         if spec.archive:
@@ -59,5 +64,7 @@ def ingest_new_files(spark: SparkSession, spec: DatasetSpec, prepare: Callable[[
         files.stream_files(spark, spec), one_batch, spec.checkpoint, control.query_name("landing_to_raw", spec.name)
     )
     if spec.archive:
+        moved = ledger.archive(spark, empty, spec.archive)
+        total.files, total.archived = total.files + moved, total.archived + moved
         total.skipped = ledger.skipped_files(before).count()
     return total

@@ -574,3 +574,20 @@ def test_pruning_reaches_the_raw_scan(spark, place, put):
     assert "PushedFilters: [IsNotNull(quantity), GreaterThan(quantity,0)]" in plan
     assert "order_date" not in plan.split("ReadSchema")[1]
     assert rows(df) == [("a",)]
+
+
+def test_every_small_batch_is_counted(spark, place):
+    schema = "a long"
+    for i in range(130):
+        os.makedirs(place("many"), exist_ok=True)
+        with open(place(f"many/{i:03d}.csv"), "w") as file:
+            file.write(f"{i}\n")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 13).csv(place("many"))
+        rows_in = control.rows_until_done(
+            spark, lambda: sinks.append_stream(stream, place("out"), place("check"), trigger=control.AVAILABLE_NOW, name="counted")
+        )
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert rows_in == 130

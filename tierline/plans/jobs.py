@@ -215,8 +215,7 @@ def messages_to_raw(spark: SparkSession, spec: DatasetSpec, trigger: Mapping | N
 
 
 def _catch_up(spark: SparkSession, spec: DatasetSpec) -> Outcome:
-    query = messages_to_raw(spark, spec, control.AVAILABLE_NOW)
-    rows = control.rows_until_done(query)
+    rows = control.rows_until_done(spark, lambda: messages_to_raw(spark, spec, control.AVAILABLE_NOW))
     return Outcome(spec.name, "messages_to_raw", "ok" if rows else "empty", rows)
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 AVAILABLE_NOW: Mapping = {"availableNow": True}
 
@@ -37,19 +39,41 @@ def run_available(df: DataFrame, each: Callable[[DataFrame, int], None], checkpo
     return query
 
 
-def rows_until_done(query: StreamingQuery) -> int:
-    """Wait for a query to end and count its input rows.
+class _Counts(StreamingQueryListener):
+    """Input rows of each run's batches, and which runs have ended."""
 
-    Progress is picked up along the way, as Spark keeps only that of the latest batches.
+    def __init__(self):
+        self.rows: dict[str, dict[int, int]] = defaultdict(dict)
+        self.ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        seen = self.rows[str(progress.runId)]
+        seen[progress.batchId] = max(seen.get(progress.batchId, 0), progress.numInputRows)
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+
+def rows_until_done(spark: SparkSession, start: Callable[[], StreamingQuery]) -> int:
+    """Start a query, wait for it to end and count its input rows.
+
+    A listener hears of every batch, while a query itself remembers only its latest ones.
     """
-    rows: dict[int, int] = {}
-    done = False
-    while not done:
-        done = query.awaitTermination(1)
-        for progress in query.recentProgress:
-            batch = progress["batchId"]
-            rows[batch] = max(rows.get(batch, 0), progress["numInputRows"])
-    return sum(rows.values())
+    counts = _Counts()
+    spark.streams.addListener(counts)
+    try:
+        query = start()
+        query.awaitTermination()
+        run = str(query.runId)
+        if not counts.ended[run].wait(60):  # its events come after those of its batches
+            raise RuntimeError(f"no word of the end of {query.name}")
+        return sum(counts.rows[run].values())
+    finally:
+        spark.streams.removeListener(counts)
 
 
 def run_streams(spark: SparkSession, queries: Sequence[StreamingQuery], timeout: float | None = None) -> list[str]:

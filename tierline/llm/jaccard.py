@@ -10,8 +10,10 @@ finds frequent last, so texts that only share a common passage rarely meet. A se
 fewer keeps them all, and one more that such sets of its band share.
 
 Sets that share a signature are candidates. They are first compared with one member of each signature's
-group, then, across what is not connected by then, with each other. Every comparison is exact. Shingles and
-equal sets are told by 64-bit hashes.
+group, then, across what is not connected by then, with each other. Before a comparison the parities of
+``PARITIES`` classes of shingles are held against each other: sets differ in at least as many shingles as
+parities, so too many different ones rule a pair out. What is left is compared shingle by shingle. Shingles
+and equal sets are told by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.common import by_size, cut, text_of
@@ -29,6 +31,8 @@ SHINGLE = 5
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 80
 _BAND = 4
+PARITIES = 1024
+_WORDS = PARITIES // 64
 _SEPARATOR = np.isin(np.arange(256), [32, *range(9, 14)])
 _RANDOM = np.random.Generator(np.random.PCG64(20))
 _BYTES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,6 +97,12 @@ def set_hash(shingles: np.ndarray) -> int:
     return int(total.astype(np.int64)[0])
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether a set has an odd number of shingles in each class, as 64-bit words."""
+    odd = np.bincount((mix(shingles) >> np.uint64(40)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def furthest(size: int) -> int:
     """The most shingles in which a set of ``size`` differs from a similar one: both sizes less twice the overlap."""
     return (100 - PERCENT) * (size + 100 * size // PERCENT) // (100 + PERCENT)
@@ -138,16 +148,19 @@ def _texts(block: pa.RecordBatch) -> list[bytes]:
 
 
 def summaries(rows: DataFrame) -> DataFrame:
-    """id, check, n, node for each row (id, check, text): the size of its set, and the set's hash, null if empty."""
+    """id, check, n, node, odd for each row (id, check, text): the size, hash and parities of its set; null if empty."""
 
     def run(batches):
-        for block in by_size(batches, "text", 1 << 21):
+        for block in by_size(batches, "text", 1 << 20):
             sets = shingle_sets(_texts(block))
-            columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays([block.column("id"), block.column("check"), *columns], ["id", "check", "n", "node"])
+            columns = [
+                pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
+                pa.array([parities(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+            ]
+            yield pa.RecordBatch.from_arrays([block.column("id"), block.column("check"), *columns], ["id", "check", "n", "node", "odd"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "check", "text").mapInArrow(run, f"id {kind}, check long, n long, node long")
+    return rows.select("id", "check", "text").mapInArrow(run, f"id {kind}, check long, n long, node long, odd array<long>")
 
 
 def frequent_signatures(rows: DataFrame, sample_rows: int, share: float) -> np.ndarray:
@@ -160,7 +173,7 @@ def frequent_signatures(rows: DataFrame, sample_rows: int, share: float) -> np.n
     part = min(1.0, sample_rows / max(1, total))
 
     def run(batches):
-        for block in by_size(batches, "text", 1 << 21):
+        for block in by_size(batches, "text", 1 << 20):
             found = [signatures(s, b) for s in shingle_sets(_texts(block)) if len(s) for b in bands(len(s))]
             values, counts = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts, pa.int64())], ["signature", "n"])
@@ -178,7 +191,7 @@ def emitted(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     def run(batches):
         met: set[int] = set()
-        for block in by_size(batches, "text", 1 << 21):
+        for block in by_size(batches, "text", 1 << 20):
             keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for own in shingle_sets(_texts(block)):
                 node = set_hash(own) if len(own) else None
@@ -193,6 +206,19 @@ def emitted(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
     return rows.select("text").mapInArrow(run, "signature long, node long")
 
 
+def can_be_similar(a: str, b: str) -> Column:
+    """Whether sizes and parities (``n`` and ``odd`` after the given prefixes) leave two sets a chance."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    differ = sum((F.bit_count(F.col(f"{a}odd{i}").bitwiseXOR(F.col(f"{b}odd{i}"))) for i in range(_WORDS)), F.lit(0))
+    least_overlap = F.ceil(F.lit(PERCENT) * (n + m) / (100 + PERCENT))
+    return (F.greatest(n, m) * PERCENT <= F.least(n, m) * 100) & (differ <= n + m - 2 * least_overlap)
+
+
+def _named(nodes: DataFrame, key: str, prefix: str) -> DataFrame:
+    """Size and parities of nodes, under names for one side of a pair."""
+    return nodes.select(F.col("node").alias(key), F.col("n").alias(f"{prefix}n"), *[F.get("odd", F.lit(i)).alias(f"{prefix}odd{i}") for i in range(_WORDS)])
+
+
 def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Those of ``pairs`` (u, v) that are similar, compared shingle by shingle.
 
@@ -204,7 +230,7 @@ def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFram
     found = rows.join(wanted, rows["id"].eqNullSafe(wanted["rep"]) & (rows["check"] == wanted["rep_check"])).select("node", "text")
 
     def sets(batches):
-        for block in by_size(batches, "text", 1 << 21):
+        for block in by_size(batches, "text", 1 << 20):
             blobs = [s.tobytes() for s in shingle_sets(_texts(block))]
             yield pa.RecordBatch.from_arrays([block.column("node"), pa.array(blobs, pa.binary())], ["node", "shingles"])
 
@@ -250,7 +276,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def similar_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 1 << 14, share: float = 1 / 1024
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 1 << 13, share: float = 1 / 512
 ) -> DataFrame:
     """One row per document: ``id_col``, n_shingles, component_id, the smallest id that links lead to.
 
@@ -263,34 +289,33 @@ def similar_components(
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("check"), text.alias("text"))
     found = cut(summaries(rows), "summaries")
     nodes = found.where(F.col("node").isNotNull()).groupBy("node").agg(
-        F.min("id").alias("least_id"), F.min("n").alias("n"), F.min(F.struct("id", "check")).alias("rep"), F.count(F.lit(1)).alias("copies")
+        F.min("id").alias("least_id"), F.min("n").alias("n"), F.min(F.struct("id", "check")).alias("rep"), F.min("odd").alias("odd")
     )
-    nodes = cut(nodes.select("node", "least_id", "n", F.col("rep.id").alias("rep"), F.col("rep.check").alias("rep_check")), "nodes")
+    nodes = cut(nodes.select("node", "least_id", "n", "odd", F.col("rep.id").alias("rep"), F.col("rep.check").alias("rep_check")), "nodes")
 
+    # signatures of more than one set
     group = Window.partitionBy("signature")
     keys = emitted(rows, frequent_signatures(rows, sample_rows, share))
-    keys = keys.withColumns({"low": F.min("node").over(group), "high": F.max("node").over(group)}).where("low <> high")
-    keys = cut(keys.select("signature", "node").distinct().join(nodes.select("node", "n"), "node"), "keys")
+    keys = keys.withColumns({"low": F.min("node").over(group), "high": F.max("node").over(group), "size": F.count("node").over(group)})
+    keys = cut(keys.where("low <> high").select("signature", "node", "size").dropDuplicates(["signature", "node"]), "keys")
 
     # the member that meets most others is the likeliest centre of its group
-    crowds = keys.groupBy("signature").agg(F.count(F.lit(1)).alias("size"))
-    weights = keys.join(crowds, "signature").groupBy("node").agg(F.sum("size").alias("weight"))
-    centres = keys.join(weights, "node").groupBy("signature").agg(F.max(F.struct("weight", "node")).alias("c"))
-    similar_sizes = F.greatest("n", "m") * PERCENT <= F.least("n", "m") * 100
-    by_centre = keys.join(centres.select("signature", F.col("c.node").alias("u")), "signature").where("node <> u")
-    by_centre = by_centre.join(nodes.select(F.col("node").alias("u"), F.col("n").alias("m")), "u").where(similar_sizes)
-    tried = cut(by_centre.select("u", F.col("node").alias("v")).distinct(), "pairs")
+    weights = keys.groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = keys.select("signature", "node").join(weights, "node")
+    centre = F.max(F.struct("weight", "node")).over(group)["node"]
+    tried = weighed.select(centre.alias("u"), F.col("node").alias("v")).where("u <> v").distinct()
+    tried = tried.join(_named(nodes, "v", "v_"), "v").join(_named(nodes, "u", "u_"), "u").where(can_be_similar("u_", "v_"))
+    tried = cut(tried.select("u", "v"), "pairs")
     links = links_among(tried, rows, nodes)
 
+    # signatures whose sets are not all connected by that
     roots = components(links)
-    grouped = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    open_ = grouped.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    grouped = cut(grouped.join(open_.select("signature"), "signature"), "open")
-    left, right = (grouped.select("signature", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "root", "n")]) for side in ("a", "b"))
-    rest = left.join(right, "signature").where(
-        (F.col("root_a") < F.col("root_b")) & (F.greatest("n_a", "n_b") * PERCENT <= F.least("n_a", "n_b") * 100)
-    )
-    rest = rest.select(F.col("node_a").alias("u"), F.col("node_b").alias("v")).distinct()
+    grouped = keys.select("signature", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = grouped.withColumns({"low": F.min("root").over(group), "high": F.max("root").over(group)}).where("low <> high")
+    grouped = cut(grouped.select("signature", "node", "root"), "open").join(_named(nodes, "node", ""), "node")
+    left, right = (grouped.select("signature", *[F.col(c).alias(f"{side}_{c}") for c in grouped.columns if c != "signature"]) for side in "ab")
+    rest = left.join(right, (left["signature"] == right["signature"]) & (F.col("a_root") < F.col("b_root")) & can_be_similar("a_", "b_"))
+    rest = rest.select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct()
     rest = rest.join(tried, ["u", "v"], "left_anti").join(tried.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"], "left_anti")
     more = links_among(cut(rest, "rest"), rows, nodes)
     roots = components(links.union(more))
@@ -298,6 +323,6 @@ def similar_components(
     members = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("least_id").alias("component_id"))
     members = members.join(least, "root").select("node", "component_id")
-    out = found.join(members, "node", "left")
+    out = found.select("id", "n", "node").join(members, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))

@@ -97,12 +97,31 @@ def set_hash(shingles: np.ndarray) -> int:
     return int(total.astype(np.int64)[0])
 
 
-def parities(shingles: np.ndarray) -> np.ndarray:
-    """Whether a set has an odd number of shingles in each class, as 64-bit words."""
-    odd = np.bincount((mix(shingles) >> np.uint64(40)).astype(np.int64) % PARITIES, minlength=PARITIES) & 1
+def parities(shingles: np.ndarray, classes: int = PARITIES) -> np.ndarray:
+    """Whether a set has an odd number of shingles in each class, as 64-bit words; ``classes`` is a power of two."""
+    odd = np.bincount((mix(shingles) >> np.uint64(24)).astype(np.int64) % classes, minlength=classes) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def fine_parities(shingles: np.ndarray) -> np.ndarray:
+    """Parities of at least two classes a shingle."""
+    return parities(shingles, max(64, 1 << (2 * len(shingles) - 1).bit_length()))
+
+
+def differing(a: np.ndarray, b: np.ndarray) -> int:
+    """In how many parities two sets differ; the finer ones are folded to as many classes as the others have."""
+    while len(a) != len(b):
+        if len(a) < len(b):
+            a, b = b, a
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+
+
+def most_apart(a: int, b: int) -> int:
+    """In how many shingles similar sets of these sizes differ at most."""
+    return a + b + 2 * (-PERCENT * (a + b) // (100 + PERCENT))
+
+
 def furthest(size: int) -> int:
     """The most shingles in which a set of ``size`` differs from a similar one: both sizes less twice the overlap."""
     return (100 - PERCENT) * (size + 100 * size // PERCENT) // (100 + PERCENT)
@@ -219,39 +238,76 @@ def _named(nodes: DataFrame, key: str, prefix: str) -> DataFrame:
     return nodes.select(F.col("node").alias(key), F.col("n").alias(f"{prefix}n"), *[F.get("odd", F.lit(i)).alias(f"{prefix}odd{i}") for i in range(_WORDS)])
 
 
-def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+def _bits_of(checks: DataFrame, bits: int) -> np.ndarray:
+    """A bit for each ``check``, by its last digits: a summary of fixed size, whatever the number of rows."""
+    place = F.pmod(F.col("check"), F.lit(bits))
+    words = checks.groupBy(F.floor(place / 64).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(check, {bits}) % 64 as int))")).alias("marks"))
+    found = words.toArrow()
+    marks = np.zeros(bits // 64, np.int64)
+    marks[found.column("word").to_numpy()] = found.column("marks").to_numpy()
+    return marks.view(np.uint64)
+
+
+def _marked(rows: DataFrame, marks: np.ndarray) -> DataFrame:
+    """The rows whose check has its bit set, so that few others are shuffled."""
+    held = rows.sparkSession.sparkContext.broadcast(marks)
+
+    def run(batches):
+        marks = held.value
+        for batch in batches:
+            place = batch.column("check").to_numpy() % (64 * len(marks))
+            bit = (marks[place // 64] >> (place % 64).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(bit.astype(bool)))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _with_sets(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
+    """What ``held`` has in ``column`` for both sides of pairs, as a and b. The member that many pairs share
+    comes last, where Spark splits its rows."""
+    joined = pairs.join(held.select(F.col("node").alias("v"), F.col(column).alias("b")), "v")
+    return joined.join(held.select(F.col("node").alias("u"), F.col(column).alias("a")), "u").select("u", "v", "a", "b")
+
+
+def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, bits: int = 1 << 22) -> DataFrame:
     """Those of ``pairs`` (u, v) that are similar, compared shingle by shingle.
 
-    Only the texts in question are read again, one for each set. A pair's sets are joined to it one after
-    the other; the member that many pairs share comes last, where Spark splits its rows.
+    Only the texts in question are read again, one for each set. Parities as fine as the sets rule out
+    most pairs that are not similar before whole sets are moved.
     """
     asked = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "node")
-    wanted = asked.join(nodes.select("node", "rep", "rep_check"), "node")
-    found = rows.join(wanted, rows["id"].eqNullSafe(wanted["rep"]) & (rows["check"] == wanted["rep_check"])).select("node", "text")
+    wanted = cut(asked.join(nodes.select("node", "rep", "rep_check"), "node"), "wanted")
+    some = _marked(rows, _bits_of(wanted.select(F.col("rep_check").alias("check")), bits))
+    found = some.join(wanted, some["id"].eqNullSafe(wanted["rep"]) & (some["check"] == wanted["rep_check"])).select("node", "text")
 
     def sets(batches):
         for block in by_size(batches, "text", 1 << 20):
-            blobs = [s.tobytes() for s in shingle_sets(_texts(block))]
-            yield pa.RecordBatch.from_arrays([block.column("node"), pa.array(blobs, pa.binary())], ["node", "shingles"])
-
-    held = cut(found.mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
-
-    def compare(batches):
-        for block in by_size(batches, "b", 1 << 22):
-            out, last, own = [], None, None
-            for u, v, a, b in zip(*(block.column(c).to_pylist() for c in ("u", "v", "a", "b"))):
-                if u != last:
-                    last, own = u, np.frombuffer(a, np.uint64)
-                other = np.frombuffer(b, np.uint64)
-                shared = len(np.intersect1d(own, other, assume_unique=True))
-                if 100 * shared >= PERCENT * (len(own) + len(other) - shared):
-                    out.append((u, v))
-            columns = list(zip(*out)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v"])
-
-    joined = pairs.join(held.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
-    joined = joined.join(held.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
-    return cut(joined.select("u", "v", "a", "b").mapInArrow(compare, "u long, v long"), "links")
+            own = shingle_sets(_texts(block))
+            columns = [pa.array([f(s).tobytes() for s in own], pa.binary()) for f in (fine_parities, np.asarray)]
+            columns.insert(0, pa.array([len(s) for s in own], pa.int64()))
+            yield pa.RecordBatch.from_arrays([block.column("node"), *columns], ["node", "n", "odd", "shingles"])
+
+    schema = "node long, n long, odd binary, shingles binary"
+    held = cut(found.mapInArrow(sets, schema).dropDuplicates(["node"]), "sets").withColumn("sized", F.struct("n", "odd"))
+
+    def chosen(is_kept):
+        def run(batches):
+            for block in batches if is_kept is close else by_size(batches, "a", 1 << 22):
+                kept = [is_kept(a, b) for a, b in zip(block.column("a").to_pylist(), block.column("b").to_pylist())]
+                yield block.select(["u", "v"]).filter(pa.array(kept, pa.bool_()))
+
+        return run
+
+    def close(a, b):
+        return differing(np.frombuffer(a["odd"], "<i8"), np.frombuffer(b["odd"], "<i8")) <= most_apart(a["n"], b["n"])
+
+    def similar(a, b):
+        a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+        shared = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * shared >= PERCENT * (len(a) + len(b) - shared)
+
+    near = cut(_with_sets(pairs, held, "sized").mapInArrow(chosen(close), "u long, v long"), "near")
+    return cut(_with_sets(near, held, "shingles").mapInArrow(chosen(similar), "u long, v long"), "links")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,28 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return storage.scratch(spark, f"llm-{label}")
 
 
+#: Rows that go to a Python worker at a time: texts are long, and both sides hold a batch.
+BATCH_ROWS = 500
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Run what is executed inside with at most ``BATCH_ROWS`` rows in a batch; the session's setting comes back after."""
+    before = spark.conf.get(_BATCH_KEY)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_KEY, before)
+
+
 def cut(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so that lost executors cost no recomputation."""
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

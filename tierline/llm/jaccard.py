@@ -18,14 +18,14 @@ and equal sets are told by 64-bit hashes.
 
 from __future__ import annotations
 
-from functools import cache
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import by_size, cut, text_of
+from tierline.llm.common import by_size, cut, small_batches, text_of
 
 SHINGLE = 5
 #: A link needs 100 * intersection >= PERCENT * union.
@@ -50,7 +50,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@cache
+@lru_cache(4)
 def _powers(base: int, length: int) -> np.ndarray:
     powers = np.full(length, base, np.uint64)
     powers[0] = 1
@@ -64,7 +64,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     space = _SEPARATOR[data]
     change = np.flatnonzero(np.diff(np.concatenate([[True], space]).astype(np.int8)))
     starts, ends = change[::2], change[1::2]
-    length = 1 << max(16, len(data).bit_length())
+    length = 1 << max(18, len(data).bit_length())
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * _powers(_BASE, length)[: len(data)], dtype=np.uint64)])
     hashes = (sums[ends] - sums[starts]) * _powers(_INVERSE, length)[starts]
     edges = np.cumsum([0] + [len(t) + 1 for t in texts])
@@ -170,7 +170,7 @@ def summaries(rows: DataFrame) -> DataFrame:
     """id, check, n, node, odd for each row (id, check, text): the size, hash and parities of its set; null if empty."""
 
     def run(batches):
-        for block in by_size(batches, "text", 1 << 20):
+        for block in by_size(batches, "text", 1 << 19):
             sets = shingle_sets(_texts(block))
             columns = [
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
@@ -192,7 +192,7 @@ def frequent_signatures(rows: DataFrame, sample_rows: int, share: float) -> np.n
     part = min(1.0, sample_rows / max(1, total))
 
     def run(batches):
-        for block in by_size(batches, "text", 1 << 20):
+        for block in by_size(batches, "text", 1 << 19):
             found = [signatures(s, b) for s in shingle_sets(_texts(block)) if len(s) for b in bands(len(s))]
             values, counts = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts, pa.int64())], ["signature", "n"])
@@ -200,7 +200,8 @@ def frequent_signatures(rows: DataFrame, sample_rows: int, share: float) -> np.n
     sample = rows.where(F.pmod(F.xxhash64("check", "id"), F.lit(1 << 20)) < int(part * (1 << 20))).select("text")
     counted = sample.mapInArrow(run, "signature long, n long").groupBy("signature").agg(F.sum("n").alias("n"))
     least = max(8, int(share * part * total))
-    found = counted.where(F.col("n") >= least).select("signature").toArrow().column(0).to_numpy()
+    with small_batches(rows.sparkSession):
+        found = counted.where(F.col("n") >= least).select("signature").toArrow().column(0).to_numpy()
     return np.sort(found.astype(np.int64).astype(np.uint64))
 
 
@@ -210,7 +211,7 @@ def emitted(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     def run(batches):
         met: set[int] = set()
-        for block in by_size(batches, "text", 1 << 20):
+        for block in by_size(batches, "text", 1 << 19):
             keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for own in shingle_sets(_texts(block)):
                 node = set_hash(own) if len(own) else None
@@ -281,7 +282,7 @@ def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, bits: int =
     found = some.join(wanted, some["id"].eqNullSafe(wanted["rep"]) & (some["check"] == wanted["rep_check"])).select("node", "text")
 
     def sets(batches):
-        for block in by_size(batches, "text", 1 << 20):
+        for block in by_size(batches, "text", 1 << 19):
             own = shingle_sets(_texts(block))
             columns = [pa.array([f(s).tobytes() for s in own], pa.binary()) for f in (fine_parities, np.asarray)]
             columns.insert(0, pa.array([len(s) for s in own], pa.int64()))

@@ -104,6 +104,25 @@ def test_similar_sets_share_a_kept_signature(size, seed, order):
     assert np.intersect1d(jaccard.kept_signatures(a, late), jaccard.kept_signatures(b, late)).size
 
 
+def test_parities_differ_in_no_more_places_than_sets():
+    rng = np.random.default_rng(3)
+    for size in (1, 5, 40, 900, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: len(a) - size // 9], rng.integers(0, 1 << 63, size // 7 + 1).astype(np.uint64)]))
+        apart = len(np.setxor1d(a, b))
+        assert jaccard.differing(jaccard.parities(a), jaccard.parities(b)) <= apart
+        assert jaccard.differing(jaccard.fine_parities(a), jaccard.fine_parities(b)) <= apart
+        assert jaccard.differing(jaccard.fine_parities(a), jaccard.fine_parities(b[: len(b) // 3 + 1])) <= len(np.setxor1d(a, b[: len(b) // 3 + 1]))
+
+
+def test_most_apart_is_what_similar_sets_can_differ_in():
+    for a in range(1, 80):
+        for b in range(1, 100):
+            fits = [s for s in range(min(a, b) + 1) if 100 * s >= 80 * (a + b - s)]
+            if fits:
+                assert jaccard.most_apart(a, b) == a + b - 2 * fits[0]
+
+
 def test_furthest_bounds_every_similar_pair():
     for a in range(1, 200):
         for b in range(1, 260):
@@ -125,3 +144,12 @@ def test_components_of_a_long_chain(spark):
     pairs = [(i, i + 1) for i in range(0, 60) if i != 30] + [(100, 100), (7, 3), (3, 7)]
     got = {r.node: r.root for r in jaccard.components(spark.createDataFrame(pairs, "u long, v long")).collect()}
     assert got == {i: 0 if i <= 30 else 31 for i in range(61) if i not in (0, 31)}
+
+
+def test_further_links_connect_components(spark):
+    roots = jaccard.components(spark.createDataFrame([(1, 2), (2, 3), (10, 11), (20, 21)], "u long, v long"))
+    more = spark.createDataFrame([(3, 11), (30, 31), (31, 40), (2, 1)], "u long, v long")
+    got = {r.node: r.root for r in jaccard.joined_components(roots, more).collect()}
+    assert got == {2: 1, 3: 1, 10: 1, 11: 1, 21: 20, 31: 30, 40: 30}
+    none = spark.createDataFrame([], "u long, v long")
+    assert {r.node: r.root for r in jaccard.joined_components(roots, none).collect()} == {2: 1, 3: 1, 11: 10, 21: 20}

@@ -1,6 +1,3 @@
-import public_tokenizers
-from pyspark.sql import functions as F
-
 import corpus_pipeline
 from tests.conftest import DATA
 from tests.llm import test_jaccard, test_mixing, test_packing
@@ -60,8 +57,3 @@ def test_odd_rows(spark):
     empty = docs.where("false")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, DATA).count() == 0, name
-
-
-def test_nothing_but_the_tokenizer_is_read_from_outside():
-    assert public_tokenizers.path("byte_bpe_50k.json") == corpus_pipeline.tokenizer_path("byte_bpe_50k.json")
-    assert F.lit(1) is not None

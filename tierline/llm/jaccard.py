@@ -314,26 +314,40 @@ def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, bits: int =
 def components(edges: DataFrame) -> DataFrame:
     """node and root, the smallest node that it is connected to, for every node of ``edges`` (u, v) but the roots.
 
-    Large-star and small-star steps in turn until nothing changes; each step's edges are written to the
-    shared folder.
+    Large-star and small-star steps in turn until every node hangs on a root; each turn's edges are written
+    to the shared folder.
     """
     edges = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    mark = None
-    while True:
+    while not _is_star(edges):
         both = edges.select(F.col("u").alias("a"), F.col("v").alias("b")).union(edges.select("v", "u"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = cut(small.distinct(), "edges")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == mark:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        mark = now
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _is_star(edges: DataFrame) -> bool:
+    """Whether no node has two edges to smaller ones, and none that it hangs on hangs on another."""
+    ends = edges.select(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("n").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return seen.where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
+def joined_components(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """Components of ``roots`` (node, root) with further links (u, v): only roots are connected anew."""
+    found = more.select("u", "v")
+    for side in ("u", "v"):
+        of = roots.select(F.col("node").alias(side), F.col("root").alias("r"))
+        found = found.join(of, side, "left").withColumn(side, F.coalesce("r", side)).drop("r")
+    upper = cut(components(found), "roots")
+    moved = roots.join(upper.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    return upper.union(moved.select("node", F.coalesce("top", "root").alias("root")))
 
 
 def similar_components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 1 << 13, share: float = 1 / 512
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = 1 << 15, share: float = 1 / 4096
 ) -> DataFrame:
     """One row per document: ``id_col``, n_shingles, component_id, the smallest id that links lead to.
 
@@ -375,7 +389,7 @@ def similar_components(
     rest = rest.select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct()
     rest = rest.join(tried, ["u", "v"], "left_anti").join(tried.select(F.col("u").alias("v"), F.col("v").alias("u")), ["u", "v"], "left_anti")
     more = links_among(cut(rest, "rest"), rows, nodes)
-    roots = components(links.union(more))
+    roots = joined_components(roots, more)
 
     members = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = members.groupBy("root").agg(F.min("least_id").alias("component_id"))

@@ -82,3 +82,13 @@ def test_a_host_without_marked_articles(spark):
     want += [(50, "Home News Sport Weather Shop About Contact Imprint\n\nalone"), (None, ""), (51, "")]
     assert got == sorted(((i, t, len(t)) for i, t in want), key=repr)
     assert pagetext.extract(df.where("false")).collect() == []
+
+
+def test_a_notice_on_few_pages_of_a_large_host(spark):
+    notice = "This site is run by volunteers and takes no money"
+    # single tokens of 8 MB make the host large
+    rows = [(i, "http://big.example/", f"<p>{chr(97 + i) * (1 << 23)}</p>") for i in range(12)]
+    rows += [(100 + i, f"http://big.example/{i}", f"<div>{notice}</div><p>{i} is the number of this page</p>") for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pagetext.extract(df).where("page_id >= 100").collect()}
+    assert got == {100 + i: f"{i} is the number of this page" for i in range(3)}

@@ -2,12 +2,14 @@
 
 A page that marks its article gives that article's blocks. Repetition alone cannot tell there: copies of an
 article repeat like a footer does, and an advert can be unique. Elsewhere the blocks outside menus, footers
-and the like are weighed against the host's other pages: the pages' token streams are put after one another,
-their suffixes sorted, and long substrings that stand on several different pages are boilerplate.
+and the like are weighed against the host's other pages: the suffixes of
+all the host's token streams are grouped by their first tokens, and runs that stand on several different pages
+are boilerplate.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import by_size, cut, text_of
+from tierline.llm.common import by_size, cut, small_batches, text_of
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']|"[^"]*+"|'[^']*+'|["'])*?)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -111,90 +113,131 @@ def blocks(page: str) -> tuple[list[str], bool]:
     return [t for _, t in found], False
 
 
+def token_hashes(tokens: list[str], known: dict[str, int]) -> np.ndarray:
+    """64-bit hashes of tokens; ``known`` keeps those already hashed."""
+    if len(known) > 1 << 19:
+        known.clear()
+    for t in tokens:
+        if t not in known:
+            known[t] = int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    return np.fromiter((known[t] for t in tokens), np.uint64, len(tokens))
+
+
+def run_hashes(tokens: np.ndarray, least: int, seed: int) -> np.ndarray:
+    """The hash of the first ``least`` tokens of each suffix that has as many."""
+    room = max(0, len(tokens) - least + 1)
+    factors = np.random.default_rng(1).integers(0, 1 << 63, least, np.uint64) * np.uint64(2) + np.uint64(1)
+    out = np.full(room, seed & 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for i, factor in enumerate(factors):
+        out += tokens[i : i + room] * factor
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0x9FB21C651E98DF25)
+    return out ^ (out >> np.uint64(29))
+
+
+def covered(starts: np.ndarray, least: int, size: int) -> np.ndarray:
+    """Which of ``size`` tokens lie in a run of ``least`` that begins at one of ``starts``."""
+    marks = np.zeros(size + 1, np.int64)
+    np.add.at(marks, starts, 1)
+    np.add.at(marks, starts + least, -1)
+    return np.cumsum(marks[:-1]) > 0
+
+
 def repeated_tokens(streams: list[list[str]], least: int, pages: int) -> list[np.ndarray]:
     """Which tokens of each stream lie in a run of ``least`` tokens that stands in ``pages`` different streams.
 
-    The suffixes of all streams are sorted by their first ``least`` tokens, by doubling; equal streams count
-    as one.
+    For streams in memory; ``extract`` counts the same runs over a table. Equal streams count as one.
     """
-    number: dict[str, int] = {}
-    sizes = [len(s) for s in streams]
-    # a token of its own after each stream keeps substrings within streams
-    ends = np.cumsum([n + 1 for n in sizes])
-    ids = np.fromiter((i for s in streams for i in (*(number.setdefault(t, len(number)) for t in s), -1)), np.int64, ends[-1] if sizes else 0)
-    ids[ids < 0] = len(number) + np.arange(len(sizes))
-    same: dict[tuple, int] = {}
-    owner = np.repeat([same.setdefault(tuple(s), i) for i, s in enumerate(streams)], [n + 1 for n in sizes])
-    rank, span = ids, 1
-    covered = np.zeros(len(ids), bool)
-    while span < least and len(ids):
-        step = min(span, least - span)
-        after = np.full(len(rank), -1)
-        after[: max(0, len(rank) - step)] = rank[step:]
-        order = np.lexsort((after, rank))
-        new = np.concatenate([[0], np.cumsum((rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1]))])
-        rank = np.empty_like(new)
-        rank[order] = new
-        span += step
-    if len(ids):
-        pairs = np.unique(np.stack([rank, owner], axis=1), axis=0)[:, 0]
-        room = np.repeat(ends, [n + 1 for n in sizes]) - 1 - np.arange(len(ids))
-        often = np.flatnonzero((np.bincount(pairs, minlength=int(rank.max()) + 1)[rank] >= pages) & (room >= least))
-        marks = np.zeros(len(ids) + 1, np.int64)
-        np.add.at(marks, often, 1)
-        np.add.at(marks, np.minimum(often + least, len(ids)), -1)
-        covered = np.cumsum(marks[:-1]) > 0
-    return [covered[end - n - 1 : end - 1] for end, n in zip(ends.tolist(), sizes)]
-
-
-def without_boilerplate(page_blocks: list[list[str]], least: int, pages: int) -> list[list[str]]:
-    """The blocks of each page, less those of which most tokens repeat over the pages."""
-    words = [[b.split() for b in own] for own in page_blocks]
-    kept = []
-    for own, tokens, covered in zip(page_blocks, words, repeated_tokens([[t for b in own for t in b] for own in words], least, pages)):
-        edges = np.cumsum([0] + [len(b) for b in tokens])
-        kept.append([b for b, start, end in zip(own, edges, edges[1:]) if 2 * int(covered[start:end].sum()) <= end - start])
-    return kept
+    known: dict[str, int] = {}
+    runs = [run_hashes(token_hashes(s, known), least, 0) for s in streams]
+    different = {tuple(s): r for s, r in zip(streams, runs)}
+    found, n = np.unique(np.concatenate([np.unique(r) for r in different.values()] or [np.zeros(0, np.uint64)]), return_counts=True)
+    often = found[n >= pages]
+    return [covered(np.flatnonzero(np.isin(r, often)), least, len(s)) for s, r in zip(streams, runs)]
+
+
+def repeated_blocks(starts: np.ndarray, sizes: list[int], least: int) -> list[int]:
+    """The places of the blocks, of ``sizes`` tokens, most of whose tokens lie in the runs that begin at ``starts``."""
+    edges = np.cumsum([0, *sizes])
+    before = np.concatenate([[0], np.cumsum(covered(starts, least, int(edges[-1])))])
+    return np.flatnonzero(2 * (before[edges[1:]] - before[edges[:-1]]) > np.diff(edges)).tolist()
+
+
+#: Buckets of the filter that spares most runs the second count. It is of one size for any table, and only saves work.
+_BUCKETS = 1 << 24
 
 
 def extract(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 8, on_pages: int = 3,
-    group_chars: int = 1 << 23,
 ) -> DataFrame:
     """One row per page: ``id_col``, ``url_col``, text, n_chars.
 
-    Blocks are joined by an empty line. ``least`` tokens standing on ``on_pages`` different pages are
-    boilerplate where a page has no article; the pages of a host are compared in groups of about
-    ``group_chars`` characters, dealt by hash, so a large host is many groups. A null page is empty, and so
-    is its text; a null url's host is empty; null and repeated ids are allowed. Other columns are left out,
-    whatever their names; an empty table gives no rows.
+    Blocks are joined by an empty line. ``least`` tokens standing on ``on_pages`` different pages of a host
+    are boilerplate where a page has no article; pages with equal tokens count as one. A null page is empty,
+    and so is its text; a null url's host is empty; null and repeated ids are allowed. Other columns are left
+    out, whatever their names; an empty table gives no rows.
     """
+    spark = pages.sparkSession
     kind = pages.schema[id_col].dataType.simpleString()
 
     def parse(batches):
         for block in by_size(batches, "html", 1 << 22):
+            hosts = block.column("host").to_pylist()
             found = [blocks(p) for p in block.column("html").to_pylist()]
+            names = [hashlib.blake2b("\0".join([h, " ".join(b)]).encode("utf-8", "surrogatepass"), digest_size=8).digest() for h, (b, _) in zip(hosts, found)]
             columns = [
-                pa.array(["\n\n".join(b) if marked else None for b, marked in found], pa.string()),
-                pa.array([None if marked else b for b, marked in found], pa.list_(pa.string())),
+                pa.array([b for b, _ in found], pa.list_(pa.string())),
+                pa.array([[len(t.split()) for t in b] for b, _ in found], pa.list_(pa.int32())),
+                pa.array([marked for _, marked in found], pa.bool_()),
+                pa.array(np.frombuffer(b"".join(names), np.int64)),
             ]
-            yield pa.RecordBatch.from_arrays([block.column("id"), block.column("url"), *columns], ["id", "url", "text", "blocks"])
+            yield pa.RecordBatch.from_arrays(
+                [block.column("id"), block.column("url"), block.column("site"), *columns], ["id", "url", "site", "blocks", "sizes", "marked", "stream"]
+            )
+
+    def runs(batches, chosen: np.ndarray | None):
+        """Each page's runs with their places; only those of a bucket in ``chosen`` if there is one."""
+        known: dict[str, int] = {}
+        for block in by_size(batches, "weight", 1 << 20):
+            if chosen is not None and not chosen.any():
+                continue
+            for site, own, stream in zip(*(block.column(c).to_pylist() for c in ("site", "blocks", "stream"))):
+                keys = run_hashes(token_hashes([t for b in own for t in b.split()], known), least, site)
+                at = np.arange(len(keys)) if chosen is not None else np.unique(keys, return_index=True)[1]
+                if chosen is not None:
+                    bucket = keys % np.uint64(_BUCKETS)
+                    at = at[(chosen[bucket >> np.uint64(3)] >> (np.uint8(7) - (bucket & np.uint64(7)).astype(np.uint8))) & 1 > 0]
+                columns = [pa.array(keys[at].view(np.int64)), pa.array(np.full(len(at), stream, np.int64)), pa.array(at.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, ["run", "stream", "place"])
+
+    def weigh(batches):
+        for batch in batches:
+            starts, sizes = batch.column("places").to_pylist(), batch.column("sizes").to_pylist()
+            gone = [repeated_blocks(np.unique(np.array(p, np.int64)), n, least) for p, n in zip(starts, sizes)]
+            yield pa.RecordBatch.from_arrays([batch.column("stream"), pa.array(gone, pa.list_(pa.int32()))], ["stream", "gone"])
 
-    def compare(group):
-        kept = without_boilerplate(group.column("blocks").to_pylist(), least, on_pages)
-        texts = pa.array(["\n\n".join(b) for b in kept], pa.string())
-        return pa.Table.from_arrays([group.column("id"), group.column("url"), texts], ["id", "url", "text"])
-
-    rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), text_of(html_col).alias("html"))
-    parsed = cut(rows.mapInArrow(parse, f"id {kind}, url string, text string, blocks array<string>"), "pages")
-    marked = parsed.where(F.col("text").isNotNull()).select("id", "url", "text")
-
-    loose = parsed.where(F.col("text").isNull()).drop("text")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    loose = loose.withColumns({"host": host, "size": F.aggregate("blocks", F.lit(1).cast("long"), lambda n, b: n + F.length(b))})
-    sizes = loose.groupBy("host").agg(F.ceil(F.sum("size") / group_chars).alias("groups"))
-    loose = loose.join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("id", "url"), F.col("groups")))
-    weighed = loose.select("host", "part", "id", "url", "blocks").groupBy("host", "part").applyInArrow(compare, f"id {kind}, url string, text string")
-
-    both = marked.unionByName(weighed)
-    return both.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"))
+    rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), text_of(html_col).alias("html"))
+    rows = rows.withColumn("host", host).withColumn("site", F.xxhash64("host"))
+    shape = f"id {kind}, url string, site long, blocks array<string>, sizes array<int>, marked boolean, stream long"
+    parsed = cut(rows.mapInArrow(parse, shape), "pages")
+
+    loose = parsed.where(~F.col("marked")).select("site", "blocks", "stream", F.array_join("blocks", " ").alias("weight"))
+    pairs = loose.mapInArrow(lambda b: runs(b, None), "run long, stream long, place int").select("run", "stream").distinct()
+    often = pairs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= on_pages)
+    with small_batches(spark):
+        buckets = often.select(F.col("run").bitwiseAND(F.lit(_BUCKETS - 1)).cast("int").alias("bucket")).distinct().toArrow().column(0).to_numpy()
+    bits = np.zeros(_BUCKETS, bool)
+    bits[buckets] = True
+    chosen = np.packbits(bits)
+
+    likely = cut(loose.mapInArrow(lambda b: runs(b, chosen), "run long, stream long, place int").distinct(), "runs")
+    counted = likely.select("run", "stream").distinct().groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= on_pages)
+    places = likely.join(counted.select("run"), "run").groupBy("stream").agg(F.collect_set("place").alias("places"))
+    sizes = parsed.where(~F.col("marked")).groupBy("stream").agg(F.min("sizes").alias("sizes"))
+    gone = cut(places.join(sizes, "stream").mapInArrow(weigh, "stream long, gone array<int>"), "repeated")
+
+    weighed = parsed.join(gone, "stream", "left")
+    kept = F.filter("blocks", lambda b, i: F.col("marked") | ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
+    texts = weighed.select(F.col("id").alias(id_col), F.col("url").alias(url_col), F.array_join(kept, "\n\n").alias("text"))
+    return texts.select("*", F.char_length("text").cast("long").alias("n_chars"))

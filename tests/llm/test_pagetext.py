@@ -92,3 +92,17 @@ def test_a_notice_on_few_pages_of_a_large_host(spark):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in pagetext.extract(df).where("page_id >= 100").collect()}
     assert got == {100 + i: f"{i} is the number of this page" for i in range(3)}
+
+
+def test_articles_vote_on_what_repeats(spark):
+    end = "All rights reserved by the owners of this very site"
+    copied = "One agency report that many of the pages on this host print"
+    rows = [(i, f"<p>Start {i}</p><article><p>Page {i} tells its own story</p><p>{copied}</p></article><div>{end}</div>") for i in range(4)]
+    # pages without an article: the footer repeats on pages that have one, and the report is an article on most
+    rows += [(10, f"<p>A page that marks nothing</p><p>{copied}</p><div>{end}</div>")]
+    # what is a footer elsewhere is one in an article too
+    rows += [(11, f"<article><p>A wide article</p><div>{end}</div></article>")]
+    df = spark.createDataFrame([(i, "http://h.example/", h) for i, h in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pagetext.extract(df).collect()}
+    want = {i: f"Page {i} tells its own story\n\n{copied}" for i in range(4)}
+    assert got == {**want, 10: f"A page that marks nothing\n\n{copied}", 11: "A wide article"}

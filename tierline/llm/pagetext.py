@@ -1,10 +1,10 @@
 """Main text of web pages, by their markup and by what repeats on a host.
 
-A page that marks its article gives that article's blocks. Repetition alone cannot tell there: copies of an
-article repeat like a footer does, and an advert can be unique. Elsewhere the blocks outside menus, footers
-and the like are weighed against the host's other pages: the suffixes of
-all the host's token streams are grouped by their first tokens, and runs that stand on several different pages
-are boilerplate.
+The blocks outside menus, footers and the like are weighed against the host's other pages: the suffixes of all
+the host's token streams are grouped by their first tokens, and runs that stand on several different pages are
+boilerplate. Repetition alone cannot tell: copies of an article repeat like a footer does, and an advert can be
+unique. So a page that marks its article gives at most that article's blocks, and a run in an article is a vote
+against its being boilerplate, there and on the host's other pages.
 """
 
 from __future__ import annotations
@@ -58,8 +58,17 @@ def _is_frame(name: str, rest: str, inside: bool) -> bool:
 def blocks(page: str) -> tuple[list[str], bool]:
     """The blocks outside frames, in page order, and whether the page marks them as its article.
 
-    Blocks in ``article`` elements if there are any, else in ``main``, else all. White space in a block is
-    one space and character references are decoded.
+    Blocks in ``article`` elements if there are any, else in ``main``, else all.
+    """
+    found, inside, marked = all_blocks(page)
+    return [t for t, own in zip(found, inside) if own or not marked], marked
+
+
+def all_blocks(page: str) -> tuple[list[str], list[bool], bool]:
+    """All blocks outside frames, in page order, whether each is in the article, and whether the page marks one.
+
+    The article is the ``article`` elements if there are any, else ``main``. White space in a block is one
+    space and character references are decoded.
     """
     found: list[tuple[str, str]] = []
     parts: list[str] = []
@@ -109,8 +118,8 @@ def blocks(page: str) -> tuple[list[str], bool]:
     end_block()
     for container in ("article", "main"):
         if marked[container]:
-            return [t for where, t in found if where == container or where == "article"], True
-    return [t for _, t in found], False
+            return [t for _, t in found], [where == container or where == "article" for where, _ in found], True
+    return [t for _, t in found], [False] * len(found), False
 
 
 def token_hashes(tokens: list[str], known: dict[str, int]) -> np.ndarray:
@@ -172,10 +181,11 @@ def extract(
 ) -> DataFrame:
     """One row per page: ``id_col``, ``url_col``, text, n_chars.
 
-    Blocks are joined by an empty line. ``least`` tokens standing on ``on_pages`` different pages of a host
-    are boilerplate where a page has no article; pages with equal tokens count as one. A null page is empty,
-    and so is its text; a null url's host is empty; null and repeated ids are allowed. Other columns are left
-    out, whatever their names; an empty table gives no rows.
+    Blocks are joined by an empty line. A run of ``least`` tokens is boilerplate if it stands outside articles on
+    ``on_pages`` different pages of a host, and on more than have it in their article; pages with equal blocks
+    count as one. Blocks mostly of such runs go, and of a page with an article also those outside it. A null page
+    is empty, and so is its text; a null url's host is empty; null and repeated ids are allowed. Other columns are
+    left out, whatever their names; an empty table gives no rows.
     """
     spark = pages.sparkSession
     kind = pages.schema[id_col].dataType.simpleString()
@@ -183,32 +193,55 @@ def extract(
     def parse(batches):
         for block in by_size(batches, "html", 1 << 22):
             hosts = block.column("host").to_pylist()
-            found = [blocks(p) for p in block.column("html").to_pylist()]
-            names = [hashlib.blake2b("\0".join([h, " ".join(b)]).encode("utf-8", "surrogatepass"), digest_size=8).digest() for h, (b, _) in zip(hosts, found)]
+            found = [all_blocks(p) for p in block.column("html").to_pylist()]
+            names = [hashlib.blake2b(repr((h, b, inside)).encode(), digest_size=8).digest() for h, (b, inside, _) in zip(hosts, found)]
             columns = [
-                pa.array([b for b, _ in found], pa.list_(pa.string())),
-                pa.array([[len(t.split()) for t in b] for b, _ in found], pa.list_(pa.int32())),
-                pa.array([marked for _, marked in found], pa.bool_()),
+                pa.array([b for b, _, _ in found], pa.list_(pa.string())),
+                pa.array([inside for _, inside, _ in found], pa.list_(pa.bool_())),
+                pa.array([[len(t.split()) for t in b] for b, _, _ in found], pa.list_(pa.int32())),
+                pa.array([marked for _, _, marked in found], pa.bool_()),
                 pa.array(np.frombuffer(b"".join(names), np.int64)),
             ]
             yield pa.RecordBatch.from_arrays(
-                [block.column("id"), block.column("url"), block.column("site"), *columns], ["id", "url", "site", "blocks", "sizes", "marked", "stream"]
+                [block.column("id"), block.column("url"), block.column("site"), *columns],
+                ["id", "url", "site", "blocks", "inside", "sizes", "marked", "stream"],
             )
 
     def runs(batches, chosen: np.ndarray | None):
-        """Each page's runs with their places; only those of a bucket in ``chosen`` if there is one."""
+        """Runs by page and place: those outside articles, or all of a bucket in ``chosen``."""
         known: dict[str, int] = {}
-        for block in by_size(batches, "weight", 1 << 20):
-            if chosen is not None and not chosen.any():
-                continue
-            for site, own, stream in zip(*(block.column(c).to_pylist() for c in ("site", "blocks", "stream"))):
-                keys = run_hashes(token_hashes([t for b in own for t in b.split()], known), least, site)
-                at = np.arange(len(keys)) if chosen is not None else np.unique(keys, return_index=True)[1]
-                if chosen is not None:
-                    bucket = keys % np.uint64(_BUCKETS)
-                    at = at[(chosen[bucket >> np.uint64(3)] >> (np.uint8(7) - (bucket & np.uint64(7)).astype(np.uint8))) & 1 > 0]
-                columns = [pa.array(keys[at].view(np.int64)), pa.array(np.full(len(at), stream, np.int64)), pa.array(at.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, ["run", "stream", "place"])
+        parts: list[tuple] = []
+        waiting = 0
+
+        def batch() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*parts)]
+            parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["run", "stream", "place", "inside"])
+
+        for block in batches:
+            site, stream, own, marks, sizes = (block.column(c) for c in ("site", "stream", "blocks", "inside", "sizes"))
+            for i in range(len(block)):
+                within = np.repeat(np.array(marks[i].as_py(), bool), np.array(sizes[i].as_py(), np.int64))
+                if len(within) < least or (within.all() if chosen is None else not chosen.any()):
+                    continue
+                keys = run_hashes(token_hashes([t for b in own[i].as_py() for t in b.split()], known), least, site[i].as_py())
+                # a run is in one part of the page
+                edges = np.concatenate([[0], np.cumsum(within[1:] != within[:-1])])
+                at = np.flatnonzero(edges[least - 1 :] == edges[: len(keys)])
+                if chosen is None:
+                    at = at[~within[at]]
+                    at = at[np.unique(keys[at], return_index=True)[1]]
+                else:
+                    bucket = keys[at] & np.uint64(_BUCKETS - 1)
+                    at = at[(chosen[bucket >> np.uint64(3)] >> (7 - (bucket & np.uint64(7)).astype(np.uint8))) & 1 > 0]
+                if len(at):
+                    waiting += len(at)
+                    parts.append((keys[at].view(np.int64), np.full(len(at), stream[i].as_py(), np.int64), at.astype(np.int32), within[at]))
+                if waiting >= 1 << 17:
+                    yield batch()
+                    waiting = 0
+        if parts:
+            yield batch()
 
     def weigh(batches):
         for batch in batches:
@@ -219,25 +252,28 @@ def extract(
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), text_of(html_col).alias("html"))
     rows = rows.withColumn("host", host).withColumn("site", F.xxhash64("host"))
-    shape = f"id {kind}, url string, site long, blocks array<string>, sizes array<int>, marked boolean, stream long"
+    shape = f"id {kind}, url string, site long, blocks array<string>, inside array<boolean>, sizes array<int>, marked boolean, stream long"
     parsed = cut(rows.mapInArrow(parse, shape), "pages")
 
-    loose = parsed.where(~F.col("marked")).select("site", "blocks", "stream", F.array_join("blocks", " ").alias("weight"))
-    pairs = loose.mapInArrow(lambda b: runs(b, None), "run long, stream long, place int").select("run", "stream").distinct()
-    often = pairs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= on_pages)
+    found = "run long, stream long, place int, inside boolean"
+    content = parsed.select("site", "stream", "blocks", "inside", "sizes")
+    outside = content.mapInArrow(lambda b: runs(b, None), found).select("run", "stream").distinct()
+    often = outside.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= on_pages)
     with small_batches(spark):
         buckets = often.select(F.col("run").bitwiseAND(F.lit(_BUCKETS - 1)).cast("int").alias("bucket")).distinct().toArrow().column(0).to_numpy()
     bits = np.zeros(_BUCKETS, bool)
     bits[buckets] = True
     chosen = np.packbits(bits)
 
-    likely = cut(loose.mapInArrow(lambda b: runs(b, chosen), "run long, stream long, place int").distinct(), "runs")
-    counted = likely.select("run", "stream").distinct().groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= on_pages)
-    places = likely.join(counted.select("run"), "run").groupBy("stream").agg(F.collect_set("place").alias("places"))
-    sizes = parsed.where(~F.col("marked")).groupBy("stream").agg(F.min("sizes").alias("sizes"))
+    likely = cut(content.mapInArrow(lambda b: runs(b, chosen), found).distinct(), "runs")
+    votes = likely.select("run", "stream", "inside").distinct().groupBy("run")
+    votes = votes.agg(F.count_if(~F.col("inside")).alias("against"), F.count_if("inside").alias("for"))
+    frames = votes.where((F.col("against") >= on_pages) & (F.col("against") > F.col("for"))).select("run")
+    places = likely.join(frames, "run").groupBy("stream").agg(F.collect_set("place").alias("places"))
+    sizes = parsed.groupBy("stream").agg(F.min("sizes").alias("sizes"))
     gone = cut(places.join(sizes, "stream").mapInArrow(weigh, "stream long, gone array<int>"), "repeated")
 
     weighed = parsed.join(gone, "stream", "left")
-    kept = F.filter("blocks", lambda b, i: F.col("marked") | ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
+    kept = F.filter("blocks", lambda b, i: (~F.col("marked") | F.get("inside", i)) & ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), i))
     texts = weighed.select(F.col("id").alias(id_col), F.col("url").alias(url_col), F.array_join(kept, "\n\n").alias("text"))
     return texts.select("*", F.char_length("text").cast("long").alias("n_chars"))

@@ -106,3 +106,23 @@ def test_articles_vote_on_what_repeats(spark):
     got = {r.page_id: r.text for r in pagetext.extract(df).collect()}
     want = {i: f"Page {i} tells its own story\n\n{copied}" for i in range(4)}
     assert got == {**want, 10: f"A page that marks nothing\n\n{copied}", 11: "A wide article"}
+
+
+def test_frames_whose_end_tag_is_left_out():
+    def text(page):
+        return pagetext.blocks(page)[0]
+
+    assert text('<article><p class="ad">Buy<p>Real text</p><p>More</p></article><p>out') == ["Real text", "More"]
+    assert text('<article><p class="ad"><span>Buy<div>Real text</div></article>') == ["Real text"]
+    assert text('<article><div><p class="ad">Buy</div>Real text</article>') == ["Real text"]
+    assert text('<article><div class="ad">Buy</article><p>out') == []
+    assert text('<ul><li class="share">a<li>b<ul><li>c</ul><li class="share">d</ul><p>e') == ["b", "c", "e"]
+    assert text('<ul><li class="share">a<ul><li>inner</ul>still<li>b</ul>') == ["b"]
+    assert text('<dl><dt class="ad">a<dd class="ad">b<dt>c<dd>d</dl>') == ["c", "d"]
+    assert text('<table><tr class="ad"><td>a<table><tr><td>b</table>c<tr><td>d<td class="share">e<td>f</table>g') == ["d", "f", "g"]
+    assert text('<table><thead class="ad"><tr><td>a<tbody><tr><td>b</table>') == ["b"]
+    assert text("<html><head><meta charset=x><title>T</title><body><p>a") == ["a"]
+    assert text("<head><title>T</title>words") == ["words"]
+    assert text('<div class="ad"><b>a</i></p></li><p>b</div>c') == ["c"]
+    assert text('<form><table><tr><td>a</form></table>b') == ["b"]
+    assert text('<div><article><p>a</p></div><p>b</article>c') == ["a", "b"]

@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,74 @@ _MARKS = re.compile(
     r"replies|disqus|footer|masthead|pagination|pager|widget|toolbar)(?:$|[\s_-])",
     re.I,
 )
+#: What HTML says of tags that may be left out: elements that a tag's search for an open one does not go past.
+_SCOPE = {"caption", "table", "td", "th", "marquee", "template"}
+_P_SCOPE = _SCOPE | {"button"}
+_SPECIAL = _BLOCKS | _SCOPE | {"button", "select", "colgroup", "dir", "hgroup", "menu", "fieldset", "search"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+_ENDS_P = _HEADINGS | set(
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form header hgroup hr li main menu nav "
+    "ol p pre search section summary table ul".split()
+)
+_ROW = {"tr", "td", "th", "caption", "colgroup"}
+_SECTIONS = {"tbody", "thead", "tfoot"}
+_LIST = _SPECIAL - {"address", "div", "p"}
+#: By opening tag: the open elements it ends, and those it does not look past.
+_ENDS = {
+    "li": ({"li"}, _LIST - {"li"}), "dt": ({"dt", "dd"}, _LIST - {"dt", "dd"}), "dd": ({"dt", "dd"}, _LIST - {"dt", "dd"}),
+    "tr": (_ROW, _SECTIONS | {"table"}), "td": ({"td", "th"}, _SECTIONS | {"table", "tr"}), "th": ({"td", "th"}, _SECTIONS | {"table", "tr"}),
+    **dict.fromkeys(_SECTIONS, (_ROW | _SECTIONS, {"table"})), "a": ({"a"}, _SPECIAL), "button": ({"button"}, _SCOPE),
+    "option": ({"option"}, {"optgroup", "select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}),
+}
+_IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "head", "html"}
+
+
+def _lowest(stack: list[str], opened: Counter, ended: set[str], limits: set[str]) -> int:
+    """The place of the outermost of the ``ended`` elements above any of ``limits``, or the stack's length."""
+    found = len(stack)
+    if not any(opened[e] for e in ended):
+        return found
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i] in ended:
+            found = i
+        elif stack[i] in limits:
+            break
+    return found
+
+
+def _left_after_opening(stack: list[str], opened: Counter, name: str) -> int:
+    """How many open elements an opening tag leaves open."""
+    keep = len(stack)
+    if name not in _IN_HEAD and stack[:1] == ["head"]:
+        keep = 0
+    if name in _ENDS:
+        keep = min(keep, _lowest(stack, opened, *_ENDS[name]))
+    if name in _ENDS_P:
+        keep = min(keep, _lowest(stack, opened, {"p"}, _P_SCOPE))
+    if name in _HEADINGS and keep and stack[keep - 1] in _HEADINGS:
+        keep -= 1
+    return keep
+
+
+def _left_after_closing(stack: list[str], opened: Counter, name: str, outside: int) -> int:
+    """How many open elements a closing tag leaves open. Of the first ``outside``, an article ends by its own tag only."""
+    ended = _HEADINGS if name in _HEADINGS else {name}
+    if not any(opened[e] for e in ended):
+        return len(stack)
+    if name == "form":
+        limits: set[str] = set()
+    elif name in _ROW | _SECTIONS | {"table"}:
+        limits = {"table"}
+    elif name in _SPECIAL or name in _FRAME:
+        limits = _SCOPE | ({"ol", "ul"} if name == "li" else {"button"} if name == "p" else set())
+    else:
+        limits = _SPECIAL
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i] in ended:
+            return i
+        if stack[i] in limits or i < outside and stack[i] in ("article", "main"):
+            break
+    return len(stack)
 
 
 def _is_frame(name: str, rest: str, inside: bool) -> bool:
@@ -74,7 +143,9 @@ def all_blocks(page: str) -> tuple[list[str], list[bool], bool]:
     parts: list[str] = []
     inside = {"article": 0, "main": 0}
     marked = {"article": False, "main": False}
-    skipped, depth, at = "", 0, 0
+    stack: list[str] = []
+    opened: Counter = Counter()
+    skip, at = -1, 0  # the place in the stack of the frame that is left out, if one is
 
     def end_block() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
@@ -82,10 +153,23 @@ def all_blocks(page: str) -> tuple[list[str], list[bool], bool]:
         if text:
             found.append(("article" if inside["article"] else "main" if inside["main"] else "", text))
 
+    def leave(keep: int) -> None:
+        nonlocal skip
+        for i, name in enumerate(stack[keep:], keep):
+            opened[name] -= 1
+            if name in inside and (skip < 0 or i < skip):
+                inside[name] -= 1
+        del stack[keep:]
+        if keep <= skip:
+            skip = -1
+
     while at < len(page):
         tag = _TAG.search(page, at)
-        if not skipped:
-            parts.append(page[at : tag.start() if tag else len(page)])
+        text = page[at : tag.start() if tag else len(page)]
+        if skip >= 0 and stack[-1] == "head" and text.strip():
+            leave(len(stack) - 1)
+        if skip < 0:
+            parts.append(text)
         if not tag:
             break
         at = max(tag.end(), tag.start() + 1)
@@ -98,23 +182,28 @@ def all_blocks(page: str) -> tuple[list[str], list[bool], bool]:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>?", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
-        if skipped:
-            depth += (1 if opens and not closed else 0 if opens else -1) if name == skipped else 0
-            if depth == 0:
-                skipped = ""
-            continue
-        if opens and name not in _VOID and _is_frame(name, tag["rest"], bool(inside["article"])):
+        if skip < 0 and name in _BLOCKS:
             end_block()
-            if not closed:
-                skipped, depth = name, 1
+        elif skip < 0 and name == "br":
+            parts.append(" ")
+        if not opens:
+            leave(_left_after_closing(stack, opened, name, skip if skip >= 0 else len(stack)))
+            continue
+        leave(_left_after_opening(stack, opened, name))
+        if name in _VOID or name in ("html", "body"):
             continue
-        if name in _BLOCKS:
+        if skip < 0 and _is_frame(name, tag["rest"], bool(inside["article"])):
             end_block()
-        elif name == "br":
-            parts.append(" ")
-        if name in inside:
-            marked[name] = marked[name] or opens
-            inside[name] = max(0, inside[name] + (1 if opens else -1))
+            if closed:
+                continue
+            skip = len(stack)
+        elif skip < 0 and name in inside:
+            marked[name] = True
+            inside[name] += 1
+        elif closed:
+            continue
+        stack.append(name)
+        opened[name] += 1
     end_block()
     for container in ("article", "main"):
         if marked[container]:

@@ -1,5 +1,8 @@
 import hashlib
+import os
+import random
 import re
+import tempfile
 
 from tests.llm.util import documents, texts_of_table
 from tierline.llm import spotsigs
@@ -82,3 +85,52 @@ def test_likeness_is_pruned_by_size(spark):
     df = spark.sql("select array(1) as a, array(1, 2, 3, 4) as b, cast(array() as array<int>) as e")
     got = df.select(spotsigs.likeness(F.col("a"), F.col("b")), spotsigs.likeness(F.col("a"), F.col("b"), 0.5), spotsigs.likeness(F.col("e"), F.col("e")), spotsigs.likeness(F.col("e"), F.col("a"))).first()
     assert tuple(got) == (0.25, 0.0, 1.0, 0.0)
+
+
+def test_texts_without_common_words_are_covered_to_their_end(spark):
+    from tierline.llm import queries
+
+    def table(start, n):
+        return " ".join(f"row{i}" for i in range(start, start + n))
+
+    prose = "river stone window paper garden bridge castle forest"
+    rows = [(1, table(100, 80)), (2, table(500, 90)), (3, prose), (4, "and " + table(900, 8)), (5, "\u7530" * 9 + " " + table(300, 40))]
+    place = f"{tempfile.mkdtemp()}/documents.parquet"
+    documents(spark, rows).write.parquet(place)
+    got = {r.doc_id: r for r in queries.op3_spotsigs(spark, os.path.dirname(place)).collect()}
+    for i in (1, 2, 3, 4, 5):
+        assert 0 < got[i].near_edited < 1, i
+    # each word far from the first is a spot, in chains of three
+    assert int(got[1].fingerprint.split(":")[0]) == 1 + 80 - 8
+    assert 0.4 < got[1].near_edited < 0.8
+
+
+def test_words_far_from_a_spot(spark):
+    from pyspark.sql import functions as F
+
+    def plain(text, reach):
+        out, since = [], 0
+        for i, u in enumerate(spotted := units_of(text)):
+            since = 1 if spotted[i][0] or i == 0 else since + 1
+            out.append(bool(spotted[i][0]) or i == 0 or since > reach)
+        if len(out) > 3 and not any(out[-3:]):
+            out[-3] = True
+        return out
+
+    def units_of(text):
+        out, waiting = [], False
+        words = text.split()
+        for i, w in enumerate(words):
+            if (w in spotsigs.COMMON or len(w) <= 2) and i < len(words) - 1:
+                waiting = True
+            else:
+                out.append((waiting, w))
+                waiting = False
+        return out
+
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "of"]) if rng.random() < share else f"word{i}" for i in range(n)) for n in range(1, 60) for share in (0, 0.05, 0.2, 0.6)]
+    for reach in (1, 3, 8):
+        df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", spotsigs.units(F.col("t"), reach).alias("u"))
+        for r in df.collect():
+            assert ["\x01" in u for u in r.u] == plain(r.t, reach), (r.t, reach)

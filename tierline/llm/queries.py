@@ -36,7 +36,7 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.fingerprints(_table(spark, sf_dir, "documents"))
+    return spotsigs.fingerprints(_table(spark, sf_dir, "documents"), reach=8)
 
 
 def op4_pagetext(spark: SparkSession, sf_dir: str) -> DataFrame:

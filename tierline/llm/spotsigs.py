@@ -2,7 +2,8 @@
 
 Built from SQL functions alone. A text is lower-cased, and what is not a letter or digit separates its
 words. Common words stand before the content word they lead to; such a place, and the first word, is a
-spot. Its signature is a 32-bit hash of the common words and of the chain of ``CHAIN`` content words from
+spot. Tables, lists, code and scripts without those words have long stretches without a spot; ``reach`` makes
+each word there one as well. The signature of a spot is a 32-bit hash of the common words and of the chain of ``CHAIN`` content words from
 there on. A fingerprint is the set of signatures, led by its size.
 """
 
@@ -23,14 +24,25 @@ COMMON = (
     "los las del una por con para como más pero sus este esta entre cuando"
 ).split()
 _MARK = "\x01"
+_FAR = "\x02"
 _ANCHOR = "(?<![^ ])(" + "|".join(dict.fromkeys(COMMON)) + r"|[^ ]{1,2}) (?=[^ ])"
 
 
-def units(text: Column) -> Column:
-    """The content words, each after the common words before it and a mark; the first always has a mark."""
+def units(text: Column, reach: int | None = None) -> Column:
+    """The content words, each after the common words before it and a mark; the first always has a mark.
+
+    With ``reach``, so do those that ``reach`` or more content words stand before since the last common word:
+    where an edit far from a word does not change whether it has one. So does the third word from the end if
+    the last three would have none.
+    """
     words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    marked = F.regexp_replace(words, _ANCHOR, "$1" + _MARK)
-    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(F.concat(F.lit(_MARK), marked), " "))
+    marked = F.concat(F.lit(_MARK), F.regexp_replace(words, _ANCHOR, "$1" + _MARK))
+    if reach is not None:
+        # from a mark over reach - 1 words without one, or from the word before, to the next word without one
+        far = rf"({_MARK}[^ ]*+(?: [^ {_MARK}]++(?= )){{{reach - 1}}}|\G(?!^)) ([^ {_MARK}]++)(?= |$)"
+        marked = F.regexp_replace(marked, far, f"$1 {_FAR}{_MARK}$2")
+        marked = F.regexp_replace(marked, rf" ([^ {_MARK}]++ [^ {_MARK}]++ [^ {_MARK}]++)$", f" {_FAR}{_MARK}$1")
+    return F.when(words == "", F.array().cast("array<string>")).otherwise(F.split(marked, " "))
 
 
 def spots(units: Column, text: Column) -> Column:
@@ -89,14 +101,17 @@ def in_order(rows: DataFrame, rows_per_bucket: int) -> DataFrame:
     return rows.withColumn("guest", F.lit(False)).unionByName(guests)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.0, rows_per_bucket: int = 512) -> DataFrame:
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = 0.0, rows_per_bucket: int = 512,
+    reach: int | None = None,
+) -> DataFrame:
     """One row per document, with its fingerprint and those of an edited text and of the next document.
 
     ``id_col``, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and
     length_class. The edited text has its last quarter replaced by as much of the next document's start,
     in the order of ids, null ids last, equal ids by text; the last one's next is the first. A null text
     is empty. Other columns are left out, whatever their names; an empty table gives no rows, and a
-    single document is its own next.
+    single document is its own next. ``reach`` is that of ``units``; without it only common words lead to spots.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(text_col).alias("text"))
     rows = in_order(rows, rows_per_bucket)
@@ -105,7 +120,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.withColumn("next_text", F.lead("text").over(order)).withColumn("n_chars", F.char_length("text").cast("long"))
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - cut).cast("int")), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), cut))
     rows = rows.withColumn("edited", edited).drop("next_text")
-    rows = rows.withColumns({"units": units(F.col("text")), "edited_units": units(F.col("edited"))})
+    rows = rows.withColumns({"units": units(F.col("text"), reach), "edited_units": units(F.col("edited"), reach)})
     rows = rows.withColumns({"spots": spots(F.col("units"), F.col("text")), "edited_spots": spots(F.col("edited_units"), F.col("edited"))})
     rows = rows.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("units", "edited_units", "edited")
     rows = rows.withColumn("next_spots", F.lead("spots").over(order)).where(~F.col("guest"))

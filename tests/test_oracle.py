@@ -30,3 +30,11 @@ def test_query_matches_its_sql(spark, connection, name):
 
 def test_flagship(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_no_query_takes_anothers_name():
+    from tierline.plans import checks
+
+    assert {"snapshot_replaces", "snapshot_replaces_few_files_at_a_time"} <= set(checks.QUERIES)
+    with pytest.raises(ValueError):
+        checks.query()(checks.QUERIES["snapshot_replaces"])

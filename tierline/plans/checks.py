@@ -54,6 +54,8 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function name, with its SQL if there is one."""
 
     def add(function: Query) -> Query:
+        if function.__name__ in QUERIES:
+            raise ValueError(f"a query {function.__name__} is registered already")
         QUERIES[function.__name__] = function
         if oracle:
             ORACLES[function.__name__] = oracle
@@ -411,7 +413,7 @@ def two_snapshots_one_promotion(spark, sf_dir):
 
 
 @query(f"select o_orderkey, o_totalprice from orders where o_orderdate >= timestamp '{MIDDLE_OF_ORDERS}'")
-def snapshot_replaces(spark, sf_dir):
+def snapshot_replaces_few_files_at_a_time(spark, sf_dir):
     """The second snapshot is what raw holds, read a few files at a time."""
     site = Site(spark, sf_dir, "replaces")
     spec = site.orders(max_files_per_trigger=3, bronze=None)

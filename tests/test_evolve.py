@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from tierline import DatasetSpec, Field, evolve, schema, sources, storage
+from tierline import DatasetSpec, Field, evolve, jobs, schema, sources, storage
 
 from .conftest import rows
 
@@ -178,3 +178,110 @@ def test_avro_needs_its_package(spark, place, put):
     put("landing/a.avro", "x")
     with pytest.raises(storage.MissingPackage, match="avro"):
         sources.read_files(spark, spec(place, format="avro"))
+
+
+def scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_many_headers_take_one_scan(spark, place, put):
+    for i in range(12):
+        names = [f"x{j}" for j in range(i % 4)] + ["order_id", f"y{i}", "qty", "day"]
+        put(f"landing/{i:02d} +ü.csv", ",".join(names) + "\n" + ",".join({"order_id": f"00{i}", "qty": f"{i}", "day": "2024-01-05"}.get(n, f"v{i}{n}") for n in names) + "\n")
+    df = sources.read_files(spark, spec(place))
+    assert scans(df) == 1
+    got = {r.order_id: r.asDict() for r in df.collect()}
+    assert sorted(got) == sorted(f"00{i}" for i in range(12)) and [f.name for f in df.schema][:3] == ["order_id", "qty", "day"]
+    for i in range(12):
+        r = got[f"00{i}"]
+        assert r["qty"] == i and str(r["day"].date()) == "2024-01-05" and r[f"y{i}"] == f"v{i}y{i}"
+        assert {n: v for n, v in r.items() if n.startswith("x") and v} == {f"x{j}": f"v{i}x{j}" for j in range(i % 4)}
+        assert not any(r[f"y{j}"] for j in range(12) if j != i) and "%20" in r["source_filename"]
+
+
+VALUES = ["", '""', " 7", "7 ", "+7", "1.0", "1e3", "NaN", "true", "T", "2024-01-05", "2024-01-05 10:11:12", "05.01.2024", "-", '"a,b"', "'q'", "9999999999", "x\\"]
+
+
+@pytest.mark.parametrize("options", [{}, {"nullValue": "-", "dateFormat": "dd.MM.yyyy"}, {"ignoreLeadingWhiteSpace": "true", "multiLine": "true", "emptyValue": "E"}])
+def test_values_mean_what_they_mean_under_one_header(spark, place, put, options, monkeypatch):
+    kinds = ("string", "integer", "double", "boolean", "date", "bigint", "decimal(10,2)")
+    names = [f"c{i}" for i in range(len(kinds))]
+    for f, order in enumerate((names, names[::-1], names[3:] + names[:3])):
+        lines = [",".join([VALUES[(i + int(n[1:]) * f) % len(VALUES)] for n in order]) for i in range(len(VALUES))]
+        put(f"landing/{f}.csv", ",".join(order) + "\n" + "\n".join([*lines, "1,2", ",".join(map(str, range(30)))]) + "\n")
+    chosen = spec(place, fields=tuple(map(Field, names, kinds)), reader_options=options)
+    one = sources.read_files(spark, chosen)
+    assert scans(one) == 1
+    monkeypatch.setattr(evolve, "_in_one_scan", lambda *_: False)
+    each = sources.read_files(spark, chosen)
+    assert scans(each) == 3 and repr(rows(one)) == repr(rows(each)) and one.dtypes == each.dtypes
+
+
+def test_types_of_all_headers_are_inferred_at_once(spark, place, put):
+    put("landing/a.csv", "order_id,n,x,when,flag,none,code\na,1,1,2024-01-05,true,,7\n")
+    put("landing/b.csv", "code,n,order_id,x,big\n1-2,2,b,2.5,9999999999\n")
+    put("landing/c.csv", "n,order_id\n,c\n")
+    df = sources.read_files(spark, spec(place, infer_types=True))
+    assert scans(df) == 1
+    kinds = {n: k for n, k in df.dtypes if n in ("n", "x", "when", "flag", "none", "code", "big")}
+    assert kinds == {"n": "int", "x": "double", "when": "date", "flag": "boolean", "none": "string", "code": "string", "big": "bigint"}
+    assert [tuple(map(str, r)) for r in rows(df, "order_id", "n", "x", "when", "flag", "code", "big")] == [
+        ("a", "1", "1.0", "2024-01-05", "True", "7", "None"), ("b", "2", "2.5", "None", "None", "1-2", "9999999999"), ("c", *["None"] * 6),
+    ]
+
+
+def test_rows_that_need_their_own_headers_schema_take_a_scan_each(spark, place, put):
+    put("landing/a.csv", "order_id,qty\na,1\nb,2,3\n")
+    put("landing/b.csv", "qty,order_id,day\n1,c,2024-01-01\nx,d,2024-01-01\n")
+    df = sources.read_files(spark, spec(place, reader_options={"mode": "DROPMALFORMED"}))
+    assert scans(df) == 2 and [r[0] for r in rows(df)] == ["a", "c"]
+    put("landing/k=1/c.csv", "order_id\ne\n")
+    paths = [place(f"landing/{n}") for n in ("a.csv", "b.csv")]
+    assert scans(sources.read_files(spark, spec(place), paths)) == 1
+
+
+RECORDS = [
+    '{"a": 1, "b": {"c": "x", "d": [1, 2.50]}, "t": 1.50}', '{"a": 2.5, "n": null, "o": {}}', "", '{"b": {"e": true}, "t": "007", "u": [{"v": 1}, {"w": 2}]}',
+    '{"a": 3, "big": 12345678901, "u": []}',
+]
+
+
+@pytest.mark.parametrize("fields", [(), (Field("a", "integer"), Field("day", "timestamp", "yyyy-MM-dd"))])
+@pytest.mark.parametrize("infer", [True, False])
+def test_json_is_read_once(spark, place, put, fields, infer):
+    plain = [r.replace("2.50", "2").replace("1.50", "\"1.50\"") if not infer and fields else r.replace('"t": 1.50, ', "").replace('"t": 1.50', '"s": 1.50') for r in RECORDS]
+    put("landing/k=5/a.json", "\n".join(plain[:3]))
+    put("landing/k=6/b.json", "\n".join(plain[3:]) + '\n{"a": 4, "day": "2024-01-05", "k": 9}\n')
+    chosen = spec(place, fields=fields, infer_types=infer, format="json")
+    twice = sources.read_files(spark, chosen)
+    want, kinds = rows(twice, *sorted(twice.columns)), sorted(twice.dtypes)
+    once = sources.read_files(spark, chosen, staging=place("staged"))
+    for name in ("k=5/a.json", "k=6/b.json"):
+        os.remove(place(f"landing/{name}"))
+    assert rows(once, *sorted(once.columns)) == want and sorted(once.dtypes) == kinds
+
+
+def test_json_text_is_kept_as_written(spark, place, put):
+    put("landing/a.json", "\n".join(RECORDS) + '\n{"t": {"x" : 1.0}}\n')
+    for fields in ((), (Field("t"),)):
+        chosen = spec(place, fields=fields, format="json")
+        df = sources.read_files(spark, chosen, staging=place("staged"))
+        assert [r[0] for r in rows(df, "t") if r[0]] == ["007", "1.50", '{"x" : 1.0}'] and rows(df) == rows(sources.read_files(spark, chosen))
+
+
+@pytest.mark.parametrize("line", ["{'a': 1}", "[1]", '{"a": 12345678901234567890}', '{"a": 1'])
+def test_json_that_variants_do_not_tell_is_left_to_sparks_inference(spark, place, put, line):
+    path = put("landing/a.json", '{"b": 1}\n' + line + "\n")
+    assert evolve.json_once(spark, [path], {}, place("staged"), False) is None
+    chosen = spec(place, fields=(), infer_types=True, format="json")
+    twice, once = sources.read_files(spark, chosen), sources.read_files(spark, chosen, staging=place("staged"))
+    assert once.dtypes == twice.dtypes and rows(once) == rows(twice)
+
+
+def test_staged_lines_go_when_the_batch_is_written(spark, place, put):
+    for mode in ("append", "snapshot"):
+        put("landing/a.json", '{"order_id": "a", "new": 1}\n')
+        chosen = spec(place, format="json", mode=mode, raw=place(f"raw-{mode}"), checkpoint=place(f"check-{mode}"))
+        jobs.landing_to_raw(spark, chosen)
+        assert rows(sources.read_raw(spark, chosen), "order_id", "new") == [("a", "1")]
+        assert not os.path.exists(place(f"raw-{mode}/_staged")) or not os.listdir(place(f"raw-{mode}/_staged"))

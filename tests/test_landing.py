@@ -179,7 +179,7 @@ def test_a_snapshot_is_read_in_bounded_parts(spark, place, put, monkeypatch):
         extra = ",promo" if i == 4 else ""
         put(f"landing/{i}.csv", f"order_id,quantity,price,order_date{extra}\n{i},1,1,2024-01-0{i + 1} 00:00:00{',P' if extra else ''}\n")
     asked, inner = [], files.read_files
-    monkeypatch.setattr(files, "read_files", lambda spark, spec, paths, stored=None: (asked.append(len(paths)), inner(spark, spec, paths, stored))[1])
+    monkeypatch.setattr(files, "read_files", lambda spark, spec, paths, *more: (asked.append(len(paths)), inner(spark, spec, paths, *more))[1])
     done = jobs.landing_to_raw(spark, spec)
     assert (done.rows, done.files, asked) == (5, 5, [2, 2, 1])
     assert rows(sources.read_raw(spark, spec), "order_id", "promo") == [("0", None), ("1", None), ("2", None), ("3", None), ("4", "P")]

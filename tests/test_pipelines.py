@@ -570,7 +570,9 @@ def test_pruning_reaches_the_raw_scan(spark, place, put):
     jobs.landing_to_raw(spark, spec)
     df = sources.read_raw(spark, spec).where("year = 2024 and quantity > 0").select("order_id")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan
+    scan = df._jdf.queryExecution().optimizedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "isnotnull(year" in filters and "isnotnull(ingest_batch" in filters and "= 2024" in scan
     assert "PushedFilters: [IsNotNull(quantity), GreaterThan(quantity,0)]" in plan
     assert "order_date" not in plan.split("ReadSchema")[1]
     assert rows(df) == [("a",)]

@@ -48,6 +48,11 @@ def batch_path(target: str, batch_id: str) -> str:
     return f"{target.rstrip('/')}/{BATCH}={batch_id}"
 
 
+def staging_path(target: str, batch_id: str) -> str:
+    """Where a batch keeps lines between looking at them and writing its rows; scans of the layer pass it over."""
+    return f"{target.rstrip('/')}/_staged/{batch_id}"
+
+
 def batch_dirs(spark: SparkSession, target: str) -> list[str]:
     """Ids of the batches that have a directory, finished or not."""
     return [d.removeprefix(f"{BATCH}=") for d in storage.child_dirs(spark, target) if d.startswith(f"{BATCH}=")]

@@ -308,6 +308,25 @@ def schema_evolution_union(spark, sf_dir):
     return raw.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "promo_code")
 
 
+@query(
+    "select cast(month(o_orderdate) as integer) as month, count(*) as n, " + _MONEY_SQL.format("o_totalprice") + " as total, "
+    "count(*) as marked, cast(min(month(o_orderdate) * 100 + o_orderkey % 7) as bigint) as least from orders group by 1"
+)
+def many_headers_one_scan(spark, sf_dir):
+    """H3, H4: twelve headers, each with its own order of columns and a column of its own, types inferred."""
+    site = Site(spark, sf_dir, "headers")
+    orders = _as_orders(site.table("orders"))
+    for month in range(1, 13):
+        own = orders.where(F.month("o_orderdate") == month).withColumn(f"mark_{month}", F.lit(month * 100) + F.col("o_orderkey") % 7)
+        site.land(own.select(*own.columns[month % 7:], *own.columns[:month % 7]))
+    jobs.landing_to_raw(spark, site.orders(infer_types=True))
+    raw = layers.read_raw(spark, site.orders())
+    marks = [F.col(f"mark_{month}").cast("bigint") for month in range(1, 13)]
+    return raw.groupBy("month").agg(
+        F.count(F.lit(1)).alias("n"), _money("o_totalprice").alias("total"), F.count(F.coalesce(*marks)).alias("marked"), F.min(F.coalesce(*marks)).alias("least")
+    )
+
+
 @query(
     "select 'event_id' as column_name, count(*) as rows, count(event_id) as non_null from events union all "
     "select 'ts', count(*), count(ts) from events union all "

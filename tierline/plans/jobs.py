@@ -89,7 +89,7 @@ def _snapshot(spark: SparkSession, spec: DatasetSpec) -> Outcome:
     count = listed.count()
     try:
         written = sinks.write_parts(
-            _parts(spark, spec, listed), spec.raw, batch_id, spec.partition_by, spec.optimize_write, {"files": str(count)}, known,
+            _parts(spark, spec, listed, ledger.staging_path(spec.raw, batch_id)), spec.raw, batch_id, spec.partition_by, spec.optimize_write, {"files": str(count)}, known,
             lambda raw: _unpromoted(spark, spec, raw),
         )
     except Exception:
@@ -105,15 +105,18 @@ def _snapshot(spark: SparkSession, spec: DatasetSpec) -> Outcome:
     return Outcome(spec.name, "landing_to_raw", "ok" if written.batch_ids else "empty", written.rows, count)
 
 
-def _parts(spark: SparkSession, spec: DatasetSpec, listed: DataFrame) -> Iterator[DataFrame]:
+def _parts(spark: SparkSession, spec: DatasetSpec, listed: DataFrame, staging: str) -> Iterator[DataFrame]:
     """The rows of the listed files in parts; undeclared columns keep the type of the parts before."""
     rows, stored = listed.select("path").orderBy("path").toLocalIterator(), None
-    while chunk := [r.path for r in islice(rows, spec.max_files_per_trigger)]:
-        df = files.read_files(spark, spec, chunk, stored)
-        if df is not None:
-            df = prepare_raw(df, spec)
-            stored = schemas.merge([df.schema] if stored is None else [stored, df.schema])
-            yield df
+    try:
+        while chunk := [r.path for r in islice(rows, spec.max_files_per_trigger)]:
+            df = files.read_files(spark, spec, chunk, stored, staging)
+            if df is not None:
+                df = prepare_raw(df, spec)
+                stored = schemas.merge([df.schema] if stored is None else [stored, df.schema])
+                yield df  # written before the next part is asked for
+    finally:
+        storage.remove(spark, staging)
 
 
 def raw_to_bronze(spark: SparkSession, spec: DatasetSpec) -> Outcome:

@@ -1,14 +1,21 @@
-"""Files whose columns change over time (H2, H3, H4), matched by name and never by position."""
+"""Files whose columns change over time (H2, H3, H4), matched by name and never by position.
+
+Files with different headers are read in one scan, by position and as text; a table of where each file has
+which column, as long as the intake batch has files, puts the cells in place. One more pass infers the types of all
+undeclared columns, whatever the number of headers. JSON records are looked at once on their way into a staging
+directory: their merged schema is an aggregate over the records as variants.
+"""
 
 from __future__ import annotations
 
 import csv
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -162,7 +169,7 @@ def read_evolving(
     infer_types: bool = False,
     stored: T.StructType | None = None,
 ) -> DataFrame | None:
-    """H3: CSV files read per header and united by column name; ``None`` if no file has a header.
+    """H3: CSV files with any headers, by column name; ``None`` if no file has a header.
 
     ``add_new_columns`` keeps every column found. ``none`` keeps the declared ones. Columns that
     are in ``stored`` keep the type they have there.
@@ -174,6 +181,18 @@ def read_evolving(
     groups = {
         names: [storage.literal(p) for p in members] for names, members in sorted(group_by_header(spark, paths, options).items())
     }
+    if not groups:
+        return None
+    read = _side_by_side if _in_one_scan(groups, options, declared) else _one_by_one
+    df = keep_types(*read(spark, groups, options, declared, infer_types, stored))
+    if declared is None:
+        return df
+    df = with_declared(df, declared)
+    return df.select(*declared.names, "source_filename") if evolution == "none" else df
+
+
+def _one_by_one(spark, groups, options, declared, infer_types, stored) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """A scan for each header, for what one scan of text by position cannot give; the rows, and the types in doubt."""
     inferred = _inferred(spark, groups, options, declared) if infer_types else None
     parts, unsure = [], {}
     for names, files in groups.items():
@@ -181,13 +200,166 @@ def read_evolving(
         schema, doubtful = remembered(schema, declared, stored)
         unsure |= doubtful
         parts.append(derive.with_source(spark.read.schema(schema).options(**options).csv(files)))
-    if not parts:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), unsure
+
+
+def _option(options: Mapping[str, str], name: str, default: str) -> str:
+    return next((v for k, v in options.items() if k.lower() == name.lower()), default)
+
+
+def flag(options: Mapping[str, str], name: str, default: bool) -> bool:
+    return _option(options, name, str(default)).lower() == "true"
+
+
+def _directory_keys(path: str, options: Mapping[str, str]) -> tuple[str, ...]:
+    """The names of ``name=value`` directories that become columns of a file."""
+    return tuple(re.findall(r"/([^/=]+)=[^/]*(?=/)", path.removeprefix(options["basePath"]))) if "basePath" in options else ()
+
+
+def _in_one_scan(groups, options: Mapping[str, str], declared: T.StructType | None) -> bool:
+    """Whether the files can be read side by side as text.
+
+    Rows that are not as their own header says are known only to a scan in that header's schema, so
+    keeping, dropping or failing on those takes one scan for each. So do directories that do not match.
+    """
+    corrupt = _option(options, "columnNameOfCorruptRecord", "_corrupt_record")
+    strict = _option(options, "mode", "PERMISSIVE").upper() != "PERMISSIVE" or (declared is not None and corrupt in declared.names)
+    keys = {_directory_keys(path, options) for files in groups.values() for path in files}
+    inside = {k.lower() for key in keys for k in key} & {n.lower() for names in groups for n in names}
+    return len(groups) > 1 and not strict and len(keys) == 1 and not inside
+
+
+# Options that say what a value means, not how a line is split; and how this library writes a line of cells.
+_VALUE_OPTIONS = ("dateformat", "timestampformat", "timestampntzformat", "locale", "nanvalue", "positiveinf", "negativeinf",
+                  "enabledatetimeparsingfallback", "preferdate", "timezone")
+_CELLS = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _cell_line(cells: list[Column]) -> Column:
+    return F.to_csv(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(cells)]), _CELLS)
+
+
+def _side_by_side(spark, groups, options, declared, infer_types, stored) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """All files in one scan, as text by position, each cell then put where its file's header has it.
+
+    Values that are not text go through Spark's CSV parser once more, by their declared or inferred type, so they
+    mean what they mean in a scan by that type.
+    """
+    spelled: dict[str, str] = {}
+    for names in groups:
+        for name in names:
+            spelled.setdefault(name.lower(), name)
+    store, places, paths = storage.Store(spark), [], []
+    for names, files in groups.items():
+        at = {n.lower(): i for i, n in enumerate(names)}
+        places += [[at.get(n, -1) for n in spelled]] * len(files)
+        paths += [_comparable(store.qualified(storage.unescaped(path))) for path in files]
+    width = max(map(len, groups))
+    positions = [f"position {i}" for i in range(width)]
+    some_header, some_files = next(iter(groups.items()))
+    filled = _not_in_header(some_header, some_files[0], declared, options)
+    wide = T.StructType([T.StructField(p, T.StringType()) for p in positions] + [f for f in declared or () if f.name in filled])
+    files = [path for members in groups.values() for path in members]
+    scan = derive.with_source(spark.read.schema(wide).options(**options).csv(files))
+    kept = [c for c in scan.columns if c not in positions]
+    known = F.broadcast(spark.createDataFrame(list(zip(paths, places)), "`its path` string, places array<int>"))  # one row a file of the batch
+    scan = scan.join(known, F.regexp_replace("source_filename", "^file:/+", "/") == F.col("its path"))
+    cells = F.array(*[F.col(f"`{p}`") for p in positions])
+    placed = {n: F.get(cells, F.get("places", F.lit(j))) for j, n in enumerate(spelled)}
+    meaning = {k: v for k, v in options.items() if k.lower() in _VALUE_OPTIONS}
+    hinted = {n.lower() for n in declared.names} if declared else set()
+    free = [n for n in spelled if n not in hinted] if infer_types else []
+    inferred = _inferred_at_once(scan, {spelled[n]: placed[n] for n in free}, meaning) if free else None
+    schema, unsure = remembered(hinted_schema(spelled.values(), declared, inferred), declared, stored)
+    typed = [(n, f) for n, f in zip(spelled, schema) if not isinstance(f.dataType, T.StringType)]
+    if typed:
+        parsed = T.StructType([T.StructField(f"c{i}", f.dataType) for i, (_, f) in enumerate(typed)])
+        scan = scan.withColumn("values of types", F.from_csv(_cell_line([placed[n] for n, _ in typed]), parsed.toDDL(), {**_CELLS, **meaning}))
+        placed |= {n: F.col(f"`values of types`.c{i}") for i, (n, _) in enumerate(typed)}
+    return scan.select(*[placed[n].alias(f.name) for n, f in zip(spelled, schema)], *[F.col(f"`{c}`") for c in kept]), unsure
+
+
+def _comparable(uri: str) -> str:
+    return re.sub("^file:/+", "/", uri)
+
+
+def _inferred_at_once(scan: DataFrame, columns: Mapping[str, Column], meaning: Mapping[str, str]) -> T.StructType:
+    """H4: the types of all these columns by Spark's own inference over their cells; one pass."""
+    lines = scan.select(_cell_line(list(columns.values())).alias("value"))
+    encoder = scan.sparkSession._jvm.org.apache.spark.sql.Encoders.STRING()
+    reader = scan.sparkSession.read.options(**{**_CELLS, **meaning, "inferSchema": "true", "header": "false"})
+    found = DataFrame(reader._jreader.csv(getattr(lines._jdf, "as")(encoder)), scan.sparkSession).schema
+    kinds = [f.dataType for f in found] + [T.StringType()] * (len(columns) - len(found))
+    return T.StructType([T.StructField(n, k) for n, k in zip(columns, kinds)])
+
+
+# What a JSON reader can be told that lines of text, parsed one by one, do not give.
+_WHOLE_FILE_OPTIONS = {"multiline", "encoding", "charset", "mode", "samplingratio", "prefersdecimal", "infertimestamp", "dropfieldifallnull"}
+
+
+def json_once(spark: SparkSession, files: list[str], options: Mapping[str, str], staging: str, as_text: bool):
+    """JSON lines brought to ``staging`` in one scan, with the schema that fits them all and that of their variants.
+
+    The schema is folded over the records as variants while they are written. ``None`` if it cannot say what
+    Spark's inference would: records that are not objects, or not plain JSON, and whole numbers past 64 bits.
+    """
+    if _WHOLE_FILE_OPTIONS & {k.lower() for k in options}:
         return None
-    df = keep_types(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), unsure)
-    if declared is None:
-        return df
-    df = with_declared(df, declared)
-    return df.select(*declared.names, "source_filename") if evolution == "none" else df
+    text = {k: v for k, v in options.items() if k.lower() in ("basepath", "linesep", "ignoremissingfiles", "ignorecorruptfiles")}
+    lines = derive.with_source(spark.read.options(**text).text(files)).where(F.trim("value") != "")
+    if "value" in _directory_keys(files[0], options):
+        return None
+    record, seen = F.try_parse_json("value"), Observation()
+    folded = F.expr("schema_of_variant_agg(try_parse_json(value))")
+    observed = lines.observe(seen, folded.alias("schema"), F.count_if(record.isNull()).alias("refused"), F.count("value").alias("rows"))
+    observed.write.mode("overwrite").parquet(staging)
+    found = seen.get
+    if found.get("refused") or not (found.get("schema") or "").startswith("OBJECT<"):
+        return None
+    variants = _variant_type(found["schema"])
+    schema = _plain_type(variants, as_text)
+    if schema is _UNCLEAR or schema is None:
+        return None
+    return spark.read.schema(lines.schema).parquet(staging), schema, variants
+
+
+def as_written(kind: T.DataType, found: T.DataType) -> bool:
+    """Whether values of a column that are to be text are parsed from a line as they are in a file.
+
+    Only Spark's file reader keeps the digits of fractions and the spaces in objects.
+    """
+    if isinstance(kind, T.StructType) and isinstance(found, T.StructType):
+        inner = {f.name.lower(): f.dataType for f in found}
+        return all(f.name.lower() not in inner or as_written(f.dataType, inner[f.name.lower()]) for f in kind)
+    if isinstance(kind, T.ArrayType) and isinstance(found, T.ArrayType):
+        return as_written(kind.elementType, found.elementType)
+    return not isinstance(kind, T.StringType) or isinstance(found, (T.StringType, T.LongType, T.BooleanType, T.NullType))
+
+
+def _variant_type(text: str) -> T.DataType:
+    """A schema of variants as Spark writes it; names in backquotes are left alone."""
+    parts = re.split(r"(`(?:[^`]|``)*`)", text)
+    return T.DataType.fromDDL("".join(p if p.startswith("`") else p.replace("OBJECT<", "STRUCT<") for p in parts))
+
+
+_UNCLEAR = object()
+
+
+def _plain_type(kind: T.DataType, as_text: bool):
+    """The type Spark's JSON inference gives such values; ``None`` for objects without fields, which it leaves out."""
+    if isinstance(kind, T.StructType):
+        fields = [(f.name, _plain_type(f.dataType, as_text)) for f in sorted(kind, key=lambda f: f.name)]
+        if any(k is _UNCLEAR for _, k in fields):
+            return _UNCLEAR
+        return T.StructType([T.StructField(n, k) for n, k in fields if k is not None]) if any(k is not None for _, k in fields) else None
+    if isinstance(kind, T.ArrayType):
+        inner = _plain_type(kind.elementType, as_text)
+        return inner if inner is _UNCLEAR or inner is None else T.ArrayType(inner)
+    if as_text or isinstance(kind, (T.NullType, T.VariantType, T.StringType)):
+        return T.StringType()
+    if isinstance(kind, T.DecimalType):
+        return _UNCLEAR if kind.scale == 0 and kind.precision > 18 else T.DoubleType()
+    return {T.FloatType: T.DoubleType(), T.DoubleType: T.DoubleType(), T.BooleanType: T.BooleanType()}.get(type(kind), T.LongType())
 
 
 def _not_in_header(names: Iterable[str], path: str, declared: T.StructType | None, options: Mapping[str, str]) -> list[str]:

@@ -70,11 +70,13 @@ def stream_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
 
 
 def read_files(
-    spark: SparkSession, spec: DatasetSpec, paths: list[str] | None = None, stored: T.StructType | None = None
+    spark: SparkSession, spec: DatasetSpec, paths: list[str] | None = None, stored: T.StructType | None = None,
+    staging: str | None = None,
 ) -> DataFrame | None:
     """Rows of the given landing files, or of all that lie there now, with their source.
 
     Undeclared columns of CSV and JSON files that are in ``stored`` keep the type they have there.
+    With ``staging``, a directory of the caller's to remove when the rows are used, evolving JSON files are read once.
 
     Returns ``None`` when there is nothing to read and no declared schema to describe it.
     """
@@ -91,7 +93,7 @@ def read_files(
         df = _read_csv(spark, spec, paths, csv_options(options), plan, stored) if paths else None
     elif spec.format == "json":
         plan = _json_plan(spec, options)
-        df = _read_json(spark, spec, paths, options, plan, stored) if paths else None
+        df = _read_json(spark, spec, paths, options, plan, stored, staging) if paths else None
     else:
         plan = _plain_plan(spec)
         df = _read_format(spark, spec, paths, options) if paths else None
@@ -124,16 +126,29 @@ def _json_plan(spec: DatasetSpec, options) -> TimestampPlan | None:
     return TimestampPlan(T.StructType(as_text), None, given)
 
 
-def _read_json(spark, spec, paths, options, plan: TimestampPlan | None, stored) -> DataFrame:
+def _read_json(spark, spec, paths, options, plan: TimestampPlan | None, stored, staging) -> DataFrame:
     files = [storage.literal(p) for p in paths]
     declared = plan.schema if plan else None
     if declared is not None and spec.evolution == "none":
         return derive.with_source(spark.read.schema(declared).options(**options).json(files))
     # New fields can only be found by looking at every record, as Spark's own inference does.
-    as_text = "false" if spec.infer_types or declared is None else "true"
-    inferred = spark.read.options(**{"primitivesAsString": as_text, **options}).json(files).schema
-    schema, unsure = evolve.remembered(evolve.hinted_schema(inferred.names, declared, inferred), declared, stored)
-    df = evolve.keep_types(derive.with_source(spark.read.schema(schema).options(**options).json(files)), unsure)
+    as_text = not spec.infer_types and declared is not None
+    once = evolve.json_once(spark, files, options, staging, evolve.flag(options, "primitivesAsString", as_text)) if staging else None
+    if once:
+        lines, inferred, variants = once
+        given = [c for c in lines.columns if c != "value"]  # the source, and name=value directories
+        names = [n for n in inferred.names if n.lower() not in {c.lower() for c in given}]
+        names += [c for c in given if c != "source_filename"]
+    else:
+        inferred = spark.read.options(**{"primitivesAsString": str(as_text).lower(), **options}).json(files).schema
+        names = inferred.names
+    schema, unsure = evolve.remembered(evolve.hinted_schema(names, declared, inferred), declared, stored)
+    if once and evolve.as_written(schema, variants):
+        record = F.from_json("value", T.StructType([f for f in schema if f.name not in given]), dict(options)).alias("record")
+        df = lines.select(record, *given).select("record.*", *[F.col(f"`{c}`") for c in given])
+    else:
+        df = derive.with_source(spark.read.schema(schema).options(**options).json(files))
+    df = evolve.keep_types(df, unsure)
     return evolve.with_declared(df, declared) if declared is not None else df
 
 

@@ -37,6 +37,11 @@ class Store:
         """``path`` as Spark's file metadata spells it."""
         return self._path(path).toUri().toString()
 
+    def qualified(self, path: str) -> str:
+        """``path`` with scheme and authority, as Spark's file metadata spells it."""
+        fs, target = self.locate(path)
+        return fs.makeQualified(target).toUri().toString()
+
     def exists(self, path: str) -> bool:
         fs, target = self.locate(path)
         return fs.exists(target)
@@ -109,6 +114,11 @@ def literal(path: str) -> str:
     return "".join(f"\\{c}" if c in _GLOB_CHARACTERS else c for c in path)
 
 
+def unescaped(path: str) -> str:
+    """What ``literal`` was made of."""
+    return re.sub(r"\\(.)", r"\1", path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return Store(spark).exists(path)
 

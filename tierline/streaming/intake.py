@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierline import storage
 from tierline.operators import ledger, sinks
 from tierline.sources import files
 from tierline.spec import DatasetSpec
@@ -47,7 +48,8 @@ def ingest_new_files(spark: SparkSession, spec: DatasetSpec, prepare: Callable[[
         batch_id = control.batch_identity(manifest, epoch)
         known = seen["known"]
         if not known.has(batch_id):
-            rows = files.read_files(session, spec, [m.path for m in members], known.schema())
+            staging = ledger.staging_path(spec.raw, batch_id)
+            rows = files.read_files(session, spec, [m.path for m in members], known.schema(), staging)
             if rows is not None:
                 details = {"files": str(len(members))}
                 written = sinks.append_batch(
@@ -55,6 +57,7 @@ def ingest_new_files(spark: SparkSession, spec: DatasetSpec, prepare: Callable[[
                 )
                 total.rows += written.rows
                 seen["known"] = written.known
+            storage.remove(session, staging)
         total.batches += 1
         total.files += len(members)
         if spec.archive:

@@ -94,3 +94,28 @@ def test_a_rising_source_comes_late(spark):
     got = mixing.mix(spark.createDataFrame([(*r, 1, 2, "b", "t") for r in rows], SCHEMA), weights=(1, 1, 1), share=1.0).collect()
     late = Counter("abc"[r.doc_id % 3] for r in got if r.position > 0.5)
     assert late["b"] > late["a"] > late["c"]
+
+
+@pytest.mark.parametrize("each", [3, 1 << 15])
+def test_rows_in_training_order_are_those_that_the_mix_takes(spark, each):
+    from pyspark.sql import functions as F
+
+    rows = [(i, "w " * (i % 9), "abc"[i % 3] if i % 7 else None) for i in range(200)] + [(7, "x y", "a")] * 4 + [(None, "z", None), (8, None, "b")]
+    df = spark.createDataFrame([(*r, 1, 2, "b", "t") for r in rows], SCHEMA)
+    plan = mixing.mix(df, rows_per_bucket=each).select("doc_id", F.explode("passes").alias("p")).collect()
+    got = mixing.in_training_order(df, F.col("doc_id"), rows_per_bucket=each)
+    assert got.columns == df.columns
+    found = [(r.doc_id, r.text) for r in got.collect()]
+    assert Counter(i for i, _ in found) == Counter(r.doc_id for r in plan)
+    assert set(found) <= {r[:2] for r in rows}
+    # a source's rows are in the order of their positions, whatever the ranges
+    place = defaultdict(list)
+    for r in plan:
+        place[r.doc_id].append(r.p.position)
+    source = {r[:2]: r[2] for r in rows}
+    for name in "abc":
+        own = [i for i, t in found if source[i, t] == name and i != 7]
+        want = [i for _, i in sorted((p, i) for (i, t), s in source.items() if s == name and i != 7 and (i, t) != (7, "x y") for p in place.get(i, []))]
+        assert Counter(own) == Counter(want) and sum(a != b for a, b in zip(own, want)) <= len(want) // 20
+    assert mixing.in_training_order(df.where("false"), F.col("doc_id")).count() == 0
+    assert mixing.in_training_order(spark.createDataFrame([(1, " ", "a", 1, 2, "b", "t")], SCHEMA), F.col("doc_id")).count() == 0

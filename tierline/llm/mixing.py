@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tierline.llm.common import WORD, cut, text_of
 
 WEIGHTS = (5, 2, 1)
+#: Rows of the table of buckets that are broadcast, about 100 bytes each; more of them are joined by a shuffle.
+_MOST_BROADCAST = 1 << 20
 #: First and last weight over training, for the sources in turn: steady, rising, falling.
 RAMPS = ((1.0, 1.0), (0.5, 1.5), (1.5, 0.5))
 
@@ -57,6 +59,72 @@ def position(done: Column, first: Column, last: Column) -> Column:
     return F.when(done <= 0, 0.0).otherwise(F.least(reached, F.lit(1.0)))
 
 
+def _source_key(source_col: str) -> Column:
+    """A source for ordering, null as the last."""
+    return F.coalesce(F.concat(F.lit("0"), F.col(f"`{source_col}`").cast("string")), F.lit("1"))
+
+
+def _size(text_col: str) -> Column:
+    return F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long")
+
+
+def _digest(identity: Column) -> Column:
+    return F.md5(F.coalesce(identity.cast("string"), F.lit("")).cast("binary"))
+
+
+def _buckets(base: DataFrame, weights: Sequence[int], share: float, most: float, rows_per_bucket: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct rows of id, key and size with their copies, digest and bucket; and what each bucket's words stand after.
+
+    A bucket is a source's digests with the same first hex digits, about ``rows_per_bucket`` rows or fewer; there are
+    few of them, one for so many rows and 256 for each source at least.
+    """
+    sizes = base.groupBy("id", "key", "size").agg(F.count(F.lit(1)).alias("copies"))
+    digits = max(2, math.ceil(math.log(max(1, base.count()) / rows_per_bucket, 16)))
+    sizes = sizes.withColumn("digest", _digest(F.col("id"))).withColumn("bucket", F.substring("digest", 1, digits))
+    targets = source_targets(sizes, weights, share, most)
+    buckets = sizes.groupBy("key", "bucket").agg(F.sum(F.col("size") * F.col("copies")).alias("words"))
+    earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = buckets.select("key", "bucket", "words", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("bucket_start"))
+    return sizes, starts.join(targets, "key").withColumn("digits", F.lit(digits))
+
+
+def in_training_order(
+    docs: DataFrame, identity: Column, text_col: str = "text", source_col: str = "source", weights: Sequence[int] = WEIGHTS,
+    share: float = 1.5, most: float = 2.0, ramps: Sequence[tuple[float, float]] = RAMPS, rows_per_bucket: int = 1 << 15,
+) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` takes a document of that ``identity``, text and source, in part counting as once.
+
+    Rows travel once for each time they are taken. Where they are read the table of buckets tells about where they stand, and
+    that decides the range of positions they are sent to; there a bucket's rows are counted up to their exact
+    positions. A range's rows are in order; ranges follow each other but for a bucket that lies across a border,
+    which is kept together. Equal rows stand one after another, in one range. Rows that have no words are never taken. Columns of
+    ``docs`` come out as they are, whatever their names, and empty tables empty.
+    """
+    columns, names = docs.columns, [f"c{i}" for i in range(len(docs.columns))]
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)], identity.alias("id"), _source_key(source_col).alias("key"), _size(text_col).alias("size"))
+    base = cut(rows.select("id", "key", "size"), "sizes")
+    starts = cut(_buckets(base, weights, share, most, rows_per_bucket)[1], "buckets")
+    head = starts.first()
+    if head is None:
+        return docs.where("false")
+    demand, begin = F.floor("target"), F.col("pass") * F.col("source_size")
+    first, last = (in_turn([r[i] for r in ramps], F.col("turn")) for i in (0, 1))
+    at = lambda words: position(F.try_divide(words, F.col("target")), first, last)
+    parts = starts.withColumn("pass", F.explode(F.array(*[F.lit(n) for n in range(math.ceil(most))])))
+    parts = parts.where(begin + F.col("bucket_start") < demand).withColumn("about", at(begin + F.col("bucket_start")))
+    # ranges of about the same number of words; one row a bucket and pass, so one task is enough
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    before = F.sum("words").over(Window.orderBy("about", "key", "bucket", "pass"))
+    parts = parts.withColumn("range", F.floor(F.least(F.lit(ranges - 1), (before - F.col("words")) * ranges / F.sum("words").over(Window.partitionBy(F.lit(1))))).cast("int"))
+    parts = parts.select("key", "bucket", "pass", "range", "bucket_start", "source_size", "target", "turn")
+    sent = rows.withColumn("digest", _digest(F.col("id"))).withColumn("bucket", F.substring("digest", 1, head["digits"])).where("size > 0")
+    sent = sent.join(parts.hint("broadcast") if parts.count() <= _MOST_BROADCAST else parts, ["key", "bucket"]).repartitionByRange(ranges, "range")
+    within = Window.partitionBy("range", "key", "bucket", "pass").orderBy("digest", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    start = begin + F.col("bucket_start") + F.coalesce(F.sum("size").over(within), F.lit(0))
+    placed = sent.withColumn("start", start).where(F.col("start") < demand).withColumn("position", at(F.col("start")))
+    return placed.sortWithinPartitions("range", "position", "id").select(*[F.col(n).alias(c) for c, n in zip(columns, names)])
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[int] = WEIGHTS,
     share: float = 1.5, most: float = 2.0, ramps: Sequence[tuple[float, float]] = RAMPS, rows_per_bucket: int = 1 << 15,
@@ -69,23 +137,9 @@ def mix(
     of its own and the last; null and repeated ids are allowed, and equal rows stand one after another.
     Other columns are left out, whatever their names; an empty table gives no rows.
     """
-    source = F.col(f"`{source_col}`").cast("string")
-    base = docs.select(
-        F.col(f"`{id_col}`").alias("id"), F.coalesce(F.concat(F.lit("0"), source), F.lit("1")).alias("key"),
-        F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
-    )
-    base = cut(base, "sizes")
-    sizes = base.groupBy("id", "key", "size").agg(F.count(F.lit(1)).alias("copies"))
-    digits = max(2, math.ceil(math.log(max(1, base.count()) / rows_per_bucket, 16)))
-    digest = F.md5(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
-    sizes = sizes.withColumn("digest", digest).withColumn("bucket", F.substring("digest", 1, digits))
-
-    targets = source_targets(sizes, weights, share, most)
+    base = cut(docs.select(F.col(f"`{id_col}`").alias("id"), _source_key(source_col).alias("key"), _size(text_col).alias("size")), "sizes")
+    sizes, starts = _buckets(base, weights, share, most, rows_per_bucket)
     words = F.sum(F.col("size") * F.col("copies"))
-    buckets = sizes.groupBy("key", "bucket").agg(words.alias("words"))
-    earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = buckets.select("key", "bucket", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("bucket_start"))
-    starts = starts.join(targets, "key")
     within = Window.partitionBy("key", "bucket").orderBy("digest", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = sizes.join(starts, ["key", "bucket"]).withColumn("start", F.col("bucket_start") + F.coalesce(words.over(within), F.lit(0)))
     # equal rows stand one after another

@@ -39,17 +39,17 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, in part counting as once, in training order.
 
-    Repeated rows are each taken as often as the first of them.
+    Documents without words (null and empty texts) are not taken; repeated rows stand together; columns come out as
+    they are, whatever their names; an empty table gives none.
     """
-    key, where = free_name(docs, "row_key"), free_name(docs, "position")
-    plan = mixing.mix(docs.select(_row_key().alias("doc_id"), "text", "source"))
-    plan = plan.select(F.col("doc_id").alias(key), F.explode("passes").alias("p"))
-    plan = plan.groupBy(key, "p.pass").agg(F.min("p.position").alias(where)).drop("pass")
-    return docs.withColumn(key, _row_key()).join(plan, key).orderBy(where, key).select(docs.columns)
+    return mixing.in_training_order(docs, _row_key())
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens, with their place in a sequence."""
+    """Pieces of at most 1024 tokens, with their place in a sequence; a null text has its end only, an empty table no pieces.
+
+    Columns other than doc_id and text are left out.
+    """
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"))
 
 

@@ -1,3 +1,8 @@
+import re
+import tracemalloc
+import zlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -25,15 +30,72 @@ def test_text_vector_is_the_sum_of_bound_letters():
         for distance, letter in enumerate(reversed(plain[i : i + 3])):
             product *= np.roll(language.letter_vector(ord(letter), d), distance)
         want += product
-    got, empty = language.text_vectors([text, " 12 !"], d)
+    got, empty = language.text_vectors([text, " 12 !"], d)[0]
     assert got.tolist() == want.tolist() and not empty.any()
 
 
 def test_letters_outside_the_basic_plane_and_lone_surrogates():
-    vectors = list(language.text_vectors(["\U00010400\U00010401 x", "中文文字", ""], 32))
+    vectors = language.text_vectors(["\U00010400\U00010401 x", "中文文字", ""], 32)[0]
     assert vectors[0].any() and vectors[1].any() and not vectors[2].any()
 
 
+def test_parts_of_a_text_have_its_grams_once():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        text = "".join(rng.choice(list("aB é-.1中"), rng.integers(0, 60)))
+        whole = language.grams([f" {text.lower()} "])
+        want = Counter({tuple(map(int, g)): int(n) for g, n in zip(spelled(*whole), whole[2])})
+        got = Counter()
+        for part in language.pieces(text, int(rng.integers(1, 12))):
+            found = language.grams([part])
+            got.update({tuple(map(int, g)): int(n) for g, n in zip(spelled(*found), found[2])})
+        assert got == want
+
+
+def spelled(owner, number, counts, alphabet):
+    for n in number:
+        yield [alphabet[n // len(alphabet) ** i % len(alphabet)] for i in range(language.GRAM)] if len(alphabet) else []
+
+
+def test_long_texts_of_many_grams_take_bounded_memory():
+    rng = np.random.default_rng(1)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA0, 1_500_000)))
+    tracemalloc.start()
+    vectors, sizes = language.text_vectors([text, "a b"], language.DIMENSIONS)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250e6 and sizes[0] == len(text) and vectors[0].any()
+
+
+def test_whole_table_is_as_by_a_plain_version(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    d, known = language.DIMENSIONS, {}
+
+    def vector(text):
+        codes = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+        codes = re.sub(" +", " ", codes)
+        counts = Counter(codes[i : i + 3] for i in range(len(codes) - 2))
+        total = np.zeros(d)
+        for gram, n in counts.items():
+            if gram not in known:
+                known[gram] = np.prod([np.roll(language.letter_vector(ord(c), d), k) for k, c in enumerate(reversed(gram))], axis=0)
+            total += n * known[gram]
+        return total, max(1, sum(counts.values()))
+
+    sums = {}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 4 != 2 and text is not None and lang is not None:
+            total, n = vector(text)
+            sums[lang] = sums.get(lang, 0) + total / n
+    got = {r.doc_id: r for r in language.predictions(spark.read.parquet(f"{DATA}/documents.parquet")).collect()}
+    assert len(got) == len(rows)
+    for i, text, _ in rows:
+        total, _ = vector(text)
+        cosines = {lang: float(total @ s / np.linalg.norm(total) / np.linalg.norm(s)) for lang, s in sums.items()} if total.any() else {}
+        best = max(cosines, key=cosines.get, default="und")
+        assert got[i].lang_pred == best and abs(got[i].score - max(0, cosines.get(best, 0))) < 1e-4, i
+
+
 def test_odd_rows(spark):
     rows = [
         (1, "the cat sat on the mat", "en"), (3, "le chat est sur la table", "fr"), (None, "the dog and the cat", "en"), (5, None, "en"), (6, "", None),

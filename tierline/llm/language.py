@@ -48,14 +48,31 @@ def gram_vectors(codes: np.ndarray, alphabet: np.ndarray, dimensions: int) -> np
     return bound.astype(np.float32)
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, n-gram and count, by text and n-gram, and the alphabet that n-grams are numbered by.
+def pieces(text: str, size: int = 1 << 19) -> Iterator[str]:
+    """A text between spaces, in lower case, in parts that together have its n-grams, each once.
 
-    Letters are lower-cased; what stands between them is one space, also at both ends.
+    A part begins with a letter, so that the space before it belongs to the one before, and goes on for
+    what an n-gram that begins before its end still needs.
+    """
+    text, start = f" {text.lower()} ", 0
+    while len(text) - start > size:
+        end = start + size
+        while end < len(text) and not text[end].isalpha():
+            end += 1
+        yield text[start : end + GRAM - 1]
+        if end == len(text):
+            return
+        start = end
+    yield text[start:]
+
+
+def grams(padded: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Part number, n-gram and count, by part and n-gram, and the alphabet that n-grams are numbered by.
+
+    What stands between letters is one space.
     """
-    padded = [f" {t.lower()} " for t in texts]
     codes = np.frombuffer("".join(padded).encode("utf-32-le", "replace"), "<u4")
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in padded])
+    owner = np.repeat(np.arange(len(padded)), [len(t) for t in padded])
     codes = np.where(_letters()[codes], codes, _SPACE)
     kept = np.ones(len(codes), bool)
     kept[1:] = (codes[1:] != _SPACE) | (codes[:-1] != _SPACE) | (owner[1:] != owner[:-1])
@@ -72,22 +89,49 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     inside = owner[: len(number)] == owner[GRAM - 1 :] if len(number) else np.zeros(0, bool)
     owner, number = owner[: len(number)][inside], number[inside]
     span = max(1, len(alphabet)) ** GRAM
-    if span * (len(texts) + 1) < 1 << 62:
+    if span * (len(padded) + 1) < 1 << 62:
         keys, counts = np.unique(owner * span + number, return_counts=True)
         return keys // span, keys % span, counts, alphabet
     pairs, counts = np.unique(np.stack([owner, number], axis=1), axis=0, return_counts=True)
     return pairs[:, 0], pairs[:, 1], counts, alphabet
 
 
-def text_vectors(texts: list[str], dimensions: int) -> Iterator[np.ndarray]:
-    """The vector of each text, all zero for one without letters."""
-    owner, number, counts, alphabet = grams(texts)
+#: N-grams whose vectors are held at a time, and bytes of text that are worked on at a time.
+_HELD = 1 << 13
+_BLOCK = 1 << 19
+
+
+def text_vectors(texts: list[str], dimensions: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vector of each text, all zero for one without letters, and its number of n-grams."""
+    out, sizes = np.zeros((len(texts), dimensions)), np.zeros(len(texts), np.int64)
+    group: list[tuple[int, str]] = []
+    held = 0
+    for number, text in enumerate(texts):
+        for piece in pieces(text):
+            if group and held + len(piece) > _BLOCK:
+                _add_pieces(group, out, sizes, dimensions)
+                group, held = [], 0
+            group.append((number, piece))
+            held += len(piece)
+    if group:
+        _add_pieces(group, out, sizes, dimensions)
+    return out, sizes
+
+
+def _add_pieces(group: list[tuple[int, str]], out: np.ndarray, sizes: np.ndarray, dimensions: int) -> None:
+    owner, number, counts, alphabet = grams([piece for _, piece in group])
+    owner = np.array([n for n, _ in group])[owner]
+    np.add.at(sizes, owner, counts)
     known, place = np.unique(number, return_inverse=True)
-    vectors = gram_vectors(known, alphabet, dimensions)
-    edges = np.searchsorted(owner, np.arange(len(texts) + 1))
     weights = counts.astype(np.float32)
-    for start, end in zip(edges, edges[1:]):
-        yield weights[start:end] @ vectors[place[start:end]] if end > start else np.zeros(dimensions, np.float32)
+    for at in range(0, len(known), _HELD):
+        vectors = gram_vectors(known[at : at + _HELD], alphabet, dimensions)
+        inside = np.flatnonzero((place >= at) & (place < at + _HELD)) if len(known) > _HELD else np.arange(len(place))
+        edges = np.flatnonzero(np.diff(owner[inside], prepend=-1, append=-1))
+        for start, end in zip(edges[:-1], edges[1:]):
+            for first in range(start, end, _HELD):
+                some = inside[first : min(end, first + _HELD)]
+                out[owner[some[0]]] += weights[some] @ vectors[place[some] - at]
 
 
 def learn(docs: DataFrame, trains: Column, text_col: str, lang_col: str, dimensions: int) -> dict[str, np.ndarray]:
@@ -99,18 +143,12 @@ def learn(docs: DataFrame, trains: Column, text_col: str, lang_col: str, dimensi
 
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
-        for block in by_size(batches, "text", 1 << 21):
-            languages, texts = np.array(block.column("lang").to_pylist(), object), block.column("text").to_pylist()
-            owner, number, counts, alphabet = grams(texts)
-            known, place = np.unique(number, return_inverse=True)
-            vectors = gram_vectors(known, alphabet, dimensions)
-            spoken = languages[owner]
-            # texts weigh the same however long they are
-            weights = counts / np.bincount(owner, counts, len(texts))[owner]
+        for block in by_size(batches, "text", _BLOCK):
+            vectors, sizes = text_vectors(block.column("text").to_pylist(), dimensions)
+            vectors /= np.maximum(sizes, 1)[:, None]  # texts weigh the same however long they are
+            languages = np.array(block.column("lang").to_pylist(), object)
             for language in set(languages.tolist()):
-                own = spoken == language
-                total = np.bincount(place[own], weights[own], len(known)) @ vectors
-                sums[language] = sums.get(language, 0) + total.astype(np.float64)
+                sums[language] = sums.get(language, 0) + vectors[languages == language].sum(0)
         salt = TaskContext.get().partitionId() % 64
         rows = list(sums.items())
         columns = [pa.array([k for k, _ in rows], pa.string()), pa.array([salt] * len(rows), pa.int32()), pa.array([v.tobytes() for _, v in rows], pa.binary())]
@@ -128,38 +166,39 @@ def learn(docs: DataFrame, trains: Column, text_col: str, lang_col: str, dimensi
 
 
 def identify(
-    docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dimensions: int = DIMENSIONS
+    docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", dimensions: int = DIMENSIONS,
+    names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """All rows and columns of ``docs`` with lang_pred and score (the cosine, at least 0) after them.
+    """All rows and columns of ``docs`` with lang_pred and score (the cosine, at least 0) after them, under these ``names``.
 
     Prototypes come from the rows that ``trains`` holds for; a language found there is the only use of
     ``lang_col``. A text that is null or has no letters, or any text if nothing could be learned, is
     ``und`` with score 0. Of equal cosines the first language by code point wins. Columns of ``docs``
-    named lang_pred or score are replaced; an empty table gives no rows. The prototypes, one vector for
+    of those names are replaced; an empty table gives no rows. The prototypes, one vector for
     each language, are broadcast.
     """
     learned = learn(docs, trains, text_col, lang_col, dimensions)
-    names = sorted(learned)
-    unit = np.array([learned[n] / (np.linalg.norm(learned[n]) or 1.0) for n in names]).reshape(len(names), dimensions)
-    held = docs.sparkSession.sparkContext.broadcast((names, unit.astype(np.float32)))
-    docs = docs.drop("lang_pred", "score")
+    languages = sorted(learned)
+    unit = np.array([learned[n] / (np.linalg.norm(learned[n]) or 1.0) for n in languages]).reshape(len(languages), dimensions)
+    held = docs.sparkSession.sparkContext.broadcast((languages, unit))
+    docs = docs.drop(*names)
     place = docs.columns.index(text_col)
 
     def predict(batches):
-        names, unit = held.value
-        for block in by_size(batches, text_col, 1 << 21):
+        languages, unit = held.value
+        for block in by_size(batches, text_col, _BLOCK):
             # columns by place, as names may differ in case only
             texts = [t or "" for t in block.column(place).to_pylist()]
             found, scores = [], []
-            for vector in text_vectors(texts, dimensions):
+            for vector in text_vectors(texts, dimensions)[0]:
                 norm = float(np.linalg.norm(vector))
-                cosines = unit @ vector / norm if norm and names else np.zeros(0)
+                cosines = unit @ vector / norm if norm and languages else np.zeros(0)
                 best = int(np.argmax(cosines)) if len(cosines) else -1
-                found.append(names[best] if best >= 0 else UNKNOWN)
+                found.append(languages[best] if best >= 0 else UNKNOWN)
                 scores.append(min(1.0, max(0.0, float(cosines[best]))) if best >= 0 else 0.0)
-            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())], [*block.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*block.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())], [*block.schema.names, *names])
 
-    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    added = [StructField(names[0], StringType()), StructField(names[1], DoubleType())]
     return docs.mapInArrow(predict, StructType([*docs.schema.fields, *added]))
 
 

@@ -16,8 +16,9 @@ from tierline.llm.queries import tokenizer_path
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found; those without letters, or like no language learned, go."""
-    found = language.identify(docs, ~held_out("doc_id", 4, 2))
-    return found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0)).select(docs.columns)
+    names = free_name(docs, "lang_pred"), free_name(docs, "score")
+    found = language.identify(docs, ~held_out("doc_id", 4, 2), names=names)
+    return found.where((F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) > 0)).drop(*names)
 
 
 def _row_key() -> Column:
@@ -28,12 +29,15 @@ def _row_key() -> Column:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links connect, the one with the smallest id, of equal ids the one with the smaller
-    digest, of repeated rows one; documents without words all stay. Null ids stand before others."""
+    digest, of rows equal in both the one whose columns have the least hash; documents without words all stay. Null
+    ids stand before others."""
     key = free_name(docs, "row_key")
     ids = docs.select(F.struct(F.col("doc_id"), _row_key().alias("key")).alias("doc_id"), "text")
     groups = jaccard.similar_components(ids).where(F.col("doc_id.key") != F.col("component_id.key"))
     copies = groups.select(F.col("doc_id.key").alias(key)).distinct()
-    return docs.withColumn(key, _row_key()).dropDuplicates([key]).join(copies, key, "left_anti").select(docs.columns)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = docs.withColumn(key, _row_key()).join(copies, key, "left_anti")
+    return single.groupBy(key).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row")).select("row.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -170,16 +170,6 @@ def test_parquet_text_binary_image(spark, place, put):
     assert rows(image.selectExpr("image.width", "image.height")) == [(1, 1)]
 
 
-def test_avro_needs_its_package(spark, place, put):
-    from tierline import storage
-
-    if storage.has_source(spark, "avro"):
-        pytest.skip("avro is on the classpath")
-    put("landing/a.avro", "x")
-    with pytest.raises(storage.MissingPackage, match="avro"):
-        sources.read_files(spark, spec(place, format="avro"))
-
-
 def scans(df):
     return df._jdf.queryExecution().executedPlan().toString().count("FileScan")
 

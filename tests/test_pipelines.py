@@ -7,7 +7,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from tierline import BronzeSpec, DatasetSpec, Field, fixtures, inspect, jobs, ledger, sinks, sources, storage
+from tierline import BronzeSpec, DatasetSpec, Field, fixtures, inspect, jobs, ledger, listing, sinks, sources, storage
 from tierline.functions import schema as schemas
 from tierline.plans.jobs import RunFailed
 from tierline.streaming import control
@@ -425,8 +425,6 @@ def test_missing_packages_are_named(spark, place):
         pytest.skip("kafka is on the classpath")
     with pytest.raises(storage.MissingPackage, match="kafka"):
         sources.message_stream(spark, telemetry(place, message_format="kafka"))
-    with pytest.raises(storage.MissingPackage, match="avro"):
-        jobs.messages_to_raw(spark, telemetry(place, codec="avro"))
 
 
 def test_run_isolates_failures_and_raises(spark, place, put):
@@ -499,18 +497,18 @@ def test_listing_leaves_hidden_directories_out(spark, place, put):
     put("dir/.hidden/d.csv", "x")
     found = inspect.list_files(spark, place("dir"))
     assert sorted(os.path.basename(r.path) for r in found.collect()) == ["a.csv", "b.csv"]
-    assert "content" not in found._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[1]
+    assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString() and found.columns == ["path", "length", "modificationTime"]
     assert inspect.table_kind(spark, place("dir")) == "committed"
     assert inspect.table_kind(spark, place("nowhere")) == "missing"
 
 
 def test_listing_tasks_do_not_grow_with_file_sizes(spark, place, put):
     for i in range(40):
-        put(f"dir/{i}.txt", "x" * 5000)
+        put(f"dir/{i % 3}/{i}.txt", "x" * 5000)
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
     try:
-        assert spark.read.text(place("dir")).rdd.getNumPartitions() >= 40
+        assert spark.read.option("recursiveFileLookup", "true").text(place("dir")).rdd.getNumPartitions() >= 40
         listed = inspect.list_files(spark, place("dir"))
         assert listed.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism + 1
         assert listed.count() == 40
@@ -518,6 +516,50 @@ def test_listing_tasks_do_not_grow_with_file_sizes(spark, place, put):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_listings_of_tasks_and_of_the_index_agree(spark, place, put, monkeypatch):
+    for name in ("a.csv", "b +ü.csv", "k=1/c.csv", "k=2/d%20.txt", "k=2/l=x/e.csv", "deep/er/f.csv", "_g.csv", ".h", "k=1/_tmp/i.csv", "j.csv._COPYING_"):
+        put(f"dir/{name}", name)
+    for options in ({"recursiveFileLookup": "true"}, {"recursiveFileLookup": "true", "pathGlobFilter": "{a,d}*.[ct]*"}, {"recursiveFileLookup": "true", "modifiedAfter": "2100-01-01"}):
+        mine, index = storage.listing(spark, place("dir"), options), storage._indexed(spark, place("dir"), options)
+        assert rows(mine) == rows(index) and mine.dtypes == index.dtypes
+    flat = {os.path.basename(r.path) for r in storage.listing(spark, place("dir"), {}).collect()}
+    assert flat == {"a.csv", "b +ü.csv", "c.csv", "d%20.txt", "e.csv"}  # name=value directories only
+    put("dir/empty +.csv", "")
+    assert [r.length for r in storage.listing(spark, place("dir"), {"pathGlobFilter": "empty*"}).collect()] == [0]
+    monkeypatch.setattr(listing, "reachable", lambda path: False)
+    index = storage.listing(spark, place("dir"), {"recursiveFileLookup": "true"})
+    assert "tierline_files" not in index._jdf.queryExecution().toString() and index.count() == 6
+    with pytest.raises(FileNotFoundError):
+        storage.listing(spark, place("nowhere"), {})
+
+
+def test_a_repeated_move_says_the_same(place, put):
+    import pyarrow as pa
+
+    def run(rows):
+        batch = pa.RecordBatch.from_pylist([dict(zip(("path", "archived_as", "fallback"), r)) for r in rows])
+        return [o for b in listing.moved([batch]) for o in b.column("outcome").to_pylist()]
+
+    plan = [("file:" + put("in/a b.txt", "1"), "file:" + place("out/a b.txt"), place("out/f1")), (put("in/c.txt", "2"), place("out/taken"), place("out/f2"))]
+    put("out/taken", "other")
+    assert run(plan[:1]) == ["moved"] and run(plan) == ["moved", "moved"] and run(plan) == ["moved", "moved"]
+    assert {n: open(place(f"out/{n}")).read() for n in os.listdir(place("out"))} == {"a b.txt": "1", "taken": "other", "f2": "2"}
+    assert run([(place("in/never"), place("out/x"), place("out/y"))]) == ["gone"] and os.listdir(place("in")) == []
+    put("in/c.txt", "3")
+    with pytest.raises(FileExistsError):
+        run(plan)
+    assert os.listdir(place("in")) == ["c.txt"]
+
+
+def test_archive_without_tasks(spark, place, put, monkeypatch):
+    monkeypatch.setattr(listing, "reachable", lambda path: False)
+    put("landing/a b.csv", "x")
+    put("archive/a b.csv", "earlier")
+    found = storage._indexed(spark, place("landing"), {})
+    assert ledger.archive(spark, found, place("archive")) == 1
+    assert len(os.listdir(place("archive"))) == 2 and os.listdir(place("landing")) == []
+
+
 def test_single_file_export(spark, place):
     df = spark.range(5).selectExpr("id", "timestamp'2024-01-01 00:00:00' as t")
     path = sinks.export_single_file(df, place("out"), "all.csv")
@@ -593,3 +635,31 @@ def test_every_small_batch_is_counted(spark, place):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert rows_in == 130
+
+
+def test_a_committed_layers_profile_reads_no_data(spark, place, put):
+    spec = make(place)
+    put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\nb,,2025-02-05 00:00:00\n")
+    jobs.landing_to_raw(spark, spec)
+    put("landing/b.csv", "order_id,quantity,order_date,promo\nc,-7,2023-01-05 00:00:00,X\n")
+    jobs.landing_to_raw(spark, spec)
+    found = inspect.committed_profile(spark, spec.raw, spec.partition_by)
+    raw = sources.read_raw(spark, spec).drop(ledger.BATCH)
+    assert rows(found, "column_name", "rows", "non_null", "is_empty") == rows(inspect.profile(raw))
+    assert "_commits" in found.inputFiles()[0] and len(found.inputFiles()) == len(raw.sparkSession.read.parquet(ledger.commit_path(spec.raw) + "/gen=0").inputFiles())
+    bounds = {r.column_name: (r.least, r.most) for r in found.collect()}
+    assert bounds["quantity"] == ("-7", "1") and bounds["order_id"] == (None, None) == bounds["promo"]
+    assert bounds["order_date"] == ("2023-01-05 00:00:00", "2025-02-05 00:00:00")
+    report = inspect.report(spark, spec, "raw")
+    assert rows(report.profile) == rows(inspect.profile(sources.read_raw(spark, spec).drop(ledger.BATCH)))
+
+
+def test_profile_of_batches_without_statistics_scans(spark, place, put):
+    spec = make(place)
+    put("landing/a.csv", HEAD + "a,1,2024-01-05 00:00:00\n")
+    jobs.landing_to_raw(spark, spec)
+    path = ledger.commit_path(spec.raw) + "/gen=0"
+    old = spark.createDataFrame(spark.read.parquet(path).drop("column_stats").collect(), spark.read.parquet(path).drop("column_stats").schema)
+    old.write.mode("overwrite").parquet(path)
+    assert inspect.committed_profile(spark, spec.raw) is None
+    assert inspect.report(spark, spec, "raw").profile.count() > 0

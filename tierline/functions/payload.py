@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline import storage
+from tierline.functions import avro
 from tierline.functions import schema as schemas
 
 PAYLOAD = "payload"
@@ -49,9 +52,12 @@ def envelope(messages: DataFrame) -> DataFrame:
 def decode(df: DataFrame, avro_schema: str, codec: str = "avro") -> DataFrame:
     """``value`` becomes the ``payload`` struct; a malformed message fails the query."""
     if codec == "avro":
-        from pyspark.sql.avro.functions import from_avro
+        if storage.has_source(df.sparkSession, "avro"):
+            from pyspark.sql.avro.functions import from_avro
 
-        payload = from_avro(F.col("value"), avro_schema, {"mode": "FAILFAST"})
+            payload = from_avro(F.col("value"), avro_schema, {"mode": "FAILFAST"})
+        else:
+            payload = _by_arrow(avro_schema)(F.col("value"))
     elif codec == "json":
         record = schemas.parse_avro_json(avro_schema)
         wire = F.from_json(F.col("value").cast("string"), _wire_type(record), {"mode": "FAILFAST"})
@@ -62,6 +68,18 @@ def decode(df: DataFrame, avro_schema: str, codec: str = "avro") -> DataFrame:
     return df.withColumn(PAYLOAD, payload).drop("value")
 
 
+def _by_arrow(avro_schema: str):
+    from pyspark.sql.functions import arrow_udf
+
+    kind = schemas.from_avro_json(avro_schema)
+
+    @arrow_udf(kind)
+    def decoded(values: pa.Array) -> pa.Array:
+        return avro.decode_messages(values, avro_schema)
+
+    return decoded
+
+
 def payload_names(avro_schema: str) -> dict[str, str]:
     """Payload field to its raw column; a field named like an envelope column gets a prefix."""
     fields = schemas.from_avro_json(avro_schema).names

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline import storage
-from tierline.operators import ledger
+from tierline.operators import column_stats, ledger
 from tierline.sources import layers
 from tierline.spec import DatasetSpec
 
@@ -43,6 +43,16 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     )
 
 
+def committed_profile(spark: SparkSession, path: str, partition_by: Iterable[str] = ()) -> DataFrame | None:
+    """A1, A3, F1 of a committed layer, with the least and most of columns that have an order, without reading its data.
+
+    ``None`` if the layer has no commit rows, or batches from before these kept statistics.
+    """
+    known = ledger.state(spark, path)
+    rows, schema = ledger.live_commits(spark, path, known), known.schema(partition_by)
+    return None if rows is None or schema is None else column_stats.profile(rows, schema)
+
+
 def non_null_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """non-null values of those columns that exist, in one row and one pass."""
     found = [c for c in columns if c in df.columns]
@@ -87,7 +97,7 @@ def table_kind(spark: SparkSession, path: str) -> str:
 def list_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
     """M5: files under ``path`` with size and time, hidden directories left out, contents unread."""
     options = {"recursiveFileLookup": str(recursive).lower()}
-    return storage.listing(spark, path, options).unionByName(storage.empty_files(spark, path, options))
+    return storage.listing(spark, path, options)
 
 
 @dataclass(frozen=True)
@@ -125,12 +135,15 @@ def report(
     path = spec.raw if layer == "raw" else spec.bronze.path
     kind = table_kind(spark, path)
     chosen = pick_existing(df, columns) if columns else df
+    known = committed_profile(spark, path, spec.partition_by if layer == "raw" else spec.bronze.partition_by) if kind == "committed" else None
+    if known is not None:  # counted when the batches were written
+        known = known.where(F.col("column_name").isin(*chosen.columns)).select("column_name", "rows", "non_null", "is_empty")
     return LayerReport(
         dataset=spec.name,
         layer=layer,
         kind=kind,
         schema=schema_df(df),
-        profile=profile(chosen),
+        profile=profile(chosen) if known is None else known,
         sample=sample(chosen, n, order_by),
         history=history(spark, path) if kind in ("delta", "committed") else None,
     )

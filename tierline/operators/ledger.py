@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline import storage
+from tierline import listing, storage
 from tierline.functions import schema as schemas
+from tierline.operators import column_stats
 
 BATCH = "ingest_batch"
 
@@ -32,6 +33,7 @@ COMMIT_SCHEMA = T.StructType([
     T.StructField("table_schema", T.StringType()),
     T.StructField("operationParameters", T.MapType(T.StringType(), T.StringType())),
     T.StructField("operationMetrics", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("column_stats", T.StringType()),
 ])
 
 # Commit rows are appended as small files; past this many they are rewritten as one.
@@ -139,6 +141,14 @@ def state(spark: SparkSession, target: str) -> State:
     return State(generation, tuple(sorted(entries, key=lambda e: e.version)))
 
 
+def live_commits(spark: SparkSession, target: str, known: State) -> DataFrame | None:
+    """The commit rows of the live batches, if all of them have column statistics."""
+    if known.generation is None:
+        return None
+    rows = _read(spark, target, known.generation).where(F.col("batch_id").isin(*known.batch_ids))
+    return None if rows.where(F.col("column_stats").isNull()).count() else rows
+
+
 @dataclass(frozen=True)
 class Commit:
     """One finished batch, ready to be recorded."""
@@ -148,6 +158,7 @@ class Commit:
     schema: T.StructType
     parameters: Mapping[str, str]
     metrics: Mapping[str, int]
+    stats: column_stats.Stats | None = None
 
 
 def record(spark: SparkSession, target: str, known: State, commit: Commit) -> State:
@@ -163,6 +174,7 @@ def record(spark: SparkSession, target: str, known: State, commit: Commit) -> St
         "table_schema": F.lit(table_schema).cast("string"),
         "operationParameters": _string_map(commit.parameters),
         "operationMetrics": _string_map(commit.metrics),
+        "column_stats": F.lit(column_stats.dumped(commit.stats)).cast("string"),
     }
     generation = _store(spark, target, known, spark.range(0, 1, 1, 1).select(*[values[c].alias(c) for c in COMMIT_SCHEMA.names]))
     entry = Row(
@@ -250,13 +262,9 @@ def processed_files(df: DataFrame) -> DataFrame:
     )
 
 
-def skipped_files(present_at_start: DataFrame) -> DataFrame:
-    """Files that were in landing when a run began and are still there after it.
-
-    ``present_at_start`` is a listing made before the run (``sources.landing_files``): its set of
-    files is fixed then, and those moved since are passed over when it is evaluated now.
-    """
-    return present_at_start.select("path", "length", "modificationTime")
+def still_there(before: DataFrame, now: DataFrame) -> DataFrame:
+    """Files of an earlier listing that are there unchanged; those of zero bytes left out."""
+    return before.where("length > 0").join(now, ["path", "length", "modificationTime"], "left_semi")
 
 
 def basename(uri: Column, encoded: bool = True) -> Column:
@@ -291,15 +299,23 @@ def _tag(uri: str, files: DataFrame) -> Column:
 
 
 def archive(spark: SparkSession, files: DataFrame, target: str, uri: str = "path", encoded: bool = False, threads: int = 16) -> int:
-    """M1: move files into the archive once their rows are safely written.
+    """M1: move files into the archive once their rows are safely written; how many of them are there then.
 
-    Renames are metadata calls. They are issued from the driver by a few threads, which is also
-    how Spark's own streaming file source archives, while the plan is fetched a partition at a
-    time. A file that is already gone was moved by an earlier attempt. Returns the files moved.
+    Tasks move them, some thousand files each at most, and a task that runs again finds what it has moved before. A file
+    that is gone without being in the archive was moved on by someone else. In a store that only Spark
+    reaches, ``threads`` of the driver rename, as Spark's own streaming file source does, and
+    only files that this call has moved are counted.
     """
     storage.make_dirs(spark, target)
     plan = archive_plan(files, target, uri, encoded).select(uri, "archived_as", "fallback")
-    store, moved = storage.Store(spark), 0
+    source = files.select(uri).first()
+    if source is None:
+        return 0
+    store = storage.Store(spark)
+    if listing.reachable(store.spelled(source[0])) and listing.reachable(store.spelled(target)):
+        outcomes = plan.repartition(spark.sparkContext.defaultParallelism).mapInArrow(listing.moved, "outcome string")
+        return outcomes.where(F.col("outcome") == listing.MOVED).count()
+    moved = 0
     with ThreadPoolExecutor(threads) as pool:
         rows = plan.toLocalIterator(prefetchPartitions=True)
         while chunk := list(islice(rows, 1000)):

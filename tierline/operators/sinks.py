@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tierline import storage
 from tierline.functions import derive
 from tierline.functions import schema as schemas
-from tierline.operators import ledger
+from tierline.operators import column_stats, ledger
 from tierline.spec import BronzeSpec
 
 COMPRESSION = "snappy"
@@ -66,13 +66,14 @@ def write_parts(
     keep: Callable[[ledger.State], Iterable[str]] = lambda known: (),
 ) -> Written:
     """K1 for content that comes in parts, each written before the next is asked for; one commit at the end."""
-    rows, schema, df = 0, None, None
+    rows, schema, df, stats = 0, None, None, {}
     for df in parts:
-        rows += _write(df, target, batch_id, partition_by, optimize, "overwrite" if schema is None else "append")
+        count, own = _write(df, target, batch_id, partition_by, optimize, "overwrite" if schema is None else "append")
+        rows, stats = rows + count, column_stats.merged(stats, own)
         schema = schemas.merge([df.schema] if schema is None else [schema, df.schema])
     if df is None:
         return Written((), 0, known)
-    known = _record(df.sparkSession, schema, target, known, batch_id, "overwrite", rows, partition_by, parameters)
+    known = _record(df.sparkSession, schema, target, known, batch_id, "overwrite", rows, partition_by, parameters, stats)
     clear_replaced(df.sparkSession, target, batch_id, keep(known))
     return Written((batch_id,), rows, known)
 
@@ -101,31 +102,32 @@ def append_batch(
     if known.has(batch_id):
         return Written((), 0, known)
     _check_growth(known, df.schema, merge_schema)
-    rows = _write(df, target, batch_id, partition_by, optimize)
-    known = _record(df.sparkSession, df.schema, target, known, batch_id, "append", rows, partition_by, parameters)
+    rows, stats = _write(df, target, batch_id, partition_by, optimize)
+    known = _record(df.sparkSession, df.schema, target, known, batch_id, "append", rows, partition_by, parameters, stats)
     return Written((batch_id,), rows, known)
 
 
-def _write(df: DataFrame, target: str, batch_id: str, partition_by: Sequence[str], optimize: bool, mode: str = "overwrite") -> int:
+def _write(df: DataFrame, target: str, batch_id: str, partition_by: Sequence[str], optimize: bool, mode: str = "overwrite") -> tuple[int, column_stats.Stats]:
     derive.require_columns(df, partition_by)
     if ledger.BATCH in df.columns:
         raise ValueError(f"{ledger.BATCH!r} is a reserved column")
-    df, rows = _laid_out(df, partition_by, optimize)
+    schema = df.schema
+    df, seen = _laid_out(df, partition_by, optimize)
     _parquet(df, mode, partition_by).save(ledger.batch_path(target, batch_id))
-    return rows.get["rows"]
+    return seen.get["rows"], column_stats.found(schema, seen.get)
 
 
 def _laid_out(df: DataFrame, partition_by: Sequence[str], optimize: bool) -> tuple[DataFrame, Observation]:
     """K8: bring rows of one output directory together, so that files are few and large.
 
     ``rebalance`` lets AQE split a directory that holds much of the data over several tasks and
-    merge small ones. Rows are counted after it, in the stage that writes, where each task
+    merge small ones. Rows and columns are counted after it, in the stage that writes, where each task
     counts once however often it is retried.
     """
     if optimize and partition_by:
         df = df.hint("rebalance", *[F.col(_quoted_name(c)) for c in partition_by])
     rows = Observation()
-    return df.observe(rows, F.count(F.lit(1)).alias("rows")), rows
+    return df.observe(rows, F.count(F.lit(1)).alias("rows"), *column_stats.aggregates(df.schema)), rows
 
 
 def _parquet(df: DataFrame, mode: str, partition_by: Sequence[str]):
@@ -134,9 +136,9 @@ def _parquet(df: DataFrame, mode: str, partition_by: Sequence[str]):
     return writer.partitionBy(*partition_by) if partition_by else writer
 
 
-def _record(spark, schema, target, known, batch_id, operation, rows, partition_by, parameters) -> ledger.State:
+def _record(spark, schema, target, known, batch_id, operation, rows, partition_by, parameters, stats=None) -> ledger.State:
     details = {"partition_by": ",".join(partition_by), **(parameters or {})}
-    return ledger.record(spark, target, known, ledger.Commit(batch_id, operation, schema, details, {"rows": rows}))
+    return ledger.record(spark, target, known, ledger.Commit(batch_id, operation, schema, details, {"rows": rows}, stats))
 
 
 def _check_growth(known: ledger.State, schema: T.StructType, merge_schema: bool) -> None:
@@ -204,12 +206,12 @@ def write_bronze(
         df = df.select(*[F.col(_quoted_name(c)) for c in df.columns if c.lower() in present])
     _check_growth(known, df.schema, bronze.merge_schema)
     if bronze.format == "delta":
-        rows = _write_delta(df, bronze, batch_id)
+        rows, stats = _write_delta(df, bronze, batch_id), None
     else:
-        rows = _write(df, bronze.path, batch_id, bronze.partition_by, bronze.optimize_write)
+        rows, stats = _write(df, bronze.path, batch_id, bronze.partition_by, bronze.optimize_write)
     if expected_rows is not None and rows != expected_rows:
         raise RuntimeError(f"{bronze.path}: wrote {rows} rows of {expected_rows}; the batch stays uncommitted")
-    known = _record(spark, df.schema, bronze.path, known, batch_id, "append", rows, bronze.partition_by, parameters)
+    known = _record(spark, df.schema, bronze.path, known, batch_id, "append", rows, bronze.partition_by, parameters, stats)
     align_table(spark, bronze, known)
     return Written((batch_id,), rows, known)
 

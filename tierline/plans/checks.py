@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline import storage
+from tierline import listing, storage
 from tierline.functions import derive
 from tierline.operators import fixtures, inspect, ledger, sinks
 from tierline.plans import jobs
@@ -489,15 +489,32 @@ def many_batches_chosen(spark, sf_dir):
     return df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("select 0 as length, 1 as files union all select 1, 1 where (select count(*) from region) > 0")
+@query(
+    "select o_orderpriority as priority, cast(month(o_orderdate) as integer) as month, cast(0 as bigint) as full_files, cast(1 as bigint) as empty_files "
+    "from orders where o_totalprice < 0 union all "
+    "select o_orderpriority, cast(month(o_orderdate) as integer), cast(count(distinct o_custkey % 3) as bigint), "
+    "cast(count(distinct case when o_custkey % 3 = 0 then o_custkey % 5 end) as bigint) from orders group by 1, 2"
+)
 def file_listing_with_empty(spark, sf_dir):
-    """M5: files with and without content, by whether they have any."""
+    """M5: a tree of files of orders, by priority and month, some of them without content."""
     site = Site(spark, sf_dir, "listing")
-    site.table("region").coalesce(1).write.csv(site.at("dir/full"))
-    fs, _ = storage.handle(spark, site.at("dir"))
-    fs.create(spark._jvm.org.apache.hadoop.fs.Path(site.at("dir/full/nothing+ here.csv"))).close()
-    found = inspect.list_files(spark, site.at("dir")).where(F.col("path").endswith(".csv"))
-    return found.select(F.when(F.col("length") > 0, 1).otherwise(0).alias("length")).groupBy("length").agg(F.count(F.lit(1)).cast("int").alias("files"))
+    orders = site.table("orders").withColumns({"priority": F.col("o_orderpriority"), "month": F.month("o_orderdate"), "third": F.col("o_custkey") % 3})
+    orders.repartition("priority", "month", "third").write.partitionBy("priority", "month", "third").json(site.at("dir"))
+    marks = orders.where("third = 0").select("priority", "month", (F.col("o_custkey") % 5).alias("mark")).distinct()
+
+    root = site.at("dir")
+
+    def touch(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield listing.touched(root, f"priority={row['priority']}/month={row['month']}/third=0/none +{row['mark']}.json")
+
+    marks.mapInArrow(touch, "path string").write.format("noop").mode("overwrite").save()
+    found = inspect.list_files(spark, site.at("dir")).where(F.col("path").endswith(".json"))
+    part = [F.url_decode(F.regexp_extract("path", f"{name}=([^/]+)/", 1)).alias(name) for name in ("priority", "month")]
+    return found.select(*part, "length").groupBy("priority", F.col("month").cast("int").alias("month")).agg(
+        F.count_if(F.col("length") > 0).alias("full_files"), F.count_if(F.col("length") == 0).alias("empty_files")
+    )
 
 
 @query("select o_orderkey, o_orderdate as placed, cast(o_orderdate as date) as day from orders")
@@ -730,6 +747,53 @@ def messages_to_bronze(spark, sf_dir):
     return layers.read_bronze(spark, spec).groupBy("event_year", "event_month", "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "select cast(year(ts) as integer) as event_year, cast(month(ts) as integer) as event_month, event_type, count(*) as n, "
+    + _MONEY_SQL.format("value") + " as total, count(props) as with_props, min(date_trunc('milliseconds', ts)) as first_at from events group by 1, 2, 3"
+)
+def avro_messages_to_bronze(spark, sf_dir):
+    """Messages with an Avro payload through raw to bronze."""
+    site = Site(spark, sf_dir, "avro_messages")
+    spec = _event_messages(site).with_(codec="avro", message_options={"path": site.at("avro_topic")})
+    fixtures.avro_payload(spark.read.parquet(site.at("topic")), EVENT_MESSAGE).write.parquet(site.at("avro_topic"))
+    jobs.run(spark, {"events": spec}, "messages_to_raw")
+    jobs.run(spark, {"events": spec}, "raw_to_bronze")
+    return layers.read_bronze(spark, spec).groupBy("event_year", "event_month", "event_type").agg(
+        F.count(F.lit(1)).alias("n"), _money("value").alias("total"), F.count("props").alias("with_props"), F.min("at").cast("timestamp_ntz").alias("first_at")
+    )
+
+
+ORDER_RECORD = json.dumps({
+    "type": "record",
+    "name": "Order",
+    "fields": [
+        {"name": "o_orderkey", "type": "long"},
+        {"name": "o_orderstatus", "type": "string"},
+        {"name": "o_totalprice", "type": ["null", "double"]},
+        {"name": "o_orderdate", "type": {"type": "long", "logicalType": "timestamp-micros"}},
+        {"name": "tags", "type": {"type": "array", "items": "string"}},
+    ],
+})
+
+
+@query(
+    _ORDERS_BY_MONTH_SQL.format("year", "month", "").replace("as total", "as total, count(*) filter (where o_orderstatus = 'F') as filled")
+)
+def avro_landing_to_raw(spark, sf_dir):
+    """Orders in Avro container files, in blocks, brought to raw by year and month."""
+    site = Site(spark, sf_dir, "avro_landing")
+    orders = site.table("orders").select(
+        "o_orderkey", "o_orderstatus", "o_totalprice", F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("o_orderdate"),
+        F.array("o_orderstatus", "o_orderpriority").alias("tags"),
+    )
+    fixtures.land_avro(orders.repartition(4), site.at("landing"), ORDER_RECORD)
+    jobs.landing_to_raw(spark, site.orders(format="avro", fields=()))
+    raw = layers.read_raw(spark, site.orders())
+    return raw.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("n"), _money("o_totalprice").alias("total"), F.count_if(F.get("tags", F.lit(0)) == "F").alias("filled")
+    )
+
+
 @query(
     "select event_id as kafka_offset, event_type as kafka_key, cast(json_extract(props, '$.k') as integer) as k, "
     "strftime(ts, '%Y-%m-%d') as ingestion_date from events"
@@ -769,6 +833,25 @@ def layer_profile(spark, sf_dir):
     return inspect.profile(events).join(F.broadcast(schema), "column_name").select("column_name", "data_type", "rows", "non_null", "is_empty")
 
 
+_LINEITEM_BOUNDS_SQL = " union all ".join(
+    f"select '{c}' as column_name, count(*) as rows, count({c}) as non_null, cast(min({e}) as varchar) as least, cast(max({e}) as varchar) as most from lineitem"
+    for c, e in (
+        ("l_orderkey", "l_orderkey"), ("l_linenumber", "l_linenumber"), ("l_quantity", "cast(l_quantity as integer)"), ("l_shipdate", "cast(l_shipdate as date)"),
+    )
+)
+
+
+@query(_LINEITEM_BOUNDS_SQL)
+def committed_bounds(spark, sf_dir):
+    """Rows, counts and bounds of a layer from its commit rows; its data is not read."""
+    site = Site(spark, sf_dir, "bounds")
+    lineitem = site.table("lineitem").withColumns({"l_shipdate": F.col("l_shipdate").cast("date"), "l_quantity": F.col("l_quantity").cast("int")})
+    for turn in range(3):
+        sinks.append_batch(lineitem.where(F.col("l_orderkey") % 3 == turn), site.at("raw"), f"turn-{turn}", ["l_returnflag"])
+    names = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate"]
+    return inspect.committed_profile(spark, site.at("raw"), ["l_returnflag"]).where(F.col("column_name").isin(names)).drop("is_empty")
+
+
 @query("select event_id, event_type, value from events order by event_id limit 10")
 def layer_sample(spark, sf_dir):
     """L1: the ten-row look at a layer."""

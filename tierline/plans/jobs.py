@@ -82,7 +82,6 @@ def _snapshot(spark: SparkSession, spec: DatasetSpec) -> Outcome:
         taken = ledger.left_over(spec.raw, known, files.landing_files(spark, spec))
         if taken is not None:
             ledger.archive(spark, taken, spec.archive)
-    empty = files.empty_files(spark, spec)
     batch_id = uuid.uuid4().hex
     ledger.remember_files(spec.raw, batch_id, files.landing_files(spark, spec))
     listed = ledger.remembered_files(spark, spec.raw, batch_id)
@@ -99,7 +98,6 @@ def _snapshot(spark: SparkSession, spec: DatasetSpec) -> Outcome:
     if spec.archive:
         if written.batch_ids:
             ledger.archive(spark, listed, spec.archive)
-        count += ledger.archive(spark, empty, spec.archive)
     if not (written.batch_ids and spec.archive):
         ledger.forget_files(spark, spec.raw, batch_id)
     return Outcome(spec.name, "landing_to_raw", "ok" if written.batch_ids else "empty", written.rows, count)
@@ -107,7 +105,7 @@ def _snapshot(spark: SparkSession, spec: DatasetSpec) -> Outcome:
 
 def _parts(spark: SparkSession, spec: DatasetSpec, listed: DataFrame, staging: str) -> Iterator[DataFrame]:
     """The rows of the listed files in parts; undeclared columns keep the type of the parts before."""
-    rows, stored = listed.select("path").orderBy("path").toLocalIterator(), None
+    rows, stored = listed.where("length > 0").select("path").orderBy("path").toLocalIterator(), None
     try:
         while chunk := [r.path for r in islice(rows, spec.max_files_per_trigger)]:
             df = files.read_files(spark, spec, chunk, stored, staging)
@@ -211,8 +209,6 @@ def messages_to_raw(spark: SparkSession, spec: DatasetSpec, trigger: Mapping | N
     Without a trigger it keeps running in micro-batches (T2); ``control.AVAILABLE_NOW`` makes it
     stop when it has caught up.
     """
-    if spec.codec == "avro":
-        storage.require_source(spark, "avro")
     name = control.query_name("messages_to_raw", spec.name)
     return sinks.append_stream(decoded_messages(spark, spec), spec.raw, spec.checkpoint, spec.partition_by, trigger, name)
 

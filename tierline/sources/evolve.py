@@ -394,8 +394,8 @@ def _common_type(kinds: list[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
-def with_declared(df: DataFrame, declared: T.StructType) -> DataFrame:
-    """Declared columns first and in declared order, null where no file has them."""
+def with_declared(df: DataFrame, declared: T.StructType, others: bool = True) -> DataFrame:
+    """Declared columns first and in declared order, null where no file has them; without ``others`` only the source besides."""
     present = {c.lower(): c for c in df.columns}
     columns = [
         F.col(f"`{present[f.name.lower()]}`").alias(f.name) if f.name.lower() in present
@@ -403,4 +403,4 @@ def with_declared(df: DataFrame, declared: T.StructType) -> DataFrame:
         for f in declared
     ]
     names = {f.name.lower() for f in declared}
-    return df.select(*columns, *[F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
+    return df.select(*columns, *[F.col(f"`{c}`") for c in df.columns if c.lower() not in names and (others or c == "source_filename")])

@@ -12,7 +12,7 @@ from tierline import storage
 from tierline.functions import derive
 from tierline.functions import schema as schemas
 from tierline.functions.schema import TimestampPlan
-from tierline.sources import evolve
+from tierline.sources import avro_files, evolve
 from tierline.spec import DatasetSpec
 
 MANIFEST_COLUMNS = ("path", "length", "modificationTime")
@@ -33,19 +33,10 @@ def csv_options(options: Mapping[str, str]) -> dict[str, str]:
 
 
 def landing_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
-    """What lies in landing now: path, length, modificationTime; file contents are not read.
-
-    The set of files is fixed by this call. Files that leave landing before the result is
-    evaluated are passed over. Files of zero bytes hold no rows and are listed by ``empty_files``.
-    """
+    """What lies in landing when the result is evaluated: path, length, modificationTime; file contents are not read."""
     return storage.listing(spark, spec.landing, _listing_options(spec))
 
 
-def empty_files(spark: SparkSession, spec: DatasetSpec) -> DataFrame:
-    """Files of zero bytes in landing, which scans and streams pass over."""
-    return storage.empty_files(spark, spec.landing, _listing_options(spec))
-
-
 def _listing_options(spec: DatasetSpec) -> dict[str, str]:
     return {k: spec.reader_options[k] for k in _LISTING_OPTIONS if k in spec.reader_options}
 
@@ -81,13 +72,11 @@ def read_files(
     Returns ``None`` when there is nothing to read and no declared schema to describe it.
     """
     if paths is None:
-        paths = [r.path for r in landing_files(spark, spec).select("path").collect()]
+        paths = [r.path for r in landing_files(spark, spec).where("length > 0").select("path").toLocalIterator()]
     stored = T.StructType([f for f in stored if f.name not in spec.partition_by]) if stored is not None else None
     options = {k: v for k, v in spec.reader_options.items() if k not in _LISTING_OPTIONS}
     if spec.reader_options.get("recursiveFileLookup", "false").lower() != "true":
         options.setdefault("basePath", spec.landing)  # name=value directories in landing are columns
-    if spec.format == "avro":
-        storage.require_source(spark, "avro")
     if spec.format == "csv":
         plan = schemas.timestamp_formats(spec.fields, options)
         df = _read_csv(spark, spec, paths, csv_options(options), plan, stored) if paths else None
@@ -159,8 +148,11 @@ def _plain_plan(spec: DatasetSpec) -> TimestampPlan | None:
 
 def _read_format(spark, spec, paths, options) -> DataFrame:
     files = [storage.literal(p) for p in paths]
-    reader = spark.read.format(spec.format).options(**options)
     declared = schemas.from_fields(spec.fields) if spec.format in ("parquet", "avro") else None
+    if spec.format == "avro" and not storage.has_source(spark, "avro"):
+        df = avro_files.read(spark, paths)
+        return evolve.with_declared(_cast_declared(df, declared), declared, spec.evolution != "none") if declared is not None else df
+    reader = spark.read.format(spec.format).options(**options)
     if declared is not None and spec.evolution == "none":
         reader = reader.schema(declared)
     elif spec.format == "parquet":
@@ -168,9 +160,13 @@ def _read_format(spark, spec, paths, options) -> DataFrame:
     df = derive.with_source(reader.load(files))
     if declared is None or spec.evolution == "none":
         return df
+    return evolve.with_declared(_cast_declared(df, declared), declared)
+
+
+def _cast_declared(df: DataFrame, declared: T.StructType) -> DataFrame:
     cast = {
         f.name: F.col(f"`{f.name}`").try_cast(f.dataType)
         for f in declared
         if f.name in df.columns and df.schema[f.name].dataType != f.dataType
     }
-    return evolve.with_declared(df.withColumns(cast) if cast else df, declared)
+    return df.withColumns(cast) if cast else df

@@ -13,6 +13,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline import listing as by_tasks
+
 _GLOB_CHARACTERS = set("{}[]*?\\")
 
 
@@ -42,6 +44,11 @@ class Store:
         fs, target = self.locate(path)
         return fs.makeQualified(target).toUri().toString()
 
+    def spelled(self, path: str) -> str:
+        """``path`` with scheme and authority, nothing in it encoded."""
+        fs, target = self.locate(path)
+        return fs.makeQualified(target).toString()
+
     def exists(self, path: str) -> bool:
         fs, target = self.locate(path)
         return fs.exists(target)
@@ -166,46 +173,62 @@ def partition_spec(spark: SparkSession, path: str) -> dict[str, str | None]:
 
 
 def listing(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
-    """Files under ``path`` as path, length and modificationTime; contents are not read.
+    """Files under ``path`` as path, length and modificationTime, those of zero bytes included; contents are not read.
 
-    The set of files is fixed by this call; those that go away before the result is evaluated
-    are passed over. Spark sizes scan tasks by file length, which is beside the point here: in a
-    session of its own the listing gets about one task per core, however large the files are.
+    Tasks list the directories, whenever the result is evaluated. In a store that only Spark reaches the set
+    of files is that of Spark's file index at this call, without files of zero bytes; those that go away before the
+    result is evaluated are passed over.
     """
+    fs, target = handle(spark, path)
+    root = fs.makeQualified(target).toString()
+    if not fs.exists(target):
+        raise FileNotFoundError(path)
+    if not by_tasks.reachable(root):
+        return _indexed(spark, path, options)
+    lower = {k.lower(): v for k, v in options.items()}
+    spark.dataSource.register(by_tasks.FileListing)
+    found = spark.read.format(by_tasks.FileListing.name()).option("recursiveFileLookup", lower.get("recursivefilelookup", "false")).load(root)
+    if "pathglobfilter" in lower:
+        found = found.where(F.substring_index("path", "/", -1).rlike(glob_pattern(lower["pathglobfilter"])))
+    for name, keep in (("modifiedbefore", lambda t, limit: t < limit), ("modifiedafter", lambda t, limit: t > limit)):
+        if name in lower:
+            found = found.where(keep(F.col("modificationTime"), F.to_timestamp(F.lit(lower[name]))))
+    return found
+
+
+def glob_pattern(glob: str) -> str:
+    """A Hadoop glob over a file name as a regular expression."""
+    out, deep, chars = [], 0, iter(glob)
+    for c in chars:
+        if c == "\\":
+            out.append(re.escape(next(chars, "\\")))
+        elif c == "{":
+            out.append("(?:")
+            deep += 1
+        elif c == "}" and deep:
+            out.append(")")
+            deep -= 1
+        elif c == "[":
+            inside = ""
+            for d in chars:
+                if d == "]":
+                    break
+                inside += "^" if d == "!" and not inside else d if d in "-^" else re.escape(d)
+            out.append(f"[{inside}]")
+        else:
+            out.append({"*": ".*", "?": "."}.get(c) or ("|" if c == "," and deep else re.escape(c)))
+    return f"^(?:{''.join(out)})$"
+
+
+def _indexed(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
+    # Spark sizes scan tasks by file length, which is beside the point here: in a session of its own the
+    # listing gets about one task per core, however large the files are.
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 50))
     reader = session.read.format("binaryFile").options(**options).option("ignoreMissingFiles", "true")
     return reader.load(path).select("path", "length", "modificationTime")
 
 
-def empty_files(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFrame:
-    """Files of zero bytes under ``path`` as path, length and modificationTime.
-
-    Spark's scans pass such files over, though its file index lists them. Names are fetched only if
-    the index has more of them than the scan, and only names that the scan has not are looked up.
-    """
-    indexed = spark.read.format("binaryFile").options(**options).load(path)._jdf.inputFiles()
-    schema = "path string, length bigint, millis bigint"
-    if len(indexed) == listing(spark, path, options).count():
-        return spark.createDataFrame([], schema).coalesce(1).select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
-    names = spark.createDataFrame([(p,) for p in indexed], "path string")
-    store = Store(spark)
-
-    def entry(name: str):
-        fs, target = store.locate(_decoded(spark, name))
-        status = fs.getFileStatus(target) if fs.exists(target) else None
-        return status and status.getLen() == 0 and (status.getPath().toString(), 0, status.getModificationTime())
-
-    seen = listing(spark, path, options).select(F.col("path").alias("seen"))
-    rest = names.join(seen, F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "^file:/+", "/") == F.regexp_replace("seen", "^file:/+", "/"), "left_anti")
-    found = [e for r in rest.toLocalIterator() if (e := entry(r.path))]
-    return spark.createDataFrame(found, schema).coalesce(1).select("path", "length", F.timestamp_millis("millis").alias("modificationTime"))
-
-
-def _decoded(spark: SparkSession, uri: str) -> str:
-    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
-
-
 def scratch(spark: SparkSession, label: str) -> str:
     """A new directory in the folder the session names in ``spark.checkpoint.dir``, or has set.
 

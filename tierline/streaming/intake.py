@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -36,8 +37,9 @@ def ingest_new_files(spark: SparkSession, spec: DatasetSpec, prepare: Callable[[
     has one writer.
     """
     total = Intake()
-    before = files.landing_files(spark, spec)
-    empty = files.empty_files(spark, spec)
+    run_id = uuid.uuid4().hex
+    if spec.archive:
+        ledger.remember_files(spec.raw, run_id, files.landing_files(spark, spec))
     seen = {"known": ledger.state(spark, spec.raw)}
 
     def one_batch(manifest: DataFrame, epoch: int) -> None:
@@ -67,7 +69,9 @@ def ingest_new_files(spark: SparkSession, spec: DatasetSpec, prepare: Callable[[
         files.stream_files(spark, spec), one_batch, spec.checkpoint, control.query_name("landing_to_raw", spec.name)
     )
     if spec.archive:
-        moved = ledger.archive(spark, empty, spec.archive)
+        before = ledger.remembered_files(spark, spec.raw, run_id)
+        moved = ledger.archive(spark, before.where("length = 0"), spec.archive)
         total.files, total.archived = total.files + moved, total.archived + moved
-        total.skipped = ledger.skipped_files(before).count()
+        total.skipped = ledger.still_there(before, files.landing_files(spark, spec)).count()
+        ledger.forget_files(spark, spec.raw, run_id)
     return total

@@ -19,7 +19,7 @@ from tierline.operators import fixtures, inspect, ledger, sinks
 from tierline.plans import jobs
 from tierline.sources import files, layers
 from tierline.spec import BronzeSpec, DatasetSpec, Field
-from tierline.streaming import control
+from tierline.streaming import continuity, control
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -794,6 +794,35 @@ def avro_landing_to_raw(spark, sf_dir):
     )
 
 
+@query(
+    "with m as (select 'events' as topic, cast(event_id % 4 as integer) as part, event_id // 4 as pos, event_id % 89 = 0 as twice from events where event_id % 97 <> 0 "
+    "and event_id % 13 <> 5), "
+    "a as (select * from m union all select * from m where twice) "
+    'select topic, part as "partition", cast(max(pos) - min(pos) + 1 - count(distinct pos) as bigint) as missing, '
+    "cast(count(*) - count(distinct pos) as bigint) as repeated from a group by 1, 2"
+)
+def message_continuity(spark, sf_dir):
+    """Messages of four partitions in several micro-batches, some gone and some sent twice."""
+    site = Site(spark, sf_dir, "continuity")
+    messages = site.table("events").where("event_id % 97 <> 0 and event_id % 13 <> 5").select(
+        F.lit("events").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"), F.expr("event_id div 4").alias("offset"), "event_id"
+    )
+    # in three files by offset, what is sent twice once more in a fourth
+    for turn in range(3):
+        messages.where(F.expr("event_id % 30000 div 10000") == turn).drop("event_id").coalesce(1).write.mode("append").parquet(site.at("topic"))
+    messages.where("event_id % 89 = 0").drop("event_id").coalesce(1).write.mode("append").parquet(site.at("topic"))
+    stream = spark.readStream.schema("topic string, partition int, offset long").option("maxFilesPerTrigger", 1).parquet(site.at("topic"))
+    found = continuity.findings(stream).writeStream.format("parquet").option("checkpointLocation", site.at("check"))
+    control.run_streams(spark, [found.trigger(availableNow=True).start(site.at("found"))])
+    size = F.col("last") - F.col("first") + 1
+
+    def total(kind):
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, size)), F.lit(0).cast("long"))
+
+    rows = spark.read.schema(continuity.FINDINGS).parquet(site.at("found")).groupBy("topic", "partition")
+    return rows.agg((total("missing") - total("late")).alias("missing"), total("repeated").alias("repeated"))
+
+
 @query(
     "select event_id as kafka_offset, event_type as kafka_key, cast(json_extract(props, '$.k') as integer) as k, "
     "strftime(ts, '%Y-%m-%d') as ingestion_date from events"

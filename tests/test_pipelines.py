@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tierline import BronzeSpec, DatasetSpec, Field, fixtures, inspect, jobs, ledger, listing, sinks, sources, storage
 from tierline.functions import schema as schemas
 from tierline.plans.jobs import RunFailed
+from tierline.sources import layers
 from tierline.streaming import control
 
 from .conftest import DATA, rows
@@ -663,3 +664,55 @@ def test_profile_of_batches_without_statistics_scans(spark, place, put):
     old.write.mode("overwrite").parquet(path)
     assert inspect.committed_profile(spark, spec.raw) is None
     assert inspect.report(spark, spec, "raw").profile.count() > 0
+
+
+def test_bins_leave_large_ones_and_single_ones_alone():
+    assert jobs.bins([("a", 5), ("b", 100), ("c", 6), ("d", 9), ("e", 4)], 10) == [["c", "e"]]
+    assert jobs.bins([("a", 3), ("b", 3), ("c", 100), ("d", 4)], 10) == [["a", "b", "d"]]
+    assert jobs.bins([("a", 9), ("b", 9)], 10) == [] == jobs.bins([], 10)
+
+
+@pytest.mark.parametrize("crash", [None, "before_commit", "before_table", "before_clearing"])
+def test_small_batches_are_compacted_once_whatever_happens(spark, place, put, monkeypatch, crash):
+    spec = make(place, table=f"orders_compacted_{crash or 'none'}".lower())
+    name = spec.bronze.full_table
+    sinks.drop_table(spark, name)
+    lines = "".join(f"big{i},{i},2024-01-{i % 28 + 1:02d} 00:00:00\n" for i in range(400))
+    put("landing/big.csv", HEAD + lines)
+    jobs.landing_to_raw(spark, spec)
+    jobs.raw_to_bronze(spark, spec)
+    for i in range(3):
+        extra = ",promo" if i == 1 else ""
+        put(f"landing/{i}.csv", HEAD.strip() + extra + f"\n{i},{i},2024-02-0{i + 1} 00:00:00{',P' if extra else ''}\n")
+        jobs.landing_to_raw(spark, spec)
+        jobs.raw_to_bronze(spark, spec)
+    want = rows(spark.table(name), "order_id", "quantity", "promo")
+    batches = ledger.state(spark, spec.bronze.path).batch_ids
+    sizes = {b: sum(r.length for r in storage.listing(spark, ledger.batch_path(spec.bronze.path, b), {"recursiveFileLookup": "true"}).collect()) for b in batches}
+    most = max(sizes.values())
+    target = most if sum(sorted(sizes.values())[:3]) <= most else sum(sorted(sizes.values())[:3])
+    if crash:
+        at = {"before_commit": (sinks, "_record"), "before_table": (sinks, "align_table"), "before_clearing": (sinks, "clear_folded")}[crash]
+        inner, calls = getattr(*at), []
+
+        def fails(*a, **k):
+            calls.append(1)
+            if crash != "before_clearing" or len(calls) == 2:
+                raise Crash("now")
+            return inner(*a, **k)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(*at, fails)
+            with pytest.raises(Crash):
+                jobs.compact_bronze(spark, spec, target)
+    done = jobs.compact_bronze(spark, spec, target)
+    assert done.status in ("ok", "empty") and jobs.compact_bronze(spark, spec, target).status == "empty"
+    known = ledger.state(spark, spec.bronze.path)
+    assert len(known.live) < len(batches) and sorted(ledger.batch_dirs(spark, spec.bronze.path)) == sorted(known.batch_ids)
+    jobs.raw_to_bronze(spark, spec)  # brings the table in line
+    assert rows(spark.table(name), "order_id", "quantity", "promo") == want == rows(layers.read_layer(spark, spec.bronze.path), "order_id", "quantity", "promo")
+    put("landing/last.csv", HEAD + "z,9,2024-03-01 00:00:00\n")
+    jobs.landing_to_raw(spark, spec)
+    assert jobs.raw_to_bronze(spark, spec).rows == 1
+    assert len(rows(spark.table(name))) == len(want) + 1
+    sinks.drop_table(spark, name)

@@ -92,9 +92,14 @@ class State:
 
     @cached_property
     def live(self) -> tuple[Row, ...]:
-        """Batches since the last overwrite, oldest first."""
+        """Batches since the last overwrite that no compaction has taken the place of, oldest first."""
         newest = max((e.version for e in self.entries if e.operation == "overwrite"), default=0)
-        return tuple(e for e in self.entries if e.version >= newest)
+        return tuple(e for e in self.entries if e.version >= newest and e.batch_id not in self.folded)
+
+    @cached_property
+    def folded(self) -> frozenset[str]:
+        """Batches whose rows a later compaction holds."""
+        return frozenset(b for e in self.entries if e.replaces for b in e.replaces.split(","))
 
     @property
     def batch_ids(self) -> tuple[str, ...]:
@@ -137,6 +142,7 @@ def state(spark: SparkSession, target: str) -> State:
         "table_schema",
         F.col("operationMetrics")["rows"].cast("long").alias("rows"),
         F.col("operationParameters")["raw_through"].alias("raw_through"),
+        F.col("operationParameters")["replaces"].alias("replaces"),
     ).collect()
     return State(generation, tuple(sorted(entries, key=lambda e: e.version)))
 
@@ -163,7 +169,7 @@ class Commit:
 
 def record(spark: SparkSession, target: str, known: State, commit: Commit) -> State:
     """Add a commit row after those in ``known``; the state with it."""
-    stored = None if commit.operation == "overwrite" else known.schema()
+    stored = None if commit.operation in ("overwrite", "compact") else known.schema()
     merged = schemas.merge([commit.schema] if stored is None else [stored, commit.schema])
     table_schema = None if merged == stored else commit.schema.json()
     values = {
@@ -180,6 +186,7 @@ def record(spark: SparkSession, target: str, known: State, commit: Commit) -> St
     entry = Row(
         version=known.next_version, batch_id=commit.batch_id, operation=commit.operation, table_schema=table_schema,
         rows=commit.metrics.get("rows"), raw_through=commit.parameters.get("raw_through"),
+        replaces=commit.parameters.get("replaces"),
     )
     return State(generation, (*known.entries, entry))
 

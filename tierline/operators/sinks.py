@@ -6,6 +6,7 @@ once its data is complete, so an attempt that is repeated leaves one copy of its
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
@@ -107,6 +108,30 @@ def append_batch(
     return Written((batch_id,), rows, known)
 
 
+def compact_batches(spark: SparkSession, target: str, members: Sequence[str], df: DataFrame, partition_by: Sequence[str], known: ledger.State) -> ledger.State:
+    """K8: the rows of some batches, ``df``, as one batch that takes their place by its commit.
+
+    It is named after them, so an attempt that is repeated writes the same one again. Their directories stay.
+    """
+    batch_id = "compact-" + hashlib.sha256(",".join(members).encode()).hexdigest()[:32]
+    if known.has(batch_id):
+        return known
+    rows, stats = _write(df, target, batch_id, partition_by, True)
+    expected = sum(e.rows for e in known.live if e.batch_id in set(members))
+    if rows != expected:
+        raise RuntimeError(f"{target}: wrote {rows} rows of {expected}; the batches stay as they are")
+    # the whole layer's schema goes with it, as those of the batches it replaces are no longer looked at
+    schema = known.schema(partition_by)
+    return _record(spark, schema, target, known, batch_id, "compact", rows, partition_by, {"replaces": ",".join(members)}, stats)
+
+
+def clear_folded(spark: SparkSession, target: str, known: ledger.State) -> None:
+    """Delete the directories of batches that compactions have taken the place of."""
+    for batch_id in ledger.batch_dirs(spark, target):
+        if batch_id in known.folded:
+            storage.remove(spark, ledger.batch_path(target, batch_id))
+
+
 def _write(df: DataFrame, target: str, batch_id: str, partition_by: Sequence[str], optimize: bool, mode: str = "overwrite") -> tuple[int, column_stats.Stats]:
     derive.require_columns(df, partition_by)
     if ledger.BATCH in df.columns:

@@ -468,6 +468,27 @@ def bronze_rewritten(spark, sf_dir):
     )
 
 
+@query(
+    "select cast(year(o_orderdate) as integer) as event_year, cast(month(o_orderdate) as integer) as event_month, count(*) as n, "
+    + _MONEY_SQL.format("o_totalprice") + " as total, cast(count(distinct o_orderkey % 10 < 7) as integer) as directories from orders group by 1, 2"
+)
+def bronze_compacted(spark, sf_dir):
+    """K8: three small arrivals folded into one directory per month, the large one before them left alone."""
+    site = Site(spark, sf_dir, "compacted")
+    spec = site.orders(mode="append")
+    orders = site.table("orders")
+    for low, high in ((0, 7), (7, 8), (8, 9), (9, 10)):
+        site.land(orders.where(F.col("o_orderkey") % 10 >= low).where(F.col("o_orderkey") % 10 < high))
+        jobs.landing_to_raw(spark, spec)
+        jobs.raw_to_bronze(spark, spec)
+    written = storage.listing(spark, spec.bronze.path, {"recursiveFileLookup": "true"}).agg(F.sum("length")).first()[0]
+    jobs.compact_bronze(spark, spec, target_bytes=written // 2)
+    found = layers.read_bronze(spark, spec).withColumn("batch", F.col(ledger.BATCH))
+    return found.groupBy("event_year", "event_month").agg(
+        F.count(F.lit(1)).alias("n"), _money("o_totalprice").alias("total"), F.count_distinct("batch").cast("int").alias("directories")
+    )
+
+
 @query("select o_orderstatus, count(*) as n from orders where o_orderkey % 1500 < 1200 group by 1")
 def many_batches_chosen(spark, sf_dir):
     """1,200 of 1,500 committed batches, by a literal filter on the batch column."""

@@ -10,6 +10,7 @@ from dataclasses import astuple, dataclass
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tierline import storage
@@ -183,6 +184,52 @@ def rewrite_bronze(spark: SparkSession, spec: DatasetSpec) -> Outcome:
     return Outcome(spec.name, "rewrite_bronze", "ok", written.rows)
 
 
+def compact_bronze(spark: SparkSession, spec: DatasetSpec, target_bytes: int = 1 << 30) -> Outcome:
+    """K8: fold bronze's small batches together, into batches of about ``target_bytes``; larger ones are left alone.
+
+    Small batches are packed into bins by their size, those that fit first; a bin of one stays as it is. So no
+    byte of a large batch is rewritten, and a batch is rewritten again only while it is small. Each bin is one commit,
+    and a crash between commits leaves a layer of the same rows.
+    """
+    bronze = spec.bronze
+    if bronze is None or bronze.format != "parquet":
+        return Outcome(spec.name, "compact_bronze", "skipped", error="only Parquet bronze is compacted")
+    known = ledger.state(spark, bronze.path)
+    if known.live:
+        sinks.clear_folded(spark, bronze.path, known)
+    listed = storage.listing(spark, bronze.path, {"recursiveFileLookup": "true"}) if known.live else None
+    if listed is None:
+        return Outcome(spec.name, "compact_bronze", "empty")
+    batch = F.regexp_extract("path", f"/{ledger.BATCH}=([^/]+)/", 1).alias("batch")
+    sizes = {r.batch: r.bytes for r in listed.groupBy(batch).agg(F.sum("length").alias("bytes")).collect()}  # one row a batch
+    rows = done = 0
+    for members in bins([(b, sizes.get(b, 0)) for b in known.batch_ids], target_bytes):
+        df = layers.read_layer(spark, bronze.path, bronze.partition_by, batch_ids=members, known=known).drop(ledger.BATCH)
+        rows += sum(e.rows for e in known.live if e.batch_id in set(members))
+        known = sinks.compact_batches(spark, bronze.path, members, df, bronze.partition_by, known)
+        done += len(members)
+    if not done:
+        return Outcome(spec.name, "compact_bronze", "empty")
+    sinks.align_table(spark, bronze, known)
+    sinks.clear_folded(spark, bronze.path, known)
+    return Outcome(spec.name, "compact_bronze", "ok", rows, done)
+
+
+def bins(sizes: Sequence[tuple[str, int]], most: int) -> list[list[str]]:
+    """Names packed into bins of at most ``most``, the largest first and each into the first bin it fits; bins of two and more."""
+    packed: list[tuple[int, list[str]]] = []
+    for name, size in sorted(sizes, key=lambda s: (-s[1], s[0])):
+        if size >= most:
+            continue
+        at = next((i for i, (full, _) in enumerate(packed) if full + size <= most), None)
+        if at is None:
+            packed.append((size, [name]))
+        else:
+            packed[at] = (packed[at][0] + size, [*packed[at][1], name])
+    order = {name: i for i, (name, _) in enumerate(sizes)}
+    return [sorted(names, key=order.get) for _, names in packed if len(names) > 1]
+
+
 def _unpromoted(spark: SparkSession, spec: DatasetSpec, raw: ledger.State) -> list[str]:
     """Raw batches that bronze has yet to take, and that a new snapshot must leave in place."""
     bronze = spec.bronze
@@ -222,6 +269,7 @@ JOBS: Mapping[str, Callable[[SparkSession, DatasetSpec], Outcome]] = {
     "landing_to_raw": landing_to_raw,
     "raw_to_bronze": raw_to_bronze,
     "rewrite_bronze": rewrite_bronze,
+    "compact_bronze": compact_bronze,
     "messages_to_raw": _catch_up,
 }
 
@@ -230,6 +278,7 @@ _CONFIG_LISTS = {
     "landing_to_raw": "datasets_to_ingest_to_raw",
     "raw_to_bronze": "datasets_to_promote_to_bronze",
     "rewrite_bronze": "datasets_to_promote_to_bronze",
+    "compact_bronze": "datasets_to_promote_to_bronze",
     "messages_to_raw": "active_streaming_pipelines",
 }
 
@@ -271,7 +320,7 @@ def _run_one(spark: SparkSession, specs: Mapping[str, DatasetSpec], job: str, na
     spec = specs.get(name)
     if spec is None:
         return Outcome(name, job, "skipped", error="no configuration for this dataset")
-    if job not in ("raw_to_bronze", "rewrite_bronze") and (spec.kind == "messages") != (job == "messages_to_raw"):
+    if job not in ("raw_to_bronze", "rewrite_bronze", "compact_bronze") and (spec.kind == "messages") != (job == "messages_to_raw"):
         return Outcome(name, job, "skipped", error=f"{spec.kind} datasets are not for this job")
     try:
         return JOBS[job](spark, spec)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -469,23 +470,28 @@ def bronze_rewritten(spark, sf_dir):
 
 
 @query(
-    "select cast(year(o_orderdate) as integer) as event_year, cast(month(o_orderdate) as integer) as event_month, count(*) as n, "
-    + _MONEY_SQL.format("o_totalprice") + " as total, cast(count(distinct o_orderkey % 10 < 7) as integer) as directories from orders group by 1, 2"
+    "select cast(year(l_shipdate) as integer) as event_year, cast(month(l_shipdate) as integer) as event_month, count(*) as n, "
+    + _MONEY_SQL.format("l_extendedprice") + " as total, cast(count(distinct l_orderkey % 20 < 17) as integer) as directories from lineitem group by 1, 2"
 )
 def bronze_compacted(spark, sf_dir):
-    """K8: three small arrivals folded into one directory per month, the large one before them left alone."""
+    """K8: three small arrivals folded into one batch, the large one before them left alone."""
     site = Site(spark, sf_dir, "compacted")
-    spec = site.orders(mode="append")
-    orders = site.table("orders")
-    for low, high in ((0, 7), (7, 8), (8, 9), (9, 10)):
-        site.land(orders.where(F.col("o_orderkey") % 10 >= low).where(F.col("o_orderkey") % 10 < high))
+    lineitem = site.table("lineitem")
+    fields = tuple(Field(f.name, "timestamp" if f.name == "l_shipdate" else f.dataType.simpleString()) for f in lineitem.schema)
+    spec = DatasetSpec(
+        name="lineitem", landing=site.at("landing"), raw=site.at("raw"), archive=site.at("archive"), checkpoint=site.at("checkpoint"), fields=fields,
+        mode="append", bronze=replace(site.bronze("l_shipdate"), partition_by=("event_year",)),
+    )
+    for low, high in ((0, 17), (17, 18), (18, 19), (19, 20)):
+        site.land(lineitem.where(F.col("l_orderkey") % 20 >= low).where(F.col("l_orderkey") % 20 < high))
         jobs.landing_to_raw(spark, spec)
         jobs.raw_to_bronze(spark, spec)
-    written = storage.listing(spark, spec.bronze.path, {"recursiveFileLookup": "true"}).agg(F.sum("length")).first()[0]
-    jobs.compact_bronze(spark, spec, target_bytes=written // 2)
+    large, *small = ledger.state(spark, spec.bronze.path).batch_ids
+    listed = storage.listing(spark, spec.bronze.path, {"recursiveFileLookup": "true"}).where(F.col("path").rlike("|".join(small)))
+    jobs.compact_bronze(spark, spec, target_bytes=listed.agg(F.sum("length")).first()[0])
     found = layers.read_bronze(spark, spec).withColumn("batch", F.col(ledger.BATCH))
     return found.groupBy("event_year", "event_month").agg(
-        F.count(F.lit(1)).alias("n"), _money("o_totalprice").alias("total"), F.count_distinct("batch").cast("int").alias("directories")
+        F.count(F.lit(1)).alias("n"), _money("l_extendedprice").alias("total"), F.count_distinct("batch").cast("int").alias("directories")
     )
 
 

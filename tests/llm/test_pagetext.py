@@ -126,3 +126,48 @@ def test_frames_whose_end_tag_is_left_out():
     assert text('<div class="ad"><b>a</i></p></li><p>b</div>c') == ["c"]
     assert text('<form><table><tr><td>a</form></table>b') == ["b"]
     assert text('<div><article><p>a</p></div><p>b</article>c') == ["a", "b"]
+
+
+def test_names_of_headings_and_paragraphs_drop_nothing():
+    def text(page):
+        return pagetext.blocks(page)[0]
+
+    kept = '<article><h2 id="menu">Menu</h2><h3 class="social">Social</h3><p class="notice">Take note</p><p id="share">Share</p>{}</article>'
+    assert text(kept.format('<section class="related-work"><p>Others</p></section><div class="widget">W</div>'))  == [
+        "Menu", "Social", "Take note", "Share", "Others", "W"
+    ]
+    dropped = ("adbox", "cookieBanner", "c-share__list", "commentlist", "comment-12", "ad-slot-3", "post-comments", "relatedPosts", "site-footer")
+    assert text("<article>" + "".join(f'<div class="x {n}">no</div>' for n in dropped) + "<p>Body</p></article>") == ["Body"]
+    names = ("roadmap", "badge", "header", "shared-values", "commentary", "navigational-aids", "administration", "cookie-recipes", "body-text", "")
+    assert text("<article>" + "".join(f'<div class="{n}">{n}.</div>' for n in names) + "</article>") == [f"{n}." for n in names]
+    assert text("<article><cookie-banner><p>no</p></cookie-banner><p>a <span class='notice'>b</span> <span class='ad'>no</span></p></article>") == ["a b"]
+
+
+def test_comments_and_teasers_that_are_articles():
+    def text(page):
+        return pagetext.blocks(page)[0]
+
+    assert text('<article><p>Body</p></article><article class="comment"><p>Nice</p></article>') == ["Body"]
+    assert text('<article><p>Body</p><article class="comment-body">Nice<article class="reply">No</article></article><p>End</p></article>') == ["Body", "End"]
+    assert text('<article class="teaser">Other</article><article class="post"><p>Body</p></article>') == ["Body"]
+    # a column of comment is an article where nothing else is
+    assert text('<main><article class="comment"><p>We think</p></article></main>') == ["We think"]
+    assert text('<article><p>Body</p><article><p>Part</p></article></article>') == ["Body", "Part"]
+
+
+def test_what_few_of_a_hosts_pages_share_is_no_boilerplate(spark):
+    end = "All rights reserved by the owners of this very site"
+    told = "One paragraph of nine words that three articles print"
+    rows = [(i, f"<p>Story a{i} b{i} c{i} d{i}</p>{f'<p>{told}</p>' if i < 3 else ''}<div>{end}</div>") for i in range(40)]
+    df = spark.createDataFrame([(i, "http://h.example/", h) for i, h in rows], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pagetext.extract(df).collect()}
+    assert got == {i: f"Story a{i} b{i} c{i} d{i}" + (f"\n\n{told}" if i < 3 else "") for i in range(40)}
+
+
+def test_given_pages_without_their_marks_lose_no_article_block(spark):
+    rows = pq.read_table(f"{DATA}/pages.parquet").to_pylist()
+    bare = [(r["page_id"], r["url"], re.sub(r"</?article>", "", r["html"])) for r in rows]
+    got = {r.page_id: r.text for r in pagetext.extract(spark.createDataFrame(bare, "page_id long, url string, html string")).collect()}
+    for r in rows:
+        own = got[r["page_id"]].split("\n\n")
+        assert all(b in own for b in article(r["html"]).split("\n\n") if b)

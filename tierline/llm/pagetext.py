@@ -13,6 +13,7 @@ import hashlib
 import html
 import re
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +34,31 @@ _BLOCKS = set(
 )
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
-#: Words of a class or id that mark a frame, whole between dashes and the like.
-_MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notices?|newsletter|"
-    r"subscribe|popup|modal|overlay|sidebar|menu|nav|navbar|navigation|breadcrumbs?|share|sharing|social|related|recommended|comments?|"
-    r"replies|disqus|footer|masthead|pagination|pager|widget|toolbar)(?:$|[\s_-])",
-    re.I,
-)
+#: Words of a class or id that say what a container holds: adverts and controls for sharing, what others wrote, a site's frame.
+_ADVERT = "ads ad adverts advert advertisement advertising sponsored sponsor promotion promo sharing share".split()
+_OTHERS = "comments comment replies reply disqus teasers teaser related recommended".split()
+_SITE = (
+    "banner cookies cookie consent gdpr notices notice newsletter subscribe popup modal overlay sidebar menu navigation navbar nav breadcrumbs "
+    "breadcrumb social footer masthead pagination pager toolbar"
+).split()
+#: Words that may stand beside them; with any other word a name says something else ("related-work").
+_BESIDE = (
+    "site page post posts article articles story stories blog news main global top bottom left right inner outer upper lower user reader box block "
+    "list section container wrapper wrap area bar row column col panel pane group items item links link buttons button icons icon text content body "
+    "title heading label header module component widget unit slot zone region strip cards card tree thread form signup email mobile desktop sticky "
+    "primary secondary message info count"
+).split()
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_KINDS = {
+    kind: re.compile(
+        rf"(?:(?:{'|'.join(_BESIDE + _ADVERT + _OTHERS + _SITE)}|(?<![a-z])[a-z](?![a-z])|\d+)[_-]*)*?(?:{'|'.join(words)})"
+        rf"(?:[_-]*(?:{'|'.join(_BESIDE + _ADVERT + _OTHERS + _SITE)}|(?<![a-z])[a-z](?![a-z])|\d+))*"
+    )
+    for kind, words in {"advert": _ADVERT, "others": _ADVERT + _OTHERS, "any": _ADVERT + _OTHERS + _SITE}.items()
+}
+#: Elements that a class or id can make a frame; a paragraph or a stretch of one is left out as an advert only, a heading never.
+_CONTAINERS = set("div section ul ol li dl dd table tr td th tbody header details figure center address hgroup search summary".split())
+_ARTICLE = re.compile(r"""<article\b((?:[^>"']|"[^"]*"|'[^']*')*)""", re.I)
 #: What HTML says of tags that may be left out: elements that a tag's search for an open one does not go past.
 _SCOPE = {"caption", "table", "td", "th", "marquee", "template"}
 _P_SCOPE = _SCOPE | {"button"}
@@ -110,16 +129,41 @@ def _left_after_closing(stack: list[str], opened: Counter, name: str, outside: i
     return len(stack)
 
 
-def _is_frame(name: str, rest: str, inside: bool) -> bool:
-    if name in _FRAME or (name == "header" and not inside):
+@lru_cache(1 << 14)
+def _says(names: str, kind: str) -> bool:
+    """Whether any of the names of a class or id is made of a frame's words, joined or not, and words that go with them."""
+    return any(len(n) <= 80 and _KINDS[kind].fullmatch(_CAMEL.sub("-", n).lower()) for n in names.split())
+
+
+def _attributes(rest: str) -> list[tuple[str, str]]:
+    return [(a.lower(), v.strip("\"'")) for a, v in _ATTRIBUTE.findall(rest)]
+
+
+def _of_others(rest: str) -> bool:
+    """Whether an article's class says that it is a comment, a teaser of another story or an advert."""
+    return any(a == "class" and _says(v, "others") for a, v in _attributes(rest))
+
+
+def _is_frame(name: str, rest: str, inside: bool, plain: bool) -> bool:
+    """Whether an element is left out, ``inside`` an article or not; ``plain`` if an article of the page is no comment or the like."""
+    if name in _FRAME or (name == "header" and not inside) or "-" in name and _says(name, "any"):
         return True
-    if not rest or name in ("html", "body", "article", "main"):
+    if not rest or name in ("html", "body", "main"):
         return False
-    for attribute, value in _ATTRIBUTE.findall(rest):
-        attribute, value = attribute.lower(), value.strip("\"'").lower()
-        if attribute in ("class", "id") and _MARKS.search(value) or attribute == "role" and value in _ROLES:
+    if name == "article":
+        return plain and _of_others(rest)
+    for attribute, value in _attributes(rest):
+        if attribute in ("class", "id"):
+            if name in _CONTAINERS or "-" in name:
+                said = _says(value, "any")
+            else:
+                said = attribute == "class" and name not in _HEADINGS and _says(value, "advert")
+            if said:
+                return True
+        value = value.lower()
+        if attribute == "role" and value in _ROLES or attribute == "hidden" or attribute == "aria-hidden" and value == "true":
             return True
-        if attribute == "hidden" or attribute == "aria-hidden" and value == "true" or attribute == "style" and "display:none" in value.replace(" ", ""):
+        if attribute == "style" and "display:none" in value.replace(" ", ""):
             return True
     return False
 
@@ -145,6 +189,7 @@ def all_blocks(page: str) -> tuple[list[str], list[bool], bool]:
     marked = {"article": False, "main": False}
     stack: list[str] = []
     opened: Counter = Counter()
+    plain = any(not _of_others(a) for a in _ARTICLE.findall(page))
     skip, at = -1, 0  # the place in the stack of the frame that is left out, if one is
 
     def end_block() -> None:
@@ -192,7 +237,7 @@ def all_blocks(page: str) -> tuple[list[str], list[bool], bool]:
         leave(_left_after_opening(stack, opened, name))
         if name in _VOID or name in ("html", "body"):
             continue
-        if skip < 0 and _is_frame(name, tag["rest"], bool(inside["article"])):
+        if skip < 0 and _is_frame(name, tag["rest"], bool(inside["article"]), plain):
             end_block()
             if closed:
                 continue
@@ -267,12 +312,13 @@ _BUCKETS = 1 << 24
 
 def extract(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = 8, on_pages: int = 3,
+    share: float = 0.1,
 ) -> DataFrame:
     """One row per page: ``id_col``, ``url_col``, text, n_chars.
 
     Blocks are joined by an empty line. A run of ``least`` tokens is boilerplate if it stands outside articles on
-    ``on_pages`` different pages of a host, and on more than have it in their article; pages with equal blocks
-    count as one. Blocks mostly of such runs go, and of a page with an article also those outside it. A null page
+    ``on_pages`` different pages of a host, and on ``share`` of the host's at least, and on more than have it in their
+    article; pages with equal blocks count as one. Blocks mostly of such runs go, and of a page with an article also those outside it. A null page
     is empty, and so is its text; a null url's host is empty; null and repeated ids are allowed. Other columns are
     left out, whatever their names; an empty table gives no rows.
     """
@@ -305,7 +351,7 @@ def extract(
         def batch() -> pa.RecordBatch:
             columns = [np.concatenate(c) for c in zip(*parts)]
             parts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["run", "stream", "place", "inside"])
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["run", "site", "stream", "place", "inside"])
 
         for block in batches:
             site, stream, own, marks, sizes = (block.column(c) for c in ("site", "stream", "blocks", "inside", "sizes"))
@@ -325,7 +371,8 @@ def extract(
                     at = at[(chosen[bucket >> np.uint64(3)] >> (7 - (bucket & np.uint64(7)).astype(np.uint8))) & 1 > 0]
                 if len(at):
                     waiting += len(at)
-                    parts.append((keys[at].view(np.int64), np.full(len(at), stream[i].as_py(), np.int64), at.astype(np.int32), within[at]))
+                    of = (np.full(len(at), c[i].as_py(), np.int64) for c in (site, stream))
+                    parts.append((keys[at].view(np.int64), *of, at.astype(np.int32), within[at]))
                 if waiting >= 1 << 17:
                     yield batch()
                     waiting = 0
@@ -344,7 +391,7 @@ def extract(
     shape = f"id {kind}, url string, site long, blocks array<string>, inside array<boolean>, sizes array<int>, marked boolean, stream long"
     parsed = cut(rows.mapInArrow(parse, shape), "pages")
 
-    found = "run long, stream long, place int, inside boolean"
+    found = "run long, site long, stream long, place int, inside boolean"
     content = parsed.select("site", "stream", "blocks", "inside", "sizes")
     outside = content.mapInArrow(lambda b: runs(b, None), found).select("run", "stream").distinct()
     often = outside.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= on_pages)
@@ -355,9 +402,11 @@ def extract(
     chosen = np.packbits(bits)
 
     likely = cut(content.mapInArrow(lambda b: runs(b, chosen), found).distinct(), "runs")
-    votes = likely.select("run", "stream", "inside").distinct().groupBy("run")
+    votes = likely.select("run", "site", "stream", "inside").distinct().groupBy("run", "site")
     votes = votes.agg(F.count_if(~F.col("inside")).alias("against"), F.count_if("inside").alias("for"))
-    frames = votes.where((F.col("against") >= on_pages) & (F.col("against") > F.col("for"))).select("run")
+    votes = votes.where((F.col("against") >= on_pages) & (F.col("against") > F.col("for")))
+    hosts = parsed.select("site", "stream").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("streams"))
+    frames = votes.join(hosts, "site").where(F.col("against") >= share * F.col("streams")).select("run").distinct()
     places = likely.join(frames, "run").groupBy("stream").agg(F.collect_set("place").alias("places"))
     sizes = parsed.groupBy("stream").agg(F.min("sizes").alias("sizes"))
     gone = cut(places.join(sizes, "stream").mapInArrow(weigh, "stream long, gone array<int>"), "repeated")

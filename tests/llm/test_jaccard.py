@@ -84,7 +84,7 @@ def test_odd_rows(spark):
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.integers(1, 90), st.integers(0, 10**6), st.booleans())
+@given(st.one_of(st.integers(1, 90), st.integers(91, 3000)), st.integers(0, 10**6), st.booleans())
 def test_similar_sets_share_a_kept_signature(size, seed, order):
     rng = np.random.default_rng(seed)
     a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
@@ -104,6 +104,34 @@ def test_similar_sets_share_a_kept_signature(size, seed, order):
     assert np.intersect1d(jaccard.kept_signatures(a, late), jaccard.kept_signatures(b, late)).size
 
 
+def test_large_sets_rarely_keep_all_signatures():
+    rng = np.random.default_rng(5)
+    for size in (1, 2, 7, 8, 31, 63, 127, 128, 255, 256, 511, 1023, 2047, 4095, 16383, 65535):
+        for _ in range(5 if size > 2000 else 40):
+            own = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+            for band in jaccard.bands(len(own)):
+                assert len(jaccard.signatures(own, band)) > jaccard.furthest(len(own))
+
+
+def test_large_sets_with_a_common_part_rarely_meet():
+    rng = np.random.default_rng(6)
+    none = np.zeros(0, np.uint64)
+    for size in (300, 1000, 4000):
+        part = rng.integers(0, 1 << 63, size // 10).astype(np.uint64)
+        kept = [jaccard.kept_signatures(np.unique(np.concatenate([part, rng.integers(0, 1 << 63, size).astype(np.uint64)])), none) for _ in range(40)]
+        shared = [len(np.intersect1d(a, b)) / len(a) for i, a in enumerate(kept) for b in kept[:i]]
+        assert np.mean(shared) < 0.03
+
+
+def test_pairs_of_one_centre_are_dealt_over_tasks(spark):
+    pairs = spark.range(1000).selectExpr("7L as u", "id + 100 as v")
+    held = spark.createDataFrame([(7, 70), (8, 80)], "u long, a long")
+    joined = jaccard._join_u(pairs, held)
+    assert joined.select("u", "a").distinct().collect() == [(7, 70)] and joined.count() == 1000
+    salts = pairs.selectExpr(f"pmod(xxhash64(v), {jaccard._SALTS}) as salt").groupBy("salt").count().toPandas()["count"]
+    assert salts.max() < 60
+
+
 def test_parities_differ_in_no_more_places_than_sets():
     rng = np.random.default_rng(3)
     for size in (1, 5, 40, 900, 5000):

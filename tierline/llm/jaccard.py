@@ -1,9 +1,11 @@
 """Similarity join of word shingles by PartEnum signatures, and its connected components.
 
-Sets are dealt into size bands, each four times as wide as the one before; a set just under a band's
+Sets are dealt into size bands, each twice as wide as the one before; a set just under a band's
 lower end is a guest of that band too, so two similar sets always meet in one. In a band the domain of
 shingles is cut into pairs of partitions, and of each pair both subsets of one partition are
-enumerated: a signature is a hash of the set's shingles in one partition. Two sets that differ in at most
+enumerated: a signature is a hash of the set's shingles in one partition. Partitions are about a quarter more than
+the shingles in which the band's largest sets may differ, so a signature of a set of 128 shingles or more stands for two
+or three of them on average, and sets that share a small part of their shingles rarely share one. Two sets that differ in at most
 ``d`` shingles differ in at most ``d`` signatures. So if each keeps the first ``d + 1`` of its non-empty
 signatures in one common order, similar sets share a kept one. The order puts signatures that a sample
 finds frequent last, so texts that only share a common passage rarely meet. A set with ``d`` signatures or
@@ -30,7 +32,12 @@ from tierline.llm.common import by_size, cut, small_batches, text_of
 SHINGLE = 5
 #: A link needs 100 * intersection >= PERCENT * union.
 PERCENT = 80
-_BAND = 4
+_BAND = 2
+#: A band has as many partitions at least, and a pair's hot side is dealt over as many tasks at most.
+_LEAST_PARTITIONS = 64
+_SALTS = 64
+#: Bytes of text that a worker turns into sets at a time.
+_BLOCK = 1 << 17
 PARITIES = 1024
 _WORDS = PARITIES // 64
 _SEPARATOR = np.isin(np.arange(256), [32, *range(9, 14)])
@@ -135,10 +142,14 @@ def bands(size: int) -> list[int]:
     return [own, own + 1] if 100 * size >= PERCENT * _BAND ** (own + 1) else [own]
 
 
+def partitions(band: int) -> int:
+    """Into how many partitions a band's domain is cut: even, and enough for its largest sets to keep what they must."""
+    return max(_LEAST_PARTITIONS, 2 * -(-5 * furthest(_BAND ** (band + 1)) // 8))
+
+
 def signatures(shingles: np.ndarray, band: int) -> np.ndarray:
     """The hash of what a set has in each partition of a band's domain where it has anything."""
-    partitions = np.uint64(2 * max(32, _BAND**band))
-    place = mix(shingles + np.uint64(band)) % partitions
+    place = mix(shingles + np.uint64(band)) % np.uint64(partitions(band))
     order = np.argsort(place, kind="stable")
     place = place[order]
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
@@ -170,7 +181,7 @@ def summaries(rows: DataFrame) -> DataFrame:
     """id, check, n, node, odd for each row (id, check, text): the size, hash and parities of its set; null if empty."""
 
     def run(batches):
-        for block in by_size(batches, "text", 1 << 19):
+        for block in by_size(batches, "text", _BLOCK):
             sets = shingle_sets(_texts(block))
             columns = [
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([set_hash(s) if len(s) else None for s in sets], pa.int64()),
@@ -192,7 +203,7 @@ def frequent_signatures(rows: DataFrame, sample_rows: int, share: float) -> np.n
     part = min(1.0, sample_rows / max(1, total))
 
     def run(batches):
-        for block in by_size(batches, "text", 1 << 19):
+        for block in by_size(batches, "text", _BLOCK):
             found = [signatures(s, b) for s in shingle_sets(_texts(block)) if len(s) for b in bands(len(s))]
             values, counts = np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.astype(np.int64)), pa.array(counts, pa.int64())], ["signature", "n"])
@@ -211,7 +222,7 @@ def emitted(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     def run(batches):
         met: set[int] = set()
-        for block in by_size(batches, "text", 1 << 19):
+        for block in by_size(batches, "text", _BLOCK):
             keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for own in shingle_sets(_texts(block)):
                 node = set_hash(own) if len(own) else None
@@ -263,11 +274,18 @@ def _marked(rows: DataFrame, marks: np.ndarray) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
+def _join_u(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """``pairs`` (u, v) joined with ``held`` (u and more). A centre is the u of many pairs, so its row is copied to
+    salts, by which its pairs are dealt."""
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(_SALTS)))
+    copies = pairs.select("u", "salt").distinct().join(held, "u")
+    return pairs.join(copies, ["u", "salt"]).drop("salt")
+
+
 def _with_sets(pairs: DataFrame, held: DataFrame, column: str) -> DataFrame:
-    """What ``held`` has in ``column`` for both sides of pairs, as a and b. The member that many pairs share
-    comes last, where Spark splits its rows."""
-    joined = pairs.join(held.select(F.col("node").alias("v"), F.col(column).alias("b")), "v")
-    return joined.join(held.select(F.col("node").alias("u"), F.col(column).alias("a")), "u").select("u", "v", "a", "b")
+    """What ``held`` has in ``column`` for both sides of pairs, as a and b."""
+    joined = _join_u(pairs, held.select(F.col("node").alias("u"), F.col(column).alias("a")))
+    return joined.join(held.select(F.col("node").alias("v"), F.col(column).alias("b")), "v").select("u", "v", "a", "b")
 
 
 def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, bits: int = 1 << 22) -> DataFrame:
@@ -282,7 +300,7 @@ def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, bits: int =
     found = some.join(wanted, some["id"].eqNullSafe(wanted["rep"]) & (some["check"] == wanted["rep_check"])).select("node", "text")
 
     def sets(batches):
-        for block in by_size(batches, "text", 1 << 19):
+        for block in by_size(batches, "text", _BLOCK):
             own = shingle_sets(_texts(block))
             columns = [pa.array([f(s).tobytes() for s in own], pa.binary()) for f in (fine_parities, np.asarray)]
             columns.insert(0, pa.array([len(s) for s in own], pa.int64()))
@@ -375,7 +393,7 @@ def similar_components(
     weighed = keys.select("signature", "node").join(weights, "node")
     centre = F.max(F.struct("weight", "node")).over(group)["node"]
     tried = weighed.select(centre.alias("u"), F.col("node").alias("v")).where("u <> v").distinct()
-    tried = tried.join(_named(nodes, "v", "v_"), "v").join(_named(nodes, "u", "u_"), "u").where(can_be_similar("u_", "v_"))
+    tried = _join_u(cut(tried, "centres"), _named(nodes, "u", "u_")).join(_named(nodes, "v", "v_"), "v").where(can_be_similar("u_", "v_"))
     tried = cut(tried.select("u", "v"), "pairs")
     links = links_among(tried, rows, nodes)
 

@@ -1,6 +1,7 @@
 """Gaps, repeats and late messages, followed over micro-batches."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -38,6 +39,15 @@ def test_ranges_say_what_offsets_say(seed):
     assert left == [o for o in range(min(count), max(count) + 1) if o not in count] and not set(left) & set(late)
 
 
+def test_many_gaps_are_gone_through_once():
+    count, began = 20_000, time.monotonic()
+    findings, seen, missing = c.follow([(13 * i, 13 * i + 11) for i in range(count)], None, [])
+    assert missing == [(13 * i + 12, 13 * i + 12) for i in range(count - 1)] and len(findings) == count - 1
+    findings, seen, missing = c.follow([(13 * i + 12, 13 * i + 12) for i in range(0, count, 2)], seen, missing)
+    assert [k for k, _, _ in findings] == [c.LATE] * (count // 2) and missing == [(13 * i + 12, 13 * i + 12) for i in range(1, count - 1, 2)]
+    assert seen == (0, 13 * count - 2) and time.monotonic() - began < 10
+
+
 def test_state_goes_on_after_a_restart(spark, place):
     kind = "topic string, partition int, offset long"
 

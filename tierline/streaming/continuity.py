@@ -47,40 +47,47 @@ def _ranges(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def follow(ranges: Ranges, seen: tuple[int, int] | None, missing: Ranges) -> tuple[list[tuple[str, int, int]], tuple[int, int], Ranges]:
-    """What new ranges say after those before: findings, the offsets seen from first to last, and what is missing between them."""
+    """What new ranges say after those before: findings, the offsets seen from first to last, and what is missing between them.
+
+    ``missing`` is ascending, as is what is returned. Both lists are gone through once, side by side.
+    """
     findings: list[tuple[str, int, int]] = []
-    for first, last in sorted(ranges):
-        if seen is None:
-            seen = (first, last)
-            continue
+    ranges = sorted(ranges)
+    if seen is None and ranges:
+        seen, ranges = ranges[0], ranges[1:]
+    if ranges and ranges[0][0] < seen[0]:  # before the first one of all
+        before = min(ranges[0][1], seen[0] - 1)
+        if before < seen[0] - 1:
+            missing = [(before + 1, seen[0] - 1), *missing]
+            findings.append((MISSING, before + 1, seen[0] - 1))
+    left, waiting = [], iter(missing)  # what stays missing, in order, and what is yet to be looked at
+    gap = next(waiting, None)
+    for first, last in ranges:
         start, end = seen
         if first > end + 1:
-            missing.append((end + 1, first - 1))
-            findings.append((MISSING, end + 1, first - 1))
-        if first < start:  # before the first one of all
-            before = min(last, start - 1)
-            if before < start - 1:
-                missing.insert(0, (before + 1, start - 1))
-                findings.append((MISSING, before + 1, start - 1))
-        known, rest = [], []
-        for a, b in missing:
-            low, high = max(a, first), min(b, last)
-            if low > high:
-                rest.append((a, b))
-                continue
-            findings.append((LATE, low, high))
-            known.append((low, high))
-            rest += [r for r in ((a, low - 1), (high + 1, b)) if r[0] <= r[1]]
-        missing[:] = rest
+            left_over = (end + 1, first - 1)
+            findings.append((MISSING, *left_over))
+        else:
+            left_over = None
         at = max(first, start)
-        for low, high in sorted(known):  # what is neither new nor was missing has been there before
-            if at < low:
-                findings.append((REPEATED, at, low - 1))
-            at = max(at, high + 1)
+        while gap and gap[0] <= last:
+            low, high = max(gap[0], first), min(gap[1], last)
+            if gap[0] < low:
+                left.append((gap[0], min(gap[1], low - 1)))
+            if low <= high:
+                findings.append((LATE, low, high))
+                if at < low:  # what is neither new nor was missing has been there before
+                    findings.append((REPEATED, at, low - 1))
+                at = max(at, high + 1)
+            gap = (last + 1, gap[1]) if last < gap[1] else next(waiting, None)
+        if left_over:
+            left.append(left_over)
         if at <= min(last, end):
             findings.append((REPEATED, at, min(last, end)))
         seen = (min(start, first), max(end, last))
-    return findings, seen, missing
+    if gap:
+        left += [gap, *waiting]
+    return findings, seen, left
 
 
 def _follow(key: tuple[str, int], parts: Iterator[pd.DataFrame], state: GroupState, first_offset: int | None, fail: bool) -> Iterator[pd.DataFrame]:

@@ -181,3 +181,20 @@ def test_further_links_connect_components(spark):
     assert got == {2: 1, 3: 1, 10: 1, 11: 1, 21: 20, 31: 30, 40: 30}
     none = spark.createDataFrame([], "u long, v long")
     assert {r.node: r.root for r in jaccard.joined_components(roots, none).collect()} == {2: 1, 3: 1, 11: 10, 21: 20}
+
+
+def test_two_python_steps_never_share_a_stage(spark, monkeypatch):
+    plans, cut = [], jaccard.cut
+
+    def seen(df, label):
+        if label == "sets":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, label)
+
+    monkeypatch.setattr(jaccard, "cut", seen)
+    rows = corpus(3)
+    assert run(spark, rows) == brute(rows)
+    assert plans
+    for plan in plans:
+        above, between, _ = plan.split("MapInArrow", 2)
+        assert "Exchange hashpartitioning(node" in between and "Exchange hashpartitioning" not in above

@@ -298,6 +298,8 @@ def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, bits: int =
     wanted = cut(asked.join(nodes.select("node", "rep", "rep_check"), "node"), "wanted")
     some = _marked(rows, _bits_of(wanted.select(F.col("rep_check").alias("check")), bits))
     found = some.join(wanted, some["id"].eqNullSafe(wanted["rep"]) & (some["check"] == wanted["rep_check"])).select("node", "text")
+    # the shuffle stands between the two Python steps, which in one stage would take two workers for each task
+    found = found.dropDuplicates(["node"])
 
     def sets(batches):
         for block in by_size(batches, "text", _BLOCK):
@@ -307,7 +309,7 @@ def links_among(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, bits: int =
             yield pa.RecordBatch.from_arrays([block.column("node"), *columns], ["node", "n", "odd", "shingles"])
 
     schema = "node long, n long, odd binary, shingles binary"
-    held = cut(found.mapInArrow(sets, schema).dropDuplicates(["node"]), "sets").withColumn("sized", F.struct("n", "odd"))
+    held = cut(found.mapInArrow(sets, schema), "sets").withColumn("sized", F.struct("n", "odd"))
 
     def chosen(is_kept):
         def run(batches):

@@ -145,3 +145,18 @@ def test_messages_in_avro_reach_raw_and_bad_ones_fail(spark, place):
     send([b"\x02"])
     with pytest.raises(Exception, match="cut short"):
         plans.JOBS["messages_to_raw"](spark, spec)
+
+
+def test_a_container_is_made_a_block_at_a_time():
+    taken = []
+
+    def values():
+        for i in range(1000):
+            taken.append(i)
+            yield {"n": i}
+
+    schema = json.dumps({"type": "record", "name": "R", "fields": [{"name": "n", "type": "long"}]})
+    parts = avro.container_parts(values(), schema, block_rows=10)
+    head, first = next(parts), next(parts)
+    assert len(taken) == 10
+    assert head + first + b"".join(parts) == avro.container([{"n": i} for i in range(1000)], schema, block_rows=10)

@@ -71,16 +71,18 @@ class Files:
         """The file for reading, at any place."""
         return open(self.own(path), "rb") if self.local else self.store.open_input_file(self.own(path))
 
-    def write(self, path: str, data: bytes) -> None:
-        """A whole file, complete or not there."""
+    def write(self, path: str, data: bytes | Iterable[bytes]) -> None:
+        """A whole file, complete or not there; ``data`` may come in parts, which are written as they come."""
         part = f"{os.path.dirname(path)}/.{os.path.basename(path)}.{uuid.uuid4().hex}"
+        parts = [data] if isinstance(data, bytes) else data
         if self.local:
             os.makedirs(os.path.dirname(self.own(path)), exist_ok=True)
             with open(self.own(part), "wb") as file:
-                file.write(data)
+                file.writelines(parts)
         else:
             with self.store.open_output_stream(self.own(part)) as file:
-                file.write(data)
+                for some in parts:
+                    file.write(some)
         self.move(part, path)
 
     def size(self, path: str) -> int:

@@ -32,6 +32,7 @@ LONGEST = 4
 KEY = ["w1", "w2", "w3", "w4"]
 _BITS = 1 << 24
 _SEGMENT = 1 << 20
+_ODD = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15], np.uint64)
 
 
 def pieces(text: bytes) -> Iterator[tuple[list[bytes], bool]]:
@@ -129,7 +130,10 @@ def windows(docs: DataFrame, salt: str, bits: bytes, buffer: int = 1 << 20) -> D
         known = {name: i for i, name in enumerate(dict.fromkeys(names))}
         lang = np.array([known[n] for n in names], np.int64)[np.searchsorted(marks, own, "right") - 1]
         high, low = (columns[0] << bits) | columns[1], (columns[2] << bits) | columns[3]
-        order = np.lexsort((low, high, lang))
+        # by the first two words, then by a hash of the rest; where that brings equal windows apart, both parts are counted
+        spare = np.uint64(64 - 2 * bits)
+        rest = low.astype(np.uint64) * _ODD[0] + lang.astype(np.uint64) * _ODD[1]
+        order = np.argsort((high.astype(np.uint64) << spare) | (rest * _ODD[2] >> (np.uint64(64) - spare)))
         high, low, lang = high[order], low[order], lang[order]
         start = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1]) | (lang[1:] != lang[:-1])])) if len(own) else own
         value = np.array(hashes, np.uint64).view(np.int64)
@@ -200,14 +204,19 @@ def phrase_counts(docs: DataFrame, least: int = 30, salts: int = 64, sample_rows
     for length in (2, 3):
         rows = rows.join(F.broadcast(hot[length - 1].withColumn(f"hot{length}", F.lit(True))), ["lang", *KEY[:length]], "left")
     spread = F.when(F.col("hot3"), F.pmod(F.xxhash64("w4"), F.lit(salts)) + 1 + salts).when(F.col("hot2"), F.pmod(F.xxhash64("w3"), F.lit(salts)) + 1)
-    rows = rows.withColumn("salt", F.coalesce(spread, F.lit(0)).cast("int")).repartition("lang", "w1", "w2", "salt")
-    rows = rows.groupBy("lang", *KEY, "salt", "hot2", "hot3").agg(F.sum("n").alias("n"))
-    by_three, by_two = (Window.partitionBy("lang", "salt", *KEY[:k]) for k in (3, 2))
+    # a salt says whether the first two or three words are hot: those of hot three are hot themselves
+    rows = rows.select("lang", *KEY, "n", F.coalesce(spread, F.lit(0)).cast("int").alias("salt")).repartition("lang", "w1", "w2", "salt")
+    rows = rows.groupBy("lang", *KEY, "salt").agg(F.sum("n").alias("n"))
+    # sorted by a hash that differs for most rows, and not by the language, which is the same for most
+    rows = rows.withColumn("first", F.xxhash64("w1", "w2"))
+    by_three, by_two = (Window.partitionBy("first", "lang", "salt", *KEY[:k]) for k in (3, 2))
     rows = rows.withColumn("n3", F.sum("n").over(by_three)).withColumn("n2", F.sum("n").over(by_two))
-    keep2 = (F.col("w2") != 0) & (F.coalesce("hot2", F.lit(False)) | (F.col("n2") >= least))
-    keep3 = keep2 & (F.col("w3") != 0) & (F.coalesce("hot3", F.lit(False)) | (F.col("n3") >= least))
+    keep2 = (F.col("w2") != 0) & ((F.col("salt") > 0) | (F.col("n2") >= least))
+    keep3 = keep2 & (F.col("w3") != 0) & ((F.col("salt") > salts) | (F.col("n3") >= least))
     keep4 = keep3 & (F.col("w4") != 0) & (F.col("n") >= least)
     kept = rows.select("lang", "w1", *[F.when(k, F.col(c)).otherwise(0).alias(c) for k, c in zip((keep2, keep3, keep4), KEY[1:])], "n")
+    # most are cut to few different ones, so these are added up before ROLLUP makes five rows of each
+    kept = kept.groupBy("lang", *KEY).agg(F.sum("n").alias("n"))
     summed = kept.rollup("lang", *KEY).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     length = F.when(F.col("level") == 0, 4).when(F.col("level") == 1, 3).when(F.col("level") == 3, 2).when(F.col("level") == 7, 1)
     summed = summed.withColumn("length", length).where(

@@ -46,12 +46,12 @@ def avro_payload(messages: DataFrame, avro_schema: str) -> DataFrame:
 
 
 def land_avro(df: DataFrame, landing: str, avro_schema: str) -> None:
-    """Rows, times in them as numbers, as Avro container files of a landing directory; each task writes one."""
+    """Rows, times in them as numbers, as Avro container files of a landing directory; each task writes one, block by block."""
 
     def write(batches):
-        rows = [row for batch in batches for row in batch.to_pylist()]
+        rows = (row for batch in batches for row in batch.to_pylist())
         path = f"{landing.rstrip('/')}/{uuid.uuid4().hex}.avro"
-        Files(path).write(path, avro.container(rows, avro_schema))
+        Files(path).write(path, avro.container_parts(rows, avro_schema))
         yield pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
 
     df.mapInArrow(write, "path string").write.format("noop").mode("overwrite").save()

@@ -813,7 +813,7 @@ def avro_landing_to_raw(spark, sf_dir):
         "o_orderkey", "o_orderstatus", "o_totalprice", F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("o_orderdate"),
         F.array("o_orderstatus", "o_orderpriority").alias("tags"),
     )
-    fixtures.land_avro(orders.repartition(4), site.at("landing"), ORDER_RECORD)
+    fixtures.land_avro(orders.repartition(max(4, spark.sparkContext.defaultParallelism)), site.at("landing"), ORDER_RECORD)
     jobs.landing_to_raw(spark, site.orders(format="avro", fields=()))
     raw = layers.read_raw(spark, site.orders())
     return raw.groupBy("year", "month").agg(

@@ -95,3 +95,18 @@ def test_words_of_one_hash_are_told_apart(spark):
 
 def test_empty_tables(spark):
     assert run(spark, []) == [] == run(spark, [(None, None), ("en", " . ")])
+
+
+def test_windows_are_added_up_before_rollup_repeats_them(spark, monkeypatch):
+    plans, cut = [], c.cut
+
+    def seen(df, label):
+        if label == "phrase-counts":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, label)
+
+    monkeypatch.setattr(c, "cut", seen)
+    rows = corpus(5) * 2
+    assert run(spark, rows, least=20, salts=5) == plain(rows, 2000, 20)
+    below = plans[0].split("Expand", 1)[1].splitlines()
+    assert "Aggregate" in below[1] and "Window" in plans[0]

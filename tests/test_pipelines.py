@@ -716,3 +716,17 @@ def test_small_batches_are_compacted_once_whatever_happens(spark, place, put, mo
     assert jobs.raw_to_bronze(spark, spec).rows == 1
     assert len(rows(spark.table(name))) == len(want) + 1
     sinks.drop_table(spark, name)
+
+
+def test_raw_without_dates_gives_one_file_a_bronze_directory(spark, place):
+    site_orders = spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"))
+    site_orders.repartition(4).write.parquet(place("landing"))
+    spec = DatasetSpec(
+        name="orders", landing=place("landing"), raw=place("raw"), format="parquet", mode="append", checkpoint=place("check"), optimize_write=False,
+        bronze=BronzeSpec(path=place("bronze"), source_column="o_orderdate", year_column="y", month_column="m", partition_by=("y",)),
+    )
+    jobs.landing_to_raw(spark, spec)
+    jobs.raw_to_bronze(spark, spec)
+    found = spark.read.option("recursiveFileLookup", "true").parquet(place("bronze") + "/ingest_batch=*").select(F.input_file_name().alias("f")).distinct()
+    files = [r.f.rsplit("/", 1)[0] for r in found.collect()]
+    assert len(files) == len(set(files)) > 1

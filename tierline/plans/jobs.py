@@ -6,7 +6,7 @@ import logging
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import astuple, dataclass
+from dataclasses import astuple, dataclass, replace
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
@@ -148,6 +148,8 @@ def _promote_pending(spark: SparkSession, spec: DatasetSpec, bronze: BronzeSpec)
     if not groups:
         return Outcome(spec.name, "raw_to_bronze", "empty")
     rows = 0
+    if not derive.listed_parts(spec.partition_by):  # raw files that hold rows of all dates would each become a file in every directory
+        bronze = replace(bronze, optimize_write=True)
     for waiting in groups:
         df = layers.read_raw(spark, spec, [w.batch_id for w in waiting], raw).drop(ledger.BATCH)
         # Named after the first batch it covers: a repeated attempt starts there again.
